@@ -1,0 +1,30 @@
+"""Source codes and units."""
+
+from __future__ import annotations
+
+from pyspark.sql import Column
+from pyspark.sql import functions as F
+
+from aeris.constants import POLLUTANT_CODES, UNIT_NORMALISATION
+from aeris.functions._util import col, literal_map
+
+
+def trimmed_text(c: str | Column) -> Column:
+    """Missing field -> empty string, every field trimmed (source CSV convention)."""
+    return F.coalesce(F.trim(col(c)), F.lit(""))
+
+
+def is_regulated(label: str | Column) -> Column:
+    """Keep the six regulated pollutants (exact label after trimming)."""
+    return F.trim(col(label)).isin(*POLLUTANT_CODES.keys())
+
+
+def pollutant_code(label: str | Column) -> Column:
+    """B1: source label -> internal code (``PM2.5`` -> ``PM25``); NULL if not regulated."""
+    return literal_map(POLLUTANT_CODES)[F.trim(col(label))]
+
+
+def normalise_unit(unit: str | Column) -> Column:
+    """B2: normalise unit spellings; unknown units pass through unchanged."""
+    u = col(unit)
+    return F.coalesce(literal_map(UNIT_NORMALISATION)[u], u)
