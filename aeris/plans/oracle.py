@@ -18,7 +18,7 @@ NOISE = ("'periurbaine','periurb','urbain','urbaine','rurale','trafic','stade','
          "'sud','nord','est','ouest','boulevards','centre','peripherique','autoroute','zone','parc'")
 PREFIXES = "'st','saint','sainte','ste','le','la','les','aix'"
 
-TITLE = ("array_to_string(list_transform(range(1, length(z) + 1), i -> CASE WHEN i = 1 OR NOT "
+TITLE = ("array_to_string(list_transform(range(1, length(z) + 1), lambda i: CASE WHEN i = 1 OR NOT "
          "regexp_matches(substr(z, i - 1, 1), '^\\p{L}$') THEN upper(substr(z, i, 1)) "
          "ELSE lower(substr(z, i, 1)) END), '')")
 
@@ -123,7 +123,7 @@ st_distinct AS (
     FROM silver) WHERE rn = 1
 ),
 st_tok AS (
-  SELECT *, list_filter(string_split_regex(translate(coalesce(nom_site, ''), '_-', '  '), '\\s+'), x -> x <> '') AS toks,
+  SELECT *, list_filter(string_split_regex(translate(coalesce(nom_site, ''), '_-', '  '), '\\s+'), lambda x: x <> '') AS toks,
          regexp_replace(replace(replace(replace(coalesce(zas, ''), 'ZAG', ''), 'ZAR', ''), 'ZA ', ''),
                         '^\\s+|\\s+$', '', 'g') AS z
   FROM st_distinct
@@ -139,7 +139,7 @@ st_commune AS (
          ELSE toks[1] END AS commune_extraite
   FROM (
     SELECT *, {TITLE} AS zone_name, toks[2:] AS rest,
-           list_position(list_transform(toks[2:], x -> lower(x) IN ({NOISE})), true) AS stop
+           list_position(list_transform(toks[2:], lambda x: lower(x) IN ({NOISE})), true) AS stop
     FROM st_tok)
 ),
 gazetteer AS (
