@@ -14,7 +14,7 @@ from aeris.constants import CITY_WORD_MIN_LENGTH, MISSING_MARK
 from aeris.functions import (
     first_non_empty, index_colour, localised_label, marker_radius, missing_as_mark, question_intent,
 )
-from aeris.operators.joins import bounded_broadcast
+from aeris.operators.joins import bounded_broadcast, left_join_dimension, materialise
 from aeris.operators.serving import list_means, located
 
 RANKING_SIZE = 15
@@ -59,7 +59,7 @@ def day_stations(index_serving: DataFrame, stations: DataFrame, day: str | None
     idx = normalise_index_records(located(index_serving).filter(F.col("jour") == d))
     idx = idx.filter(F.col("latitude").isNotNull() & F.col("longitude").isNotNull())
     meta = stations.select("code_station", F.col("type_station").alias("_ts"), F.col("type_influence").alias("_ti"))
-    j = idx.join(bounded_broadcast(meta), "code_station", "left")
+    j = left_join_dimension(idx, meta, "code_station")
     return j.select(*idx.columns, missing_as_mark("_ts").alias("type_station"),
                     missing_as_mark("_ti").alias("type_influence"))
 
@@ -205,37 +205,42 @@ def recent_exceedances(exc_list: DataFrame, n: int = 3) -> DataFrame:
     return exc_list.limit(n)
 
 
-def _city_candidates(ds: DataFrame) -> DataFrame:
-    """Stations whose first name word is long enough to be looked up, with their rank key
-    (station order of the view: index DESC with NULLs first, then code)."""
+def station_lookup_table(ds: DataFrame) -> DataFrame:
+    """The stations of the view reduced to what the question router needs, materialised
+    once (reliable checkpoint): code, name, index, first name word, its eligibility
+    (long enough, name present) and the view-order rank key (index DESC with NULLs first,
+    then code)."""
     word = F.element_at(F.split(F.lower(F.col("nom")), " "), 1)
-    return (ds.filter(F.col("nom").isNotNull() & (F.col("nom") != ""))
-            .select("code_station", "nom", word.alias("mot"),
-                    F.struct(F.col("indice").isNotNull().alias("has"), (-F.col("indice")).alias("neg"),
-                             F.col("code_station").alias("code")).alias("_rank"))
-            .filter(F.length("mot") >= CITY_WORD_MIN_LENGTH))
+    t = ds.select("code_station", "nom", "indice", word.alias("mot"),
+                  F.struct(F.col("indice").isNotNull().alias("has"), (-F.col("indice")).alias("neg"),
+                           F.col("code_station").alias("code")).alias("_rank"))
+    t = t.withColumn("eligible", F.coalesce(F.col("nom") != "", F.lit(False))
+                     & F.coalesce(F.length("mot") >= CITY_WORD_MIN_LENGTH, F.lit(False)))
+    return materialise(t)
 
 
 def city_lookup(questions: DataFrame, ds: DataFrame, text_col: str = "question",
                 key_cols: tuple[str, ...] = ("conv_id", "turn"),
-                broadcast_rows: int = CITY_LOOKUP_BROADCAST_ROWS) -> DataFrame:
+                broadcast_rows: int = CITY_LOOKUP_BROADCAST_ROWS, lookup: DataFrame | None = None) -> DataFrame:
     """For each question, the first station (view order) whose first name word occurs
     in the lower-cased text. Questions without a match are absent.
 
-    A bounded station set is broadcast and matched with ``contains`` (a broadcast non-equi
-    join, the large question side never shuffles). Above the bound the exact equivalent
-    is an equi-join on (word length, substring): every substring of a question with a
-    candidate word length is emitted and joined on equality."""
-    cand = _city_candidates(ds)
+    A station set proven small is broadcast and matched with ``contains`` (a broadcast
+    non-equi join; the large question side never shuffles). Above the bound the exact
+    equivalent is an equi-join on (word length, substring): every substring of a question
+    with a candidate word length is emitted and joined on equality - linear in the text."""
+    table = lookup if lookup is not None else station_lookup_table(ds)
+    cand = table.filter("eligible").select("code_station", "nom", "mot", "_rank")
     q = questions.select(*key_cols, F.lower(F.coalesce(F.col(text_col), F.lit(""))).alias("_q"))
-    n = cand.limit(broadcast_rows + 1).count()
-    if n <= broadcast_rows:
-        m = q.join(F.broadcast(cand), F.col("_q").contains(F.col("mot")), "inner")
+    small, is_small = bounded_broadcast(cand, broadcast_rows)
+    if is_small:
+        m = q.join(small, F.col("_q").contains(F.col("mot")), "inner")
     else:
         lengths = cand.select(F.length("mot").alias("_len")).distinct()
-        subs = (q.join(F.broadcast(lengths), F.length("_q") >= F.col("_len"))
-                .select(*key_cols, "_len", F.explode(F.sequence(F.lit(1), F.length("_q") - F.col("_len") + 1)).alias("_i"),
-                        "_q")
+        lengths, _ = bounded_broadcast(lengths, 100_000)
+        subs = (q.join(lengths, F.length("_q") >= F.col("_len"))
+                .select(*key_cols, "_len", "_q",
+                        F.explode(F.sequence(F.lit(1), F.length("_q") - F.col("_len") + 1)).alias("_i"))
                 .select(*key_cols, F.expr("substring(_q, _i, _len)").alias("mot")).distinct())
         m = subs.join(cand, "mot", "inner")
     best = F.min_by(F.struct("code_station", "nom", "mot"), F.col("_rank")).alias("_m")
@@ -248,9 +253,10 @@ def route_questions(questions: DataFrame, ds: DataFrame, text_col: str = "questi
                     key_cols: tuple[str, ...] = ("conv_id", "turn")) -> DataFrame:
     """G1 (+ D6): intent per question - the first keyword rule that matches, else ``city``
     when a station name occurs in it, else ``default``."""
-    has_index = ds.filter(F.col("indice").isNotNull()).exists()
+    lookup = station_lookup_table(ds)
+    has_index = lookup.filter(F.col("indice").isNotNull()).exists()
     routed = questions.select(*key_cols, question_intent(F.col(text_col), has_index).alias("_intent"))
-    cities = city_lookup(questions, ds, text_col, key_cols)
+    cities = city_lookup(questions, ds, text_col, key_cols, lookup=lookup)
     j = routed.join(cities, list(key_cols), "left")
     intent = F.coalesce(F.col("_intent"), F.when(F.col("code_station").isNotNull(), F.lit("city")),
                         F.lit("default"))

@@ -41,6 +41,17 @@ def daily_index(means: DataFrame) -> DataFrame:
             .select(*INDEX_KEYS, "indice_atmo", "polluant_resp", "qualificatif"))
 
 
+def sub_index_table(means: DataFrame) -> DataFrame:
+    """Per station and day, the sub-index of each regulated pollutant as columns (the real
+    per-pollutant detail behind the station index). The pivot values are the fixed codes,
+    so no extra job discovers them; a pollutant not measured that day is NULL."""
+    from aeris.constants import INDEX_GRID
+    codes = list(INDEX_GRID)
+    return (with_sub_index(means).groupBy("code_site", "date_mesure")
+            .pivot("code_polluant", codes).agg(F.max("sous_indice"))
+            .select("code_site", "date_mesure", *[F.col(c).alias(f"sous_indice_{c.lower()}") for c in codes]))
+
+
 def exceedance_mart(silver: DataFrame) -> DataFrame:
     """C4: the exceedance records."""
     return (silver.filter(F.col("depassement").isNotNull())

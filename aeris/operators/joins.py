@@ -1,26 +1,39 @@
-"""Join helpers: broadcast only behind a size check."""
+"""Join helpers: broadcast only behind a size check, with a shuffle join beyond it.
+
+Equi-joins to a dimension carry no hint. Catalyst broadcasts a side whose estimated size
+(file statistics) is under ``spark.sql.autoBroadcastJoinThreshold``; at runtime AQE
+measures the actual shuffle output and converts a sort-merge join into a broadcast join
+when that side is under ``spark.sql.adaptive.autoBroadcastJoinThreshold``. Beyond the
+threshold the join stays a sort-merge join (with AQE skew splitting), so the broadcast
+decision always rests on a measured or estimated size and never grows with the data
+unchecked. A row-count check (``bounded_broadcast``) is used only where Spark cannot
+choose by itself: non-equi joins, on an already materialised side.
+"""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-# Rows under which a dimension side is broadcast explicitly. Above it the join is left
-# to Catalyst/AQE (sort-merge, or a runtime broadcast if the shuffled side turns out small).
+from aeris.session import checkpoint_dir
+
 DEFAULT_BROADCAST_ROWS = 2_000_000
 
 
-def bounded_broadcast(df: DataFrame, max_rows: int = DEFAULT_BROADCAST_ROWS) -> DataFrame:
-    """Return ``broadcast(df)`` when ``df`` holds at most ``max_rows`` rows, else ``df``.
+def left_join_dimension(fact: DataFrame, dim: DataFrame, on: str | list[str]) -> DataFrame:
+    """Left equi-join of a fact table to a dimension (broadcast decided by Catalyst / AQE)."""
+    return fact.join(dim, on=on, how="left")
 
-    The check runs a ``limit(max_rows + 1).count()`` job over the dimension only, which
-    stops early on a large side and is answered from Parquet metadata when possible."""
-    n = df.limit(max_rows + 1).count()
-    return F.broadcast(df) if n <= max_rows else df
 
+def materialise(df: DataFrame) -> DataFrame:
+    """Cut the lineage of a small derived table: a reliable checkpoint written to the shared
+    folder named by ``spark.checkpoint.dir`` (it survives executor loss)."""
+    checkpoint_dir(df.sparkSession)
+    return df.checkpoint(eager=True)
 
-def left_join_dimension(fact: DataFrame, dim: DataFrame, on: str | list[str],
-                        max_rows: int = DEFAULT_BROADCAST_ROWS) -> DataFrame:
-    """Left equi-join of a fact table to a dimension, broadcasting the dimension when its
-    size is proven small."""
-    return fact.join(bounded_broadcast(dim, max_rows), on=on, how="left")
+
+def bounded_broadcast(df: DataFrame, max_rows: int = DEFAULT_BROADCAST_ROWS) -> tuple[DataFrame, bool]:
+    """``(broadcast(df), True)`` when ``df`` holds at most ``max_rows`` rows, else ``(df, False)``.
+    ``df`` should be materialised (the check reads at most ``max_rows + 1`` rows of it)."""
+    n = df.limit(max_rows + 1).count()
+    return (F.broadcast(df), True) if n <= max_rows else (df, False)

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 from aeris.constants import POLLUTANT_SEED
 from aeris.functions import commune_from_name, geo_point
-from aeris.operators.joins import bounded_broadcast
+from aeris.operators.joins import left_join_dimension
 from aeris.schemas import POLLUTANT_SCHEMA
 
 STATION_ATTRS = ["nom_site", "organisme", "code_zas", "zas", "type_implantation", "type_influence"]
@@ -34,11 +34,11 @@ def gazetteer_by_commune(gazetteer: DataFrame) -> DataFrame:
 
 def geocode(stations: DataFrame, gazetteer: DataFrame) -> DataFrame:
     """D3: commune from the station name (B14), looked up once per distinct lower-case
-    commune in the gazetteer (left join; broadcast when the gazetteer is proven small)."""
+    commune in the gazetteer (left equi-join; Catalyst / AQE broadcast the gazetteer side
+    when its size is under the threshold, sort-merge otherwise)."""
     s = stations.withColumn("commune_extraite", commune_from_name("nom_site", "zas"))
     s = s.withColumn("_key", F.lower("commune_extraite"))
-    g = bounded_broadcast(gazetteer_by_commune(gazetteer))
-    out = s.join(g, "_key", "left").drop("_key")
+    out = left_join_dimension(s, gazetteer_by_commune(gazetteer), "_key").drop("_key")
     return out.withColumn("geocode_ok", F.col("latitude").isNotNull() & F.col("longitude").isNotNull())
 
 

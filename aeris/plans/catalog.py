@@ -74,6 +74,7 @@ QUERIES: dict[str, Callable[[Domain, Views], DataFrame]] = {
     "exceedance_mart": lambda d, v: d.exceedances,
     "index_distribution": lambda d, v: G.index_distribution(d.index),
     "sample_means": lambda d, v: G.sample_means(d.means),
+    "station_sub_indices": lambda d, v: G.sub_index_table(d.means),
     # --- serving ----------------------------------------------------------------------
     "serving_index": lambda d, v: v.index_serving,
     "list_stations": lambda d, v: S.list_stations(d.stations),

@@ -279,6 +279,15 @@ SELECTS: dict[str, str] = {
                count(*) FILTER (WHERE validite <> '-1') - (SELECT count(*) FROM dedup) AS duplicates_removed
         FROM typed""",
     "exceedance_mart": "SELECT * FROM depassements",
+    "station_sub_indices": """
+        SELECT code_site, date_mesure,
+               max(si) FILTER (WHERE code_polluant = 'NO2') AS sous_indice_no2,
+               max(si) FILTER (WHERE code_polluant = 'O3') AS sous_indice_o3,
+               max(si) FILTER (WHERE code_polluant = 'PM10') AS sous_indice_pm10,
+               max(si) FILTER (WHERE code_polluant = 'PM25') AS sous_indice_pm25,
+               max(si) FILTER (WHERE code_polluant = 'SO2') AS sous_indice_so2,
+               max(si) FILTER (WHERE code_polluant = 'CO') AS sous_indice_co
+        FROM subidx GROUP BY code_site, date_mesure""",
     "index_distribution": "SELECT indice_atmo, qualificatif, count(*) AS nb FROM indice GROUP BY ALL",
     "sample_means": """
         SELECT code_site, code_polluant, moyenne, minimum, maximum, nb_mesures FROM means

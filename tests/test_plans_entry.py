@@ -30,6 +30,7 @@ def test_no_python_udf_in_plans(spark, name):
 
 def test_scan_prunes_columns_and_station_join_is_broadcast(spark):
     df = E.queries()["serving_index"](spark, SF)
+    df.collect()  # AQE settles the final plan on execution
     text = df._jdf.queryExecution().executedPlan().toString()
     assert "BroadcastHashJoin" in text or "BroadcastExchange" in text
     events_scan = [ln for ln in text.splitlines() if "events.parquet" in ln or "ReadSchema" in ln]
