@@ -6,7 +6,7 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from aeris.constants import POLLUTANT_CODES, UNIT_NORMALISATION
-from aeris.functions._util import col, literal_map
+from aeris.functions._util import col, literal_map, lookup
 
 
 def trimmed_text(c: str | Column) -> Column:

@@ -6,7 +6,7 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from aeris.constants import INDEX_GRID, INDEX_LABELS, INDEX_LEVELS
-from aeris.functions._util import col, literal_map
+from aeris.functions._util import col, ident, literal_map, lookup, sql_literal
 
 
 def clamp_negative(value: str | Column = "valeur") -> Column:
@@ -20,9 +20,21 @@ def round_half_up(value: str | Column, digits: int = 2) -> Column:
     return F.round(col(value), digits)
 
 
+def sub_index_sql(mean: str = "moyenne", pollutant: str = "code_polluant") -> str:
+    m, p = ident(mean), ident(pollutant)
+    branches = []
+    for code, bounds in INDEX_GRID.items():
+        levels = " ".join(f"WHEN {m} <= {sql_literal(float(b))} THEN {lvl}" for lvl, b in enumerate(bounds, start=1))
+        branches.append(f"WHEN {p} = {sql_literal(code)} THEN CASE {levels} "
+                        f"WHEN {m} IS NOT NULL AND NOT isnan({m}) THEN {INDEX_LEVELS} END")
+    return "CAST(CASE " + " ".join(branches) + " END AS INT)"
+
+
 def sub_index(mean: str | Column = "moyenne", pollutant: str | Column = "code_polluant") -> Column:
     """Smallest level whose inclusive upper bound is not exceeded by the daily mean;
     level 6 above the last bound; NULL for an unknown pollutant or a NULL mean."""
+    if isinstance(mean, str) and isinstance(pollutant, str):
+        return F.expr(sub_index_sql(mean, pollutant))
     m, p = col(mean), col(pollutant)
     expr = None
     for code, bounds in INDEX_GRID.items():
@@ -36,4 +48,4 @@ def sub_index(mean: str | Column = "moyenne", pollutant: str | Column = "code_po
 
 def index_label(index: str | Column = "indice_atmo") -> Column:
     """Level -> label; NULL when the level is NULL."""
-    return literal_map(INDEX_LABELS)[col(index)]
+    return lookup(INDEX_LABELS, index)

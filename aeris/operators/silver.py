@@ -31,11 +31,13 @@ def day_filter(bronze: DataFrame, day: str | None) -> DataFrame:
 
 def typed(bronze: DataFrame) -> DataFrame:
     """Reading as double, start / end timestamps, measurement day."""
-    return (bronze
-            .withColumn("valeur", to_reading("valeur"))
-            .withColumn("horodatage", parse_source_timestamp("date_debut"))
-            .withColumn("horodatage_fin", parse_source_timestamp("date_fin"))
-            .withColumn("date_mesure", measurement_date("horodatage")))
+    start = parse_source_timestamp("date_debut")
+    return bronze.withColumns({
+        "valeur": to_reading("valeur"),
+        "horodatage": start,
+        "horodatage_fin": parse_source_timestamp("date_fin"),
+        "date_mesure": measurement_date(start),
+    })
 
 
 def valid_only(df: DataFrame) -> DataFrame:

@@ -19,6 +19,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from aeris.functions._util import literal_map_sql, sql_literal
 from aeris.schemas import SOURCE_COLUMNS
 
 # Binding choices (scaffolding, not domain rules).
@@ -35,45 +36,48 @@ def _pick(values: tuple[str, ...], key: Column) -> Column:
     return F.element_at(F.array(*[F.lit(v) for v in values]), (key % len(values) + 1).cast("int"))
 
 
+def _pick_sql(values: tuple[str, ...], key: str) -> str:
+    arr = ", ".join(sql_literal(v) for v in values)
+    return f"element_at(array({arr}), CAST({key} % {len(values)} + 1 AS INT))"
+
+
 def _site_name(site_id: Column) -> Column:
     return F.concat(F.lit("Supplier#"), F.lpad(site_id.cast("string"), 9, "0"))
 
 
 def bind_source_rows(events: DataFrame) -> DataFrame:
     """``events`` -> source CSV rows (23 text columns) + deterministic ``_ingested_at``."""
-    k = F.get_json_object("props", "$.k").try_cast("int")
-    hour = F.date_trunc("hour", F.col("ts"))
-    uid = F.col("user_id")
-    value_text = (F.when(k % 17 == 0, F.lit(""))
-                  .when(k % 13 == 0, (F.lit(0.0) - F.col("value")).cast("string"))
-                  .otherwise(F.col("value").cast("string")))
+    k = "TRY_CAST(get_json_object(props, '$.k') AS INT)"
+    hour = "date_trunc('hour', ts)"
+    value_text = (f"CASE WHEN {k} % 17 = 0 THEN '' WHEN {k} % 13 = 0 THEN CAST(0.0D - value AS STRING) "
+                  "ELSE CAST(value AS STRING) END")
     cols = {
-        "Date de début": F.date_format(hour, "yyyy/MM/dd HH:mm:ss"),
-        "Date de fin": F.date_format(hour + F.expr("INTERVAL 1 HOUR"), "yyyy/MM/dd HH:mm:ss"),
-        "Organisme": F.concat(F.lit("AASQA "), (uid % 13).cast("string")),
-        "code zas": F.concat(F.lit("FRZAG"), F.lpad((uid % 25).cast("string"), 2, "0")),
-        "Zas": F.concat(F.lit("ZAG NATION "), (uid % 25).cast("string")),
-        "code site": uid.cast("string"),
-        "nom site": _site_name(uid),
-        "type d'implantation": _pick(SITE_KINDS, uid),
-        "Polluant": F.create_map(*[x for kv in EVENT_LABELS.items() for x in map(F.lit, kv)])[F.col("event_type")],
-        "type d'influence": _pick(INFLUENCES, uid),
-        "discriminant": F.lit("A"),
-        "Réglementaire": F.lit("Oui"),
-        "type d'évaluation": F.lit("mesures fixes"),
-        "procédure de mesure": F.lit("auto"),
-        "type de valeur": F.lit("moyenne horaire brute"),
+        "Date de début": f"date_format({hour}, 'yyyy/MM/dd HH:mm:ss')",
+        "Date de fin": f"date_format({hour} + INTERVAL 1 HOUR, 'yyyy/MM/dd HH:mm:ss')",
+        "Organisme": "concat('AASQA ', CAST(user_id % 13 AS STRING))",
+        "code zas": "concat('FRZAG', lpad(CAST(user_id % 25 AS STRING), 2, '0'))",
+        "Zas": "concat('ZAG NATION ', CAST(user_id % 25 AS STRING))",
+        "code site": "CAST(user_id AS STRING)",
+        "nom site": "concat('Supplier#', lpad(CAST(user_id AS STRING), 9, '0'))",
+        "type d'implantation": _pick_sql(SITE_KINDS, "user_id"),
+        "Polluant": f"{literal_map_sql(EVENT_LABELS)}[event_type]",
+        "type d'influence": _pick_sql(INFLUENCES, "user_id"),
+        "discriminant": "'A'",
+        "Réglementaire": "'Oui'",
+        "type d'évaluation": "'mesures fixes'",
+        "procédure de mesure": "'auto'",
+        "type de valeur": "'moyenne horaire brute'",
         "valeur": value_text,
         "valeur brute": value_text,
-        "unité de mesure": F.when(k % 7 == 0, F.lit("µg/m3")).otherwise(F.lit("µg-m3")),
-        "taux de saisie": F.lit(""),
-        "couverture temporelle": F.lit(""),
-        "couverture de données": F.lit(""),
-        "code qualité": F.lit("A"),
-        "validité": F.when(k % 10 == 0, F.lit("-1")).when(k % 23 == 0, F.lit("")).otherwise(F.lit("1")),
+        "unité de mesure": f"CASE WHEN {k} % 7 = 0 THEN 'µg/m3' ELSE 'µg-m3' END",
+        "taux de saisie": "''",
+        "couverture temporelle": "''",
+        "couverture de données": "''",
+        "code qualité": "'A'",
+        "validité": f"CASE WHEN {k} % 10 = 0 THEN '-1' WHEN {k} % 23 = 0 THEN '' ELSE '1' END",
     }
-    return events.select(*[cols[c].alias(c) for c in SOURCE_COLUMNS],
-                         F.date_format("ts", "yyyy-MM-dd'T'HH:mm:ss.SSSSSS").alias("_ingested_at"))
+    return events.select(*[F.expr(cols[c]).alias(c) for c in SOURCE_COLUMNS],
+                         F.expr("date_format(ts, \"yyyy-MM-dd'T'HH:mm:ss.SSSSSS\")").alias("_ingested_at"))
 
 
 def _lat(s: DataFrame) -> Column:

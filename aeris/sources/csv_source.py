@@ -7,7 +7,9 @@ from collections.abc import Iterable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from aeris.functions import event_date_partition, is_regulated, normalise_unit, pollutant_code, trimmed_text
+from aeris.constants import POLLUTANT_CODES, UNIT_NORMALISATION
+from aeris.functions import event_date_partition
+from aeris.functions._util import ident, literal_map_sql, sql_literal
 from aeris.schemas import BRONZE_COLUMNS, SOURCE_SCHEMA
 
 # Bronze field <- source CSV header
@@ -49,21 +51,24 @@ def source_to_bronze(src: DataFrame, ingested_at: str | None = None) -> DataFram
     regulated pollutants (C1), map the code (B1), normalise the unit (B2), stamp
     ``_ingested_at`` (B3, ISO-8601 UTC text) and add the event-date partition ``date`` (B4).
 
-    If ``src`` already carries ``_ingested_at`` it is kept (replays stay reproducible)."""
-    label = trimmed_text("Polluant")
-    unit = trimmed_text("unité de mesure")
+    If ``src`` already carries ``_ingested_at`` it is kept (replays stay reproducible).
+    Each output column is one SQL expression (a single JVM parse per column)."""
+    def text(header: str) -> str:
+        return f"coalesce(trim({ident(header)}), '')"
+
+    label, unit = text("Polluant"), text("unité de mesure")
     if "_ingested_at" in src.columns:
-        stamp = F.col("_ingested_at")
+        stamp = "`_ingested_at`"
     elif ingested_at is not None:
-        stamp = F.lit(ingested_at)
+        stamp = sql_literal(ingested_at)
     else:
-        stamp = F.date_format(F.current_timestamp(), "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX")
-    cols = {name: trimmed_text(F.col(f"`{header}`")) for name, header in _FIELD_SOURCES.items()}
-    cols["polluant_source"] = label
-    cols["code_polluant"] = pollutant_code(label)
-    cols["unite_source"] = unit
-    cols["unite"] = normalise_unit(unit)
-    cols["_ingested_at"] = stamp
-    out = src.filter(is_regulated(F.coalesce(F.col("Polluant"), F.lit("")))).select(
-        *[cols[c].alias(c) for c in BRONZE_COLUMNS])
+        stamp = "date_format(current_timestamp(), \"yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX\")"
+    exprs = {name: text(header) for name, header in _FIELD_SOURCES.items()}
+    exprs["polluant_source"] = label
+    exprs["code_polluant"] = f"{literal_map_sql(POLLUTANT_CODES)}[{label}]"
+    exprs["unite_source"] = unit
+    exprs["unite"] = f"coalesce({literal_map_sql(UNIT_NORMALISATION)}[{unit}], {unit})"
+    exprs["_ingested_at"] = stamp
+    keep = label + " IN (" + ", ".join(sql_literal(k) for k in POLLUTANT_CODES) + ")"
+    out = src.filter(F.expr(keep)).select(*[F.expr(exprs[c]).alias(c) for c in BRONZE_COLUMNS])
     return out.withColumn("date", event_date_partition("date_debut"))
