@@ -7,6 +7,7 @@ only where the operator is a top-k or preview by definition."""
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import cached_property
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -17,6 +18,7 @@ from aeris.operators import quality as Q
 from aeris.operators import serving as S
 from aeris.operators import silver as SV
 from aeris.operators import stations as ST
+from aeris.operators.joins import materialise
 from aeris.plans.domain import Domain
 from aeris.schemas import TEXT_LIMITS
 from aeris.streaming import publish_frame
@@ -31,12 +33,14 @@ SEARCH = {"text": "supplier#00000001", "qualities": [1, 2, 3], "influence": "Fon
 class Views:
     """Serving-level views derived from a :class:`Domain`."""
 
-    def __init__(self, d: Domain):
+    def __init__(self, d: Domain, reuse_index: bool = False):
         self.d = d
+        self.reuse_index = reuse_index
 
-    @property
+    @cached_property
     def index_serving(self) -> DataFrame:
-        return S.serving_index(self.d.index, self.d.stations)
+        idx = S.serving_index(self.d.index, self.d.stations)
+        return materialise(idx) if self.reuse_index else idx
 
     @property
     def means_serving(self) -> DataFrame:
@@ -51,10 +55,11 @@ class Views:
         return A.day_stations(self.index_serving, self.d.stations)
 
 
-def _q(fn: Callable[[Domain, Views], DataFrame]) -> Callable[[SparkSession, str], DataFrame]:
+def _q(fn: Callable[[Domain, Views], DataFrame], reuse_silver: bool = False,
+       reuse_index: bool = False) -> Callable[[SparkSession, str], DataFrame]:
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-        d = Domain(spark, sf_dir)
-        return fn(d, Views(d))
+        d = Domain(spark, sf_dir, reuse=reuse_silver)
+        return fn(d, Views(d, reuse_index))
     run.__doc__ = fn.__doc__
     return run
 
@@ -154,5 +159,23 @@ QUERIES: dict[str, Callable[[Domain, Views], DataFrame]] = {
 }
 
 
+# Lineage cuts by consumer count (recomputing Silver from the raw tables costs a full scan
+# and a shuffle per consumer; a checkpoint costs one write and pruned columnar reads).
+# Plans that scan the serving index twice (the latest-day scalar subquery plus the main
+# query) materialise it, and with it Silver, which then has four consumers.
+DAY_VIEW = {
+    "day_stations", "mean_index", "count_by_pollutant", "stations_by_influence", "dominant_pollutant",
+    "station_ranking", "worst_and_best", "filter_options", "label_filter", "station_search",
+    "display_attributes", "question_routing", "city_lookup", "list_indices_latest_day",
+    "list_exceedances_latest_day",
+}
+# Plans with three or more Silver consumers (stations, marts, checks) materialise Silver only.
+MULTI_CONSUMER = {
+    "global_stats", "total_exceedances", "uniqueness_report", "referential_report", "not_null_report",
+    "text_length_report", "non_empty_report",
+}
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {name: _q(fn) for name, fn in QUERIES.items()}
+    return {name: _q(fn, reuse_silver=name in DAY_VIEW | MULTI_CONSUMER, reuse_index=name in DAY_VIEW)
+            for name, fn in QUERIES.items()}

@@ -11,15 +11,20 @@ from functools import cached_property
 from pyspark.sql import DataFrame, SparkSession
 
 from aeris.operators import gold, silver, stations
+from aeris.operators.joins import materialise
 from aeris.sources import binding
 from aeris.sources.csv_source import source_to_bronze
 
 
 class Domain:
-    def __init__(self, spark: SparkSession, sf_dir: str, day: str | None = None):
+    def __init__(self, spark: SparkSession, sf_dir: str, day: str | None = None, reuse: bool = False):
+        """``reuse``: the query consumes Silver more than once (e.g. index and stations);
+        Silver is then materialised once with a reliable checkpoint instead of being
+        recomputed from the raw tables by every consumer."""
         self.spark = spark
         self.sf_dir = sf_dir
         self.day = day
+        self.reuse = reuse
 
     def table(self, name: str) -> DataFrame:
         return binding.table(self.spark, self.sf_dir, name)
@@ -31,7 +36,8 @@ class Domain:
 
     @cached_property
     def silver(self) -> DataFrame:
-        return silver.clean_measurements(self.bronze, day=self.day, processed_at=False)
+        s = silver.clean_measurements(self.bronze, day=self.day, processed_at=False)
+        return materialise(s) if self.reuse else s
 
     @cached_property
     def means(self) -> DataFrame:

@@ -27,6 +27,8 @@ def build_session(app: str = "aeris", master: str | None = None, shuffle_partiti
     if shuffle_partitions:
         b = b.config("spark.sql.shuffle.partitions", str(shuffle_partitions))
     b = b.config("spark.ui.enabled", "false").config("spark.ui.showConsoleProgress", "false")
+    # checkpoints written to cut lineage are removed once their DataFrame is garbage-collected
+    b = b.config("spark.cleaner.referenceTracking.cleanCheckpoints", "true")
     for k, v in DEFAULTS.items():
         b = b.config(k, v)
     for k, v in (extra or {}).items():
