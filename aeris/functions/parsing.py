@@ -25,8 +25,10 @@ def to_reading(text: str | Column) -> Column:
 
 
 def parse_source_timestamp(text: str | Column, fmt: str = SOURCE_TS_FORMAT) -> Column:
-    """``yyyy/MM/dd HH:mm:ss`` -> timestamp; malformed -> NULL (never raises under ANSI)."""
-    return F.try_to_timestamp(col(text), F.lit(fmt))
+    """``yyyy/MM/dd HH:mm:ss`` -> wall-clock timestamp (TIMESTAMP_NTZ: the source gives
+    local hours without a zone, so the day never depends on the session time zone);
+    malformed -> NULL (never raises under ANSI)."""
+    return F.try_to_timestamp(col(text), F.lit(fmt)).cast("timestamp_ntz")
 
 
 def measurement_date(ts: str | Column = "horodatage") -> Column:

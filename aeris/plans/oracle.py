@@ -349,7 +349,8 @@ SELECTS: dict[str, str] = {
         WHERE code_polluant = 'NO2' AND moyenne IS NOT NULL
         ORDER BY moyenne DESC, jour DESC NULLS FIRST, code_site LIMIT 15""",
     "station_ranking": """
-        SELECT row_number() OVER (ORDER BY indice DESC, code_station) AS rang, code_station, nom, polluant, indice,
+        SELECT CAST(row_number() OVER (ORDER BY indice DESC, code_station) AS INTEGER) AS rang, code_station, nom,
+               polluant, indice,
                qualificatif
         FROM (SELECT * FROM ds WHERE indice IS NOT NULL ORDER BY indice DESC, code_station LIMIT 15)""",
     "worst_and_best": """
@@ -379,7 +380,8 @@ SELECTS: dict[str, str] = {
                coalesce(CASE indice WHEN 1 THEN '#50CCAA' WHEN 2 THEN '#50CCF0' WHEN 3 THEN '#F0E641'
                                     WHEN 4 THEN '#FF5050' WHEN 5 THEN '#960032' WHEN 6 THEN '#7D2181' END,
                         '#8A94A6') AS couleur,
-               CASE WHEN indice IS NULL THEN 5.0 ELSE 5.0 + 0.8 * least(indice, 6) END AS rayon
+               CASE WHEN indice IS NULL THEN CAST(5.0 AS DOUBLE)
+                    ELSE CAST(5.0 AS DOUBLE) + CAST(0.8 AS DOUBLE) * least(indice, 6) END AS rayon
         FROM ds""",
     "localised_labels": """
         SELECT code_site, jour, indice_atmo,
@@ -420,13 +422,13 @@ SELECTS: dict[str, str] = {
                END AS pct_stations_localisees
         FROM st_geo""",
     "uniqueness_report": """
-        SELECT 'indice_site_jour' AS regle, count(*) AS cles_dupliquees, coalesce(sum(n), 0) AS lignes
+        SELECT 'indice_site_jour' AS regle, count(*) AS cles_dupliquees, CAST(coalesce(sum(n), 0) AS BIGINT) AS lignes
         FROM (SELECT count(*) AS n FROM idx_serv GROUP BY code_site, jour HAVING count(*) > 1)
         UNION ALL
-        SELECT 'moyennes_site_polluant_jour', count(*), coalesce(sum(n), 0)
+        SELECT 'moyennes_site_polluant_jour', count(*), CAST(coalesce(sum(n), 0) AS BIGINT)
         FROM (SELECT count(*) AS n FROM means_serv GROUP BY code_site, code_polluant, jour HAVING count(*) > 1)
         UNION ALL
-        SELECT 'mesure_station_polluant_heure', count(*), coalesce(sum(n), 0)
+        SELECT 'mesure_station_polluant_heure', count(*), CAST(coalesce(sum(n), 0) AS BIGINT)
         FROM (SELECT count(*) AS n FROM silver GROUP BY code_site, code_polluant, horodatage HAVING count(*) > 1)""",
     "referential_report": """
         SELECT 'station_region' AS regle, count(*) AS orphelins FROM station_merged

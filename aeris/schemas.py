@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from pyspark.sql.types import (
-    BooleanType, DateType, DoubleType, IntegerType, LongType, StringType, StructField, StructType, TimestampType,
+    BooleanType, DateType, DoubleType, IntegerType, LongType, StringType, StructField, StructType, TimestampNTZType, TimestampType,
 )
 
 # FIXED VALUES: the 23 text columns of the daily source CSV, in file order.
@@ -36,7 +36,7 @@ SILVER_SCHEMA = StructType([
     StructField("organisme", StringType()), StructField("code_zas", StringType()),
     StructField("zas", StringType()), StructField("type_implantation", StringType()),
     StructField("type_influence", StringType()), StructField("code_polluant", StringType()),
-    StructField("horodatage", TimestampType()), StructField("horodatage_fin", TimestampType()),
+    StructField("horodatage", TimestampNTZType()), StructField("horodatage_fin", TimestampNTZType()),
     StructField("date_mesure", DateType()), StructField("valeur", DoubleType()),
     StructField("unite", StringType()), StructField("type_valeur", StringType()),
     StructField("validite", StringType()), StructField("depassement", StringType()),
