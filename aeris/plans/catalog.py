@@ -64,10 +64,6 @@ def _q(fn: Callable[[Domain, Views], DataFrame], reuse_silver: bool = False,
     return run
 
 
-def _silver_out(df: DataFrame) -> DataFrame:
-    return df
-
-
 QUERIES: dict[str, Callable[[Domain, Views], DataFrame]] = {
     # --- medallion --------------------------------------------------------------------
     "daily_index": lambda d, v: d.index,

@@ -37,6 +37,17 @@ def stream_to_bronze(messages: DataFrame, path: str, checkpoint: str, value_col:
     return w.start()
 
 
+def read_kafka(spark, servers: str, topic: str, starting_offsets: str = "earliest",
+               max_offsets_per_trigger: int | None = None) -> DataFrame:
+    """The topic as a stream (needs the Kafka connector on the classpath). Offsets are
+    tracked by the sink's checkpoint, not committed by a consumer group."""
+    r = (spark.readStream.format("kafka").option("kafka.bootstrap.servers", servers)
+         .option("subscribe", topic).option("startingOffsets", starting_offsets))
+    if max_offsets_per_trigger:
+        r = r.option("maxOffsetsPerTrigger", max_offsets_per_trigger)
+    return r.load()
+
+
 def read_message_files(spark, path: str, fmt: str = "text") -> DataFrame:
     """Streaming file source standing in for the topic: one JSON message per line."""
     return spark.readStream.format(fmt).load(path)

@@ -107,3 +107,14 @@ def test_exceedance_mart_and_distribution(spark):
     dist = {r.depassement: r.nb for r in silver.exceedance_distribution(s).collect()}
     assert dist == {"alerte": 1, "info": 1, None: 1}
     assert s.filter(F.col("_processed_at").isNotNull()).count() == 3
+
+
+def test_run_metrics_one_day_and_codes(spark):
+    from aeris.functions import is_regulated, normalise_unit, pollutant_code
+    b = bronze(spark, dict(code_site="A"), dict(code_site="B", validite="-1"),
+               dict(code_site="C", date_debut="2026/07/02 10:00:00"), dict(code_site="C", date_debut="2026/07/02 10:00:00"))
+    m = silver.run_metrics(b, day="2026-07-02").first()
+    assert (m.rows_read, m.rows_in_scope, m.rows_invalid, m.rows_written, m.duplicates_removed) == (4, 2, 0, 1, 1)
+    df = spark.createDataFrame([(" PM2.5 ", "µg-m3"), ("NO", "ppb")], "p string, u string")
+    got = df.select(is_regulated("p"), pollutant_code("p"), normalise_unit("u")).collect()
+    assert [tuple(r) for r in got] == [(True, "PM25", "ug/m3"), (False, None, "ppb")]
