@@ -21,7 +21,7 @@ RANKING_SIZE = 15
 TOP_EXPOSED = 15
 # Station side of the question lookup is broadcast below this many rows; above it the
 # exact substring equi-join is used instead.
-CITY_LOOKUP_BROADCAST_ROWS = 100_000
+CITY_LOOKUP_BROADCAST_ROWS = 5_000
 
 
 def normalise_index_records(index_like: DataFrame) -> DataFrame:

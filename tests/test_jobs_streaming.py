@@ -103,3 +103,20 @@ def test_paths_and_adapters(spark, tmp_path):
     assert read_table(spark, "t", ["nom"], root=str(tmp_path)).columns == ["nom"]
     write_documents(df, str(tmp_path / "docs"))
     assert spark.read.json(str(tmp_path / "docs")).first()._id == "1"
+
+
+def test_partitioned_write_spreads_a_day(spark, tmp_path):
+    from aeris.sources import write_partitioned
+    df = spark.range(4000).selectExpr("CAST(id AS STRING) AS code_site", "DATE'2026-07-01' AS date_mesure",
+                                      "CAST(id AS DOUBLE) AS valeur")
+    out = str(tmp_path / "w")
+    # AQE would merge these tiny shuffle partitions; at scale each (day, bucket) exceeds the
+    # advisory size and stays separate - switch merging off to observe the spread here.
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        write_partitioned(df, out, files_per_partition=4)
+    finally:
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "true")
+    files = [f for f in os.listdir(os.path.join(out, "date_mesure=2026-07-01")) if f.endswith(".parquet")]
+    assert 1 < len(files) <= 4
+    assert spark.read.parquet(out).count() == 4000
