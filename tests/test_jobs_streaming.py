@@ -120,3 +120,17 @@ def test_partitioned_write_spreads_a_day(spark, tmp_path):
     files = [f for f in os.listdir(os.path.join(out, "date_mesure=2026-07-01")) if f.endswith(".parquet")]
     assert 1 < len(files) <= 4
     assert spark.read.parquet(out).count() == 4000
+
+
+def test_day_filter_prunes_partitions(spark, tmp_path):
+    bronze, silver = str(tmp_path / "b"), str(tmp_path / "s")
+    write_bronze(bronze, [record("2026-07-01"), record("2026-07-02", site="S2")])
+    jobs.bronze_to_silver(spark, bronze, silver)
+    df = spark.read.parquet(silver).filter(F.col("date_mesure") == F.lit("2026-07-02").cast("date"))
+    text = df._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [isnotnull(date_mesure" in text and "2026-07-02" in text.split("PartitionFilters")[1]
+    assert [r.code_site for r in df.select("code_site").collect()] == ["S2"]
+    # the Bronze reader prunes its date= directories the same way
+    b = jobs.read_bronze_json(spark, bronze, day="2026-07-02")
+    assert "PartitionFilters" in b._jdf.queryExecution().executedPlan().toString()
+    assert b.count() == 1
