@@ -12,6 +12,8 @@ choose by itself: non-equi joins, on an already materialised side.
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -26,10 +28,17 @@ def left_join_dimension(fact: DataFrame, dim: DataFrame, on: str | list[str]) ->
 
 
 def materialise(df: DataFrame) -> DataFrame:
-    """Cut the lineage of a small derived table: a reliable checkpoint written to the shared
-    folder named by ``spark.checkpoint.dir`` (it survives executor loss)."""
-    checkpoint_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
+    """Cut the lineage of a derived table that several consumers read: write it once as
+    Parquet into a fresh folder under the shared ``spark.checkpoint.dir`` and read it back.
+
+    One job computes and writes it (a reliable RDD checkpoint would compute the plan twice
+    and store rows); consumers then get columnar reads with pruning, pushdown and size
+    statistics, and the files survive executor loss. The folder is per call and never
+    overwritten; removing it is the caller's housekeeping."""
+    spark = df.sparkSession
+    path = f"{checkpoint_dir(spark).rstrip('/')}/aeris-{uuid.uuid4().hex}"
+    df.write.mode("errorifexists").parquet(path)
+    return spark.read.parquet(path)
 
 
 def bounded_broadcast(df: DataFrame, max_rows: int = DEFAULT_BROADCAST_ROWS) -> tuple[DataFrame, bool]:

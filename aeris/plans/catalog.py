@@ -20,6 +20,7 @@ from aeris.operators import silver as SV
 from aeris.operators import stations as ST
 from aeris.operators.joins import materialise
 from aeris.plans.domain import Domain
+from aeris.session import worth_materialising
 from aeris.schemas import TEXT_LIMITS
 from aeris.streaming import publish_frame
 
@@ -58,8 +59,9 @@ class Views:
 def _q(fn: Callable[[Domain, Views], DataFrame], reuse_silver: bool = False,
        reuse_index: bool = False) -> Callable[[SparkSession, str], DataFrame]:
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-        d = Domain(spark, sf_dir, reuse=reuse_silver)
-        return fn(d, Views(d, reuse_index))
+        big = (reuse_silver or reuse_index) and worth_materialising(spark, f"{sf_dir.rstrip('/')}/events.parquet")
+        d = Domain(spark, sf_dir, reuse=reuse_silver and big)
+        return fn(d, Views(d, reuse_index and big))
     run.__doc__ = fn.__doc__
     return run
 
@@ -156,7 +158,8 @@ QUERIES: dict[str, Callable[[Domain, Views], DataFrame]] = {
 
 
 # Lineage cuts by consumer count (recomputing Silver from the raw tables costs a full scan
-# and a shuffle per consumer; a checkpoint costs one write and pruned columnar reads).
+# and a shuffle per consumer; materialising costs one write and pruned columnar reads).
+# Applied when the raw input is large enough for that to pay (``worth_materialising``).
 # Plans that scan the serving index twice (the latest-day scalar subquery plus the main
 # query) materialise it, and with it Silver, which then has four consumers.
 DAY_VIEW = {

@@ -40,3 +40,21 @@ def test_scan_prunes_columns_and_station_join_is_broadcast(spark):
 def test_dedup_uses_partial_group_limit(spark):
     text = E.queries()["silver_measurements"](spark, SF)._jdf.queryExecution().executedPlan().toString()
     assert "WindowGroupLimit" in text
+
+
+def test_materialisation_policy(spark):
+    from aeris.plans.catalog import Views
+    from aeris.plans.domain import Domain
+    from aeris.session import MATERIALISE_MIN_BYTES_CONF, worth_materialising
+    assert not worth_materialising(spark, f"{SF}/events.parquet")   # small input: one plan
+    spark.conf.set(MATERIALISE_MIN_BYTES_CONF, "0")
+    try:
+        assert worth_materialising(spark, f"{SF}/events.parquet")
+        d = Domain(spark, SF, reuse=True)
+        v = Views(d, reuse_index=True)
+        ds = E.queries()["day_stations"](spark, SF)
+        assert "aeris-" in " ".join(ds.inputFiles())                 # reads the materialised tables
+        assert ds.count() == __import__("aeris.operators.analytics", fromlist=["x"]).day_stations(
+            v.index_serving, d.stations).count()
+    finally:
+        spark.conf.unset(MATERIALISE_MIN_BYTES_CONF)
