@@ -45,17 +45,19 @@ def normalise_index_records(index_like: DataFrame) -> DataFrame:
         (F.coalesce(*[F.col(n) for n in ind]) if ind else F.lit(None)).cast("int").alias("indice"),
         val(("qualificatif",)).alias("qualificatif"),
         val(("polluant_resp", "polluant")).alias("polluant"),
-        F.col("latitude"), F.col("longitude"), F.col("jour"))
+        F.col("latitude"), F.col("longitude"), F.col("jour"),
+        *[F.col(c) for c in ("_ts", "_ti") if c in cols])
 
 
 def latest_day(index_serving: DataFrame):
     return index_serving.select(F.max("jour")).scalar()
 
 
-def day_stations(index_serving: DataFrame, stations: DataFrame, day: str | None = None) -> DataFrame:
+def day_stations(index_serving: DataFrame, stations: DataFrame, day: str | None = None,
+                 day_col=None) -> DataFrame:
     """The located station indices of one day, with station type and influence from
     the station table (missing or empty -> the placeholder mark)."""
-    d = F.lit(day).cast("date") if day else latest_day(index_serving)
+    d = day_col if day_col is not None else (F.lit(day).cast("date") if day else latest_day(index_serving))
     idx = normalise_index_records(located(index_serving).filter(F.col("jour") == d))
     idx = idx.filter(F.col("latitude").isNotNull() & F.col("longitude").isNotNull())
     meta = stations.select("code_station", F.col("type_station").alias("_ts"), F.col("type_influence").alias("_ti"))
@@ -64,6 +66,38 @@ def day_stations(index_serving: DataFrame, stations: DataFrame, day: str | None
                     missing_as_mark("_ti").alias("type_influence"))
 
 
+def latest_measurement_day(silver: DataFrame):
+    """The latest day with measurements, as a scalar subquery over Silver. Every dated
+    Silver row yields a daily mean and an index row, so this equals the latest index day
+    while reading a single, earlier plan."""
+    return silver.select(F.max("date_mesure")).scalar()
+
+
+def day_view(index: DataFrame, stations: DataFrame, day=None) -> DataFrame:
+    """D2 in one join: the day's station indices with coordinates *and* type / influence
+    taken from a single left join to the station table (codes are unique there), instead
+    of one join for the serving table and another for the attributes. Same rows and
+    columns as :func:`day_stations` over the serving tables.
+
+    ``day``: a date string, a Column (e.g. :func:`latest_measurement_day`) or None for the
+    latest index day."""
+    if day is None:
+        d = index.select(F.max("date_mesure")).scalar()
+    elif isinstance(day, str):
+        d = F.lit(day).cast("date")
+    else:
+        d = day
+    st = stations.select(F.col("code_station").alias("code_site"), "latitude", "longitude",
+                         F.col("type_station").alias("_ts"), F.col("type_influence").alias("_ti"))
+    j = left_join_dimension(index.filter(F.col("date_mesure") == d).withColumnRenamed("date_mesure", "jour"),
+                            st, "code_site")
+    j = j.filter(F.col("latitude").isNotNull() & F.col("longitude").isNotNull())
+    idx = normalise_index_records(j)
+    base = [c for c in idx.columns if c not in ("_ts", "_ti")]
+    return idx.select(*base, missing_as_mark(F.col("_ts")).alias("type_station"),
+                      missing_as_mark(F.col("_ti")).alias("type_influence"))
+
+
 def with_display(ds: DataFrame) -> DataFrame:
     """Colour and marker radius per station."""
     return ds.select("code_station", "indice", index_colour("indice").alias("couleur"),

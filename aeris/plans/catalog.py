@@ -51,9 +51,15 @@ class Views:
     def exc_serving(self) -> DataFrame:
         return S.serving_exceedances(self.d.exceedances)
 
-    @property
+    @cached_property
+    def latest(self):
+        return A.latest_measurement_day(self.d.silver)
+
+    @cached_property
     def ds(self) -> DataFrame:
-        return A.day_stations(self.index_serving, self.d.stations)
+        if self.reuse_index:
+            return A.day_stations(self.index_serving, self.d.stations, day_col=self.latest)
+        return A.day_view(self.d.index, self.d.stations, day=self.latest)
 
 
 def _q(fn: Callable[[Domain, Views], DataFrame], reuse_silver: bool = False,
@@ -82,13 +88,11 @@ QUERIES: dict[str, Callable[[Domain, Views], DataFrame]] = {
     "serving_index": lambda d, v: v.index_serving,
     "list_stations": lambda d, v: S.list_stations(d.stations),
     "list_indices_all_days": lambda d, v: S.list_indices(v.index_serving),
-    "list_indices_latest_day": lambda d, v: S.list_indices(v.index_serving).filter(
-        F.col("jour") == A.latest_day(v.index_serving)),
+    "list_indices_latest_day": lambda d, v: S.list_indices(v.index_serving).filter(F.col("jour") == v.latest),
     "list_means_pollutant": lambda d, v: S.list_means(v.means_serving, pollutant=POLLUTANT),
     "list_means_all": lambda d, v: S.list_means(v.means_serving),
     "list_exceedances": lambda d, v: S.list_exceedances(v.exc_serving),
-    "list_exceedances_latest_day": lambda d, v: S.list_exceedances(v.exc_serving).filter(
-        F.col("jour") == A.latest_day(v.index_serving)),
+    "list_exceedances_latest_day": lambda d, v: S.list_exceedances(v.exc_serving).filter(F.col("jour") == v.latest),
     "global_stats": lambda d, v: S.global_stats(d.stations, v.index_serving, v.exc_serving),
     "label_distribution": lambda d, v: S.label_distribution(v.index_serving),
     # --- analytics --------------------------------------------------------------------
