@@ -28,6 +28,7 @@ from aeris.streaming import publish_frame
 POLLUTANT = "NO2"
 LABEL = "Moyen"
 LANG = "en"
+DAY = "2024-01-15"
 SEARCH = {"text": "supplier#00000001", "qualities": [1, 2, 3], "influence": "Fond"}
 
 
@@ -78,6 +79,7 @@ QUERIES: dict[str, Callable[[Domain, Views], DataFrame]] = {
     "daily_means": lambda d, v: d.means,
     "bronze_records": lambda d, v: d.bronze,
     "silver_measurements": lambda d, v: d.silver,
+    "silver_one_day": lambda d, v: SV.clean_measurements(d.bronze, day=DAY, processed_at=False),
     "exceedance_distribution": lambda d, v: SV.exceedance_distribution(d.silver),
     "silver_run_metrics": lambda d, v: SV.run_metrics(d.bronze),
     "exceedance_mart": lambda d, v: d.exceedances,

@@ -270,6 +270,7 @@ SELECTS: dict[str, str] = {
     "daily_means": "SELECT * FROM means",
     "bronze_records": "SELECT * FROM bronze",
     "silver_measurements": "SELECT * FROM silver",
+    "silver_one_day": "SELECT * FROM silver WHERE starts_with(strftime(horodatage, '%Y/%m/%d'), '2024/01/15')",
     "exceedance_distribution": "SELECT depassement, count(*) AS nb FROM silver GROUP BY depassement",
     "silver_run_metrics": """
         SELECT count(*) AS rows_read, count(*) AS rows_in_scope,
