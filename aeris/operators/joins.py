@@ -36,7 +36,10 @@ def materialise(df: DataFrame) -> DataFrame:
     statistics, and the files survive executor loss. The folder is per call and never
     overwritten; removing it is the caller's housekeeping."""
     spark = df.sparkSession
-    path = f"{checkpoint_dir(spark).rstrip('/')}/aeris-{uuid.uuid4().hex}"
+    folder = checkpoint_dir(spark)
+    if not folder:
+        return df  # no shared folder known: keep the lineage (recomputation stays correct)
+    path = f"{folder.rstrip('/')}/aeris-{uuid.uuid4().hex}"
     df.write.mode("errorifexists").parquet(path)
     return spark.read.parquet(path)
 

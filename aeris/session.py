@@ -46,12 +46,15 @@ def apply_defaults(spark: SparkSession) -> SparkSession:
     return spark
 
 
-def checkpoint_dir(spark: SparkSession) -> str:
+def checkpoint_dir(spark: SparkSession) -> str | None:
     """The shared checkpoint folder the cluster names in ``spark.checkpoint.dir``.
 
     Only when the session has none (local tests) is a fresh directory created and
     registered; on a cluster the configured shared folder is always used."""
-    sc = spark.sparkContext
+    try:
+        sc = spark.sparkContext
+    except Exception:  # noqa: BLE001  (sessions without a SparkContext handle)
+        return spark.conf.get("spark.checkpoint.dir", None)
     d = sc.getCheckpointDir() or sc.getConf().get("spark.checkpoint.dir", None)
     if not d:
         d = tempfile.mkdtemp(prefix="aeris-ckpt-", dir=os.environ.get("AERIS_LOCAL_TMP", "/tmp"))
@@ -78,7 +81,7 @@ def path_bytes(spark: SparkSession, path: str) -> int | None:
 def worth_materialising(spark: SparkSession, input_path: str) -> bool:
     """Materialise an intermediate with several consumers only when recomputing it costs
     more than writing it once: the raw input is at least ``spark.aeris.materialise.minInputBytes``
-    (default 256 MB). Unknown sizes count as large."""
+    (default 256 MB). When the size cannot be read the query stays one plan."""
     limit = int(spark.conf.get(MATERIALISE_MIN_BYTES_CONF, str(MATERIALISE_MIN_BYTES_DEFAULT)))
     size = path_bytes(spark, input_path)
-    return size is None or size >= limit
+    return size is not None and size >= limit
