@@ -6,7 +6,7 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from aeris.constants import COMPOUND_PREFIXES, NOISE_WORDS, NON_COMMUNE_PATTERN, ZONE_PREFIXES
-from aeris.functions._util import col
+from aeris.functions._util import col, ident, sql_literal
 
 
 def _strip(c: Column) -> Column:
@@ -23,8 +23,42 @@ def title_case(text: str | Column) -> Column:
         "")
 
 
+def _title_sql(text_sql: str) -> str:
+    chars = f"split({text_sql}, '')"
+    letter = sql_literal(r"^\p{L}$")
+    return (f"array_join(transform({chars}, (ch, i) -> CASE WHEN i = 0 OR NOT "
+            f"element_at({chars}, i) RLIKE {letter} THEN upper(ch) ELSE lower(ch) END), '')")
+
+
+def _zone_sql(zone_sql: str) -> str:
+    z = f"coalesce({zone_sql}, '')"
+    for prefix in ZONE_PREFIXES:
+        z = f"replace({z}, {sql_literal(prefix)}, '')"
+    return _title_sql(f"regexp_replace({z}, {sql_literal(r'^\s+|\s+$')}, '')")
+
+
+def _commune_sql(name_sql: str, zone_sql: str) -> str:
+    toks = (f"filter(split(translate(coalesce({name_sql}, ''), '_-', '  '), {sql_literal(r'\s+')}), "
+            f"t -> t != '')")
+    first = f"element_at({toks}, 1)"
+    noise = "array(" + ", ".join(sql_literal(w) for w in NOISE_WORDS) + ")"
+    rest = f"slice({toks}, 2, greatest(size({toks}) - 1, 0))"
+    stop = f"array_position(transform({rest}, t -> array_contains({noise}, lower(t))), true)"
+    keep = f"CAST(CASE WHEN {stop} = 0 THEN size({rest}) ELSE {stop} - 1 END AS INT)"
+    compound = f"array_join(concat(array({first}), slice({rest}, 1, {keep})), ' ')"
+    zone = _zone_sql(zone_sql)
+    prefixes = ", ".join(sql_literal(p) for p in COMPOUND_PREFIXES)
+    pattern = sql_literal("(?i)" + NON_COMMUNE_PATTERN)
+    return (f"CASE WHEN size({toks}) = 0 THEN {zone} "
+            f"WHEN {first} RLIKE {pattern} OR array_contains({noise}, lower({first})) THEN {zone} "
+            f"WHEN lower({first}) IN ({prefixes}) AND size({toks}) > 1 THEN {compound} "
+            f"ELSE {first} END")
+
+
 def clean_zone_name(zone: str | Column) -> Column:
     """Remove the zone prefixes (in order, anywhere), strip, title-case."""
+    if isinstance(zone, str):
+        return F.expr(_zone_sql(ident(zone)))
     z = F.coalesce(col(zone), F.lit(""))
     for prefix in ZONE_PREFIXES:
         z = F.replace(z, F.lit(prefix), F.lit(""))
@@ -38,6 +72,8 @@ def commune_from_name(site_name: str | Column, zone: str | Column) -> Column:
     noise word in first position falls back to the cleaned zone name; a compound prefix
     (St, Saint, Le, ...) keeps the following words up to the first noise word; otherwise
     the first word is the commune. An empty name falls back to the zone."""
+    if isinstance(site_name, str) and isinstance(zone, str):
+        return F.expr(_commune_sql(ident(site_name), ident(zone)))
     name = F.translate(F.coalesce(col(site_name), F.lit("")), "_-", "  ")
     tokens = F.filter(F.split(name, r"\s+"), lambda t: t != "")
     first = F.element_at(tokens, 1)
