@@ -1,0 +1,62 @@
+"""The name-based (single SQL expression) and Column-based builders must agree; display
+attributes (B17-B19) on small fixtures."""
+
+from pyspark.sql import functions as F
+
+from aeris.functions import (
+    clean_zone_name, commune_from_name, exceedance_class, first_non_empty, index_colour, localised_label,
+    marker_radius, question_intent, sub_index,
+)
+from tests.test_reference_geocoding import CASES
+
+
+def both(df, fn, *names):
+    a = [r[0] for r in df.select(fn(*names)).collect()]
+    b = [r[0] for r in df.select(fn(*[F.col(n) for n in names])).collect()]
+    return a, b
+
+
+def test_index_and_threshold_paths_agree(spark):
+    rows = [(p, v) for p in ("NO2", "O3", "PM10", "PM25", "SO2", "CO", "XX")
+            for v in (None, -1.0, 0.0, 20.0, 40.0, 50.0, 80.0, 100.0, 180.0, 200.0, 240.0, 400.0, 500.0, 1e6)]
+    df = spark.createDataFrame(rows, "code_polluant string, moyenne double").withColumn("valeur", F.col("moyenne"))
+    a, b = both(df, sub_index, "moyenne", "code_polluant")
+    assert a == b
+    a, b = both(df, exceedance_class, "valeur", "code_polluant")
+    assert a == b and a.count("alerte") == 17 and a.count("info") == 6
+
+
+def test_intent_paths_agree(spark):
+    qs = ["Combien de stations ?", "how many stations", "alerte", "Überschreitung", "la plus polluée",
+          "best place", "polluant", "qualité", "hi there", "help me", "rien du tout", None, "STATION COMBIEN"]
+    df = spark.createDataFrame([(q,) for q in qs], "question string")
+    for avail in (True, False):
+        a = [r[0] for r in df.select(question_intent("question", avail)).collect()]
+        b = [r[0] for r in df.select(question_intent(F.col("question"), avail)).collect()]
+        assert a == b
+    a = [r[0] for r in df.select(question_intent("question", False)).collect()]
+    assert a[5] is None and a[6] is None      # best / pollutant need an index
+    assert a[0] == "count" and a[12] == "count" and a[11] is None
+
+
+def test_commune_paths_agree(spark):
+    extra = [("Saint-Etienne Sud", "ZAR ST ETIENNE"), ("le  havre centre", "ZA LE HAVRE"), (None, None),
+             ("RD934 X", "ZAG  AIX-EN-PROVENCE ")]
+    df = spark.createDataFrame([(a, b) for a, b, _ in CASES] + extra, "nom_site string, zas string")
+    a, b = both(df, commune_from_name, "nom_site", "zas")
+    assert a == b
+    assert a[-4:] == ["Saint Etienne", "le havre", "", "Aix-En-Provence"]
+    a, b = both(df, clean_zone_name, "zas")
+    assert a == b
+
+
+def test_display_attributes(spark):
+    df = spark.createDataFrame([(1, ""), (6, "x"), (None, None), (9, "y")], "indice_atmo int, nom string")
+    rows = df.select(index_colour("indice_atmo"), marker_radius("indice_atmo"),
+                     localised_label("indice_atmo", F.lit("de")), localised_label("indice_atmo", F.lit("??")),
+                     first_non_empty("nom", default="Station")).collect()
+    assert [r[0] for r in rows] == ["#50CCAA", "#7D2181", "#8A94A6", "#8A94A6"]
+    assert [r[1] for r in rows] == [5.8, 5.0 + 0.8 * 6, 5.0, 5.0 + 0.8 * 6]
+    assert [r[2] for r in rows] == ["Gut", "Extrem schlecht", "Nicht gemessen", "Nicht gemessen"]
+    assert rows[0][3] == "Bon"                 # unknown language falls back to French
+    assert [r[4] for r in rows] == ["Station", "x", "Station", "y"]
