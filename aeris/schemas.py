@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from pyspark.sql.types import (
-    BooleanType, DateType, DoubleType, IntegerType, LongType, StringType, StructField, StructType, TimestampNTZType, TimestampType,
+    DateType, DoubleType, StringType, StructField, StructType, TimestampNTZType, TimestampType,
 )
 
 # FIXED VALUES: the 23 text columns of the daily source CSV, in file order.
@@ -77,7 +77,3 @@ TEXT_LIMITS: dict[str, dict[str, int]] = {
     "depassements": {"code_site": 20, "nom_site": 200, "code_polluant": 10, "unite": 20, "depassement": 10},
     "station": {"code_station": 20, "nom": 200, "code_region": 3, "type_station": 40, "type_influence": 40},
 }
-
-__all__ = [n for n in dir() if n.isupper()] + [
-    "BooleanType", "IntegerType", "LongType",
-]
