@@ -66,11 +66,13 @@ def day_stations(index_serving: DataFrame, stations: DataFrame, day: str | None
                     missing_as_mark("_ti").alias("type_influence"))
 
 
-def latest_measurement_day(silver: DataFrame):
-    """The latest day with measurements, as a scalar subquery over Silver. Every dated
-    Silver row yields a daily mean and an index row, so this equals the latest index day
-    while reading a single, earlier plan."""
-    return silver.select(F.max("date_mesure")).scalar()
+def latest_measurement_day(measurements: DataFrame):
+    """The latest day with measurements, as a scalar subquery. Every dated Silver row
+    yields a daily mean and an index row, so this equals the latest index day. The
+    deduplication keeps a survivor for every (site, pollutant, hour) and the day is a
+    function of the hour, so valid rows *before* deduplication give the same maximum:
+    pass them to skip the dedup shuffle (a scan with a partial ``max``)."""
+    return measurements.select(F.max("date_mesure")).scalar()
 
 
 def day_view(index: DataFrame, stations: DataFrame, day=None) -> DataFrame:

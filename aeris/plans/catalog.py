@@ -54,7 +54,7 @@ class Views:
 
     @cached_property
     def latest(self):
-        return A.latest_measurement_day(self.d.silver)
+        return A.latest_measurement_day(self.d.silver if self.d.reuse else self.d.valid_readings)
 
     @cached_property
     def ds(self) -> DataFrame:

@@ -39,6 +39,11 @@ class Domain:
         s = silver.clean_measurements(self.bronze, day=self.day, processed_at=False)
         return materialise(s) if self.reuse else s
 
+    @cached_property
+    def valid_readings(self) -> DataFrame:
+        """Typed, valid Bronze rows before deduplication (same days as Silver)."""
+        return silver.valid_only(silver.typed(silver.day_filter(self.bronze, self.day)))
+
     @cached_property
     def means(self) -> DataFrame:
         return gold.daily_means(self.silver)

@@ -46,8 +46,11 @@ def _site_name(site_id: Column) -> Column:
 
 
 def bind_source_rows(events: DataFrame) -> DataFrame:
-    """``events`` -> source CSV rows (23 text columns) + deterministic ``_ingested_at``."""
-    k = "TRY_CAST(get_json_object(props, '$.k') AS INT)"
+    """``events`` -> source CSV rows (23 text columns) + deterministic ``_ingested_at``.
+    ``k`` is parsed from the JSON once per row, in its own projection."""
+    events = events.select("ts", "user_id", "event_type", "value",
+                           F.expr("TRY_CAST(get_json_object(props, '$.k') AS INT)").alias("_k"))
+    k = "_k"
     hour = "date_trunc('hour', ts)"
     value_text = (f"CASE WHEN {k} % 17 = 0 THEN '' WHEN {k} % 13 = 0 THEN CAST(0.0D - value AS STRING) "
                   "ELSE CAST(value AS STRING) END")
