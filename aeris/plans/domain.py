@@ -19,7 +19,7 @@ from aeris.sources.csv_source import source_to_bronze
 class Domain:
     def __init__(self, spark: SparkSession, sf_dir: str, day: str | None = None, reuse: bool = False):
         """``reuse``: the query consumes Silver more than once (e.g. index and stations);
-        Silver is then materialised once with a reliable checkpoint instead of being
+        Silver is then materialised once (Parquet under spark.checkpoint.dir) instead of being
         recomputed from the raw tables by every consumer."""
         self.spark = spark
         self.sf_dir = sf_dir
