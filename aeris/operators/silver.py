@@ -61,9 +61,18 @@ def with_exceedance(df: DataFrame) -> DataFrame:
     return df.withColumn("depassement", exceedance_class("valeur", "code_polluant"))
 
 
-def clean_measurements(bronze: DataFrame, day: str | None = None, processed_at: bool = True) -> DataFrame:
-    """Bronze records -> Silver measurements."""
-    df = deduplicate(valid_only(typed(day_filter(bronze, day))))
+def clean_measurements(bronze: DataFrame, day: str | None = None, processed_at: bool = True,
+                       observe_input=None) -> DataFrame:
+    """Bronze records -> Silver measurements.
+
+    ``observe_input``: an ``Observation`` that collects, during the same job, the rows in
+    scope and the invalid / valid counts before deduplication (E15 without extra passes)."""
+    t = typed(day_filter(bronze, day))
+    if observe_input is not None:
+        t = t.observe(observe_input, F.count(F.lit(1)).alias("rows_in_scope"),
+                      F.count_if(F.col("validite") == "-1").alias("rows_invalid"),
+                      F.count_if(F.col("validite") != "-1").alias("rows_valid"))
+    df = deduplicate(valid_only(t))
     df = with_exceedance(df).select(*SILVER_COLUMNS)
     return df.withColumn("_processed_at", F.current_timestamp()) if processed_at else df
 

@@ -27,16 +27,19 @@ def _overwrite_mode(day: str | None, overwrite: str | None) -> bool:
 
 def bronze_to_silver(spark: SparkSession, bronze_path: str, silver_path: str, day: str | None = None,
                      overwrite: str | None = None) -> dict:
-    """Clean one day (or everything) and write Silver; returns the run metrics, observed on
-    the write itself (no extra pass over Bronze)."""
+    """Clean one day (or everything) and write Silver; returns the run metrics (E15: rows in
+    scope, invalid, valid, duplicates removed, written, exceedance counts), all observed
+    during the write job itself - no extra pass over Bronze."""
     bronze = read_bronze_json(spark, bronze_path, day)
-    out = silver.clean_measurements(bronze, day=day)
-    obs = Observation("silver")
-    out = out.observe(obs, F.count(F.lit(1)).alias("rows_written"),
+    obs_in, obs_out = Observation("bronze_in"), Observation("silver_out")
+    out = silver.clean_measurements(bronze, day=day, observe_input=obs_in)
+    out = out.observe(obs_out, F.count(F.lit(1)).alias("rows_written"),
                       F.count_if(F.col("depassement") == "alerte").alias("alerte"),
                       F.count_if(F.col("depassement") == "info").alias("info"))
     write_partitioned(out, silver_path, "date_mesure", dynamic=_overwrite_mode(day, overwrite))
-    return dict(obs.get)
+    metrics = {**obs_in.get, **obs_out.get}
+    metrics["duplicates_removed"] = metrics["rows_valid"] - metrics["rows_written"]
+    return metrics
 
 
 def silver_to_gold(spark: SparkSession, silver_path: str, gold_path: str, day: str | None = None,

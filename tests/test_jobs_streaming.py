@@ -31,10 +31,12 @@ def write_bronze(root, records):
 
 def test_overwrite_modes(spark, tmp_path):
     bronze, out_dyn, out_static = str(tmp_path / "bronze"), str(tmp_path / "s_dyn"), str(tmp_path / "s_static")
-    write_bronze(bronze, [record("2026-07-01"), record("2026-07-02")])
+    write_bronze(bronze, [record("2026-07-01"), record("2026-07-02"), record("2026-07-02"),
+                          dict(record("2026-07-02", site="BAD"), validite="-1")])
     for out in (out_dyn, out_static):
         m = jobs.bronze_to_silver(spark, bronze, out)
-        assert m["rows_written"] == 2
+        assert (m["rows_in_scope"], m["rows_invalid"], m["rows_valid"], m["rows_written"],
+                m["duplicates_removed"]) == (4, 1, 3, 2, 1)
     jobs.bronze_to_silver(spark, bronze, out_dyn, day="2026-07-02")                       # dynamic default
     jobs.bronze_to_silver(spark, bronze, out_static, day="2026-07-02", overwrite="static")
     assert spark.read.parquet(out_dyn).count() == 2
