@@ -7,12 +7,15 @@ deduplication."""
 
 from __future__ import annotations
 
+import hashlib
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from aeris.functions import event_date_partition
 from aeris.schemas import BRONZE_SCHEMA
+from aeris.session import checkpoint_dir
 
 MAX_RECORDS_PER_FILE = 2000
 
@@ -26,9 +29,18 @@ def parse_messages(messages: DataFrame, value_col: str = "value") -> DataFrame:
     return rec.withColumn("date", event_date_partition(F.coalesce(F.col("date_debut"), F.lit(""))))
 
 
-def stream_to_bronze(messages: DataFrame, path: str, checkpoint: str, value_col: str = "value",
+def stream_to_bronze(messages: DataFrame, path: str, checkpoint: str | None = None, value_col: str = "value",
                      max_records_per_file: int = MAX_RECORDS_PER_FILE, available_now: bool = True) -> StreamingQuery:
-    """Start the Bronze sink; returns the running query (``awaitTermination`` for batch-like use)."""
+    """Start the Bronze sink; returns the running query (``awaitTermination`` for batch-like use).
+
+    Without an explicit ``checkpoint`` the query state lives under the shared
+    ``spark.checkpoint.dir`` in a folder derived from the sink path, so a restart of the
+    same sink resumes from its committed offsets."""
+    if checkpoint is None:
+        folder = checkpoint_dir(messages.sparkSession)
+        if not folder:
+            raise ValueError("no checkpoint location: pass one or set spark.checkpoint.dir")
+        checkpoint = f"{folder.rstrip('/')}/bronze-sink-{hashlib.sha1(path.encode()).hexdigest()[:16]}"
     w = (parse_messages(messages, value_col).writeStream.format("json")
          .option("path", path).option("checkpointLocation", checkpoint)
          .option("maxRecordsPerFile", max_records_per_file)

@@ -136,3 +136,13 @@ def test_day_filter_prunes_partitions(spark, tmp_path):
     b = jobs.read_bronze_json(spark, bronze, day="2026-07-02")
     assert "PartitionFilters" in b._jdf.queryExecution().executedPlan().toString()
     assert b.count() == 1
+
+
+def test_stream_default_checkpoint_resumes(spark, tmp_path):
+    src, out = tmp_path / "m", str(tmp_path / "bronze_default")
+    src.mkdir()
+    (src / "a.txt").write_text(json.dumps(record("2026-07-01")) + "\n")
+    stream_to_bronze(read_message_files(spark, str(src)), out).awaitTermination(120)
+    (src / "b.txt").write_text(json.dumps(record("2026-07-01", site="S9")) + "\n")
+    stream_to_bronze(read_message_files(spark, str(src)), out).awaitTermination(120)
+    assert spark.read.json(out).count() == 2          # the second run read only the new file
