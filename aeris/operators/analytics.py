@@ -261,24 +261,25 @@ def city_lookup(questions: DataFrame, ds: DataFrame, text_col: str = "question",
     """For each question, the first station (view order) whose first name word occurs
     in the lower-cased text. Questions without a match are absent.
 
-    A station set proven small is broadcast and matched with ``contains`` (a broadcast
-    non-equi join; the large question side never shuffles). Above the bound the exact
-    equivalent is an equi-join on (word length, substring): every substring of a question
-    with a candidate word length is emitted and joined on equality - linear in the text."""
+    Exact and linear in the text, without evaluating (question, station) pairs: every
+    candidate word has at least ``CITY_WORD_MIN_LENGTH`` characters, so it is keyed by its
+    first q characters; every position of a question emits its q-gram and the slice of
+    text needed to verify the longest candidate; an equi-join on the q-gram followed by a
+    prefix check finds exactly the occurrences ``contains`` would. The candidate side is
+    broadcast when its row count is proven small, and shuffled with the positions beyond."""
+    q_len = CITY_WORD_MIN_LENGTH
     table = lookup if lookup is not None else station_lookup_table(ds)
-    cand = table.filter("eligible").select("code_station", "nom", "mot", "_rank")
+    cand = table.filter("eligible").select("code_station", "nom", "mot", "_rank",
+                                           F.substring("mot", 1, q_len).alias("_g"))
+    max_len = cand.select(F.max(F.length("mot"))).scalar()
     q = questions.select(*key_cols, F.lower(F.coalesce(F.col(text_col), F.lit(""))).alias("_q"))
-    small, is_small = bounded_broadcast(cand, broadcast_rows)
-    if is_small:
-        m = q.join(small, F.col("_q").contains(F.col("mot")), "inner")
-    else:
-        lengths = cand.select(F.length("mot").alias("_len")).distinct()
-        lengths, _ = bounded_broadcast(lengths, 100_000)
-        subs = (q.join(lengths, F.length("_q") >= F.col("_len"))
-                .select(*key_cols, "_len", "_q",
-                        F.explode(F.sequence(F.lit(1), F.length("_q") - F.col("_len") + 1)).alias("_i"))
-                .select(*key_cols, F.expr("substring(_q, _i, _len)").alias("mot")).distinct())
-        m = subs.join(cand, "mot", "inner")
+    n_pos = F.length("_q") - q_len + 1
+    positions = F.when(n_pos >= 1, F.sequence(F.lit(1), n_pos)).otherwise(F.array().cast("array<int>"))
+    grams = (q.select(*key_cols, "_q", F.explode(positions).alias("_p"))
+             .select(*key_cols, F.substring(F.col("_q"), F.col("_p"), F.lit(q_len)).alias("_g"),
+                     F.substring(F.col("_q"), F.col("_p"), max_len).alias("_w")))
+    small, _ = bounded_broadcast(cand, broadcast_rows)
+    m = grams.join(small, "_g", "inner").filter(F.col("_w").startswith(F.col("mot")))
     best = F.min_by(F.struct("code_station", "nom", "mot"), F.col("_rank")).alias("_m")
     return (m.groupBy(*key_cols).agg(best)
             .select(*key_cols, F.col("_m.code_station").alias("code_station"), F.col("_m.nom").alias("nom"),

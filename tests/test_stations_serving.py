@@ -117,3 +117,30 @@ def test_topk_lists_with_nulls(spark):
     exposed = analytics.most_exposed(means, "NO2", cap=None, n=3).collect()
     assert [r.moyenne for r in exposed] == [6.0, 6.0, 6.0]
     assert analytics.most_exposed(means, "NO2", cap=8, n=15).count() == 2
+
+
+def test_city_lookup_matches_brute_force(spark):
+    import random
+    rng = random.Random(7)
+    alphabet = "abé "
+    names = []
+    for i in range(40):
+        first = "".join(rng.choice("abé") for _ in range(rng.randint(2, 7)))
+        names.append((f"C{i:02d}", f"{first.upper()} Site", rng.choice([None, 1, 2, 3, 4])))
+    ds = spark.createDataFrame(names, "code_station string, nom string, indice int")
+    texts = [(k, 0, "".join(rng.choice(alphabet) for _ in range(rng.randint(0, 60)))) for k in range(150)]
+    qs = spark.createDataFrame(texts, "conv_id long, turn long, question string")
+
+    def rank(code, ind):
+        return (ind is not None, -(ind or 0), code)
+
+    expect = {}
+    for k, _, text in texts:
+        hits = [(rank(c, ind), c) for c, nom, ind in names
+                if len(nom.lower().split(" ")[0]) >= 4 and nom.lower().split(" ")[0] in text.lower()]
+        if hits:
+            expect[k] = min(hits)[1]
+    for bound in (100_000, 0):     # broadcast candidates, then shuffled candidates
+        got = {r.conv_id: r.code_station for r in analytics.city_lookup(qs, ds, broadcast_rows=bound).collect()}
+        assert got == expect
+    assert len(expect) > 20
