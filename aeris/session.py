@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-import os
+import re
 import tempfile
 
 from pyspark.sql import SparkSession
@@ -46,21 +46,21 @@ def apply_defaults(spark: SparkSession) -> SparkSession:
     return spark
 
 
-def checkpoint_dir(spark: SparkSession) -> str | None:
+def checkpoint_dir(spark: SparkSession) -> str:
     """The shared checkpoint folder the cluster names in ``spark.checkpoint.dir``.
 
-    Only when the session has none (local tests) is a fresh directory created and
-    registered; on a cluster the configured shared folder is always used."""
-    try:
-        sc = spark.sparkContext
-    except Exception:  # noqa: BLE001  (sessions without a SparkContext handle)
-        return spark.conf.get("spark.checkpoint.dir", None)
-    d = sc.getCheckpointDir() or sc.getConf().get("spark.checkpoint.dir", None)
-    if not d:
-        d = tempfile.mkdtemp(prefix="aeris-ckpt-", dir=os.environ.get("AERIS_LOCAL_TMP", "/tmp"))
+    Where the setting is absent and Spark runs in this one process (``local[...]``, as in
+    tests), a fresh folder is created and registered. On a cluster an absent setting raises
+    ``ValueError``: a machine-local folder would be invisible to the other executors."""
+    sc = spark.sparkContext
+    folder = sc.getCheckpointDir() or sc.getConf().get("spark.checkpoint.dir", None)
+    if not folder:
+        if not re.fullmatch(r"local(\[.*\])?", sc.master):
+            raise ValueError("set spark.checkpoint.dir to a folder that driver and executors share")
+        folder = tempfile.mkdtemp(prefix="aeris-ckpt-")
     if not sc.getCheckpointDir():
-        sc.setCheckpointDir(d)
-    return sc.getCheckpointDir() or d
+        sc.setCheckpointDir(folder)
+    return folder
 
 
 MATERIALISE_MIN_BYTES_CONF = "spark.aeris.materialise.minInputBytes"
