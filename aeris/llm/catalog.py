@@ -7,8 +7,11 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from aeris.llm.common import table
+from aeris.llm.common import fold, table
+from aeris.llm.language import learn_profiles, predict_languages
+from aeris.llm.line_crf import score_documents, train
 from aeris.llm.mixing import mix
+from aeris.llm.packing import pack
 from aeris.llm.ring import shard_rows
 from aeris.llm.url_filter import Rule, judge_urls
 
@@ -41,6 +44,26 @@ def op8_bounded_ring(spark: SparkSession, sf_dir: str) -> DataFrame:
         "doc_id", "size", "text_crc32", F.lit("bytes").alias("law"), "shard", "slot", F.lit(None).cast("int").alias("grown_shard"))
 
 
+def op7_line_crf(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document scored by a field learned from labelled documents outside the held-out fold."""
+    docs, marks = table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")
+    model = train(docs.select("doc_id", "text"), marks.where(fold(F.col("doc_id")) != 0))
+    rows = docs.select("doc_id", F.coalesce(fold(F.col("doc_id")) == 0, F.lit(False)).alias("held_out"), "text")
+    return score_documents(rows, model, threshold=0.3).drop("text")
+
+
+def op9_rank_order_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document's language by profiles learned outside the held-out fold."""
+    docs = table(spark, sf_dir, "documents")
+    profiles = learn_profiles(docs.where((fold(F.col("doc_id")) != 0) & F.col("lang").isNotNull()))
+    rows = docs.select("doc_id", F.coalesce(fold(F.col("doc_id")) == 0, F.lit(False)).alias("held_out"), "text")
+    return predict_languages(rows, profiles).drop("text")
+
+
+def op10_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pack(table(spark, sf_dir, "documents"), capacities=(512, 1024, 2048, 4096))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     found = {name: f for name, f in globals().items() if name.startswith("op") and callable(f)}
     return dict(sorted(found.items(), key=lambda x: int(x[0][2:].split("_")[0])))

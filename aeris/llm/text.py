@@ -16,6 +16,7 @@ from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 
 WORD = r"[^\x20\x09-\x0D]+"
 SLICE_BYTES = 1 << 20
@@ -66,7 +67,7 @@ class Words(NamedTuple):
 
 def slices(texts: pa.Array, limit: int = SLICE_BYTES) -> Iterator[tuple[int, int]]:
     """Consecutive row ranges of about ``limit`` bytes (a longer text stands alone)."""
-    sizes = np.asarray(pa.compute.fill_null(pa.compute.binary_length(texts), 0).to_numpy(zero_copy_only=False))
+    sizes = np.asarray(pc.fill_null(pc.binary_length(texts), 0).to_numpy(zero_copy_only=False))
     start = size = 0
     for i, s in enumerate(sizes):
         if i > start and size + s > limit:
