@@ -12,6 +12,7 @@ from aeris.llm.language import learn_profiles, predict_languages
 from aeris.llm.line_crf import score_documents, train
 from aeris.llm.mixing import mix
 from aeris.llm.packing import pack
+from aeris.llm.parity_join import near_duplicates
 from aeris.llm.ring import shard_rows
 from aeris.llm.url_filter import Rule, judge_urls
 
@@ -33,6 +34,12 @@ def op1_url_reputation(spark: SparkSession, sf_dir: str) -> DataFrame:
     return judge_urls(table(spark, sf_dir, "pages"), outcomes, URL_RULES)
 
 
+def op2_parity_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents linked at 85 % of their 4-word shingles, as components."""
+    found = near_duplicates(table(spark, sf_dir, "documents"), k=4, num=85, den=100)
+    return found.select("doc_id", "n_shingles", "component_id")
+
+
 def op5_weighted_fair_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     mixed = mix(table(spark, sf_dir, "documents"), weights=(5.0, 2.0, 1.0), max_repeats=3)
     return mixed.select("doc_id", "size", "source_size", "target", "taken")

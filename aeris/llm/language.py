@@ -201,17 +201,18 @@ def out_of_place(grams: np.ndarray, sorted_profile: np.ndarray, places: np.ndarr
     return int(np.where(found, np.abs(places[i] - np.arange(len(grams))), len(places)).sum())
 
 
-def predict_languages(docs: DataFrame, profiles: dict[str, np.ndarray], text_size: int = 300) -> DataFrame:
-    """Every row of ``docs`` (column ``text``) with ``lang_pred`` and ``score`` appended.
+def predict_languages(docs: DataFrame, profiles: dict[str, np.ndarray], text_size: int = 300,
+                      names: tuple[str, str] = ("lang_pred", "score")) -> DataFrame:
+    """Every row of ``docs`` (column ``text``) with ``names`` (language and score) appended.
 
     A text's ``text_size`` most frequent n-grams (of all of the text) are ranked by count, then code.
     ``score`` is 1 minus the distance over the largest possible one. Ties go to the first language
     by code point. Null, empty and letterless texts, or no profiles at all: ``und`` with score 0.
-    Columns named ``lang_pred`` or ``score`` are replaced; other columns pass through.
+    Columns of these names are replaced; others pass through.
     """
     languages = sorted(profiles)
     tables = [(np.sort(p), np.argsort(p, kind="stable")) for p in (profiles[x] for x in languages)]
-    docs = docs.drop("lang_pred", "score")
+    docs = docs.drop(*names)
 
     def predict(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -226,7 +227,7 @@ def predict_languages(docs: DataFrame, profiles: dict[str, np.ndarray], text_siz
                     k = int(np.argmin(far))
                     best[row], score[row] = languages[k], 1 - far[k]
             yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(best, pa.string()), pa.array(score)],
-                                             names=[*batch.schema.names, "lang_pred", "score"])
+                                             names=[*batch.schema.names, *names])
 
     schema = ", ".join(f"`{f.name.replace('`', '``')}` {f.dataType.simpleString()}" for f in docs.schema.fields)
-    return docs.mapInArrow(predict, f"{schema}, lang_pred string, score double")
+    return docs.mapInArrow(predict, f"{schema}, {names[0]} string, {names[1]} double")

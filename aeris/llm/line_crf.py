@@ -226,13 +226,14 @@ def train(docs: DataFrame, labels: DataFrame, per_label: int = SAMPLE_PER_LABEL)
     return fit(lines, label, weight / weight.mean())
 
 
-def score_documents(docs: DataFrame, model: Model | None, threshold: float = 0.3) -> DataFrame:
-    """Every row of ``docs`` (column ``text``) with ``score`` and ``predicted`` (1 if score >= threshold) appended.
+def score_documents(docs: DataFrame, model: Model | None, threshold: float = 0.3,
+                    names: tuple[str, str] = ("score", "predicted")) -> DataFrame:
+    """Every row of ``docs`` (column ``text``) with ``names`` appended: the score, and 1 if it reaches ``threshold``.
 
     A null or empty text, or one without words, scores 0; without a model every text with words
-    scores 0.5. Columns named ``score`` or ``predicted`` are replaced; others pass through.
+    scores 0.5. Columns of these names are replaced; others pass through.
     """
-    docs = docs.drop("score", "predicted")
+    docs = docs.drop(*names)
 
     def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -242,7 +243,7 @@ def score_documents(docs: DataFrame, model: Model | None, threshold: float = 0.3
             else:
                 value = document_scores(texts, model)
             yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(value, pa.float64()), pa.array((value >= threshold).astype(np.int32))],
-                                             names=[*batch.schema.names, "score", "predicted"])
+                                             names=[*batch.schema.names, *names])
 
     schema = ", ".join(f"`{f.name.replace('`', '``')}` {f.dataType.simpleString()}" for f in docs.schema.fields)
-    return docs.mapInArrow(score, f"{schema}, score double, predicted int")
+    return docs.mapInArrow(score, f"{schema}, {names[0]} double, {names[1]} int")

@@ -61,9 +61,10 @@ def source_targets(sizes: DataFrame, weights: Sequence[float], max_repeats: int)
 
 
 def mix(docs: DataFrame, weights: Sequence[float] = (5.0, 2.0, 1.0), max_repeats: int = 3,
-        seed: str = "mix") -> DataFrame:
+        seed: str = "mix", mark: Column | None = None) -> DataFrame:
     """All rows of ``docs`` (``doc_id, text, source``) as
-    ``doc_id, source, size, source_size, target, taken, repeats``.
+    ``doc_id, source, size, source_size, target, taken, repeats`` (and ``mark``, an expression of the row
+    that tells rows of one id apart).
 
     ``size`` is the number of words (a null or empty text: 0, never taken), ``repeats`` how often
     the mix takes the row and ``taken`` the words that makes. A null source is a source of its
@@ -72,8 +73,8 @@ def mix(docs: DataFrame, weights: Sequence[float] = (5.0, 2.0, 1.0), max_repeats
     of all sizes; the last document is taken if it starts within it. Extra columns are ignored; an empty table gives no rows.
     """
     digest = F.md5(F.concat_ws("|", F.lit(seed), F.coalesce(F.col("doc_id").cast("string"), F.lit("null"))))
-    rows = written(docs.select("doc_id", "source", n_words(F.col("text")).alias("size"))
-                   .withColumn("place", digest), "mix-sizes")
+    rows = written(docs.select("doc_id", "source", n_words(F.col("text")).alias("size"), digest.alias("place"),
+                               (F.lit(None).cast("long") if mark is None else mark).alias("mark")), "mix-sizes")
     targets = source_targets(rows, weights, max_repeats).withColumnRenamed("source", "of")
 
     rows = rows.withColumn("bucket", F.conv(F.substring("place", 1, BUCKET_DIGITS), 16, 10).cast("int"))
@@ -90,7 +91,7 @@ def mix(docs: DataFrame, weights: Sequence[float] = (5.0, 2.0, 1.0), max_repeats
         rows.withColumn("upto", F.sum("size").over(within))
         .join(starts, F.col("source").eqNullSafe(F.col("of")) & (F.col("bucket") == F.col("in_bucket")))
         .withColumn("upto", F.col("upto") + F.col("offset"))
-        .select("doc_id", "source", "size", "source_size", "target", "place", "upto")
+        .select("doc_id", "source", "size", "source_size", "target", "place", "upto", "mark")
     )
     queued = written(queued, "mix-queues")
 
@@ -116,5 +117,23 @@ def mix(docs: DataFrame, weights: Sequence[float] = (5.0, 2.0, 1.0), max_repeats
         queued.withColumn("times", passes).withColumn("cut", cut.scalar())
         .withColumn("repeats", F.coalesce(F.when(F.col("cut").isNotNull(), before_cut), F.lit(0)).cast("int"))
         .withColumn("taken", F.col("size") * F.col("repeats"))
-        .select("doc_id", "source", "size", "source_size", "target", "taken", "repeats")
+        .select("doc_id", "source", "size", "source_size", "target", "taken", "repeats", *([] if mark is None else ["mark"]))
     )
+
+
+def mixed_rows(docs: DataFrame, weights: Sequence[float] = (5.0, 2.0, 1.0), max_repeats: int = 3, seed: str = "mix") -> DataFrame:
+    """The mix itself: each row of ``docs`` as often as ``mix`` takes it, all columns as they are.
+
+    Rows equal in id, source and text share what the mix takes of them evenly."""
+    mark = F.xxhash64("text", "source")
+    taken = mix(docs.select("doc_id", "text", "source"), weights, max_repeats, seed, mark)
+    taken = (
+        taken.groupBy(F.col("doc_id").alias("of_id"), F.col("mark").alias("of_mark"))
+        .agg(F.sum("repeats").alias("times"), F.count("*").alias("n")).where("times > 0")
+    )
+    marked = docs.select(F.struct(*docs.columns).alias("row"), F.col("doc_id").alias("own_id"), mark.alias("own_mark"))
+    found = marked.join(taken, F.col("own_id").eqNullSafe(F.col("of_id")) & (F.col("own_mark") == F.col("of_mark")))
+    nth = F.row_number().over(Window.partitionBy("own_id", "own_mark").orderBy("own_mark"))
+    alone = found.where("n = 1").select("row", F.col("times").cast("int").alias("times"))
+    shared = found.where("n > 1").withColumn("nth", nth).select("row", F.expr("cast(floor(times / n) as int) + if(nth <= times % n, 1, 0)").alias("times"))
+    return alone.unionAll(shared).select("row", F.explode(F.expr("array_repeat(0, times)"))).select("row.*")

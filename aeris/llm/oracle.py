@@ -73,8 +73,26 @@ FROM queued q LEFT JOIN taken t ON q.doc_id IS NOT DISTINCT FROM t.doc_id
 """
 
 
+NEAR_DUPLICATES = r"""
+WITH RECURSIVE toks AS MATERIALIZED (
+  SELECT doc_id, regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') AS w FROM documents),
+shingles AS MATERIALIZED (
+  SELECT DISTINCT doc_id, CASE WHEN len(w) < 4 THEN array_to_string(w, ' ') ELSE array_to_string(w[i:i+3], ' ') END AS s
+  FROM (SELECT doc_id, w, unnest(range(1, greatest(len(w) - 2, 2))) AS i FROM toks WHERE len(w) > 0)),
+sizes AS MATERIALIZED (SELECT doc_id, count(*) AS n FROM shingles GROUP BY 1),
+common AS (SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS c FROM shingles a JOIN shingles b ON a.s = b.s AND a.doc_id < b.doc_id GROUP BY 1, 2),
+links AS MATERIALIZED (
+  SELECT a, b FROM common JOIN sizes x ON x.doc_id = a JOIN sizes y ON y.doc_id = b WHERE 100 * c >= 85 * (x.n + y.n - c)),
+twoway AS MATERIALIZED (SELECT a, b FROM links UNION ALL SELECT b, a FROM links),
+reach AS (SELECT doc_id, doc_id AS other FROM documents UNION SELECT r.doc_id, l.b FROM reach r JOIN twoway l ON l.a = r.other)
+SELECT d.doc_id, coalesce(s.n, 0)::BIGINT AS n_shingles, m.component_id
+FROM documents d LEFT JOIN sizes s USING (doc_id) JOIN (SELECT doc_id, min(other) AS component_id FROM reach GROUP BY 1) m USING (doc_id)
+"""
+
+
 def oracle_sql() -> dict[str, str]:
     return {
         "op1_url_reputation": URL_REPUTATION,
+        "op2_parity_jaccard": NEAR_DUPLICATES,
         "op5_weighted_fair_mix": MIX,
     }

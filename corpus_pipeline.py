@@ -1,5 +1,71 @@
-"""Corpus pipeline."""
-STAGES = []
+"""Corpus pipeline: language, quality, near duplicates, mixture, packing.
+
+Every stage takes ``(spark, docs, sf_dir)`` and works on all rows its predecessor kept; all but the
+last return the columns they were given. ``run`` applies the stages to ``documents``, each result
+written as Parquet and read again. The classifiers and the near-duplicate join are not SQL, so
+there is no oracle; tests compare the stages with brute force.
+"""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from aeris.llm.common import fold, table, written
+from aeris.llm.language import UNDETERMINED, learn_profiles, predict_languages
+from aeris.llm.line_crf import score_documents, train
+from aeris.llm.mixing import mixed_rows
+from aeris.llm.packing import pack
+from aeris.llm.parity_join import one_of_each
+
+LEAST_LANGUAGE_SCORE = 0.25
+LEAST_QUALITY = 0.3
+
+
+def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Drops documents without letters and those far from every language profile."""
+    profiles = learn_profiles(docs.where((fold(F.col("doc_id")) != 0) & F.col("lang").isNotNull()))
+    judged = predict_languages(docs, profiles, names=("__language", "__score"))
+    return judged.where((F.col("__language") != UNDETERMINED) & (F.col("__score") >= LEAST_LANGUAGE_SCORE)).select(docs.columns)
+
+
+def quality_classifier(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Drops documents whose lines the field holds mostly for bad ones."""
+    model = train(docs, table(spark, sf_dir, "labels").where(fold(F.col("doc_id")) != 0))
+    judged = score_documents(docs, model, LEAST_QUALITY, names=("__score", "__good"))
+    return judged.where(F.col("__good") == 1).select(docs.columns)
+
+
+def ngram_jaccard_join(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Keeps one document of each group linked at 80 % of the 5-word shingles."""
+    return one_of_each(docs, k=5, num=80, den=100)
+
+
+def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Takes documents, some up to three times, in proportion to the target weights."""
+    return mixed_rows(docs, weights=(5.0, 2.0, 1.0), max_repeats=3)
+
+
+def best_fit_packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Packs the mix into sequences of the permitted lengths."""
+    return pack(docs, capacities=(512, 1024, 2048, 4096))
+
+
+STAGES = [
+    ("language ID", language_id),
+    ("quality classifier", quality_classifier),
+    ("n-gram Jaccard join", ngram_jaccard_join),
+    ("mixing sources to target weights", mix_sources),
+    ("best-fit packing", best_fit_packing),
+]
+
 ORACLE_SQL = None
-def run(spark, sf_dir):
-    raise NotImplementedError
+
+
+def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    for name, stage in STAGES:
+        docs = stage(spark, docs, sf_dir)
+        if stage is not STAGES[-1][1]:
+            docs = written(docs, f"pipeline-{name.split()[0].lower()}")
+    return docs
