@@ -90,9 +90,23 @@ FROM documents d LEFT JOIN sizes s USING (doc_id) JOIN (SELECT doc_id, min(other
 """
 
 
+TOP_K = r"""
+WITH v AS (
+  SELECT vec_id, list_transform(embedding, lambda x: floor(256 * x::DOUBLE)::BIGINT) AS vec FROM embeddings
+  WHERE vec_id IS NOT NULL AND len(embedding) > 0 AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+parts AS (SELECT vec_id, generate_subscripts(vec, 1) AS i, unnest(vec) AS x FROM v),
+scores AS (
+  SELECT q.vec_id AS query_id, r.vec_id, sum(q.x * r.x)::BIGINT AS score
+  FROM parts q JOIN parts r ON q.i = r.i AND q.vec_id % 50 = 0 AND q.vec_id <> r.vec_id GROUP BY 1, 2),
+ranked AS (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id)::INTEGER AS rank FROM scores)
+SELECT query_id, rank, vec_id, score FROM ranked WHERE rank <= 5
+"""
+
+
 def oracle_sql() -> dict[str, str]:
     return {
         "op1_url_reputation": URL_REPUTATION,
         "op2_parity_jaccard": NEAR_DUPLICATES,
+        "op3_cover_tree_topk": TOP_K,
         "op5_weighted_fair_mix": MIX,
     }
