@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from aeris.llm.common import fold, table
 from aeris.llm.cover_tree import top_k
+from aeris.llm.divergence import quality_rules
 from aeris.llm.language import learn_profiles, predict_languages
 from aeris.llm.line_crf import score_documents, train
 from aeris.llm.mixing import mix
@@ -46,6 +47,10 @@ def op3_cover_tree_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
     return top_k(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 50 == 0, k=5, scale=256)
 
 
+def op4_divergence_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality_rules(table(spark, sf_dir, "documents"))
+
+
 def op5_weighted_fair_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     mixed = mix(table(spark, sf_dir, "documents"), weights=(5.0, 2.0, 1.0), max_repeats=3)
     return mixed.select("doc_id", "size", "source_size", "target", "taken")

@@ -103,10 +103,57 @@ SELECT query_id, rank, vec_id, score FROM ranked WHERE rank <= 5
 """
 
 
+DIVERGENCE = r"""
+WITH lists(lang, wanted) AS (VALUES
+  ('en', ['the','of','and','to','in','a','is','that','for','it','with','as','was','on','be','at','by','this','from','are']),
+  ('de', ['der','die','und','in','den','von','zu','das','mit','sich','des','auf','für','ist','im','dem','nicht','ein','eine','als']),
+  ('fr', ['de','la','le','et','les','des','en','un','du','une','que','est','pour','qui','dans','a','par','plus','pas','au']),
+  ('es', ['de','la','que','el','en','y','a','los','se','del','las','un','por','con','no','una','su','para','es','al'])),
+every AS (SELECT list_sort(list_distinct(flatten(list(wanted)))) AS wanted FROM lists),
+docs AS MATERIALIZED (
+  SELECT row_number() OVER () AS rid, doc_id, coalesce(lists.lang, 'other') AS lang, coalesce(lists.wanted, every.wanted) AS wanted, every.wanted AS every, t,
+    regexp_extract_all(t, '[^\x20\x09-\x0D]+') AS w, list_filter(string_split(t, chr(10)), lambda l: regexp_matches(l, '[^\x20\x09-\x0D]')) AS lines,
+    regexp_replace(t, '[\x20\x09-\x0D\p{Ll}]+', '', 'g') AS large
+  FROM (SELECT doc_id, lang, coalesce(text, '') AS t FROM documents) d LEFT JOIN lists ON lists.lang = d.lang, every),
+windows AS (SELECT rid, i, array_to_string(w[i:i+4], ' ') AS s FROM (SELECT rid, w, unnest(range(1, len(w) - 3)) AS i FROM docs WHERE len(w) > 5)),
+twice AS (SELECT rid, i FROM (SELECT rid, i, count(*) OVER (PARTITION BY rid, s) AS n FROM windows) WHERE n > 1),
+covered AS (SELECT rid, count(DISTINCT i + j) AS n FROM twice, (VALUES (0), (1), (2), (3), (4)) AS o(j) GROUP BY rid),
+counts AS MATERIALIZED (
+  SELECT doc_id, lang, len(w)::BIGINT AS n_words, length(array_to_string(w, ''))::BIGINT AS word_chars,
+    length(regexp_replace(large, '[^#*$%&|<>]+', '', 'g'))::BIGINT AS n_symbols,
+    (len(lines) - len(list_distinct(lines)))::BIGINT AS n_dup_lines, coalesce(covered.n, 0)::BIGINT AS n_repeat_words,
+    list_transform(['[^\p{Lu}]+', '[^0-9]+', '[^.,;:''()"\-]+', '[^!?]+', '[^#*$%&|<>{}\[\]=~^_\\@+/]+'], lambda c: length(regexp_replace(large, c, '', 'g'))) AS kinds,
+    length(array_to_string(w, '')) - length(large) AS small,
+    list_transform(list_filter(w, lambda x: list_contains(every, x) OR list_contains(list_transform(every, lambda e: upper(e[1]) || e[2:]), x)), lambda x: lower(x)) AS known, wanted
+  FROM docs LEFT JOIN covered USING (rid)),
+common AS (SELECT *, list_transform(wanted, lambda v: len(list_filter(known, lambda x: x = v))) AS found FROM counts),
+bins AS MATERIALIZED (
+  SELECT *, n_words < 10 OR 100 * n_repeat_words > 20 * n_words AS base_failed,
+    list_concat(kinds, [small, word_chars - list_sum(kinds) - small])::BIGINT[] AS chars, list_concat(found, [n_words - list_sum(found)])::BIGINT[] AS words
+  FROM common),
+ref_chars AS (SELECT lang, list(s ORDER BY i) AS r FROM (SELECT lang, i, sum(x)::BIGINT AS s FROM (SELECT lang, generate_subscripts(chars, 1) AS i, unnest(chars) AS x FROM bins WHERE NOT base_failed) GROUP BY 1, 2) GROUP BY 1),
+ref_words AS (SELECT lang, list(s ORDER BY i) AS r FROM (SELECT lang, i, sum(x)::BIGINT AS s FROM (SELECT lang, generate_subscripts(words, 1) AS i, unnest(words) AS x FROM bins WHERE NOT base_failed) GROUP BY 1, 2) GROUP BY 1),
+pairs AS (
+  SELECT bins.*,
+    list_transform(list_zip(chars, c.r), lambda z: [z[1] / nullif(list_sum(chars), 0), z[2] / nullif(list_sum(c.r), 0)]) AS pc,
+    list_transform(list_zip(words, v.r), lambda z: [z[1] / nullif(list_sum(words), 0), z[2] / nullif(list_sum(v.r), 0)]) AS pw
+  FROM bins LEFT JOIN ref_chars c USING (lang) LEFT JOIN ref_words v USING (lang)),
+distances AS (
+  SELECT *,
+    CASE WHEN list_sum(chars) > 0 THEN sqrt(greatest(list_sum(list_transform(pc, lambda z: (CASE WHEN z[1] > 0 THEN z[1] * log2(z[1] / ((z[1] + z[2]) / 2)) ELSE 0 END + CASE WHEN z[2] > 0 THEN z[2] * log2(z[2] / ((z[1] + z[2]) / 2)) ELSE 0 END) / 2)), 0)) END AS jc,
+    CASE WHEN list_sum(words) > 0 THEN sqrt(greatest(list_sum(list_transform(pw, lambda z: (CASE WHEN z[1] > 0 THEN z[1] * log2(z[1] / ((z[1] + z[2]) / 2)) ELSE 0 END + CASE WHEN z[2] > 0 THEN z[2] * log2(z[2] / ((z[1] + z[2]) / 2)) ELSE 0 END) / 2)), 0)) END AS jw
+  FROM pairs)
+SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed, round(jc, 6) AS js_chars, round(jw, 6) AS js_common,
+  NOT base_failed AND NOT (n_words >= 100 AND (coalesce(jc, 0) > 0.30 OR coalesce(jw, 0) > 0.32)) AS kept
+FROM distances
+"""
+
+
 def oracle_sql() -> dict[str, str]:
     return {
         "op1_url_reputation": URL_REPUTATION,
         "op2_parity_jaccard": NEAR_DUPLICATES,
         "op3_cover_tree_topk": TOP_K,
+        "op4_divergence_rules": DIVERGENCE,
         "op5_weighted_fair_mix": MIX,
     }
