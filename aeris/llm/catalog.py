@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from aeris.llm.common import fold, table
 from aeris.llm.cover_tree import top_k
 from aeris.llm.divergence import quality_rules
+from aeris.llm.hmm import language_model_scores
 from aeris.llm.language import learn_profiles, predict_languages
 from aeris.llm.line_crf import score_documents, train
 from aeris.llm.mixing import mix
@@ -62,6 +63,12 @@ def op8_bounded_ring(spark: SparkSession, sf_dir: str) -> DataFrame:
         "doc_id", "size", "text_crc32", F.lit("bytes").alias("law"), "shard", "slot", F.lit(None).cast("int").alias("grown_shard"))
 
 
+def op6_hidden_markov(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every text scored by a model learned outside fold 1."""
+    fold_ = fold(F.col("doc_id"))
+    return language_model_scores(table(spark, sf_dir, "documents"), trains=fold_ != 1, held_out=fold_ == 1)
+
+
 def op7_line_crf(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document scored by a field learned from labelled documents outside the held-out fold."""
     docs, marks = table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")
