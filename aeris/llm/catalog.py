@@ -2,12 +2,13 @@
 
 from __future__ import annotations
 
+import functools
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from aeris.llm.common import fold, table
+from aeris.llm.common import fold, ready, table
 from aeris.llm.cover_tree import top_k
 from aeris.llm.divergence import quality_rules
 from aeris.llm.hmm import language_model_scores
@@ -89,6 +90,15 @@ def op10_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack(table(spark, sf_dir, "documents"), capacities=(512, 1024, 2048, 4096))
 
 
+def _registered(query: Callable[[SparkSession, str], DataFrame]) -> Callable[[SparkSession, str], DataFrame]:
+    @functools.wraps(query)
+    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+        return query(ready(spark), sf_dir)
+
+    return run
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    found = {name: f for name, f in globals().items() if name.startswith("op") and callable(f)}
-    return dict(sorted(found.items(), key=lambda x: int(x[0][2:].split("_")[0])))
+    return {f.__name__: _registered(f) for f in (
+        op1_url_reputation, op2_parity_jaccard, op3_cover_tree_topk, op4_divergence_rules, op5_weighted_fair_mix,
+        op6_hidden_markov, op7_line_crf, op8_bounded_ring, op9_rank_order_language, op10_best_fit_packing)}

@@ -2,17 +2,37 @@
 
 from __future__ import annotations
 
+import tempfile
 import uuid
+import zipfile
+from pathlib import Path
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from aeris.session import checkpoint_dir
 
+PACKAGE = Path(__file__).resolve().parent.parent
+
 WORD = r"[^\x20\x09-\x0D]+"
 GAP = r"[\x20\x09-\x0D]+"
 
 
+def ready(spark: SparkSession) -> SparkSession:
+    """Ship this package to the Python workers, once for a Spark application.
+
+    Tasks import it by name; without this every executor would need it on its PYTHONPATH."""
+    sc = spark.sparkContext
+    name = f"{PACKAGE.name}-{sc.applicationId}.zip"
+    if name not in sc._python_includes:  # noqa: SLF001  (no public list of shipped files names Python's)
+        path = Path(tempfile.mkdtemp(prefix=f"{PACKAGE.name}-")) / name  # on the driver; Spark serves it from there
+        with zipfile.ZipFile(path, "w") as z:
+            for file in sorted(PACKAGE.rglob("*.py")):
+                z.write(file, file.relative_to(PACKAGE.parent))
+        sc.addPyFile(str(path))
+    return spark
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 

@@ -11,7 +11,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from aeris.llm.common import fold, table, written
+from aeris.llm.common import fold, ready, table, written
 from aeris.llm.language import UNDETERMINED, learn_profiles, predict_languages
 from aeris.llm.line_crf import score_documents, train
 from aeris.llm.mixing import mixed_rows
@@ -24,6 +24,7 @@ LEAST_QUALITY = 0.3
 
 def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Drops documents without letters and those far from every language profile."""
+    ready(spark)
     profiles = learn_profiles(docs.where((fold(F.col("doc_id")) != 0) & F.col("lang").isNotNull()))
     judged = predict_languages(docs, profiles, names=("__language", "__score"))
     return judged.where((F.col("__language") != UNDETERMINED) & (F.col("__score") >= LEAST_LANGUAGE_SCORE)).select(docs.columns)
@@ -31,6 +32,7 @@ def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def quality_classifier(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Drops documents whose lines the field holds mostly for bad ones."""
+    ready(spark)
     model = train(docs, table(spark, sf_dir, "labels").where(fold(F.col("doc_id")) != 0))
     judged = score_documents(docs, model, LEAST_QUALITY, names=("__score", "__good"))
     return judged.where(F.col("__good") == 1).select(docs.columns)
@@ -38,6 +40,7 @@ def quality_classifier(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Dat
 
 def ngram_jaccard_join(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Keeps one document of each group linked at 80 % of the 5-word shingles."""
+    ready(spark)
     return one_of_each(docs, k=5, num=80, den=100)
 
 
@@ -48,6 +51,7 @@ def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def best_fit_packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Packs the mix into sequences of the permitted lengths."""
+    ready(spark)
     return pack(docs, capacities=(512, 1024, 2048, 4096))
 
 
@@ -63,7 +67,7 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = table(spark, sf_dir, "documents")
+    docs = table(ready(spark), sf_dir, "documents")
     for name, stage in STAGES:
         docs = stage(spark, docs, sf_dir)
         if stage is not STAGES[-1][1]:
