@@ -102,7 +102,7 @@ def js_distance(p: Column, q: Column) -> Column:
     """Jensen-Shannon distance (base 2) of two arrays of shares of the same bins; null where one is null or has null shares."""
     part = lambda x, m: F.when(x > 0, x * F.log2(x / m)).when(x == 0, 0.0)
     parts = F.zip_with(p, q, lambda x, y: (part(x, (x + y) / 2) + part(y, (x + y) / 2)) / 2)
-    return F.sqrt(F.greatest(F.aggregate(parts, F.lit(0.0), lambda s, v: s + v), F.when(F.size(parts) > 0, 0.0)))
+    return F.sqrt(F.aggregate(parts, F.lit(0.0), lambda s, v: s + v, lambda s: F.when(s < 0, 0.0).otherwise(s)))
 
 
 def references(counts: DataFrame, languages: Mapping[str, Sequence[str]] = COMMON_WORDS) -> DataFrame:
