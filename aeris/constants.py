@@ -124,5 +124,5 @@ MISSING_MARK = "—"
 # Commune partition value for records without a usable start date.
 UNKNOWN_DATE = "inconnue"
 
-# Source timestamp format.
-SOURCE_TS_FORMAT = "yyyy/MM/dd HH:mm:ss"
+# Source timestamps: yyyy/MM/dd HH:mm:ss.
+SOURCE_TS_PATTERN = r"^[0-9]{4}/[0-9]{2}/[0-9]{2} [0-9]{2}:[0-9]{2}:[0-9]{2}$"

@@ -1,93 +1,54 @@
-"""Station geography expressions."""
+"""Station geography."""
 
 from __future__ import annotations
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from aeris.constants import COMPOUND_PREFIXES, NOISE_WORDS, NON_COMMUNE_PATTERN, ZONE_PREFIXES
-from aeris.functions._util import col, ident, sql_literal
+from aeris.functions._util import col
 
 
-def _strip(c: Column) -> Column:
-    return F.regexp_replace(c, r"^\s+|\s+$", "")
+def with_zone_name(df: DataFrame, zone: str = "zas", out: str = "zone_name") -> DataFrame:
+    """The zone without its prefixes (removed in order, anywhere), stripped, in title case: a letter is
+    upper-cased when the character before it is not a letter (``ST MARTIN D'HERES`` -> ``St Martin D'Heres``).
 
-
-def title_case(text: str | Column) -> Column:
-    """Title case over letter runs: a letter is upper-cased when the character before it
-    is not a letter, lower-cased otherwise (so ``ST MARTIN D'HERES`` -> ``St Martin D'Heres``)."""
-    chars = F.split(col(text), "")
-    return F.array_join(
-        F.transform(chars, lambda ch, i: F.when(
-            (i == 0) | ~F.element_at(chars, i).rlike(r"^\p{L}$"), F.upper(ch)).otherwise(F.lower(ch))),
-        "")
-
-
-def _title_sql(text_sql: str) -> str:
-    chars = f"split({text_sql}, '')"
-    letter = sql_literal(r"^\p{L}$")
-    return (f"array_join(transform({chars}, (ch, i) -> CASE WHEN i = 0 OR NOT "
-            f"element_at({chars}, i) RLIKE {letter} THEN upper(ch) ELSE lower(ch) END), '')")
-
-
-def _zone_sql(zone_sql: str) -> str:
-    z = f"coalesce({zone_sql}, '')"
-    for prefix in ZONE_PREFIXES:
-        z = f"replace({z}, {sql_literal(prefix)}, '')"
-    return _title_sql(f"regexp_replace({z}, {sql_literal(r'^\s+|\s+$')}, '')")
-
-
-def _commune_sql(name_sql: str, zone_sql: str) -> str:
-    toks = (f"filter(split(translate(coalesce({name_sql}, ''), '_-', '  '), {sql_literal(r'\s+')}), "
-            f"t -> t != '')")
-    first = f"element_at({toks}, 1)"
-    noise = "array(" + ", ".join(sql_literal(w) for w in NOISE_WORDS) + ")"
-    rest = f"slice({toks}, 2, greatest(size({toks}) - 1, 0))"
-    stop = f"array_position(transform({rest}, t -> array_contains({noise}, lower(t))), true)"
-    keep = f"CAST(CASE WHEN {stop} = 0 THEN size({rest}) ELSE {stop} - 1 END AS INT)"
-    compound = f"array_join(concat(array({first}), slice({rest}, 1, {keep})), ' ')"
-    zone = _zone_sql(zone_sql)
-    prefixes = ", ".join(sql_literal(p) for p in COMPOUND_PREFIXES)
-    pattern = sql_literal("(?i)" + NON_COMMUNE_PATTERN)
-    return (f"CASE WHEN size({toks}) = 0 THEN {zone} "
-            f"WHEN {first} RLIKE {pattern} OR array_contains({noise}, lower({first})) THEN {zone} "
-            f"WHEN lower({first}) IN ({prefixes}) AND size({toks}) > 1 THEN {compound} "
-            f"ELSE {first} END")
-
-
-def clean_zone_name(zone: str | Column) -> Column:
-    """Remove the zone prefixes (in order, anywhere), strip, title-case."""
-    if isinstance(zone, str):
-        return F.expr(_zone_sql(ident(zone)))
-    z = F.coalesce(col(zone), F.lit(""))
+    The characters are a column of their own, so they are split once and not for every character."""
+    z = F.coalesce(F.col(zone), F.lit(""))
     for prefix in ZONE_PREFIXES:
         z = F.replace(z, F.lit(prefix), F.lit(""))
-    return title_case(_strip(z))
+    chars = F.col("__chars")
+    after_letter = lambda i: F.coalesce(F.get(chars, i - 1).rlike(r"^\p{L}$"), F.lit(False))
+    titled = F.transform(chars, lambda ch, i: F.when(after_letter(i), F.lower(ch)).otherwise(F.upper(ch)))
+    return (df.withColumn("__chars", F.split(F.regexp_replace(z, r"^\s+|\s+$", ""), ""))
+            .withColumn(out, F.array_join(titled, "")).drop("__chars"))
 
 
-def commune_from_name(site_name: str | Column, zone: str | Column) -> Column:
+def with_commune(df: DataFrame, name: str = "nom_site", zone: str = "zas", out: str = "commune_extraite") -> DataFrame:
     """Commune candidate from a station name.
 
-    ``_`` and ``-`` become spaces and the name is split on whitespace. A road code or a
-    noise word in first position falls back to the cleaned zone name; a compound prefix
-    (St, Saint, Le, ...) keeps the following words up to the first noise word; otherwise
-    the first word is the commune. An empty name falls back to the zone."""
-    if isinstance(site_name, str) and isinstance(zone, str):
-        return F.expr(_commune_sql(ident(site_name), ident(zone)))
-    name = F.translate(F.coalesce(col(site_name), F.lit("")), "_-", "  ")
-    tokens = F.filter(F.split(name, r"\s+"), lambda t: t != "")
-    first = F.element_at(tokens, 1)
-    first_lower = F.lower(first)
+    ``_`` and ``-`` become spaces and the name is split on white space. A road code or a noise word in
+    first position falls back to the cleaned zone name; a compound prefix (St, Saint, Le, ...)
+    keeps the following words up to the first noise word; otherwise the first word is the
+    commune. An empty name falls back to the zone. Words are split once, in a projection of their own."""
+    words, rest, stop = F.col("__words"), F.col("__rest"), F.col("__stop")
+    first = F.get(words, 0)
     noise = F.array(*[F.lit(w) for w in NOISE_WORDS])
-    rest = F.slice(tokens, 2, F.greatest(F.size(tokens) - 1, F.lit(0)))
-    stop = F.array_position(F.transform(rest, lambda t: F.array_contains(noise, F.lower(t))), True)
-    keep = F.when(stop == 0, F.size(rest)).otherwise(stop - 1)
-    compound = F.array_join(F.concat(F.array(first), F.slice(rest, 1, keep)), " ")
-    zone_name = clean_zone_name(zone)
-    return (F.when(F.size(tokens) == 0, zone_name)
-            .when(first.rlike("(?i)" + NON_COMMUNE_PATTERN) | F.array_contains(noise, first_lower), zone_name)
-            .when(first_lower.isin(*COMPOUND_PREFIXES) & (F.size(tokens) > 1), compound)
-            .otherwise(first))
+    split = F.filter(F.split(F.translate(F.coalesce(F.col(name), F.lit("")), "_-", "  "), r"\s+"), lambda w: w != "")
+    kept = F.when(stop == 0, F.size(rest)).otherwise(stop - 1).cast("int")
+    commune = (
+        F.when(F.size(words) == 0, F.col("__zone"))
+        .when(first.rlike("(?i)" + NON_COMMUNE_PATTERN) | F.array_contains(noise, F.lower(first)), F.col("__zone"))
+        .when(F.lower(first).isin(*COMPOUND_PREFIXES) & (F.size(words) > 1),
+              F.array_join(F.concat(F.array(first), F.slice(rest, F.lit(1), kept)), " "))
+        .otherwise(first)
+    )
+    return (
+        with_zone_name(df, zone, "__zone").withColumn("__words", split)
+        .withColumn("__rest", F.slice(words, F.lit(2), F.greatest(F.size(words) - 1, F.lit(0))))
+        .withColumn("__stop", F.array_position(F.transform(rest, lambda w: F.array_contains(noise, F.lower(w))), True))
+        .withColumn(out, commune).drop("__zone", "__words", "__rest", "__stop")
+    )
 
 
 def geo_point(lon: str | Column = "longitude", lat: str | Column = "latitude", srid: int = 4326) -> Column:

@@ -20,30 +20,16 @@ def round_half_up(value: str | Column, digits: int = 2) -> Column:
     return F.round(col(value), digits)
 
 
-def sub_index_sql(mean: str = "moyenne", pollutant: str = "code_polluant") -> str:
+def sub_index(mean: str = "moyenne", pollutant: str = "code_polluant") -> Column:
+    """B11 over two columns: smallest level whose inclusive upper bound is not exceeded by the daily
+    mean; level 6 above the last bound; NULL for an unknown pollutant or a NULL mean."""
     m, p = ident(mean), ident(pollutant)
     branches = []
     for code, bounds in INDEX_GRID.items():
         levels = " ".join(f"WHEN {m} <= {sql_literal(float(b))} THEN {lvl}" for lvl, b in enumerate(bounds, start=1))
         branches.append(f"WHEN {p} = {sql_literal(code)} THEN CASE {levels} "
                         f"WHEN {m} IS NOT NULL AND NOT isnan({m}) THEN {INDEX_LEVELS} END")
-    return "CAST(CASE " + " ".join(branches) + " END AS INT)"
-
-
-def sub_index(mean: str | Column = "moyenne", pollutant: str | Column = "code_polluant") -> Column:
-    """Smallest level whose inclusive upper bound is not exceeded by the daily mean;
-    level 6 above the last bound; NULL for an unknown pollutant or a NULL mean."""
-    if isinstance(mean, str) and isinstance(pollutant, str):
-        return F.expr(sub_index_sql(mean, pollutant))
-    m, p = col(mean), col(pollutant)
-    expr = None
-    for code, bounds in INDEX_GRID.items():
-        level_expr = F.when(m <= F.lit(float(bounds[0])), F.lit(1))
-        for level, bound in enumerate(bounds[1:], start=2):
-            level_expr = level_expr.when(m <= F.lit(float(bound)), F.lit(level))
-        level_expr = level_expr.when(m.isNotNull() & ~F.isnan(m), F.lit(INDEX_LEVELS))
-        expr = (F.when(p == code, level_expr) if expr is None else expr.when(p == code, level_expr))
-    return expr.otherwise(F.lit(None).cast("int")).cast("int")
+    return F.expr("CAST(CASE " + " ".join(branches) + " END AS INT)")
 
 
 def index_label(index: str | Column = "indice_atmo") -> Column:

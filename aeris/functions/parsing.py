@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from aeris.constants import SOURCE_TS_FORMAT, UNKNOWN_DATE
+from aeris.constants import SOURCE_TS_PATTERN, UNKNOWN_DATE
 from aeris.functions._util import col
 
 
@@ -24,11 +24,12 @@ def to_reading(text: str | Column) -> Column:
     return F.when(F.isnan(v) | (F.abs(v) == F.lit(float("inf"))), F.lit(None).cast("double")).otherwise(v)
 
 
-def parse_source_timestamp(text: str | Column, fmt: str = SOURCE_TS_FORMAT) -> Column:
-    """``yyyy/MM/dd HH:mm:ss`` -> wall-clock timestamp (TIMESTAMP_NTZ: the source gives
-    local hours without a zone, so the day never depends on the session time zone);
-    malformed -> NULL (never raises under ANSI)."""
-    return F.try_to_timestamp(col(text), F.lit(fmt)).cast("timestamp_ntz")
+def parse_source_timestamp(text: str | Column) -> Column:
+    """``yyyy/MM/dd HH:mm:ss`` -> wall-clock timestamp. The source gives local hours without a
+    zone, so the text goes straight to TIMESTAMP_NTZ: through a zoned timestamp, hours that
+    the session's zone skips or repeats would move. Malformed -> NULL (never raises)."""
+    t = col(text)
+    return F.when(t.rlike(SOURCE_TS_PATTERN), F.translate(t, "/", "-").try_cast("timestamp_ntz"))
 
 
 def measurement_date(ts: str | Column = "horodatage") -> Column:

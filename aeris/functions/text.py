@@ -6,42 +6,24 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from aeris.constants import DATA_DEPENDENT_INTENTS, INTENT_RULES
-from aeris.functions._util import col, ident, sql_literal
+from aeris.functions._util import ident, sql_literal
 
 
-def _has_any(text: Column, words: tuple[str, ...]) -> Column:
-    cond = F.lit(False)
-    for w in words:
-        cond = cond | text.contains(w)
-    return cond
-
-
-def question_intent(text: str | Column, has_index: bool | Column = True) -> Column:
-    """G1: first matching keyword rule over the lower-cased text, NULL when none matches.
+def question_intent(text: str, has_index: bool | Column = True) -> Column:
+    """G1 over a column: first matching keyword rule over the lower-cased text, NULL when none matches.
 
     ``has_index``: whether any station has an index; the ``best`` and ``pollutant``
     answers need one and otherwise fall through to the next rule."""
-    avail = has_index if isinstance(has_index, Column) else F.lit(bool(has_index))
-    if isinstance(text, str):
-        q = f"lower(coalesce({ident(text)}, ''))"
-
-        def any_of(words):
-            return "(" + " OR ".join(f"contains({q}, {sql_literal(w)})" for w in words) + ")"
-
-        expr = None
-        for intent, words, also in INTENT_RULES:
-            cond = F.expr(any_of(words) + (f" AND {any_of(also)}" if also else ""))
-            if intent in DATA_DEPENDENT_INTENTS:
-                cond = cond & avail
-            expr = F.when(cond, F.lit(intent)) if expr is None else expr.when(cond, F.lit(intent))
-        return expr.otherwise(F.lit(None).cast("string"))
-    q = F.lower(F.coalesce(col(text), F.lit("")))
-    expr = None
-    for intent, words, also in INTENT_RULES:
-        cond = _has_any(q, words)
-        if also:
-            cond = cond & _has_any(q, also)
-        if intent in DATA_DEPENDENT_INTENTS:
-            cond = cond & avail
-        expr = F.when(cond, F.lit(intent)) if expr is None else expr.when(cond, F.lit(intent))
-    return expr.otherwise(F.lit(None).cast("string"))
+    available = has_index if isinstance(has_index, Column) else F.lit(bool(has_index))
+    q = f"lower(coalesce({ident(text)}, ''))"
+
+    def any_of(words: tuple[str, ...]) -> str:
+        return "(" + " OR ".join(f"contains({q}, {sql_literal(w)})" for w in words) + ")"
+
+    intent = F.lit(None).cast("string")
+    for name, words, also in reversed(INTENT_RULES):
+        found = F.expr(any_of(words) + (f" AND {any_of(also)}" if also else ""))
+        if name in DATA_DEPENDENT_INTENTS:
+            found = found & available
+        intent = F.when(found, F.lit(name)).otherwise(intent)
+    return intent

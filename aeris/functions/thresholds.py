@@ -1,4 +1,4 @@
-"""Regulatory threshold lookup and exceedance class."""
+"""Exceedance class by regulatory thresholds."""
 
 from __future__ import annotations
 
@@ -6,30 +6,13 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from aeris.constants import THRESHOLDS
-from aeris.functions._util import col, ident, lookup, sql_literal
+from aeris.functions._util import ident, sql_literal
 
 
-def info_threshold(pollutant: str | Column = "code_polluant") -> Column:
-    return lookup({k: v[0] for k, v in THRESHOLDS.items()}, pollutant).cast("double")
-
-
-def alert_threshold(pollutant: str | Column = "code_polluant") -> Column:
-    return lookup({k: v[1] for k, v in THRESHOLDS.items()}, pollutant).cast("double")
-
-
-def exceedance_class(value: str | Column = "valeur", pollutant: str | Column = "code_polluant") -> Column:
-    """``alerte`` when value >= alert threshold, else ``info`` when >= information
-    threshold, else NULL. Uses the hourly, unclamped value (q2)."""
-    if isinstance(value, str) and isinstance(pollutant, str):
-        v, p = ident(value), ident(pollutant)
-        alerts = " ".join(f"WHEN {p} = {sql_literal(k)} AND {v} >= {sql_literal(t[1])} THEN 'alerte'"
-                          for k, t in THRESHOLDS.items() if t[1] is not None)
-        infos = " ".join(f"WHEN {p} = {sql_literal(k)} AND {v} >= {sql_literal(t[0])} THEN 'info'"
-                         for k, t in THRESHOLDS.items() if t[0] is not None)
-        return F.expr(f"CASE {alerts} {infos} ELSE CAST(NULL AS STRING) END")
-    v = col(value)
-    alert = alert_threshold(pollutant)
-    info = info_threshold(pollutant)
-    return (F.when(alert.isNotNull() & (v >= alert), F.lit("alerte"))
-            .when(info.isNotNull() & (v >= info), F.lit("info"))
-            .otherwise(F.lit(None).cast("string")))
+def exceedance_class(value: str = "valeur", pollutant: str = "code_polluant") -> Column:
+    """``alerte`` when value >= alert threshold, else ``info`` when >= information threshold, else
+    NULL, over two columns. Uses the hourly, unclamped value."""
+    v, p = ident(value), ident(pollutant)
+    cases = [f"WHEN {p} = {sql_literal(code)} AND {v} >= {sql_literal(limits[i])} THEN '{name}'"
+             for name, i in (("alerte", 1), ("info", 0)) for code, limits in THRESHOLDS.items() if limits[i] is not None]
+    return F.expr(f"CASE {' '.join(cases)} ELSE CAST(NULL AS STRING) END")

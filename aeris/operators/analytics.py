@@ -2,26 +2,22 @@
 F7-F10, F12, F13, G1, B17-B19).
 
 The web view works on one day ("the stations"): the located indices of that day joined
-to the station attributes. The day is a parameter; by default the latest day, found by
+to the station attributes. The day is a parameter, such as the latest day, found by
 a scalar subquery rather than a driver round-trip."""
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from aeris.constants import CITY_WORD_MIN_LENGTH, MISSING_MARK
 from aeris.functions import (
     first_non_empty, index_colour, localised_label, marker_radius, missing_as_mark, question_intent,
 )
-from aeris.operators.joins import bounded_broadcast, left_join_dimension, materialise
-from aeris.operators.serving import list_means, located
+from aeris.operators.joins import left_join_dimension
 
 RANKING_SIZE = 15
 TOP_EXPOSED = 15
-# Station side of the question lookup is broadcast below this many rows; above it the
-# exact substring equi-join is used instead.
-CITY_LOOKUP_BROADCAST_ROWS = 5_000
 
 
 def normalise_index_records(index_like: DataFrame) -> DataFrame:
@@ -49,50 +45,21 @@ def normalise_index_records(index_like: DataFrame) -> DataFrame:
         *[F.col(c) for c in ("_ts", "_ti") if c in cols])
 
 
-def latest_day(index_serving: DataFrame):
-    return index_serving.select(F.max("jour")).scalar()
-
-
-def day_stations(index_serving: DataFrame, stations: DataFrame, day: str | None = None,
-                 day_col=None) -> DataFrame:
-    """The located station indices of one day, with station type and influence from
-    the station table (missing or empty -> the placeholder mark)."""
-    d = day_col if day_col is not None else (F.lit(day).cast("date") if day else latest_day(index_serving))
-    idx = normalise_index_records(located(index_serving).filter(F.col("jour") == d))
-    idx = idx.filter(F.col("latitude").isNotNull() & F.col("longitude").isNotNull())
-    meta = stations.select("code_station", F.col("type_station").alias("_ts"), F.col("type_influence").alias("_ti"))
-    j = left_join_dimension(idx, meta, "code_station")
-    return j.select(*idx.columns, missing_as_mark("_ts").alias("type_station"),
-                    missing_as_mark("_ti").alias("type_influence"))
-
-
-def latest_measurement_day(measurements: DataFrame):
-    """The latest day with measurements, as a scalar subquery. Every dated Silver row
-    yields a daily mean and an index row, so this equals the latest index day. The
-    deduplication keeps a survivor for every (site, pollutant, hour) and the day is a
-    function of the hour, so valid rows *before* deduplication give the same maximum:
-    pass them to skip the dedup shuffle (a scan with a partial ``max``)."""
+def latest_measurement_day(measurements: DataFrame) -> Column:
+    """The latest day with measurements, as a scalar subquery. Every dated Silver row yields a
+    daily mean and an index row, so this equals the latest index day. The deduplication keeps a
+    survivor for every (site, pollutant, hour) and the day is a function of the hour, so valid rows
+    *before* deduplication give the same maximum: a scan with a partial ``max``."""
     return measurements.select(F.max("date_mesure")).scalar()
 
 
-def day_view(index: DataFrame, stations: DataFrame, day=None) -> DataFrame:
-    """D2 in one join: the day's station indices with coordinates *and* type / influence
-    taken from a single left join to the station table (codes are unique there), instead
-    of one join for the serving table and another for the attributes. Same rows and
-    columns as :func:`day_stations` over the serving tables.
-
-    ``day``: a date string, a Column (e.g. :func:`latest_measurement_day`) or None for the
-    latest index day."""
-    if day is None:
-        d = index.select(F.max("date_mesure")).scalar()
-    elif isinstance(day, str):
-        d = F.lit(day).cast("date")
-    else:
-        d = day
+def day_stations(index: DataFrame, stations: DataFrame) -> DataFrame:
+    """The located station indices of one day, with station type and influence (missing or
+    empty -> the placeholder mark). ``index`` is the daily index of that day; coordinates and attributes come from
+    one left join to the station table (codes are unique there)."""
     st = stations.select(F.col("code_station").alias("code_site"), "latitude", "longitude",
                          F.col("type_station").alias("_ts"), F.col("type_influence").alias("_ti"))
-    j = left_join_dimension(index.filter(F.col("date_mesure") == d).withColumnRenamed("date_mesure", "jour"),
-                            st, "code_site")
+    j = left_join_dimension(index.withColumnRenamed("date_mesure", "jour"), st, "code_site")
     j = j.filter(F.col("latitude").isNotNull() & F.col("longitude").isNotNull())
     idx = normalise_index_records(j)
     base = [c for c in idx.columns if c not in ("_ts", "_ti")]
@@ -179,17 +146,16 @@ def dominant_pollutant(ds: DataFrame) -> DataFrame:
     return count_by_pollutant(ds).limit(1)
 
 
-def total_exceedances(stats: DataFrame) -> DataFrame:
+def total_exceedances(exceedances: DataFrame) -> DataFrame:
     """Alert + info exceedances."""
-    return stats.select((F.col("nb_depassements_alerte") + F.col("nb_depassements_info")).alias("nb_depassements"))
+    return exceedances.agg(F.count_if(F.col("depassement").isin("alerte", "info")).alias("nb_depassements"))
 
 
-def most_exposed(means_serving: DataFrame, pollutant: str, cap: int | None = 2000, n: int = TOP_EXPOSED) -> DataFrame:
-    """``n`` highest daily means of a pollutant, taken over the first ``cap`` rows of the
-    means list (as the view does); ``cap=None`` ranks the whole table."""
-    rows = list_means(means_serving, pollutant=pollutant, limit=cap)
-    return (rows.filter(F.col("moyenne").isNotNull())
-            .orderBy(F.col("moyenne").desc(), F.col("jour").desc_nulls_first(), F.col("code_site").asc())
+def most_exposed(means_serving: DataFrame, pollutant: str, n: int = TOP_EXPOSED) -> DataFrame:
+    """``n`` highest daily means of a pollutant, over the whole table."""
+    return (means_serving.filter((F.col("code_polluant") == pollutant) & F.col("moyenne").isNotNull())
+            .orderBy(F.col("moyenne").desc(), F.col("jour").desc_nulls_first(), F.col("code_site").asc(),
+                     F.col("nom_site").asc_nulls_last(), F.col("unite").asc_nulls_last())
             .select("nom_site", "moyenne", "maximum", "unite").limit(n))
 
 
@@ -209,24 +175,21 @@ def _ordered_window():
 
 
 def worst_and_best(ds: DataFrame) -> DataFrame:
-    """the station with the highest index and the one with the lowest (ties by code)."""
-    withi = ds.filter(F.col("indice").isNotNull())
+    """the station with the highest index and the one with the lowest (ties by code), in one aggregate."""
     cols = ["code_station", "nom", "indice", "qualificatif", "polluant"]
-    worst = withi.orderBy(F.col("indice").desc(), F.col("code_station").asc()).limit(1).select(
-        F.lit("worst").alias("kind"), *cols)
-    best = withi.orderBy(F.col("indice").asc(), F.col("code_station").asc()).limit(1).select(
-        F.lit("best").alias("kind"), *cols)
-    return worst.unionByName(best)
+    row = F.struct(*cols)
+    by = lambda sign: F.struct((sign * F.col("indice")).alias("indice"), *[c for c in cols if c != "indice"])
+    ends = ds.filter(F.col("indice").isNotNull()).agg(F.min_by(row, by(-1)).alias("worst"), F.min_by(row, by(1)).alias("best"))
+    return (ends.select(F.explode(F.array(*[F.struct(F.lit(k).alias("kind"), F.col(k).alias("r")) for k in ("worst", "best")])).alias("e"))
+            .filter(F.col("e.r").isNotNull()).select("e.kind", "e.r.*"))
 
 
 def filter_options(ds: DataFrame) -> DataFrame:
-    """distinct pollutants and influences (without the placeholder) offered as filters."""
-    pol = ds.filter(F.col("polluant").isNotNull() & (F.col("polluant") != "")).select(
-        F.lit("polluant").alias("kind"), F.col("polluant").alias("value"))
-    inf = ds.filter(F.col("type_influence").isNotNull() & (F.col("type_influence") != "")
-                    & (F.col("type_influence") != MISSING_MARK)).select(
-        F.lit("influence").alias("kind"), F.col("type_influence").alias("value"))
-    return pol.unionByName(inf).distinct().orderBy("kind", "value")
+    """distinct pollutants and influences (without the placeholder) offered as filters, in one pass."""
+    options = F.explode(F.array(
+        F.struct(F.lit("polluant").alias("kind"), F.col("polluant").alias("value")),
+        F.struct(F.lit("influence").alias("kind"), F.nullif(F.col("type_influence"), F.lit(MISSING_MARK)).alias("value"))))
+    return (ds.select(options.alias("o")).select("o.*").filter(F.col("value") != "").distinct().orderBy("kind", "value"))
 
 
 def exceedance_table(exc_rows: DataFrame) -> DataFrame:
@@ -241,60 +204,42 @@ def recent_exceedances(exc_list: DataFrame, n: int = 3) -> DataFrame:
     return exc_list.limit(n)
 
 
-def station_lookup_table(ds: DataFrame) -> DataFrame:
-    """The stations of the view reduced to what the question router needs, materialised
-    once (reliable checkpoint): code, name, index, first name word, its eligibility
-    (long enough, name present) and the view-order rank key (index DESC with NULLs first,
-    then code)."""
-    word = F.element_at(F.split(F.lower(F.col("nom")), " "), 1)
-    t = ds.select("code_station", "nom", "indice", word.alias("mot"),
-                  F.struct(F.col("indice").isNotNull().alias("has"), (-F.col("indice")).alias("neg"),
-                           F.col("code_station").alias("code")).alias("_rank"))
-    t = t.withColumn("eligible", F.coalesce(F.col("nom") != "", F.lit(False))
-                     & F.coalesce(F.length("mot") >= CITY_WORD_MIN_LENGTH, F.lit(False)))
-    return materialise(t)
+def station_words(ds: DataFrame) -> DataFrame:
+    """The best station for each first name word that is long enough to be looked up: the first in view
+    order (index DESC with NULLs first, then code). Stations that share a word are reduced here, before any join."""
+    word = F.get(F.split(F.lower(F.col("nom")), " "), 0)
+    rank = F.struct(F.col("indice").isNotNull().alias("has"), (-F.col("indice")).alias("neg"), F.col("code_station").alias("code"))
+    return (ds.withColumn("mot", word).filter((F.col("nom") != "") & (F.length("mot") >= CITY_WORD_MIN_LENGTH))
+            .groupBy("mot").agg(F.min(F.struct(rank.alias("rank"), "code_station", "nom")).alias("s"))
+            .select("mot", "s.*"))
 
 
 def city_lookup(questions: DataFrame, ds: DataFrame, text_col: str = "question",
-                key_cols: tuple[str, ...] = ("conv_id", "turn"),
-                broadcast_rows: int = CITY_LOOKUP_BROADCAST_ROWS, lookup: DataFrame | None = None) -> DataFrame:
+                key_cols: tuple[str, ...] = ("conv_id", "turn")) -> DataFrame:
     """For each question, the first station (view order) whose first name word occurs
     in the lower-cased text. Questions without a match are absent.
 
-    Exact and linear in the text, without evaluating (question, station) pairs: every
-    candidate word has at least ``CITY_WORD_MIN_LENGTH`` characters, so it is keyed by its
-    first q characters; every position of a question emits its q-gram and the slice of
-    text needed to verify the longest candidate; an equi-join on the q-gram followed by a
-    prefix check finds exactly the occurrences ``contains`` would. The candidate side is
-    broadcast when its row count is proven small, and shuffled with the positions beyond."""
-    q_len = CITY_WORD_MIN_LENGTH
-    table = lookup if lookup is not None else station_lookup_table(ds)
-    cand = table.filter("eligible").select("code_station", "nom", "mot", "_rank",
-                                           F.substring("mot", 1, q_len).alias("_g"))
-    max_len = cand.select(F.max(F.length("mot"))).scalar()
-    q = questions.select(*key_cols, F.lower(F.coalesce(F.col(text_col), F.lit(""))).alias("_q"))
-    n_pos = F.length("_q") - q_len + 1
-    positions = F.when(n_pos >= 1, F.sequence(F.lit(1), n_pos)).otherwise(F.array().cast("array<int>"))
-    grams = (q.select(*key_cols, "_q", F.explode(positions).alias("_p"))
-             .select(*key_cols, F.substring(F.col("_q"), F.col("_p"), F.lit(q_len)).alias("_g"),
-                     F.substring(F.col("_q"), F.col("_p"), max_len).alias("_w")))
-    small, _ = bounded_broadcast(cand, broadcast_rows)
-    m = grams.join(small, "_g", "inner").filter(F.col("_w").startswith(F.col("mot")))
-    best = F.min_by(F.struct("code_station", "nom", "mot"), F.col("_rank")).alias("_m")
-    return (m.groupBy(*key_cols).agg(best)
-            .select(*key_cols, F.col("_m.code_station").alias("code_station"), F.col("_m.nom").alias("nom"),
-                    F.col("_m.mot").alias("mot")))
+    Exact, without evaluating (question, station) pairs: a question puts out its distinct substrings of the
+    lengths that station words have (a scalar subquery), and these meet the words in an equi-join on the
+    whole word, so a common beginning of many names is no hot key."""
+    words = station_words(ds)
+    lengths = words.select(F.array_sort(F.collect_set(F.length("mot")))).scalar()  # at most as many as the longest word has letters
+    q = questions.select(*key_cols, F.lower(F.coalesce(F.col(text_col), F.lit(""))).alias("_q"), lengths.alias("_lengths"))
+    parts = F.flatten(F.transform("_lengths", lambda n: F.when(
+        F.length("_q") >= n, F.transform(F.sequence(F.lit(1), F.length("_q") - n + 1), lambda p: F.substring(F.col("_q"), p, n))
+    ).otherwise(F.array().cast("array<string>"))))
+    found = q.select(*key_cols, F.explode(F.array_distinct(parts)).alias("mot")).join(words, "mot")
+    best = F.min(F.struct("rank", "code_station", "nom", "mot")).alias("_m")
+    return found.groupBy(*key_cols).agg(best).select(*key_cols, "_m.code_station", "_m.nom", "_m.mot")
 
 
 def route_questions(questions: DataFrame, ds: DataFrame, text_col: str = "question",
                     key_cols: tuple[str, ...] = ("conv_id", "turn")) -> DataFrame:
     """G1 (+ D6): intent per question - the first keyword rule that matches, else ``city``
     when a station name occurs in it, else ``default``."""
-    lookup = station_lookup_table(ds)
-    has_index = lookup.filter(F.col("indice").isNotNull()).exists()
-    routed = questions.select(*key_cols, question_intent(F.col(text_col), has_index).alias("_intent"))
-    cities = city_lookup(questions, ds, text_col, key_cols, lookup=lookup)
-    j = routed.join(cities, list(key_cols), "left")
+    has_index = ds.filter(F.col("indice").isNotNull()).exists()
+    routed = questions.select(*key_cols, question_intent(text_col, has_index).alias("_intent"))
+    j = routed.join(city_lookup(questions, ds, text_col, key_cols), list(key_cols), "left")
     intent = F.coalesce(F.col("_intent"), F.when(F.col("code_station").isNotNull(), F.lit("city")),
                         F.lit("default"))
     return j.select(*key_cols, intent.alias("intent"),

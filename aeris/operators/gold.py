@@ -14,10 +14,13 @@ INDEX_KEYS = ["code_site", "nom_site", "date_mesure"]
 def daily_means(silver: DataFrame, digits: int = 2) -> DataFrame:
     """Mean / min / max of the clamped readings (B10), rounded half-up to ``digits``,
     and the row count (NULL readings included), per site, name, pollutant, day and unit.
-    Partial aggregation runs before the shuffle, so hot keys do not skew it."""
+    Partial aggregation runs before the shuffle, so hot keys do not skew it. The mean's sum is taken in
+    decimals, so that the order of rows can't move a rounding (in doubles beyond their range)."""
     v = clamp_negative("valeur")
+    exact = F.sum(v.try_cast("decimal(28,10)")).cast("double") / F.nullif(F.count(v), F.lit(0))
+    mean = F.when(F.max(F.abs(v)) < 1e17, exact).otherwise(F.avg(v))
     return (silver.groupBy(*MEANS_KEYS)
-            .agg(round_half_up(F.avg(v), digits).alias("moyenne"),
+            .agg(round_half_up(mean, digits).alias("moyenne"),
                  round_half_up(F.min(v), digits).alias("minimum"),
                  round_half_up(F.max(v), digits).alias("maximum"),
                  F.count(F.lit(1)).alias("nb_mesures")))

@@ -1,51 +1,13 @@
-"""Join helpers: broadcast only behind a size check, with a shuffle join beyond it.
-
-Equi-joins to a dimension carry no hint. Catalyst broadcasts a side whose estimated size
-(file statistics) is under ``spark.sql.autoBroadcastJoinThreshold``; at runtime AQE
-measures the actual shuffle output and converts a sort-merge join into a broadcast join
-when that side is under ``spark.sql.adaptive.autoBroadcastJoinThreshold``. Beyond the
-threshold the join stays a sort-merge join (with AQE skew splitting), so the broadcast
-decision always rests on a measured or estimated size and never grows with the data
-unchecked. A row-count check (``bounded_broadcast``) is used only where Spark cannot
-choose by itself: non-equi joins, on an already materialised side.
-"""
+"""Join helper. Equi-joins to a dimension carry no hint: Catalyst broadcasts a side whose
+estimated size is under ``spark.sql.autoBroadcastJoinThreshold``, and AQE one whose measured
+shuffle output is under ``spark.sql.adaptive.autoBroadcastJoinThreshold``. Beyond that the join
+stays a sort-merge join with skew splitting."""
 
 from __future__ import annotations
 
-import uuid
-
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
-
-from aeris.session import checkpoint_dir
-
-DEFAULT_BROADCAST_ROWS = 2_000_000
 
 
 def left_join_dimension(fact: DataFrame, dim: DataFrame, on: str | list[str]) -> DataFrame:
     """Left equi-join of a fact table to a dimension (broadcast decided by Catalyst / AQE)."""
     return fact.join(dim, on=on, how="left")
-
-
-def materialise(df: DataFrame) -> DataFrame:
-    """Cut the lineage of a derived table that several consumers read: write it once as
-    Parquet into a fresh folder under the shared ``spark.checkpoint.dir`` and read it back.
-
-    One job computes and writes it (a reliable RDD checkpoint would compute the plan twice
-    and store rows); consumers then get columnar reads with pruning, pushdown and size
-    statistics, and the files survive executor loss. The folder is per call and never
-    overwritten; removing it is the caller's housekeeping."""
-    spark = df.sparkSession
-    folder = checkpoint_dir(spark)
-    if not folder:
-        return df  # no shared folder known: keep the lineage (recomputation stays correct)
-    path = f"{folder.rstrip('/')}/aeris-{uuid.uuid4().hex}"
-    df.write.mode("errorifexists").parquet(path)
-    return spark.read.parquet(path)
-
-
-def bounded_broadcast(df: DataFrame, max_rows: int = DEFAULT_BROADCAST_ROWS) -> tuple[DataFrame, bool]:
-    """``(broadcast(df), True)`` when ``df`` holds at most ``max_rows`` rows, else ``(df, False)``.
-    ``df`` should be materialised (the check reads at most ``max_rows + 1`` rows of it)."""
-    n = df.limit(max_rows + 1).count()
-    return (F.broadcast(df), True) if n <= max_rows else (df, False)

@@ -6,7 +6,7 @@ the natural key so ``LIMIT`` keeps a deterministic set."""
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from aeris.operators.joins import left_join_dimension
@@ -51,39 +51,44 @@ def list_stations(stations: DataFrame) -> DataFrame:
             .orderBy(F.col("nom").asc_nulls_last(), F.col("code_station").asc_nulls_last()))
 
 
-def list_indices(index_serving: DataFrame, day: str | None = None) -> DataFrame:
+def _as_day(day: str | Column) -> Column:
+    return day if isinstance(day, Column) else F.lit(day).cast("date")
+
+
+def list_indices(index_serving: DataFrame, day: str | Column | None = None) -> DataFrame:
     """located station-day indices; all days by ``jour DESC, indice DESC``, one day by ``indice DESC``."""
     df = located(index_serving)
     order = [F.col("indice_atmo").desc_nulls_first(), F.col("code_site").asc_nulls_last()]
-    if day:
-        df = df.filter(F.col("jour") == F.lit(day).cast("date"))
+    if day is not None:
+        df = df.filter(F.col("jour") == _as_day(day))
     else:
         order = [F.col("jour").desc_nulls_first()] + order
     return df.orderBy(*order)
 
 
-def list_means(means_serving: DataFrame, pollutant: str | None = None, day: str | None = None,
+def list_means(means_serving: DataFrame, pollutant: str | None = None, day: str | Column | None = None,
                limit: int | None = MEANS_LIMIT) -> DataFrame:
     """daily means by ``jour DESC, moyenne DESC`` capped at ``limit`` rows (top-k:
     TakeOrderedAndProject keeps ``limit`` rows per task, never the whole table)."""
     df = equality_filters(means_serving, code_polluant=pollutant)
-    if day:
-        df = df.filter(F.col("jour") == F.lit(day).cast("date"))
+    if day is not None:
+        df = df.filter(F.col("jour") == _as_day(day))
     df = df.orderBy(F.col("jour").desc_nulls_first(), F.col("moyenne").desc_nulls_first(),
                     F.col("code_site").asc_nulls_last(), F.col("code_polluant").asc_nulls_last(),
                     F.col("nom_site").asc_nulls_last(), F.col("unite").asc_nulls_last())
     return df.limit(limit) if limit else df
 
 
-def list_exceedances(exc_serving: DataFrame, day: str | None = None,
+def list_exceedances(exc_serving: DataFrame, day: str | Column | None = None,
                      limit: int | None = EXCEEDANCE_LIMIT) -> DataFrame:
-    """exceedances by ``horodatage DESC``; capped at ``limit`` only when no day is given."""
+    """exceedances by ``horodatage DESC``; capped at ``limit`` only when no day is given. The day is
+    filtered before the sort, so a day is always whole."""
     df = exc_serving
-    if day:
-        df = df.filter(F.col("jour") == F.lit(day).cast("date"))
+    if day is not None:
+        df = df.filter(F.col("jour") == _as_day(day))
     df = df.orderBy(F.col("horodatage").desc_nulls_first(), F.col("code_site").asc_nulls_last(),
                     F.col("code_polluant").asc_nulls_last(), F.col("valeur").desc_nulls_first())
-    return df.limit(limit) if (limit and not day) else df
+    return df.limit(limit) if (limit and day is None) else df
 
 
 def global_stats(stations: DataFrame, index_serving: DataFrame, exc_serving: DataFrame) -> DataFrame:

@@ -9,12 +9,14 @@ from aeris.functions import exceedance_class, measurement_date, parse_source_tim
 from aeris.schemas import SILVER_COLUMNS
 
 DEDUP_KEYS = ["code_site", "code_polluant", "horodatage"]
-# Survivor of a duplicate group: first ingested, then smallest reading, then validity flag.
+# Survivor of a duplicate group: first ingested, then smallest reading, then every other column, so
+# that a retried task picks the same row.
+DEDUP_ORDER = ["_ingested_at", "valeur", "validite", "nom_site", "unite", "organisme", "code_zas", "zas",
+               "type_implantation", "type_influence", "type_valeur", "horodatage_fin"]
 
 
 def dedup_order() -> list[Column]:
-    return [F.col("_ingested_at").asc_nulls_last(), F.col("valeur").asc_nulls_last(),
-            F.col("validite").asc_nulls_last()]
+    return [F.col(c).asc_nulls_last() for c in DEDUP_ORDER]
 
 
 def day_filter(bronze: DataFrame, day: str | None) -> DataFrame:
@@ -61,13 +63,19 @@ def with_exceedance(df: DataFrame) -> DataFrame:
     return df.withColumn("depassement", exceedance_class("valeur", "code_polluant"))
 
 
-def clean_measurements(bronze: DataFrame, day: str | None = None, processed_at: bool = True,
+def clean_measurements(bronze: DataFrame, day: str | Column | None = None, processed_at: bool = True,
                        observe_input=None) -> DataFrame:
     """Bronze records -> Silver measurements.
 
+    ``day``: a day as text, or a date column (such as a scalar subquery). Either way other days are
+    dropped before the deduplication: the day is a function of its key.
+
     ``observe_input``: an ``Observation`` that collects, during the same job, the rows in
     scope and the invalid / valid counts before deduplication (E15 without extra passes)."""
-    t = typed(day_filter(bronze, day))
+    by_column = isinstance(day, Column)
+    t = typed(bronze if by_column else day_filter(bronze, day))
+    if by_column:
+        t = t.filter(F.col("date_mesure") == day)
     if observe_input is not None:
         t = t.observe(observe_input, F.count(F.lit(1)).alias("rows_in_scope"),
                       F.count_if(F.col("validite") == "-1").alias("rows_invalid"),

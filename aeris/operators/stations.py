@@ -7,7 +7,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from aeris.constants import POLLUTANT_SEED
-from aeris.functions import commune_from_name, geo_point
+from aeris.functions import geo_point, with_commune
 from aeris.operators.joins import left_join_dimension
 from aeris.schemas import POLLUTANT_SCHEMA
 
@@ -15,11 +15,12 @@ STATION_ATTRS = ["nom_site", "organisme", "code_zas", "zas", "type_implantation"
 UPSERT_COLUMNS = ["nom", "type_station", "type_influence", "latitude", "longitude"]
 
 
-def distinct_stations(silver: DataFrame) -> DataFrame:
-    """one row per ``code_site``. The survivor is the smallest attribute tuple, so the
-    result is deterministic; ``min`` aggregates partially before the shuffle."""
+def distinct_stations(readings: DataFrame) -> DataFrame:
+    """one row per ``code_site`` of valid readings, deduplicated or not (any reading names the
+    station). The survivor is the smallest attribute tuple, so the result is deterministic; ``min``
+    aggregates partially before the shuffle."""
     best = F.min(F.struct(*[F.col(c) for c in STATION_ATTRS])).alias("_s")
-    return silver.groupBy("code_site").agg(best).select("code_site", *[F.col(f"_s.{c}").alias(c) for c in STATION_ATTRS])
+    return readings.groupBy("code_site").agg(best).select("code_site", *[F.col(f"_s.{c}").alias(c) for c in STATION_ATTRS])
 
 
 def gazetteer_by_commune(gazetteer: DataFrame) -> DataFrame:
@@ -36,7 +37,7 @@ def geocode(stations: DataFrame, gazetteer: DataFrame) -> DataFrame:
     """D3: commune from the station name (B14), looked up once per distinct lower-case
     commune in the gazetteer (left equi-join; Catalyst / AQE broadcast the gazetteer side
     when its size is under the threshold, sort-merge otherwise)."""
-    s = stations.withColumn("commune_extraite", commune_from_name("nom_site", "zas"))
+    s = with_commune(stations, "nom_site", "zas", "commune_extraite")
     s = s.withColumn("_key", F.lower("commune_extraite"))
     out = left_join_dimension(s, gazetteer_by_commune(gazetteer), "_key").drop("_key")
     return out.withColumn("geocode_ok", F.col("latitude").isNotNull() & F.col("longitude").isNotNull())
@@ -85,11 +86,9 @@ def insert_missing(base: DataFrame, seed: DataFrame, key: str = "code_polluant")
     return base.unionByName(seed.join(base.select(key), key, "left_anti"))
 
 
-def observed_pollutants(silver: DataFrame) -> DataFrame:
-    """Pollutant dimension rows as observed in the measurements (one per code)."""
-    return (silver.groupBy("code_polluant").agg(F.min("unite").alias("unite"))
-            .select("code_polluant", F.col("code_polluant").alias("libelle"), "unite",
-                    F.lit(None).cast("double").alias("seuil_info"), F.lit(None).cast("double").alias("seuil_alerte")))
+def known_pollutants(exceedances: DataFrame, seed: DataFrame) -> DataFrame:
+    """Pollutant rows as an earlier load would hold them: those that have exceeded, with their attributes."""
+    return seed.join(exceedances.select("code_polluant").distinct(), "code_polluant", "left_semi")
 
 
 def geocoding_coverage(records: DataFrame) -> DataFrame:

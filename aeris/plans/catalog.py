@@ -18,57 +18,53 @@ from aeris.operators import quality as Q
 from aeris.operators import serving as S
 from aeris.operators import silver as SV
 from aeris.operators import stations as ST
-from aeris.operators.joins import materialise
 from aeris.plans.domain import Domain
-from aeris.session import worth_materialising
 from aeris.schemas import TEXT_LIMITS
-from aeris.streaming import publish_frame
+from aeris.session import apply_defaults
+from aeris.sources.csv_source import csv_lines, parse_csv_lines, source_to_bronze
+from aeris.streaming import parse_messages, publish_frame
 
 # Parameters of the registered queries (what a user of the views would pick).
 POLLUTANT = "NO2"
 LABEL = "Moyen"
 LANG = "en"
 DAY = "2024-01-15"
+STAMP = "2024-02-01T00:00:00.000000Z"
 SEARCH = {"text": "supplier#00000001", "qualities": [1, 2, 3], "influence": "Fond"}
 
 
 class Views:
     """Serving-level views derived from a :class:`Domain`."""
 
-    def __init__(self, d: Domain, reuse_index: bool = False):
+    def __init__(self, d: Domain):
         self.d = d
-        self.reuse_index = reuse_index
 
     @cached_property
     def index_serving(self) -> DataFrame:
-        idx = S.serving_index(self.d.index, self.d.stations)
-        return materialise(idx) if self.reuse_index else idx
+        return S.serving_index(self.d.index, self.d.stations)
 
-    @property
+    @cached_property
     def means_serving(self) -> DataFrame:
         return S.serving_means(self.d.means)
 
-    @property
+    @cached_property
     def exc_serving(self) -> DataFrame:
         return S.serving_exceedances(self.d.exceedances)
 
+    # the latest day, cut out before the deduplication
     @cached_property
-    def latest(self):
-        return A.latest_measurement_day(self.d.silver if self.d.reuse else self.d.valid_readings)
+    def index_day(self) -> DataFrame:
+        return G.daily_index(G.daily_means(self.d.silver_latest))
 
     @cached_property
     def ds(self) -> DataFrame:
-        if self.reuse_index:
-            return A.day_stations(self.index_serving, self.d.stations, day_col=self.latest)
-        return A.day_view(self.d.index, self.d.stations, day=self.latest)
+        return A.day_stations(self.index_day, self.d.stations)
 
 
-def _q(fn: Callable[[Domain, Views], DataFrame], reuse_silver: bool = False,
-       reuse_index: bool = False) -> Callable[[SparkSession, str], DataFrame]:
+def _q(fn: Callable[[Domain, Views], DataFrame]) -> Callable[[SparkSession, str], DataFrame]:
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-        big = (reuse_silver or reuse_index) and worth_materialising(spark, f"{sf_dir.rstrip('/')}/events.parquet")
-        d = Domain(spark, sf_dir, reuse=reuse_silver and big)
-        return fn(d, Views(d, reuse_index and big))
+        d = Domain(apply_defaults(spark), sf_dir)
+        return fn(d, Views(d))
     run.__doc__ = fn.__doc__
     return run
 
@@ -90,11 +86,15 @@ QUERIES: dict[str, Callable[[Domain, Views], DataFrame]] = {
     "serving_index": lambda d, v: v.index_serving,
     "list_stations": lambda d, v: S.list_stations(d.stations),
     "list_indices_all_days": lambda d, v: S.list_indices(v.index_serving),
-    "list_indices_latest_day": lambda d, v: S.list_indices(v.index_serving).filter(F.col("jour") == v.latest),
+    "list_indices_latest_day": lambda d, v: S.list_indices(S.serving_index(v.index_day, d.stations), day=d.latest),
+    "list_indices_day": lambda d, v: S.list_indices(v.index_serving, day=DAY),
+    "list_means_day": lambda d, v: S.list_means(v.means_serving, pollutant=POLLUTANT, day=DAY),
     "list_means_pollutant": lambda d, v: S.list_means(v.means_serving, pollutant=POLLUTANT),
     "list_means_all": lambda d, v: S.list_means(v.means_serving),
     "list_exceedances": lambda d, v: S.list_exceedances(v.exc_serving),
-    "list_exceedances_latest_day": lambda d, v: S.list_exceedances(v.exc_serving).filter(F.col("jour") == v.latest),
+    "list_exceedances_latest_day": lambda d, v: S.list_exceedances(
+        S.serving_exceedances(G.exceedance_mart(d.silver_latest)), day=d.latest),
+    "list_exceedances_day": lambda d, v: S.list_exceedances(v.exc_serving, day=DAY),
     "global_stats": lambda d, v: S.global_stats(d.stations, v.index_serving, v.exc_serving),
     "label_distribution": lambda d, v: S.label_distribution(v.index_serving),
     # --- analytics --------------------------------------------------------------------
@@ -102,18 +102,16 @@ QUERIES: dict[str, Callable[[Domain, Views], DataFrame]] = {
     "mean_index": lambda d, v: A.mean_index(v.ds),
     "count_by_pollutant": lambda d, v: A.count_by_pollutant(v.ds),
     "exceedances_by_pollutant": lambda d, v: A.exceedances_by_pollutant(v.exc_serving),
-    "exceedances_by_pollutant_capped": lambda d, v: A.exceedances_by_pollutant(S.list_exceedances(v.exc_serving)),
     "exceedances_by_day": lambda d, v: A.exceedances_by_day(v.exc_serving),
     "stations_by_influence": lambda d, v: A.stations_by_influence(v.ds),
     "good_share": lambda d, v: A.good_share(v.index_serving),
     "dominant_pollutant": lambda d, v: A.dominant_pollutant(v.ds),
-    "total_exceedances": lambda d, v: A.total_exceedances(S.global_stats(d.stations, v.index_serving, v.exc_serving)),
+    "total_exceedances": lambda d, v: A.total_exceedances(v.exc_serving),
     "most_exposed": lambda d, v: A.most_exposed(v.means_serving, POLLUTANT),
-    "most_exposed_uncapped": lambda d, v: A.most_exposed(v.means_serving, POLLUTANT, cap=None),
     "station_ranking": lambda d, v: A.ranking(v.ds),
     "worst_and_best": lambda d, v: A.worst_and_best(v.ds),
     "filter_options": lambda d, v: A.filter_options(v.ds),
-    "exceedance_table": lambda d, v: A.exceedance_table(S.list_exceedances(v.exc_serving)),
+    "exceedance_table": lambda d, v: A.exceedance_table(S.list_exceedances(v.exc_serving, limit=None)),
     "recent_exceedances": lambda d, v: A.recent_exceedances(S.list_exceedances(v.exc_serving)),
     "label_filter": lambda d, v: A.label_filter(v.ds, LABEL),
     "station_search": lambda d, v: A.search_stations(v.ds, **SEARCH),
@@ -123,29 +121,30 @@ QUERIES: dict[str, Callable[[Domain, Views], DataFrame]] = {
     "question_routing": lambda d, v: A.route_questions(d.questions, v.ds),
     "city_lookup": lambda d, v: A.city_lookup(d.questions, v.ds),
     # --- station reference --------------------------------------------------------------
-    "distinct_stations": lambda d, v: ST.distinct_stations(d.silver),
+    "distinct_stations": lambda d, v: ST.distinct_stations(d.valid_readings),
     "geocoded_stations": lambda d, v: d.station_records,
     "station_geometry": lambda d, v: ST.with_geometry(d.stations).select(
         "code_station", F.col("geom.lon").alias("geom_lon"), F.col("geom.lat").alias("geom_lat"),
         F.col("geom.srid").alias("geom_srid")),
     "station_upsert": lambda d, v: ST.upsert(d.station_base, d.stations),
-    "pollutant_dimension": lambda d, v: ST.insert_missing(ST.observed_pollutants(d.silver),
-                                                          ST.pollutant_seed(d.spark)),
+    "pollutant_dimension": lambda d, v: ST.insert_missing(
+        ST.known_pollutants(d.exceedances, ST.pollutant_seed(d.spark)), ST.pollutant_seed(d.spark)),
     "geocoding_coverage": lambda d, v: ST.geocoding_coverage(d.station_records),
     # --- data quality -------------------------------------------------------------------
     "uniqueness_report": lambda d, v: Q.uniqueness_report({
         "indice_site_jour": (v.index_serving, ["code_site", "jour"]),
         "moyennes_site_polluant_jour": (v.means_serving, ["code_site", "code_polluant", "jour"]),
-        "mesure_station_polluant_heure": (d.silver, ["code_site", "code_polluant", "horodatage"]),
+        "mesure_station_polluant_heure": (d.valid_readings, ["code_site", "code_polluant", "horodatage"]),
     }),
     "referential_report": lambda d, v: Q.referential_report({
         "station_region": (ST.upsert(d.station_base, d.stations), d.regions, "code_region", "code_region"),
-        "indice_station": (v.index_serving, d.stations, "code_site", "code_station"),
-        "moyennes_polluant": (v.means_serving, ST.pollutant_seed(d.spark), "code_polluant", "code_polluant"),
+        "mesure_station": (d.valid_readings, d.station_base, "code_site", "code_station"),
+        "source_polluant": (d.source_rows.select("Polluant"), ST.pollutant_seed(d.spark), "Polluant", "code_polluant"),
     }),
     "not_null_report": lambda d, v: Q.not_null_report({
         "station": (ST.upsert(d.station_base, d.stations), ["code_station", "nom"]),
         "region": (d.regions, ["code_region", "nom"]),
+        "polluant": (ST.pollutant_seed(d.spark), ["code_polluant", "libelle", "unite"]),
         "mesure": (d.silver, ["code_site", "horodatage"]),
         "indice": (v.index_serving, ["jour"]),
     }),
@@ -154,33 +153,19 @@ QUERIES: dict[str, Callable[[Domain, Views], DataFrame]] = {
         "moyennes": (v.means_serving, TEXT_LIMITS["moyennes"]),
         "depassements": (v.exc_serving, TEXT_LIMITS["depassements"]),
         "station": (ST.upsert(d.station_base, d.stations), TEXT_LIMITS["station"]),
+        "region": (d.regions, TEXT_LIMITS["region"]),
+        "polluant": (ST.pollutant_seed(d.spark), TEXT_LIMITS["polluant"]),
     }),
     "non_empty_report": lambda d, v: Q.non_empty_report({
         "moyennes_journalieres": d.means, "indice_journalier": d.index, "depassements": d.exceedances,
     }),
     # --- stream side ----------------------------------------------------------------------
     "published_messages": lambda d, v: publish_frame(d.bronze),
-}
-
-
-# Lineage cuts by consumer count (recomputing Silver from the raw tables costs a full scan
-# and a shuffle per consumer; materialising costs one write and pruned columnar reads).
-# Applied when the raw input is large enough for that to pay (``worth_materialising``).
-# Plans that scan the serving index twice (the latest-day scalar subquery plus the main
-# query) materialise it, and with it Silver, which then has four consumers.
-DAY_VIEW = {
-    "day_stations", "mean_index", "count_by_pollutant", "stations_by_influence", "dominant_pollutant",
-    "station_ranking", "worst_and_best", "filter_options", "label_filter", "station_search",
-    "display_attributes", "question_routing", "city_lookup", "list_indices_latest_day",
-    "list_exceedances_latest_day",
-}
-# Plans with three or more Silver consumers (stations, marts, checks) materialise Silver only.
-MULTI_CONSUMER = {
-    "global_stats", "total_exceedances", "uniqueness_report", "referential_report", "not_null_report",
-    "text_length_report", "non_empty_report",
+    "bronze_from_messages": lambda d, v: parse_messages(publish_frame(d.bronze)),
+    # --- source side ----------------------------------------------------------------------
+    "csv_records": lambda d, v: source_to_bronze(parse_csv_lines(csv_lines(d.source_rows)), ingested_at=STAMP),
 }
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {name: _q(fn, reuse_silver=name in DAY_VIEW | MULTI_CONSUMER, reuse_index=name in DAY_VIEW)
-            for name, fn in QUERIES.items()}
+    return {name: _q(fn) for name, fn in QUERIES.items()}

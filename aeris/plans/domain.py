@@ -8,41 +8,48 @@ from __future__ import annotations
 
 from functools import cached_property
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 
 from aeris.operators import gold, silver, stations
-from aeris.operators.joins import materialise
+from aeris.operators.analytics import latest_measurement_day
 from aeris.sources import binding
 from aeris.sources.csv_source import source_to_bronze
 
 
 class Domain:
-    def __init__(self, spark: SparkSession, sf_dir: str, day: str | None = None, reuse: bool = False):
-        """``reuse``: the query consumes Silver more than once (e.g. index and stations);
-        Silver is then materialised once (Parquet under spark.checkpoint.dir) instead of being
-        recomputed from the raw tables by every consumer."""
+    def __init__(self, spark: SparkSession, sf_dir: str):
         self.spark = spark
         self.sf_dir = sf_dir
-        self.day = day
-        self.reuse = reuse
 
     def table(self, name: str) -> DataFrame:
         return binding.table(self.spark, self.sf_dir, name)
 
     # --- Bronze / Silver / Gold ---------------------------------------------------
+    @cached_property
+    def source_rows(self) -> DataFrame:
+        return binding.bind_source_rows(self.table("events"))
+
     @cached_property
     def bronze(self) -> DataFrame:
-        return source_to_bronze(binding.bind_source_rows(self.table("events")))
+        return source_to_bronze(self.source_rows)
 
     @cached_property
     def silver(self) -> DataFrame:
-        s = silver.clean_measurements(self.bronze, day=self.day, processed_at=False)
-        return materialise(s) if self.reuse else s
+        return silver.clean_measurements(self.bronze, processed_at=False)
 
     @cached_property
     def valid_readings(self) -> DataFrame:
-        """Typed, valid Bronze rows before deduplication (same days as Silver)."""
-        return silver.valid_only(silver.typed(silver.day_filter(self.bronze, self.day)))
+        """Typed, valid Bronze rows before deduplication."""
+        return silver.valid_only(silver.typed(self.bronze))
+
+    @cached_property
+    def latest(self) -> Column:
+        return latest_measurement_day(self.valid_readings)
+
+    @cached_property
+    def silver_latest(self) -> DataFrame:
+        """Silver of the latest day; other days go before the deduplication."""
+        return silver.clean_measurements(self.bronze, day=self.latest, processed_at=False)
 
     @cached_property
     def means(self) -> DataFrame:
@@ -75,8 +82,8 @@ class Domain:
 
     @cached_property
     def station_records(self) -> DataFrame:
-        """Distinct Silver stations, geocoded (F2 -> B14 -> D3)."""
-        return stations.geocode(stations.distinct_stations(self.silver), self.gazetteer)
+        """Distinct stations, geocoded (F2 -> B14 -> D3)."""
+        return stations.geocode(stations.distinct_stations(self.valid_readings), self.gazetteer)
 
     @cached_property
     def stations(self) -> DataFrame:

@@ -9,11 +9,14 @@ station_reference  Silver + gazetteer (+ previous station table) -> station tabl
 
 from __future__ import annotations
 
+import argparse
+
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from aeris.operators import gold, serving, silver, stations
-from aeris.sources.lake import read_bronze_json, read_mart, write_documents, write_partitioned
+from aeris.sources.lake import lake_path, read_bronze_json, read_mart, write_documents, write_partitioned
+from aeris.session import apply_defaults
 from aeris.sources.tables import write_table
 
 
@@ -27,17 +30,18 @@ def _overwrite_mode(day: str | None, overwrite: str | None) -> bool:
 
 def bronze_to_silver(spark: SparkSession, bronze_path: str, silver_path: str, day: str | None = None,
                      overwrite: str | None = None) -> dict:
-    """Clean one day (or everything) and write Silver; returns the run metrics (E15: rows in
-    scope, invalid, valid, duplicates removed, written, exceedance counts), all observed
+    """Clean one day (or everything) and write Silver; returns the run metrics (E15: rows
+    read, in scope, invalid, valid, duplicates removed, written, exceedance counts), all observed
     during the write job itself - no extra pass over Bronze."""
     bronze = read_bronze_json(spark, bronze_path, day)
-    obs_in, obs_out = Observation("bronze_in"), Observation("silver_out")
+    obs_read, obs_in, obs_out = Observation("bronze_read"), Observation("bronze_in"), Observation("silver_out")
+    bronze = bronze.observe(obs_read, F.count(F.lit(1)).alias("rows_read"))
     out = silver.clean_measurements(bronze, day=day, observe_input=obs_in)
     out = out.observe(obs_out, F.count(F.lit(1)).alias("rows_written"),
                       F.count_if(F.col("depassement") == "alerte").alias("alerte"),
                       F.count_if(F.col("depassement") == "info").alias("info"))
     write_partitioned(out, silver_path, "date_mesure", dynamic=_overwrite_mode(day, overwrite))
-    metrics = {**obs_in.get, **obs_out.get}
+    metrics = {**obs_read.get, **obs_in.get, **obs_out.get}
     metrics["duplicates_removed"] = metrics["rows_valid"] - metrics["rows_written"]
     return metrics
 
@@ -83,3 +87,23 @@ def station_reference(spark: SparkSession, silver_path: str, gazetteer: DataFram
     if documents_path:
         write_documents(records, documents_path, key="code_site")
     return read_mart(spark, out_path)
+
+
+def main(argv: list[str] | None = None) -> None:
+    """``python -m aeris.plans.jobs bronze-to-silver|silver-to-gold --root LAKE [--date YYYY-MM-DD] [--overwrite static]``"""
+    parser = argparse.ArgumentParser(description="Medallion jobs over the zones under one root")
+    parser.add_argument("job", choices=["bronze-to-silver", "silver-to-gold"])
+    parser.add_argument("--root", required=True)
+    parser.add_argument("--date", help="rebuild one day only (YYYY-MM-DD)")
+    parser.add_argument("--overwrite", choices=["dynamic", "static"])
+    args = parser.parse_args(argv)
+    spark = apply_defaults(SparkSession.builder.appName(args.job).getOrCreate())
+    zone = lambda name: lake_path(name, root=args.root)
+    if args.job == "bronze-to-silver":
+        print(bronze_to_silver(spark, zone("bronze"), zone("silver"), args.date, args.overwrite))
+    else:
+        print(silver_to_gold(spark, zone("silver"), zone("gold"), args.date, args.overwrite))
+
+
+if __name__ == "__main__":
+    main()

@@ -14,6 +14,7 @@ def RHU(x: str, d: int = 2) -> str:
 VALUE_TEXT = ("CASE WHEN k % 17 = 0 THEN '' WHEN k % 13 = 0 THEN CAST(0.0 - value AS VARCHAR) "
               "ELSE coalesce(CAST(value AS VARCHAR), '') END")
 
+# Words that are no commune, and first words of compound communes.
 NOISE = ("'periurbaine','periurb','urbain','urbaine','rurale','trafic','stade','mairie','zi','za','rocade',"
          "'sud','nord','est','ouest','boulevards','centre','peripherique','autoroute','zone','parc'")
 PREFIXES = "'st','saint','sainte','ste','le','la','les','aix'"
@@ -27,32 +28,38 @@ ev AS (
   SELECT *, TRY_CAST(json_extract_string(props, '$.k') AS INTEGER) AS k, date_trunc('hour', ts) AS hr
   FROM events
 ),
+labelled AS (
+  SELECT *, CASE WHEN k % 19 = 1 THEN 'SO2' WHEN k % 19 = 2 THEN 'CO' WHEN event_type = 'view' THEN 'O3' WHEN event_type = 'purchase' THEN 'PM10'
+                 WHEN event_type = 'signup' THEN 'PM2.5' WHEN event_type = 'click' THEN 'NO2' WHEN event_type = 'error' THEN 'C6H6' END AS label,
+         CASE WHEN k % 37 = 0 THEN '' WHEN k % 41 = 0 THEN '2024/99/99 00:00:00' ELSE coalesce(strftime(hr, '%Y/%m/%d %H:%M:%S'), '') END AS debut
+  FROM ev
+),
 bronze AS (
   SELECT
-    coalesce(strftime(hr, '%Y/%m/%d %H:%M:%S'), '') AS date_debut,
+    debut AS date_debut,
     coalesce(strftime(hr + INTERVAL 1 HOUR, '%Y/%m/%d %H:%M:%S'), '') AS date_fin,
     'AASQA ' || CAST(user_id % 13 AS VARCHAR) AS organisme,
     'FRZAG' || lpad(CAST(user_id % 25 AS VARCHAR), 2, '0') AS code_zas,
-    'ZAG NATION ' || CAST(user_id % 25 AS VARCHAR) AS zas,
+    rtrim((['ZAG ', 'ZAR ', 'ZA '])[user_id % 3 + 1] || 'NATION ' || CAST(user_id % 25 AS VARCHAR)) AS zas,
     CAST(user_id AS VARCHAR) AS code_site,
-    'Supplier#' || lpad(CAST(user_id AS VARCHAR), 9, '0') AS nom_site,
+    trim(CASE user_id % 8 WHEN 3 THEN 'Saint Supplier#' || lpad(CAST(user_id AS VARCHAR), 9, '0') || ' Centre'
+      WHEN 4 THEN 'A7 Supplier#' || lpad(CAST(user_id AS VARCHAR), 9, '0') WHEN 5 THEN 'Rocade_Sud-' || user_id
+      WHEN 6 THEN '' ELSE 'Supplier#' || lpad(CAST(user_id AS VARCHAR), 9, '0') END || CASE WHEN k % 31 = 0 THEN ' Bis' ELSE '' END) AS nom_site,
     (['Urbaine', 'Periurbaine', 'Rurale'])[user_id % 3 + 1] AS type_implantation,
-    CASE event_type WHEN 'view' THEN 'O3' WHEN 'purchase' THEN 'PM10' WHEN 'signup' THEN 'PM2.5'
-                    WHEN 'click' THEN 'NO2' END AS polluant_source,
-    CASE event_type WHEN 'view' THEN 'O3' WHEN 'purchase' THEN 'PM10' WHEN 'signup' THEN 'PM25'
-                    WHEN 'click' THEN 'NO2' END AS code_polluant,
+    label AS polluant_source,
+    replace(label, '.', '') AS code_polluant,
     (['Fond', 'Trafic', 'Industrielle', ''])[user_id % 4 + 1] AS type_influence,
     'moyenne horaire brute' AS type_valeur,
     {VALUE_TEXT} AS valeur,
     {VALUE_TEXT} AS valeur_brute,
-    CASE WHEN k % 7 = 0 THEN 'µg/m3' ELSE 'µg-m3' END AS unite_source,
-    'ug/m3' AS unite,
+    CASE WHEN k % 29 = 0 THEN 'parties par milliard (ppb)' WHEN k % 19 = 2 THEN 'mg-m3' WHEN k % 7 = 0 THEN 'µg/m3' ELSE 'µg-m3' END AS unite_source,
+    CASE WHEN k % 29 = 0 THEN 'parties par milliard (ppb)' WHEN k % 19 = 2 THEN 'mg/m3' ELSE 'ug/m3' END AS unite,
     'A' AS code_qualite,
     CASE WHEN k % 10 = 0 THEN '-1' WHEN k % 23 = 0 THEN '' ELSE '1' END AS validite,
     strftime(ts, '%Y-%m-%dT%H:%M:%S.%f') AS _ingested_at,
-    CASE WHEN hr IS NULL THEN 'inconnue' ELSE strftime(hr, '%Y-%m-%d') END AS date
-  FROM ev
-  WHERE event_type IN ('view', 'purchase', 'signup', 'click')
+    CASE WHEN length(debut) < 10 THEN 'inconnue' ELSE replace(substr(debut, 1, 10), '/', '-') END AS date
+  FROM labelled
+  WHERE label IN ('NO2', 'O3', 'PM10', 'PM2.5', 'SO2', 'CO')
 ),
 typed AS (
   SELECT *, CASE WHEN isnan(v0) OR isinf(v0) THEN NULL ELSE v0 END AS valeur_num,
@@ -64,7 +71,8 @@ dedup AS (
   SELECT * EXCLUDE (rn) FROM (
     SELECT *, row_number() OVER (PARTITION BY code_site, code_polluant, horodatage
                                  ORDER BY _ingested_at ASC NULLS LAST, valeur_num ASC NULLS LAST,
-                                          validite ASC NULLS LAST) AS rn
+                                          validite ASC NULLS LAST, nom_site, unite, organisme, code_zas, zas,
+                                          type_implantation, type_influence, type_valeur, horodatage_fin) AS rn
     FROM typed WHERE validite <> '-1') WHERE rn = 1
 ),
 silver AS (
@@ -81,7 +89,7 @@ silver AS (
 ),
 means AS (
   SELECT code_site, nom_site, code_polluant, date_mesure, unite,
-         {RHU('avg(va)')} AS moyenne, {RHU('min(va)')} AS minimum, {RHU('max(va)')} AS maximum,
+         {RHU('CAST(sum(CAST(va AS DECIMAL(28, 10))) AS DOUBLE) / nullif(count(va), 0)')} AS moyenne, {RHU('min(va)')} AS minimum, {RHU('max(va)')} AS maximum,
          count(*) AS nb_mesures
   FROM (SELECT *, CASE WHEN valeur < 0 THEN 0.0 ELSE valeur END AS va FROM silver)
   GROUP BY code_site, nom_site, code_polluant, date_mesure, unite
@@ -120,7 +128,7 @@ st_distinct AS (
   SELECT code_site, nom_site, organisme, code_zas, zas, type_implantation, type_influence FROM (
     SELECT *, row_number() OVER (PARTITION BY code_site ORDER BY nom_site, organisme, code_zas, zas,
                                  type_implantation, type_influence) AS rn
-    FROM silver) WHERE rn = 1
+    FROM typed WHERE validite <> '-1') WHERE rn = 1
 ),
 st_tok AS (
   SELECT *, list_filter(string_split_regex(translate(coalesce(nom_site, ''), '_-', '  '), '\\s+'), lambda x: x <> '') AS toks,
@@ -143,15 +151,16 @@ st_commune AS (
     FROM st_tok)
 ),
 gazetteer AS (
-  SELECT s_name AS commune, s_name AS label, 'region ' || CAST(s_nationkey AS VARCHAR) AS contexte,
-         -4.5 + CAST(s_nationkey % 25 AS DOUBLE) * 0.5 AS longitude,
-         41.0 + CAST(s_suppkey % 64 AS DOUBLE) * 0.125 AS latitude
-  FROM supplier WHERE s_acctbal >= 0
+  SELECT unnest([s_name, 'Saint ' || s_name, 'Nation ' || CAST(s_nationkey AS VARCHAR)]) AS commune, s_name AS label,
+         'region ' || CAST(s_nationkey AS VARCHAR) AS contexte,
+         CASE WHEN s_acctbal >= 0 THEN -4.5 + CAST(s_nationkey % 25 AS DOUBLE) * 0.5 END AS longitude,
+         CASE WHEN s_acctbal >= 0 THEN 41.0 + CAST(s_suppkey % 64 AS DOUBLE) * 0.125 END AS latitude
+  FROM supplier
 ),
 gaz1 AS (
   SELECT key, label AS commune_label, contexte, longitude, latitude FROM (
     SELECT *, lower(commune) AS key,
-           row_number() OVER (PARTITION BY lower(commune) ORDER BY label, contexte, longitude, latitude) AS rn
+           row_number() OVER (PARTITION BY lower(commune) ORDER BY label, contexte, longitude NULLS FIRST, latitude NULLS FIRST) AS rn
     FROM gazetteer) WHERE rn = 1
 ),
 st_geo AS (
@@ -165,7 +174,8 @@ stations AS (
   FROM st_geo
 ),
 station_base AS (
-  SELECT CAST(s_suppkey AS VARCHAR) AS code_station, s_name AS nom, CAST(s_nationkey AS VARCHAR) AS code_region,
+  SELECT CAST(s_suppkey AS VARCHAR) AS code_station, s_name AS nom,
+         CASE WHEN s_suppkey % 17 = 0 THEN '99' ELSE CAST(s_nationkey AS VARCHAR) END AS code_region,
          (['Urbaine', 'Periurbaine', 'Rurale'])[s_suppkey % 3 + 1] AS type_station,
          (['Fond', 'Trafic', 'Industrielle', ''])[s_suppkey % 4 + 1] AS type_influence,
          CASE WHEN s_acctbal >= 0 THEN 41.0 + CAST(s_suppkey % 64 AS DOUBLE) * 0.125 END AS latitude,
@@ -228,7 +238,11 @@ exc_list AS (
   LIMIT 1000
 ),
 questions AS (
-  SELECT conv_id, turn, text AS question FROM conversations WHERE role = 'user'
+  SELECT conv_id, turn,
+         (['Combien de stations ? ', 'Où sont les alertes ? ', 'La station la plus polluée ? ', 'La meilleure ? ', 'Quel polluant ? ',
+           'Qualité de l''air ? ', 'Bonjour ! ', 'Help! ', '', '', 'A Supplier#' || lpad(CAST((conv_id * 3 + turn) % 120 AS VARCHAR), 9, '0') || ' ? ',
+           'a supplier#' || lpad(CAST((conv_id * 3 + turn) % 120 AS VARCHAR), 9, '0') || ' ? '])[(conv_id + turn) % 12 + 1] || coalesce(text, '') AS question
+  FROM conversations
 ),
 city_cand AS (
   SELECT code_station, nom, mot, indice FROM (
@@ -248,21 +262,17 @@ MEANS_ORDER = ("jour DESC NULLS FIRST, moyenne DESC NULLS FIRST, code_site ASC N
                "code_polluant ASC NULLS LAST, nom_site ASC NULLS LAST, unite ASC NULLS LAST")
 
 
-def _intent_sql() -> str:
-    from aeris.constants import DATA_DEPENDENT_INTENTS, INTENT_RULES
-
-    def any_of(words):
-        return "(" + " OR ".join("contains(q, '{}')".format(w.replace("'", "''")) for w in words) + ")"
-
-    parts = []
-    for intent, words, also in INTENT_RULES:
-        cond = any_of(words)
-        if also:
-            cond += " AND " + any_of(also)
-        if intent in DATA_DEPENDENT_INTENTS:
-            cond += " AND has_index"
-        parts.append(f"WHEN {cond} THEN '{intent}'")
-    return "CASE " + " ".join(parts) + " END"
+# The keyword rules of the question router, in rule order.
+INTENT = """CASE
+  WHEN (contains(q, 'combien') OR contains(q, 'how many') OR contains(q, 'cuánt') OR contains(q, 'wie viele') OR contains(q, 'quant') OR contains(q, 'mélòó') OR contains(q, '多少') OR contains(q, '何'))
+    AND (contains(q, 'station') OR contains(q, 'esta') OR contains(q, '地点') OR contains(q, '站') OR contains(q, 'ibùdó')) THEN 'count'
+  WHEN contains(q, 'alerte') OR contains(q, 'alert') OR contains(q, '警報') OR contains(q, '警报') OR contains(q, 'alarm') OR contains(q, 'ìkìlọ̀') OR contains(q, 'excede') OR contains(q, 'dépass') OR contains(q, '超過') OR contains(q, '超标') OR contains(q, 'überschr') THEN 'alerts'
+  WHEN contains(q, 'plus pollu') OR contains(q, 'most pollut') OR contains(q, '汚染') OR contains(q, '污染') OR contains(q, 'contamin') OR contains(q, 'bàjẹ́') OR contains(q, 'schlecht') OR contains(q, 'belast') OR contains(q, 'pire') OR contains(q, 'worst') THEN 'worst'
+  WHEN has_index AND (contains(q, 'meilleur') OR contains(q, 'best') OR contains(q, 'moins pollu') OR contains(q, 'cleanest') OR contains(q, '最も良い') OR contains(q, '最好') OR contains(q, 'mejor') OR contains(q, 'beste') OR contains(q, 'melhor')) THEN 'best'
+  WHEN has_index AND (contains(q, 'polluant') OR contains(q, 'pollutant') OR contains(q, '汚染物質') OR contains(q, '污染物') OR contains(q, 'contaminante') OR contains(q, 'schadstoff') OR contains(q, 'poluente')) THEN 'pollutant'
+  WHEN contains(q, 'qualité') OR contains(q, 'quality') OR contains(q, '質') OR contains(q, '质量') OR contains(q, 'calidad') OR contains(q, 'qualidade') OR contains(q, 'ìmọ́tótó') OR contains(q, 'luftqual') OR contains(q, 'aujourd') OR contains(q, 'today') OR contains(q, 'hoy') OR contains(q, 'heute') OR contains(q, 'lónìí') OR contains(q, '今日') OR contains(q, '今天') OR contains(q, 'état') OR contains(q, 'situation') THEN 'quality'
+  WHEN contains(q, 'bonjour') OR contains(q, 'salut') OR contains(q, 'hello') OR contains(q, 'hi ') OR contains(q, 'hola') OR contains(q, 'こんにち') OR contains(q, '你好') OR contains(q, 'olá') OR contains(q, 'ẹ nlẹ') OR contains(q, 'hallo') OR contains(q, 'merci') OR contains(q, 'thanks') OR contains(q, 'gracias') THEN 'greeting'
+  WHEN contains(q, 'aide') OR contains(q, 'help') OR contains(q, 'que peux') OR contains(q, 'what can') OR contains(q, 'ayuda') OR contains(q, 'hilfe') OR contains(q, '何ができ') OR contains(q, '能做什么') OR contains(q, 'ajuda') THEN 'help' END"""
 
 
 SELECTS: dict[str, str] = {
@@ -304,11 +314,17 @@ SELECTS: dict[str, str] = {
     "list_indices_latest_day": """
         SELECT * FROM idx_serv WHERE latitude IS NOT NULL AND jour = (SELECT max(jour) FROM idx_serv)
         ORDER BY indice_atmo DESC NULLS FIRST, code_site""",
+    "list_indices_day": """
+        SELECT * FROM idx_serv WHERE latitude IS NOT NULL AND jour = DATE '2024-01-15'
+        ORDER BY indice_atmo DESC NULLS FIRST, code_site""",
+    "list_means_day": f"""
+        SELECT * FROM means_serv WHERE code_polluant = 'NO2' AND jour = DATE '2024-01-15' ORDER BY {MEANS_ORDER} LIMIT 2000""",
+    "list_exceedances_day": "SELECT * FROM exc_serv WHERE jour = DATE '2024-01-15' ORDER BY horodatage DESC, code_site, code_polluant",
     "list_means_pollutant": f"SELECT * FROM means_serv WHERE code_polluant = 'NO2' ORDER BY {MEANS_ORDER} LIMIT 2000",
     "list_means_all": f"SELECT * FROM means_serv ORDER BY {MEANS_ORDER} LIMIT 2000",
     "list_exceedances": "SELECT * FROM exc_list",
     "list_exceedances_latest_day": """
-        SELECT * FROM exc_list WHERE jour = (SELECT max(jour) FROM idx_serv)""",
+        SELECT * FROM exc_serv WHERE jour = (SELECT max(jour) FROM idx_serv)""",
     "global_stats": """
         SELECT (SELECT count(*) FROM stations) AS nb_stations,
                (SELECT count(*) FROM stations WHERE latitude IS NOT NULL) AS nb_stations_geolocalisees,
@@ -324,9 +340,6 @@ SELECTS: dict[str, str] = {
     "exceedances_by_pollutant": """
         SELECT code_polluant, count(*) AS nb FROM exc_serv WHERE code_polluant IS NOT NULL AND code_polluant <> ''
         GROUP BY code_polluant""",
-    "exceedances_by_pollutant_capped": """
-        SELECT code_polluant, count(*) AS nb FROM exc_list WHERE code_polluant IS NOT NULL AND code_polluant <> ''
-        GROUP BY code_polluant""",
     "exceedances_by_day": """
         SELECT jour, strftime(jour, '%m-%d') AS label, count(*) AS nb FROM exc_serv WHERE jour IS NOT NULL
         GROUP BY jour""",
@@ -341,14 +354,10 @@ SELECTS: dict[str, str] = {
         GROUP BY polluant ORDER BY nb DESC, polluant LIMIT 1""",
     "total_exceedances": """
         SELECT count(*) FILTER (WHERE depassement IN ('alerte', 'info')) AS nb_depassements FROM exc_serv""",
-    "most_exposed": f"""
-        SELECT nom_site, moyenne, maximum, unite FROM (
-          SELECT * FROM means_serv WHERE code_polluant = 'NO2' ORDER BY {MEANS_ORDER} LIMIT 2000)
-        WHERE moyenne IS NOT NULL ORDER BY moyenne DESC, jour DESC NULLS FIRST, code_site LIMIT 15""",
-    "most_exposed_uncapped": """
+    "most_exposed": """
         SELECT nom_site, moyenne, maximum, unite FROM means_serv
         WHERE code_polluant = 'NO2' AND moyenne IS NOT NULL
-        ORDER BY moyenne DESC, jour DESC NULLS FIRST, code_site LIMIT 15""",
+        ORDER BY moyenne DESC, jour DESC NULLS FIRST, code_site, nom_site, unite LIMIT 15""",
     "station_ranking": """
         SELECT CAST(row_number() OVER (ORDER BY indice DESC, code_station) AS INTEGER) AS rang, code_station, nom,
                polluant, indice,
@@ -367,7 +376,7 @@ SELECTS: dict[str, str] = {
         WHERE type_influence IS NOT NULL AND type_influence <> '' AND type_influence <> '—'""",
     "exceedance_table": """
         SELECT nom_site AS Station, code_polluant AS Polluant, horodatage AS Horodatage, valeur AS Valeur,
-               unite AS Unite, depassement AS Niveau FROM exc_list""",
+               unite AS Unite, depassement AS Niveau FROM exc_serv""",
     "recent_exceedances": """
         SELECT * FROM exc_serv
         ORDER BY horodatage DESC NULLS FIRST, code_site ASC NULLS LAST, code_polluant ASC NULLS LAST,
@@ -394,7 +403,7 @@ SELECTS: dict[str, str] = {
         SELECT r.conv_id, r.turn,
                coalesce(r.intent, CASE WHEN c.code_station IS NOT NULL THEN 'city' END, 'default') AS intent,
                CASE WHEN r.intent IS NULL THEN c.code_station END AS code_station
-        FROM (SELECT conv_id, turn, {_intent_sql()} AS intent
+        FROM (SELECT conv_id, turn, {INTENT} AS intent
               FROM (SELECT conv_id, turn, lower(coalesce(question, '')) AS q,
                            EXISTS (SELECT 1 FROM ds WHERE indice IS NOT NULL) AS has_index
                     FROM questions)) r
@@ -410,10 +419,9 @@ SELECTS: dict[str, str] = {
         FROM stations""",
     "station_upsert": "SELECT * FROM station_merged",
     "pollutant_dimension": """
-        SELECT code_polluant, code_polluant AS libelle, min(unite) AS unite, CAST(NULL AS DOUBLE) AS seuil_info,
-               CAST(NULL AS DOUBLE) AS seuil_alerte FROM silver GROUP BY code_polluant
+        SELECT * FROM pollutant_seed WHERE code_polluant IN (SELECT code_polluant FROM depassements)
         UNION ALL
-        SELECT * FROM pollutant_seed WHERE code_polluant NOT IN (SELECT code_polluant FROM silver)""",
+        SELECT * FROM pollutant_seed WHERE code_polluant NOT IN (SELECT code_polluant FROM depassements)""",
     "geocoding_coverage": """
         SELECT count(DISTINCT CASE WHEN geocode_ok THEN lower(commune_extraite) END) AS communes_localisees,
                count(DISTINCT lower(commune_extraite)) AS communes_total,
@@ -430,22 +438,25 @@ SELECTS: dict[str, str] = {
         FROM (SELECT count(*) AS n FROM means_serv GROUP BY code_site, code_polluant, jour HAVING count(*) > 1)
         UNION ALL
         SELECT 'mesure_station_polluant_heure', count(*), CAST(coalesce(sum(n), 0) AS BIGINT)
-        FROM (SELECT count(*) AS n FROM silver GROUP BY code_site, code_polluant, horodatage HAVING count(*) > 1)""",
+        FROM (SELECT count(*) AS n FROM typed WHERE validite <> '-1' GROUP BY code_site, code_polluant, horodatage HAVING count(*) > 1)""",
     "referential_report": """
         SELECT 'station_region' AS regle, count(*) AS orphelins FROM station_merged
         WHERE code_region IS NOT NULL AND code_region NOT IN (SELECT code_region FROM regions WHERE code_region IS NOT NULL)
         UNION ALL
-        SELECT 'indice_station', count(*) FROM idx_serv
-        WHERE code_site IS NOT NULL AND code_site NOT IN (SELECT code_station FROM stations WHERE code_station IS NOT NULL)
+        SELECT 'mesure_station', count(*) FROM typed
+        WHERE validite <> '-1' AND code_site IS NOT NULL AND code_site NOT IN (SELECT code_station FROM station_base)
         UNION ALL
-        SELECT 'moyennes_polluant', count(*) FROM means_serv
-        WHERE code_polluant IS NOT NULL AND code_polluant NOT IN (SELECT code_polluant FROM pollutant_seed)""",
+        SELECT 'source_polluant', count(*) FROM labelled
+        WHERE label IS NOT NULL AND label NOT IN (SELECT code_polluant FROM pollutant_seed)""",
     "not_null_report": """
         SELECT 'station' AS "table", 'code_station' AS colonne, count(*) FILTER (WHERE code_station IS NULL) AS nulls
         FROM station_merged
         UNION ALL SELECT 'station', 'nom', count(*) FILTER (WHERE nom IS NULL) FROM station_merged
         UNION ALL SELECT 'region', 'code_region', count(*) FILTER (WHERE code_region IS NULL) FROM regions
         UNION ALL SELECT 'region', 'nom', count(*) FILTER (WHERE nom IS NULL) FROM regions
+        UNION ALL SELECT 'polluant', 'code_polluant', count(*) FILTER (WHERE code_polluant IS NULL) FROM pollutant_seed
+        UNION ALL SELECT 'polluant', 'libelle', count(*) FILTER (WHERE libelle IS NULL) FROM pollutant_seed
+        UNION ALL SELECT 'polluant', 'unite', count(*) FILTER (WHERE unite IS NULL) FROM pollutant_seed
         UNION ALL SELECT 'mesure', 'code_site', count(*) FILTER (WHERE code_site IS NULL) FROM silver
         UNION ALL SELECT 'mesure', 'horodatage', count(*) FILTER (WHERE horodatage IS NULL) FROM silver
         UNION ALL SELECT 'indice', 'jour', count(*) FILTER (WHERE jour IS NULL) FROM idx_serv""",
@@ -467,7 +478,12 @@ SELECTS: dict[str, str] = {
         UNION ALL SELECT 'station', 'nom', count(*) FILTER (WHERE length(nom) > 200) FROM station_merged
         UNION ALL SELECT 'station', 'code_region', count(*) FILTER (WHERE length(code_region) > 3) FROM station_merged
         UNION ALL SELECT 'station', 'type_station', count(*) FILTER (WHERE length(type_station) > 40) FROM station_merged
-        UNION ALL SELECT 'station', 'type_influence', count(*) FILTER (WHERE length(type_influence) > 40) FROM station_merged""",
+        UNION ALL SELECT 'station', 'type_influence', count(*) FILTER (WHERE length(type_influence) > 40) FROM station_merged
+        UNION ALL SELECT 'region', 'code_region', count(*) FILTER (WHERE length(code_region) > 3) FROM regions
+        UNION ALL SELECT 'region', 'nom', count(*) FILTER (WHERE length(nom) > 120) FROM regions
+        UNION ALL SELECT 'polluant', 'code_polluant', count(*) FILTER (WHERE length(code_polluant) > 10) FROM pollutant_seed
+        UNION ALL SELECT 'polluant', 'libelle', count(*) FILTER (WHERE length(libelle) > 80) FROM pollutant_seed
+        UNION ALL SELECT 'polluant', 'unite', count(*) FILTER (WHERE length(unite) > 20) FROM pollutant_seed""",
     "non_empty_report": """
         SELECT 'moyennes_journalieres' AS mart, count(*) AS lignes, count(*) > 0 AS ok FROM means
         UNION ALL SELECT 'indice_journalier', count(*), count(*) > 0 FROM indice
@@ -482,6 +498,8 @@ SELECTS: dict[str, str] = {
                         'unite_source': unite_source, 'unite': unite, 'code_qualite': code_qualite,
                         'validite': validite, '_ingested_at': _ingested_at})::VARCHAR AS value
         FROM bronze""",
+    "bronze_from_messages": "SELECT * FROM bronze",
+    "csv_records": "SELECT * EXCLUDE (_ingested_at), '2024-02-01T00:00:00.000000Z' AS _ingested_at FROM bronze",
 }
 
 

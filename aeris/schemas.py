@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from pyspark.sql.types import (
-    DateType, DoubleType, StringType, StructField, StructType, TimestampNTZType, TimestampType,
+    DoubleType, StringType, StructField, StructType,
 )
 
 # FIXED VALUES: the 23 text columns of the daily source CSV, in file order.
@@ -31,18 +31,6 @@ SILVER_COLUMNS: list[str] = [
     "validite", "depassement", "_ingested_at",
 ]
 
-SILVER_SCHEMA = StructType([
-    StructField("code_site", StringType()), StructField("nom_site", StringType()),
-    StructField("organisme", StringType()), StructField("code_zas", StringType()),
-    StructField("zas", StringType()), StructField("type_implantation", StringType()),
-    StructField("type_influence", StringType()), StructField("code_polluant", StringType()),
-    StructField("horodatage", TimestampNTZType()), StructField("horodatage_fin", TimestampNTZType()),
-    StructField("date_mesure", DateType()), StructField("valeur", DoubleType()),
-    StructField("unite", StringType()), StructField("type_valeur", StringType()),
-    StructField("validite", StringType()), StructField("depassement", StringType()),
-    StructField("_ingested_at", StringType()), StructField("_processed_at", TimestampType()),
-])
-
 STATION_SCHEMA = StructType([
     StructField("code_station", StringType(), False), StructField("nom", StringType(), False),
     StructField("code_region", StringType()), StructField("type_station", StringType()),
@@ -75,5 +63,7 @@ TEXT_LIMITS: dict[str, dict[str, int]] = {
     "indice": {"code_site": 20, "nom_site": 200, "qualificatif": 40, "polluant_resp": 10},
     "moyennes": {"code_site": 20, "nom_site": 200, "code_polluant": 10, "unite": 20},
     "depassements": {"code_site": 20, "nom_site": 200, "code_polluant": 10, "unite": 20, "depassement": 10},
+    "region": {"code_region": 3, "nom": 120},
+    "polluant": {"code_polluant": 10, "libelle": 80, "unite": 20},
     "station": {"code_station": 20, "nom": 200, "code_region": 3, "type_station": 40, "type_influence": 40},
 }

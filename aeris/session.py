@@ -61,27 +61,3 @@ def checkpoint_dir(spark: SparkSession) -> str:
     if not sc.getCheckpointDir():
         sc.setCheckpointDir(folder)
     return folder
-
-
-MATERIALISE_MIN_BYTES_CONF = "spark.aeris.materialise.minInputBytes"
-MATERIALISE_MIN_BYTES_DEFAULT = 256 * 1024 * 1024
-
-
-def path_bytes(spark: SparkSession, path: str) -> int | None:
-    """Total size of the files under ``path`` (any Hadoop file system), None if unknown."""
-    try:
-        jvm = spark.sparkContext._jvm
-        p = jvm.org.apache.hadoop.fs.Path(path)
-        fs = p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-        return int(fs.getContentSummary(p).getLength())
-    except Exception:  # noqa: BLE001
-        return None
-
-
-def worth_materialising(spark: SparkSession, input_path: str) -> bool:
-    """Materialise an intermediate with several consumers only when recomputing it costs
-    more than writing it once: the raw input is at least ``spark.aeris.materialise.minInputBytes``
-    (default 256 MB). When the size cannot be read the query stays one plan."""
-    limit = int(spark.conf.get(MATERIALISE_MIN_BYTES_CONF, str(MATERIALISE_MIN_BYTES_DEFAULT)))
-    size = path_bytes(spark, input_path)
-    return size is not None and size >= limit

@@ -6,12 +6,14 @@ shapes; every operator takes any DataFrame with the right columns.
 * ``events``   -> daily source CSV rows: ``user_id`` is the site, ``ts`` truncated to the
   hour is the measurement start (hour duplicates are real duplicates), ``value`` the
   reading, ``event_type`` the pollutant label (``error`` -> C6H6, dropped by C1).
-  ``k`` from ``props`` injects invalid flags (k%10=0 -> ``-1``), empty readings
-  (k%17=0), negative readings (k%13=0), empty validity (k%23=0) and the alternative
-  unit spelling (k%7=0).
-* ``supplier`` -> station base rows and the gazetteer (suppliers with a non-negative
-  balance are "geocodable"; coordinates are exact binary fractions).
-* ``nation``   -> regions.  ``conversations`` (user turns) -> questions.
+  ``k`` from ``props`` reaches the other branches: SO2 and CO (k%19), invalid flags (k%10=0 -> ``-1``), empty
+  readings (k%17=0), negative readings (k%13=0), empty validity (k%23=0), other unit spellings (k%7=0, CO, k%29=0
+  an unknown one longer than its column), missing and impossible hours (k%37=0, k%41=0) and renamed sites (k%31=0).
+  Site names cycle through a plain name, a compound one, a road code, a noise word and none.
+* ``supplier`` -> station base rows (every 17th with a region that doesn't exist) and the gazetteer: plain, compound
+  and zone names; suppliers with a negative balance have no coordinates (exact binary fractions otherwise).
+* ``nation``   -> regions.  ``conversations`` (all turns) -> questions: the text after an opening that
+  goes through all intents by ``(conv_id + turn) % 12``.
 """
 
 from __future__ import annotations
@@ -41,8 +43,13 @@ def _pick_sql(values: tuple[str, ...], key: str) -> str:
     return f"element_at(array({arr}), CAST({key} % {len(values)} + 1 AS INT))"
 
 
-def _site_name(site_id: Column) -> Column:
-    return F.concat(F.lit("Supplier#"), F.lpad(site_id.cast("string"), 9, "0"))
+def supplier_name(number: str) -> str:
+    return f"concat('Supplier#', lpad(CAST({number} AS STRING), 9, '0'))"
+
+
+SITE_NAME = (f"concat(CASE user_id % 8 WHEN 3 THEN concat('Saint ', {supplier_name('user_id')}, ' Centre') "
+             f"WHEN 4 THEN concat('A7 ', {supplier_name('user_id')}) WHEN 5 THEN concat('Rocade_Sud-', CAST(user_id AS STRING)) "
+             f"WHEN 6 THEN '' ELSE {supplier_name('user_id')} END, CASE WHEN _k % 31 = 0 THEN ' Bis' ELSE '' END)")
 
 
 def bind_source_rows(events: DataFrame) -> DataFrame:
@@ -52,18 +59,20 @@ def bind_source_rows(events: DataFrame) -> DataFrame:
                            F.expr("TRY_CAST(get_json_object(props, '$.k') AS INT)").alias("_k"))
     k = "_k"
     hour = "date_trunc('hour', ts)"
+    start = (f"CASE WHEN {k} % 37 = 0 THEN '' WHEN {k} % 41 = 0 THEN '2024/99/99 00:00:00' "
+             f"ELSE date_format({hour}, 'yyyy/MM/dd HH:mm:ss') END")
     value_text = (f"CASE WHEN {k} % 17 = 0 THEN '' WHEN {k} % 13 = 0 THEN CAST(0.0D - value AS STRING) "
                   "ELSE CAST(value AS STRING) END")
     cols = {
-        "Date de début": f"date_format({hour}, 'yyyy/MM/dd HH:mm:ss')",
+        "Date de début": start,
         "Date de fin": f"date_format({hour} + INTERVAL 1 HOUR, 'yyyy/MM/dd HH:mm:ss')",
         "Organisme": "concat('AASQA ', CAST(user_id % 13 AS STRING))",
         "code zas": "concat('FRZAG', lpad(CAST(user_id % 25 AS STRING), 2, '0'))",
-        "Zas": "concat('ZAG NATION ', CAST(user_id % 25 AS STRING))",
+        "Zas": "concat(element_at(array('ZAG ', 'ZAR ', 'ZA '), CAST(user_id % 3 + 1 AS INT)), 'NATION ', CAST(user_id % 25 AS STRING))",
         "code site": "CAST(user_id AS STRING)",
-        "nom site": "concat('Supplier#', lpad(CAST(user_id AS STRING), 9, '0'))",
+        "nom site": SITE_NAME,
         "type d'implantation": _pick_sql(SITE_KINDS, "user_id"),
-        "Polluant": f"{literal_map_sql(EVENT_LABELS)}[event_type]",
+        "Polluant": f"CASE WHEN {k} % 19 = 1 THEN 'SO2' WHEN {k} % 19 = 2 THEN 'CO' ELSE {literal_map_sql(EVENT_LABELS)}[event_type] END",
         "type d'influence": _pick_sql(INFLUENCES, "user_id"),
         "discriminant": "'A'",
         "Réglementaire": "'Oui'",
@@ -72,7 +81,8 @@ def bind_source_rows(events: DataFrame) -> DataFrame:
         "type de valeur": "'moyenne horaire brute'",
         "valeur": value_text,
         "valeur brute": value_text,
-        "unité de mesure": f"CASE WHEN {k} % 7 = 0 THEN 'µg/m3' ELSE 'µg-m3' END",
+        "unité de mesure": (f"CASE WHEN {k} % 29 = 0 THEN 'parties par milliard (ppb)' WHEN {k} % 19 = 2 THEN 'mg-m3' "
+                            f"WHEN {k} % 7 = 0 THEN 'µg/m3' ELSE 'µg-m3' END"),
         "taux de saisie": "''",
         "couverture temporelle": "''",
         "couverture de données": "''",
@@ -92,12 +102,13 @@ def _lon(s: DataFrame) -> Column:
 
 
 def bind_gazetteer(supplier: DataFrame) -> DataFrame:
-    """``supplier`` -> gazetteer (commune, label, contexte, longitude, latitude)."""
-    return (supplier.filter(F.col("s_acctbal") >= 0)
-            .select(F.col("s_name").alias("commune"),
-                    F.col("s_name").alias("label"),
-                    F.concat(F.lit("region "), F.col("s_nationkey").cast("string")).alias("contexte"),
-                    _lon(supplier).alias("longitude"), _lat(supplier).alias("latitude")))
+    """``supplier`` -> gazetteer (commune, label, contexte, longitude, latitude): its name, a compound form of it
+    and its nation as communes."""
+    located = F.col("s_acctbal") >= 0
+    names = F.array(F.col("s_name"), F.concat(F.lit("Saint "), F.col("s_name")), F.concat(F.lit("Nation "), F.col("s_nationkey").cast("string")))
+    return supplier.select(F.explode(names).alias("commune"), F.col("s_name").alias("label"),
+                           F.concat(F.lit("region "), F.col("s_nationkey").cast("string")).alias("contexte"),
+                           F.when(located, _lon(supplier)).alias("longitude"), F.when(located, _lat(supplier)).alias("latitude"))
 
 
 def bind_station_base(supplier: DataFrame) -> DataFrame:
@@ -106,7 +117,7 @@ def bind_station_base(supplier: DataFrame) -> DataFrame:
     return supplier.select(
         F.col("s_suppkey").cast("string").alias("code_station"),
         F.col("s_name").alias("nom"),
-        F.col("s_nationkey").cast("string").alias("code_region"),
+        F.when(F.col("s_suppkey") % 17 == 0, "99").otherwise(F.col("s_nationkey").cast("string")).alias("code_region"),
         _pick(SITE_KINDS, F.col("s_suppkey")).alias("type_station"),
         _pick(INFLUENCES, F.col("s_suppkey")).alias("type_influence"),
         F.when(located, _lat(supplier)).alias("latitude"),
@@ -118,6 +129,13 @@ def bind_regions(nation: DataFrame) -> DataFrame:
     return nation.select(F.col("n_nationkey").cast("string").alias("code_region"), F.col("n_name").alias("nom"))
 
 
+#: Openings of the bound questions, one for each intent; the last two of the cycle have none.
+OPENINGS = ("Combien de stations ? ", "Où sont les alertes ? ", "La station la plus polluée ? ", "La meilleure ? ", "Quel polluant ? ",
+            "Qualité de l'air ? ", "Bonjour ! ", "Help! ", "", "")
+
+
 def bind_questions(conversations: DataFrame) -> DataFrame:
-    return (conversations.filter(F.col("role") == "user")
-            .select("conv_id", "turn", F.col("text").alias("question")))
+    number = (F.col("conv_id") + F.col("turn")).cast("long")
+    city = F.concat(F.lit("A "), F.expr(supplier_name("(conv_id * 3 + turn) % 120")), F.lit(" ? "))
+    opening = F.element_at(F.array(*[F.lit(x) for x in OPENINGS], city, F.lower(city)), (number % (len(OPENINGS) + 2) + 1).cast("int"))
+    return conversations.select("conv_id", "turn", F.concat(opening, F.coalesce(F.col("text"), F.lit(""))).alias("question"))

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from aeris.constants import POLLUTANT_CODES, UNIT_NORMALISATION
 from aeris.functions import event_date_partition
 from aeris.functions._util import ident, literal_map_sql, sql_literal
-from aeris.schemas import BRONZE_COLUMNS, SOURCE_SCHEMA
+from aeris.schemas import BRONZE_COLUMNS, SOURCE_COLUMNS, SOURCE_SCHEMA
 
 # Bronze field <- source CSV header
 _FIELD_SOURCES: dict[str, str] = {
@@ -46,6 +46,21 @@ def read_measurements_csv(spark: SparkSession, paths: str | Iterable[str]) -> Da
             .csv(p))
 
 
+SOURCE_DDL = ", ".join(f"{ident(c)} STRING" for c in SOURCE_COLUMNS)
+CSV_OPTIONS = {"sep": ";", "quote": '"'}
+
+
+def csv_lines(src: DataFrame, column: str = "line") -> DataFrame:
+    """Source rows as lines of the daily file, every field quoted."""
+    return src.select(F.to_csv(F.struct(*SOURCE_COLUMNS), CSV_OPTIONS | {"quoteAll": "true", "emptyValue": ""}).alias(column))
+
+
+def parse_csv_lines(lines: DataFrame, column: str = "line") -> DataFrame:
+    """A1 on lines that are already rows (a stream of lines, a text table): the 23 columns as text."""
+    parsed = F.from_csv(F.col(column), SOURCE_DDL, CSV_OPTIONS)
+    return lines.select(parsed.alias("r")).select("r.*")
+
+
 def source_to_bronze(src: DataFrame, ingested_at: str | None = None) -> DataFrame:
     """Source rows -> Bronze records: trim every field (missing -> ""), keep the six
     regulated pollutants (C1), map the code (B1), normalise the unit (B2), stamp

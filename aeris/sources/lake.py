@@ -56,39 +56,21 @@ def read_mart(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.parquet(path)
 
 
-FILES_PER_PARTITION_CONF = "spark.aeris.write.filesPerPartition"
-SPREAD_COLUMNS = ("code_site", "code_polluant", "horodatage")
-
-
 def write_partitioned(df: DataFrame, path: str, partition_col: str = "date_mesure",
-                      mode: str = "overwrite", dynamic: bool = True, max_records_per_file: int | None = 1_000_000,
-                      files_per_partition: int | None = None, spread_by: list[str] | None = None) -> None:
+                      mode: str = "overwrite", dynamic: bool = True, max_records_per_file: int | None = 1_000_000) -> None:
     """A5: Parquet write partitioned by ``partition_col``.
 
     ``dynamic=True`` replaces only the partitions present in ``df`` (a one-day rebuild
     keeps the other days); ``dynamic=False`` is the static overwrite that replaces the
     whole table.
 
-    Rows are shuffled on (partition value, bucket) where the bucket is a deterministic hash
-    of key columns that vary inside a day (site, pollutant, hour), modulo
-    ``files_per_partition`` (session conf ``spark.aeris.write.filesPerPartition``,
-    default 8). A day is therefore written by up to that many tasks instead of one, a hot
-    site does not pin a day to one task, retries re-route rows identically, and the file
-    count stays bounded (days x buckets, each file capped at ``max_records_per_file``)."""
-    out = df
-    if partition_col:
-        k = files_per_partition or int(df.sparkSession.conf.get(FILES_PER_PARTITION_CONF, "8"))
-        spread = spread_by if spread_by is not None else [c for c in SPREAD_COLUMNS if c in df.columns]
-        if k > 1 and spread:
-            out = df.repartition(F.col(partition_col), F.pmod(F.xxhash64(*spread), F.lit(k)))
-        else:
-            out = df.repartition(partition_col)
-    w = out.write.mode(mode).option("partitionOverwriteMode", "dynamic" if dynamic else "static")
+    Rows are rebalanced on the partition value: adaptive execution packs small days
+    together and splits a large one (or all rows without a day) by measured size, so a day is written by as many
+    tasks as it needs and files keep the advisory size."""
+    w = df.hint("rebalance", F.col(partition_col)).write.mode(mode).option("partitionOverwriteMode", "dynamic" if dynamic else "static")
     if max_records_per_file:
         w = w.option("maxRecordsPerFile", max_records_per_file)
-    if partition_col:
-        w = w.partitionBy(partition_col)
-    w.parquet(path)
+    w.partitionBy(partition_col).parquet(path)
 
 
 def write_documents(df: DataFrame, path: str, key: str = "code_site") -> None:

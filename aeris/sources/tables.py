@@ -33,12 +33,13 @@ def read_table(spark: SparkSession, table: str, columns: list[str] | None = None
     return df.select(*columns) if columns else df
 
 
-def write_table(df: DataFrame, table: str, *, jdbc_url: str | None = None, root: str | None = None) -> None:
-    """Overwrite a serving table. JDBC truncates (keeps the declared DDL and keys);
-    the Parquet twin replaces the directory."""
+def write_table(df: DataFrame, table: str, *, jdbc_url: str | None = None, root: str | None = None,
+                connections: int = 8, batch_rows: int = 10_000) -> None:
+    """Overwrite a serving table. JDBC truncates (keeps the declared DDL and keys) and holds
+    ``connections`` at most, whatever the number of partitions; the Parquet twin replaces the directory."""
     if jdbc_url:
         w = df.write.mode("overwrite").format("jdbc").option("url", jdbc_url).option("dbtable", table)
-        w = w.option("truncate", "true")
+        w = w.option("truncate", "true").option("numPartitions", connections).option("batchsize", batch_rows)
         for k, v in _jdbc_props().items():
             w = w.option(k, v)
         w.save()

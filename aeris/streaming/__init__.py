@@ -1,6 +1,9 @@
 """Stream side: publishing records keyed by series, landing the stream in Bronze."""
 
 from aeris.streaming.publish import publish_frame, publish_kafka
-from aeris.streaming.bronze_sink import parse_messages, read_kafka, read_message_files, stream_to_bronze
+from aeris.streaming.bronze_sink import (
+    parse_messages, read_kafka, read_message_files, reject_messages, stream_rejects, stream_to_bronze,
+)
 
-__all__ = ["publish_frame", "publish_kafka", "parse_messages", "read_kafka", "read_message_files", "stream_to_bronze"]
+__all__ = ["publish_frame", "publish_kafka", "parse_messages", "read_kafka", "read_message_files", "reject_messages",
+           "stream_rejects", "stream_to_bronze"]

@@ -12,23 +12,42 @@ import hashlib
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
+from pyspark.sql.types import StringType, StructField, StructType
 
 from aeris.functions import event_date_partition
 from aeris.schemas import BRONZE_SCHEMA
 from aeris.session import checkpoint_dir
 
-MAX_RECORDS_PER_FILE = 2000
+MAX_RECORDS_PER_FILE = 1_000_000  # few large files; lower it for consumers that want small ones
+
+
+def _parsed(messages: DataFrame, value_col: str) -> DataFrame:
+    schema = StructType([*BRONZE_SCHEMA.fields, StructField("_corrupt", StringType())])
+    value = F.col(value_col).cast("string")
+    return messages.select(value.alias("value"), F.from_json(value, schema, {"columnNameOfCorruptRecord": "_corrupt"}).alias("r"))
 
 
 def parse_messages(messages: DataFrame, value_col: str = "value") -> DataFrame:
-    """Message value (JSON text or bytes) -> Bronze record + ``date`` partition key.
-    Malformed messages yield NULL fields and are dropped (a record needs some content)."""
-    v = F.col(value_col).cast("string")
-    rec = messages.select(F.from_json(v, BRONZE_SCHEMA).alias("r")).select("r.*")
-    rec = rec.filter(F.col("date_debut").isNotNull() | F.col("code_site").isNotNull())
+    """Message value (JSON text or bytes) -> Bronze record + ``date`` partition key. Every JSON object is a
+    record, whichever fields it has; without a usable start date it lands under the unknown day. What
+    is no object is left to :func:`reject_messages`."""
+    rec = _parsed(messages, value_col).filter(F.col("r").isNotNull() & F.col("r._corrupt").isNull()).select("r.*").drop("_corrupt")
     return rec.withColumn("date", event_date_partition(F.coalesce(F.col("date_debut"), F.lit(""))))
 
 
+def reject_messages(messages: DataFrame, value_col: str = "value") -> DataFrame:
+    """The messages :func:`parse_messages` can't read, as they are (``value``); null messages included."""
+    return _parsed(messages, value_col).filter(F.col("r").isNull() | F.col("r._corrupt").isNotNull()).select("value")
+
+
+def _checkpoint(messages: DataFrame, path: str, checkpoint: str | None) -> str:
+    return checkpoint or f"{checkpoint_dir(messages.sparkSession).rstrip('/')}/bronze-sink-{hashlib.sha1(path.encode()).hexdigest()[:16]}"
+
+
+def _start(writer, available_now: bool) -> StreamingQuery:
+    return (writer.trigger(availableNow=True) if available_now else writer.trigger(processingTime="10 seconds")).start()
+
+
 def stream_to_bronze(messages: DataFrame, path: str, checkpoint: str | None = None, value_col: str = "value",
                      max_records_per_file: int = MAX_RECORDS_PER_FILE, available_now: bool = True) -> StreamingQuery:
     """Start the Bronze sink; returns the running query (``awaitTermination`` for batch-like use).
@@ -36,17 +55,19 @@ def stream_to_bronze(messages: DataFrame, path: str, checkpoint: str | None = No
     Without an explicit ``checkpoint`` the query state lives under the shared
     ``spark.checkpoint.dir`` in a folder derived from the sink path, so a restart of the
     same sink resumes from its committed offsets."""
-    if checkpoint is None:
-        folder = checkpoint_dir(messages.sparkSession)
-        if not folder:
-            raise ValueError("no checkpoint location: pass one or set spark.checkpoint.dir")
-        checkpoint = f"{folder.rstrip('/')}/bronze-sink-{hashlib.sha1(path.encode()).hexdigest()[:16]}"
     w = (parse_messages(messages, value_col).writeStream.format("json")
-         .option("path", path).option("checkpointLocation", checkpoint)
+         .option("path", path).option("checkpointLocation", _checkpoint(messages, path, checkpoint))
          .option("maxRecordsPerFile", max_records_per_file)
          .partitionBy("date").outputMode("append"))
-    w = w.trigger(availableNow=True) if available_now else w.trigger(processingTime="10 seconds")
-    return w.start()
+    return _start(w, available_now)
+
+
+def stream_rejects(messages: DataFrame, path: str, checkpoint: str | None = None, value_col: str = "value",
+                   available_now: bool = True) -> StreamingQuery:
+    """Start the sink of unreadable messages (text lines), with offsets of its own; its rows are their count."""
+    w = (reject_messages(messages, value_col).filter(F.col("value").isNotNull()).writeStream.format("text")
+         .option("path", path).option("checkpointLocation", _checkpoint(messages, path, checkpoint)).outputMode("append"))
+    return _start(w, available_now)
 
 
 def read_kafka(spark, servers: str, topic: str, starting_offsets: str = "earliest",

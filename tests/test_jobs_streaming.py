@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from aeris.plans import jobs
 from aeris.schemas import BRONZE_COLUMNS
 from aeris.sources import daily_source_path, lake_path, object_store_conf, read_table, write_documents, write_table
-from aeris.streaming import parse_messages, publish_frame, stream_to_bronze
+from aeris.streaming import parse_messages, publish_frame, reject_messages, stream_rejects, stream_to_bronze
 from aeris.streaming.bronze_sink import read_message_files
 
 
@@ -35,6 +35,7 @@ def test_overwrite_modes(spark, tmp_path):
                           dict(record("2026-07-02", site="BAD"), validite="-1")])
     for out in (out_dyn, out_static):
         m = jobs.bronze_to_silver(spark, bronze, out)
+        assert m["rows_read"] == 4
         assert (m["rows_in_scope"], m["rows_invalid"], m["rows_valid"], m["rows_written"],
                 m["duplicates_removed"]) == (4, 1, 3, 2, 1)
     jobs.bronze_to_silver(spark, bronze, out_dyn, day="2026-07-02")                       # dynamic default
@@ -71,6 +72,9 @@ def test_stream_to_bronze_exactly_once(spark, tmp_path):
     q.awaitTermination(120)
     first = spark.read.json(out).count()
     assert first == 2
+    rejected = str(tmp_path / "rejected")
+    stream_rejects(read_message_files(spark, str(src)), rejected).awaitTermination(120)
+    assert [r.value for r in spark.read.text(rejected).collect()] == ["{not json"]
     # second batch: one new record and one replay; the checkpoint skips already-read files
     (src / "b2.txt").write_text("\n".join([json.dumps(record("2026-07-02", site="S3")),
                                            json.dumps(record("2026-07-01"))]) + "\n")
@@ -86,9 +90,11 @@ def test_stream_to_bronze_exactly_once(spark, tmp_path):
 
 
 def test_parse_messages_and_publish(spark):
-    msgs = spark.createDataFrame([(json.dumps(record("2026-07-01")),), ("garbage",)], "value string")
-    parsed = parse_messages(msgs)
-    assert parsed.count() == 1 and parsed.first().date == "2026-07-01"
+    msgs = spark.createDataFrame([(json.dumps(record("2026-07-01")),), ("garbage",), (None,), ("",), ('{"valeur": "3", "nom_site": "X"}',), ("{}",)], "value string")
+    assert sorted(str(r.value) for r in reject_messages(msgs).collect()) == ["", "None", "garbage"]
+    landed = {r.valeur: r.date for r in parse_messages(msgs).collect()}
+    assert landed == {"10": "2026-07-01", "3": "inconnue", None: "inconnue"}  # any object is a record
+    parsed = parse_messages(msgs.limit(1))
     kv = publish_frame(parsed.drop("date")).first()
     assert kv.key == "S1|NO2" and json.loads(kv.value)["code_site"] == "S1"
 
@@ -107,21 +113,27 @@ def test_paths_and_adapters(spark, tmp_path):
     assert spark.read.json(str(tmp_path / "docs")).first()._id == "1"
 
 
-def test_partitioned_write_spreads_a_day(spark, tmp_path):
+def test_partitioned_write_splits_a_large_day(spark, tmp_path):
     from aeris.sources import write_partitioned
-    df = spark.range(4000).selectExpr("CAST(id AS STRING) AS code_site", "DATE'2026-07-01' AS date_mesure",
-                                      "CAST(id AS DOUBLE) AS valeur")
+    df = spark.range(0, 200_000, 1, 4).selectExpr("uuid() AS code_site", "IF(id < 190000, DATE'2026-07-01', DATE'2026-07-02') AS date_mesure")
     out = str(tmp_path / "w")
-    # AQE would merge these tiny shuffle partitions; at scale each (day, bucket) exceeds the
-    # advisory size and stays separate - switch merging off to observe the spread here.
-    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    spark.conf.set("spark.sql.adaptive.advisoryPartitionSizeInBytes", "2m")
     try:
-        write_partitioned(df, out, files_per_partition=4)
+        write_partitioned(df, out)
     finally:
-        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "true")
-    files = [f for f in os.listdir(os.path.join(out, "date_mesure=2026-07-01")) if f.endswith(".parquet")]
-    assert 1 < len(files) <= 4
-    assert spark.read.parquet(out).count() == 4000
+        spark.conf.unset("spark.sql.adaptive.advisoryPartitionSizeInBytes")
+    files = {d: sum(f.endswith(".parquet") for f in os.listdir(os.path.join(out, f"date_mesure={d}"))) for d in ("2026-07-01", "2026-07-02")}
+    assert files["2026-07-01"] >= 3 and files["2026-07-02"] == 1
+    assert spark.read.parquet(out).count() == 200_000
+
+
+def test_job_entry_point(spark, tmp_path, capsys):
+    write_bronze(str(tmp_path / "bronze"), [record("2026-07-01", value="250"), record("2026-07-02")])
+    jobs.main(["bronze-to-silver", "--root", str(tmp_path)])
+    jobs.main(["bronze-to-silver", "--root", str(tmp_path), "--date", "2026-07-02"])
+    jobs.main(["silver-to-gold", "--root", str(tmp_path)])
+    assert "rows_read" in capsys.readouterr().out
+    assert spark.read.parquet(str(tmp_path / "gold/moyennes_journalieres")).count() == 2
 
 
 def test_day_filter_prunes_partitions(spark, tmp_path):

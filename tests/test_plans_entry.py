@@ -3,6 +3,8 @@
 import pytest
 
 import __spark_entry__ as E
+from aeris.plans import catalog, oracle
+from aeris.session import checkpoint_dir
 
 SF = "/root/testdata/sf0.001"
 
@@ -18,12 +20,19 @@ def test_entry_runs(spark):
 
 
 def test_every_query_has_an_oracle():
-    assert set(E.queries()) == set(E.oracle_sql())
-
-
-@pytest.mark.parametrize("name", sorted(E.queries()))
-def test_no_python_udf_in_plans(spark, name):
-    text = plan_text(E.queries()[name](spark, SF))
+    assert set(catalog.queries()) == set(oracle.oracle_sql())
+    assert set(catalog.queries()) <= set(E.queries()) and set(oracle.oracle_sql()) <= set(E.oracle_sql())
+
+
+@pytest.mark.parametrize("name", sorted(catalog.queries()))
+def test_plans_have_no_python_and_building_them_reads_footers_only(spark, name):
+    spark.sparkContext.setJobGroup(f"build-{name}", "build")
+    df = catalog.queries()[name](spark, SF)
+    tracker = spark.sparkContext.statusTracker()
+    tasks = [tracker.getStageInfo(s).numTasks for j in tracker.getJobIdsForGroup(f"build-{name}")
+             for s in tracker.getJobInfo(j).stageIds if tracker.getStageInfo(s)]
+    assert tasks == [1] * len(tasks) and len(tasks) <= 4  # the schema of each table read
+    text = plan_text(df)
     for node in ("BatchEvalPython", "ArrowEvalPython", "FlatMapGroupsInPandas", "MapInPandas", "PythonUDF"):
         assert node not in text, (name, node)
 
@@ -42,19 +51,30 @@ def test_dedup_uses_partial_group_limit(spark):
     assert "WindowGroupLimit" in text
 
 
-def test_materialisation_policy(spark):
-    from aeris.plans.catalog import Views
-    from aeris.plans.domain import Domain
-    from aeris.session import MATERIALISE_MIN_BYTES_CONF, worth_materialising
-    assert not worth_materialising(spark, f"{SF}/events.parquet")   # small input: one plan
-    spark.conf.set(MATERIALISE_MIN_BYTES_CONF, "0")
-    try:
-        assert worth_materialising(spark, f"{SF}/events.parquet")
-        d = Domain(spark, SF, reuse=True)
-        v = Views(d, reuse_index=True)
-        ds = E.queries()["day_stations"](spark, SF)
-        assert "aeris-" in " ".join(ds.inputFiles())                 # reads the materialised tables
-        assert ds.count() == __import__("aeris.operators.analytics", fromlist=["x"]).day_stations(
-            v.index_serving, d.stations).count()
-    finally:
-        spark.conf.unset(MATERIALISE_MIN_BYTES_CONF)
+def test_day_views_filter_the_day_below_one_deduplication(spark):
+    for name in ("day_stations", "list_indices_latest_day", "list_exceedances_latest_day"):
+        lines = plan_text(catalog.queries()[name](spark, SF)).splitlines()
+        windows = [i for i, line in enumerate(lines) if " Window [" in line]
+        days = [i for i, line in enumerate(lines) if "Subquery subquery" in line]  # the latest day, in a filter of the scan
+        assert len(windows) == 1 and days and min(days) > windows[0], name
+
+
+def test_a_missing_shared_folder_is_an_error_on_a_cluster(monkeypatch):
+    class Conf:
+        def get(self, key, default=None):
+            return default
+
+    class Context:
+        master = "spark://cluster:7077"
+
+        def getCheckpointDir(self):
+            return None
+
+        def getConf(self):
+            return Conf()
+
+    class Session:
+        sparkContext = Context()
+
+    with pytest.raises(ValueError):
+        checkpoint_dir(Session())

@@ -2,8 +2,9 @@
 
 import pytest
 
-from aeris.functions import clean_zone_name, commune_from_name
+from aeris.functions import with_commune, with_zone_name
 
+# Names, zones and the communes they must give.
 CASES = [
     ("CARPENTRAS", "ZAG AVIGNON", "CARPENTRAS"),
     ("ANGLET", "ZAG BAYONNE", "ANGLET"),
@@ -23,7 +24,7 @@ CASES = [
 @pytest.fixture(scope="module")
 def communes(spark):
     df = spark.createDataFrame([(a, b) for a, b, _ in CASES], "nom_site string, zas string")
-    return [r[0] for r in df.select(commune_from_name("nom_site", "zas")).collect()]
+    return [r.commune_extraite for r in with_commune(df).collect()]
 
 
 @pytest.mark.parametrize("i", range(len(CASES)))
@@ -34,5 +35,5 @@ def test_commune(communes, i):
 def test_zone_title_case(spark):
     df = spark.createDataFrame([("ZAG ST MARTIN D'HERES",), ("ZAR  grenoble-nord ",), ("ZA lyon",), (None,)],
                                "z string")
-    got = [r[0] for r in df.select(clean_zone_name("z")).collect()]
+    got = [r.zone_name for r in with_zone_name(df, "z").collect()]
     assert got == ["St Martin D'Heres", "Grenoble-Nord", "Lyon", ""]

@@ -110,11 +110,30 @@ def test_exceedance_mart_and_distribution(spark):
 
 
 def test_run_metrics_one_day_and_codes(spark):
-    from aeris.functions import is_regulated, normalise_unit, pollutant_code
     b = bronze(spark, dict(code_site="A"), dict(code_site="B", validite="-1"),
                dict(code_site="C", date_debut="2026/07/02 10:00:00"), dict(code_site="C", date_debut="2026/07/02 10:00:00"))
     m = silver.run_metrics(b, day="2026-07-02").first()
     assert (m.rows_read, m.rows_in_scope, m.rows_invalid, m.rows_written, m.duplicates_removed) == (4, 2, 0, 1, 1)
-    df = spark.createDataFrame([(" PM2.5 ", "µg-m3"), ("NO", "ppb")], "p string, u string")
-    got = df.select(is_regulated("p"), pollutant_code("p"), normalise_unit("u")).collect()
-    assert [tuple(r) for r in got] == [(True, "PM25", "ug/m3"), (False, None, "ppb")]
+
+
+def test_hours_that_a_zone_skips_stay_two_readings(spark):
+    b = bronze(spark, dict(date_debut="2026/03/29 02:00:00"), dict(date_debut="2026/03/29 03:00:00"))
+    zone = spark.conf.get("spark.sql.session.timeZone")
+    spark.conf.set("spark.sql.session.timeZone", "Europe/Paris")
+    try:
+        assert silver.clean_measurements(b).count() == 2
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", zone)
+
+
+def test_a_day_column_filters_before_the_deduplication(spark):
+    b = bronze(spark, dict(code_site="A"), dict(code_site="A"), dict(code_site="B", date_debut="2026/07/02 10:00:00"))
+    day = F.lit("2026-07-01").cast("date")
+    assert [r.code_site for r in silver.clean_measurements(b, day=day).collect()] == ["A"]
+
+
+def test_survivor_of_equal_times_is_the_same_in_any_order(spark):
+    rows = [dict(nom_site=n, unite=u) for n in ("b", "a") for u in ("y", "x")]
+    for order in (rows, rows[::-1]):
+        r = silver.clean_measurements(bronze(spark, *order)).first()
+        assert (r.nom_site, r.unite) == ("a", "x")

@@ -66,13 +66,25 @@ def test_index_list_null_order_and_day(spark):
     assert all_days == ["2", "1", "3", "5"]     # NULL index first under DESC, unlocated dropped
     one = [r.code_site for r in serving.list_indices(idx, day="2026-07-01").collect()]
     assert one == ["5"]
+    assert [r.code_site for r in serving.list_indices(idx, day=idx.select(F.min("jour")).scalar()).collect()] == ["5"]
+
+
+def test_a_day_of_exceedances_is_whole(spark):
+    rows = spark.range(3000).select(
+        F.col("id").cast("string").alias("code_site"), F.lit("n").alias("nom_site"), F.lit("NO2").alias("code_polluant"),
+        F.timestamp_seconds("id").cast("timestamp_ntz").alias("horodatage"),
+        F.when(F.col("id") < 2500, F.lit(date(2026, 7, 1))).otherwise(F.lit(date(2026, 7, 2))).alias("jour"),
+        F.lit(300.0).alias("valeur"), F.lit("u").alias("unite"), F.lit("info").alias("depassement"))
+    assert serving.list_exceedances(rows, day="2026-07-01").count() == 2500
+    assert serving.list_exceedances(rows).count() == 1000
+    assert analytics.exceedance_table(serving.list_exceedances(rows, limit=None)).count() == 3000
 
 
 def test_day_stations_and_views(spark):
     idx = _index_serving(spark)
     st = spark.createDataFrame([("1", "Lyon Centre", None, "Urbaine", "", 45.0, 4.0),
                                 ("3", "Metz", None, None, "Trafic", 49.0, 6.0)], STATION_SCHEMA)
-    ds = analytics.day_stations(idx, st)          # latest day = 2026-07-02
+    ds = day_view(idx, st)
     rows = {r.code_station: r for r in ds.collect()}
     assert set(rows) == {"1", "2", "3"}
     assert rows["1"].type_influence == "—" and rows["2"].type_station == "—"
@@ -87,10 +99,18 @@ def test_day_stations_and_views(spark):
     assert analytics.good_share(idx).first()[0] == 20
 
 
+def day_view(index_serving, station_rows):
+    """The latest day's view: the serving index holds the daily index and the coordinates of one fixture."""
+    index = index_serving.filter(F.col("jour") == date(2026, 7, 2)).withColumnRenamed("jour", "date_mesure")
+    coords = index.select(F.col("code_site").alias("code_station"), "latitude", "longitude")
+    table = coords.join(station_rows.select("code_station", "type_station", "type_influence"), "code_station", "left")
+    return analytics.day_stations(index.drop("latitude", "longitude"), table)
+
+
 def test_question_routing(spark):
     idx = _index_serving(spark)
     st = spark.createDataFrame([("1", "Lyon Centre", None, "Urbaine", "Fond", 45.0, 4.0)], STATION_SCHEMA)
-    ds = analytics.day_stations(idx, st)
+    ds = day_view(idx, st)
     qs = spark.createDataFrame(
         [(1, 0, "Combien de stations ?"), (2, 0, "Où sont les alertes ?"), (3, 0, "Station la plus polluée ?"),
          (4, 0, "Quelle est la meilleure ?"), (5, 0, "Qualité de l'air aujourd'hui ?"), (6, 0, "Bonjour"),
@@ -100,10 +120,8 @@ def test_question_routing(spark):
     assert got[1][0] == "count" and got[2][0] == "alerts" and got[3][0] == "worst"
     assert got[4][0] == "best" and got[5][0] == "quality" and got[6][0] == "greeting"
     assert got[7][0] == "help" and got[8] == ("city", "1") and got[9][0] == "city" and got[10][0] == "default"
-    # the exact fallback (substring equi-join) agrees with the broadcast path
-    a = analytics.city_lookup(qs, ds).orderBy("conv_id").collect()
-    b = analytics.city_lookup(qs, ds, broadcast_rows=0).orderBy("conv_id").collect()
-    assert a == b and len(a) == 2
+    assert [r.conv_id for r in analytics.city_lookup(qs, ds).orderBy("conv_id").collect()] == [8, 9]
+    assert analytics.city_lookup(qs, ds.limit(0)).count() == 0
 
 
 def test_topk_lists_with_nulls(spark):
@@ -114,9 +132,8 @@ def test_topk_lists_with_nulls(spark):
         "maximum double, nb_mesures long, unite string")
     top = serving.list_means(means, limit=8).collect()
     assert [r.moyenne for r in top[:6]] == [None] * 6    # NULLs first under DESC (reference order)
-    exposed = analytics.most_exposed(means, "NO2", cap=None, n=3).collect()
+    exposed = analytics.most_exposed(means, "NO2", n=3).collect()
     assert [r.moyenne for r in exposed] == [6.0, 6.0, 6.0]
-    assert analytics.most_exposed(means, "NO2", cap=8, n=15).count() == 2
 
 
 def test_city_lookup_matches_brute_force(spark):
@@ -140,7 +157,5 @@ def test_city_lookup_matches_brute_force(spark):
                 if len(nom.lower().split(" ")[0]) >= 4 and nom.lower().split(" ")[0] in text.lower()]
         if hits:
             expect[k] = min(hits)[1]
-    for bound in (100_000, 0):     # broadcast candidates, then shuffled candidates
-        got = {r.conv_id: r.code_station for r in analytics.city_lookup(qs, ds, broadcast_rows=bound).collect()}
-        assert got == expect
+    assert {r.conv_id: r.code_station for r in analytics.city_lookup(qs, ds).collect()} == expect
     assert len(expect) > 20
