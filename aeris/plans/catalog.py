@@ -121,7 +121,7 @@ QUERIES: dict[str, Callable[[Domain, Views], DataFrame]] = {
     "question_routing": lambda d, v: A.route_questions(d.questions, v.ds),
     "city_lookup": lambda d, v: A.city_lookup(d.questions, v.ds),
     # --- station reference --------------------------------------------------------------
-    "distinct_stations": lambda d, v: ST.distinct_stations(d.valid_readings),
+    "distinct_stations": lambda d, v: ST.distinct_stations(d.valid_readings).orderBy("code_site"),
     "geocoded_stations": lambda d, v: d.station_records,
     "station_geometry": lambda d, v: ST.with_geometry(d.stations).select(
         "code_station", F.col("geom.lon").alias("geom_lon"), F.col("geom.lat").alias("geom_lat"),

@@ -13,13 +13,32 @@ sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 JOINS = ("BroadcastHashJoin", "SortMergeJoin", "ShuffledHashJoin", "BroadcastNestedLoopJoin", "CartesianProduct")
 
 
+def executed(plan: str) -> str:
+    """The nodes that ran: without the initial plans, also those of subqueries, and each subquery once."""
+    out, seen, skip = [], set(), None
+    for line in plan.splitlines():
+        depth = len(line) - len(line.lstrip(" :"))
+        if skip is not None and depth > skip:
+            continue
+        skip = None
+        name = re.search(r"subquery#\d+", line)[0] if "Subquery subquery#" in line else None
+        if "== Initial Plan ==" in line or name in seen:
+            skip = depth
+            continue
+        if name:
+            seen.add(name)
+        out.append(line)
+    return "\n".join(out)
+
+
 def summarise(plan: str) -> dict:
-    final = plan.split("== Initial Plan ==")[0]
-    scans = re.findall(r"FileScan parquet \[([^\]]*)\].*?ReadSchema: struct<([^>]*)>", final)
+    final = executed(plan)
+    scans = re.findall(r"FileScan parquet", final)
     return {
         "shuffles": len(re.findall(r"\bExchange hashpartitioning|\bExchange rangepartitioning|\bExchange SinglePartition|\bExchange RoundRobin", final)),
         "joins": ", ".join(sorted({j for j in JOINS if j in final})) or "-",
         "partial_agg": "yes" if re.search(r"partial_|Partial", final) else "-",
+        "windows": len(re.findall(r"[-+ ] Window \[", final)),
         "window_limit": "partial" if "WindowGroupLimit" in final and "Partial" in final else "-",
         "top_k": "yes" if "TakeOrderedAndProject" in final else "-",
         "python": "yes" if re.search(r"EvalPython|InPandas", final) else "no",
@@ -29,29 +48,29 @@ def summarise(plan: str) -> dict:
 
 def main():
     sf = sys.argv[1] if len(sys.argv) > 1 else "/root/testdata/sf0.01"
-    import __spark_entry__ as E
+    from aeris.plans import catalog
     from aeris.session import build_session
     spark = build_session("plans", master="local[8]", shuffle_partitions=8)
     rows = []
-    for name, fn in E.queries().items():
+    for name, fn in catalog.queries().items():
         df = fn(spark, sf)
         df.collect()
         rows.append((name, summarise(df._jdf.queryExecution().executedPlan().toString())))
-    events = E.queries()["daily_index"](spark, sf)
+    events = catalog.queries()["daily_index"](spark, sf)
     events.collect()
     scan = [ln.strip() for ln in events._jdf.queryExecution().executedPlan().toString().splitlines()
             if "FileScan parquet" in ln][:1]
     spark.stop()
     out = ["# PLANS", "",
-           "Final physical plans (after AQE) of the registered queries at sf0.01, summarised by",
+           "Final physical plans (after AQE) of the registered queries at sf0.01, subqueries included, summarised by",
            "`scripts/plan_report.py`. *shuffles*: hash/range exchanges in the final plan (AQE may",
            "have turned some into broadcasts); *partial agg*: map-side aggregation before a",
            "shuffle; *window limit*: the partial `WindowGroupLimit` of the dedup; *python*:",
            "any Python evaluation node (there is none).", "",
-           "| query | shuffles | joins | partial agg | window limit | top-k | python | scans |",
-           "|---|---|---|---|---|---|---|---|"]
+           "| query | shuffles | joins | partial agg | windows | window limit | top-k | python | scans |",
+           "|---|---|---|---|---|---|---|---|---|"]
     for name, r in rows:
-        out.append(f"| `{name}` | {r['shuffles']} | {r['joins']} | {r['partial_agg']} | {r['window_limit']} | "
+        out.append(f"| `{name}` | {r['shuffles']} | {r['joins']} | {r['partial_agg']} | {r['windows']} | {r['window_limit']} | "
                    f"{r['top_k']} | {r['python']} | {r['scans']} |")
     out += ["", "Scan of the raw events in the flagship plan (column pruning: only the 5 used columns):", "",
             "```", *(s[:400] for s in scan), "```", ""]
