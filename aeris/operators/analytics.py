@@ -219,16 +219,19 @@ def city_lookup(questions: DataFrame, ds: DataFrame, text_col: str = "question",
     """For each question, the first station (view order) whose first name word occurs
     in the lower-cased text. Questions without a match are absent.
 
-    Exact, without evaluating (question, station) pairs: a question puts out its distinct substrings of the
-    lengths that station words have (a scalar subquery), and these meet the words in an equi-join on the
-    whole word, so a common beginning of many names is no hot key."""
+    Exact, without evaluating (question, station) pairs: a station word has no space, so it can only occur
+    inside a space-separated token of the question. Each distinct token puts out its substrings of the lengths that
+    station words have (a scalar subquery), and these meet the words in an equi-join on the whole
+    word, so a common beginning of many names is no hot key."""
     words = station_words(ds)
     lengths = words.select(F.array_sort(F.collect_set(F.length("mot")))).scalar()  # at most as many as the longest word has letters
-    q = questions.select(*key_cols, F.lower(F.coalesce(F.col(text_col), F.lit(""))).alias("_q"), lengths.alias("_lengths"))
+    tokens = F.array_distinct(F.split(F.lower(F.coalesce(F.col(text_col), F.lit(""))), " "))
+    q = questions.select(*key_cols, F.explode(tokens).alias("_t")).filter(F.length("_t") >= CITY_WORD_MIN_LENGTH)
     parts = F.flatten(F.transform("_lengths", lambda n: F.when(
-        F.length("_q") >= n, F.transform(F.sequence(F.lit(1), F.length("_q") - n + 1), lambda p: F.substring(F.col("_q"), p, n))
+        F.length("_t") >= n, F.transform(F.sequence(F.lit(1), F.length("_t") - n + 1), lambda p: F.substring(F.col("_t"), p, n))
     ).otherwise(F.array().cast("array<string>"))))
-    found = q.select(*key_cols, F.explode(F.array_distinct(parts)).alias("mot")).join(words, "mot")
+    q = q.withColumn("_lengths", lengths).select(*key_cols, F.explode(F.array_distinct(parts)).alias("mot"))
+    found = q.join(words, "mot")
     best = F.min(F.struct("rank", "code_station", "nom", "mot")).alias("_m")
     return found.groupBy(*key_cols).agg(best).select(*key_cols, "_m.code_station", "_m.nom", "_m.mot")
 
