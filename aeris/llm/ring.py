@@ -3,8 +3,8 @@
 Each shard owns ``vnodes`` points of a ring of 2**32 positions; a point owns the arc that ends at
 it. A row goes to the shard of its arc while that shard has room: capacity is ``1 + slack`` times
 the mean load. What a full shard cannot hold continues clockwise to the next point whose shard
-has room. So no shard exceeds its capacity by more than the row that crosses it per piece, and
-only overflowing rows move.
+has room. A row that crosses the end of a piece goes to the side that holds its middle, so a shard
+exceeds its capacity by half a row for each such end at most, and only overflowing rows move.
 
 Only arc totals reach the driver: ``shards * vnodes`` rows at most, whatever the data. The walk
 turns them into pieces ``(arc, from, to, shard)`` of each arc's running total of bytes; the
@@ -111,8 +111,9 @@ def shard_rows(docs: DataFrame, shards: int = 24, vnodes: int = 256, slack: floa
     running = Window.partitionBy("arc").orderBy(*order).rowsBetween(Window.unboundedPreceding, Window.currentRow)
     placed = (
         rows.withColumn("before", F.sum("size").over(running) - F.col("size"))
-        .join(pieces, (F.col("arc") == F.col("of_arc")) & (F.col("before") >= F.col("since")) & (F.col("before") < F.col("until")))
-        .drop("of_arc", "since", "until")
+        .withColumn("middle", F.col("before") + F.floor(F.col("size") / 2))
+        .join(pieces, (F.col("arc") == F.col("of_arc")) & (F.col("middle") >= F.col("since")) & (F.col("middle") < F.col("until")))
+        .drop("of_arc", "since", "until", "middle")
         .withColumn("nth", F.row_number().over(Window.partitionBy("arc", "shard").orderBy("before")))
     )
     earlier = Window.partitionBy("to_shard").orderBy("of_arc").rowsBetween(Window.unboundedPreceding, -1)
