@@ -18,7 +18,7 @@ from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from aeris.llm.text import mix, slices, words
@@ -206,8 +206,8 @@ def train(docs: DataFrame, labels: DataFrame, per_label: int = SAMPLE_PER_LABEL)
         .groupBy("doc_id").agg(F.min("quality").alias("quality"))
     )
     shares = {r["quality"]: r["n"] for r in marks.groupBy("quality").agg(F.count("*").alias("n")).collect()}
-    order = Window.partitionBy("quality").orderBy(F.xxhash64("doc_id"), "doc_id")
-    chosen = marks.withColumn("nth", F.row_number().over(order)).where(F.col("nth") <= per_label).drop("nth")
+    first = [marks.where(F.col("quality") == q).orderBy(F.xxhash64("doc_id"), "doc_id").limit(per_label) for q in (0, 1)]
+    chosen = first[0].unionAll(first[1])
     sample = docs.select("doc_id", "text").join(F.broadcast(chosen), "doc_id")  # at most 2 * per_label rows
     sample = sample.groupBy("doc_id", "quality").agg(F.min("text").alias("text"))  # a repeated id trains once
     rows = sample.orderBy("doc_id").select("quality", "text").toArrow()
