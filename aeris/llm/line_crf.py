@@ -23,8 +23,8 @@ from pyspark.sql import functions as F
 
 from aeris.llm.text import mix, slices, words
 
-SAMPLE_PER_LABEL = 3000
-SLICE_BYTES = 2 << 20
+SAMPLE_PER_LABEL = 2000
+SLICE_BYTES = 1 << 20
 
 LETTER_UPPER, LETTER_LOWER, DIGIT, SYMBOL, BAR, SHOUT, STOP, HIGH, OTHER = range(9)
 CLASSES = 9
@@ -102,7 +102,7 @@ def line_features(texts: pa.Array) -> Lines:
         joined = (doc[1:] == doc[:-1])[:, None]
         before[1:], after[:-1] = np.where(joined, own[:-1], 0), np.where(joined, own[1:], 0)
     has = np.stack([np.concatenate(([False], doc[1:] == doc[:-1]))[: len(own)], np.concatenate((doc[1:] == doc[:-1], [False]))[: len(own)]], 1)
-    features = np.concatenate([own, own**2, before, after, has, np.ones((len(own), 1))], 1)
+    features = np.concatenate([own, own**2, before, after, has, np.ones((len(own), 1))], 1, dtype=np.float32)
     length = (ends - starts + 1)[keep].astype(float)
     return Lines(features, length, first)
 
@@ -157,12 +157,14 @@ def chain_marginals(score: np.ndarray, first: np.ndarray, transition: np.ndarray
 def fit(lines: Lines, label: np.ndarray, weight: np.ndarray, steps: int = 120, penalty: float = 1e-3) -> Model:
     """Weighted conditional log-likelihood of the label sequences, a document's label on each of its
     lines; every document counts once, however many lines it has. Adam on the full gradient."""
-    x, first = lines.features, lines.first
+    x, first = lines.features.copy(), lines.first
     counts = np.maximum(np.diff(first), 1)
-    mean, deviation = x.mean(0), x.std(0)
-    constant = deviation < 1e-9
-    mean, deviation = np.where(constant, 0.0, mean), np.where(constant, 1.0, deviation)
-    x = (x - mean) / deviation
+    mean = x.mean(0, dtype=np.float64)
+    deviation = np.sqrt(np.maximum(np.einsum("ij,ij->j", x, x, dtype=np.float64) / len(x) - mean**2, 0))
+    constant = deviation < 1e-6
+    mean, deviation = np.where(constant, 0.0, mean).astype(np.float32), np.where(constant, 1.0, deviation).astype(np.float32)
+    x -= mean
+    x /= deviation
     chain = np.repeat(np.arange(len(label)), np.diff(first))
     y, each = label[chain].astype(float), (weight / counts)[chain]
     of_doc = weight / counts
@@ -217,6 +219,7 @@ def train(docs: DataFrame, labels: DataFrame, per_label: int = SAMPLE_PER_LABEL)
         return None
     texts = table.column("text").combine_chunks()
     texts = texts.chunk(0) if isinstance(texts, pa.ChunkedArray) else texts
+    del rows, table
     parts = [line_features(texts.slice(a, b - a)) for a, b in slices(texts, SLICE_BYTES)]
     shifts = np.concatenate(([0], np.cumsum([len(p.length) for p in parts])))
     lines = Lines(np.concatenate([p.features for p in parts]), np.concatenate([p.length for p in parts]),

@@ -45,7 +45,7 @@ def mix(x: np.ndarray) -> np.ndarray:
 
 def _power_tables(n: int) -> tuple[np.ndarray, np.ndarray]:
     if len(_powers[0]) < n:
-        size = 1 << max(20, int(n).bit_length())
+        size = -(-n // (1 << 18)) << 18
         for k, base in enumerate((_STEP, _STEP_INV)):
             steps = np.full(size, base, np.uint64)
             steps[0] = 1
