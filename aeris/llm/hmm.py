@@ -35,8 +35,8 @@ END_HASH = 0
 SEGMENT = 256
 SAMPLE = 2000
 SAMPLE_ROUNDS = 25
-HELD = 1 << 20  # distinct words a task holds before it sends them on
-TOKENS = 1 << 20  # tokens worked on at once
+HELD = 1 << 19  # distinct words a task holds before it sends them on
+TOKENS = 1 << 18  # tokens worked on at once
 
 
 def word_class(w: Words) -> np.ndarray:
@@ -110,7 +110,13 @@ class Vocabulary(NamedTuple):
 def vocabulary(counts: DataFrame, n_frequent: int) -> Vocabulary:
     """From the written table of ``word_counts``: ``n_frequent`` rows and one row a class reach the driver."""
     plain = counts.where("kind >= 0")
-    top = plain.orderBy(F.desc("n"), "hash").limit(n_frequent).collect()
+    steps = {r["step"]: r["words"] for r in plain.groupBy(F.floor(F.log2("n") * 16).alias("step")).agg(F.count("*").alias("words")).collect()}  # some hundred rows
+    least, above = 0, 0
+    for step in sorted(steps, reverse=True):  # rarer words can't be among the most frequent; without them, few rows meet in the last sort
+        least, above = step, above + steps[step]
+        if above >= n_frequent:
+            break
+    top = plain.where(F.floor(F.log2("n") * 16) >= least).orderBy(F.desc("n"), "hash").limit(n_frequent).collect()
     top.sort(key=lambda r: r["hash"] & (2**64 - 1))
     kinds, n = np.zeros(CLASSES, np.int64), np.zeros(CLASSES, np.int64)
     for r in plain.groupBy("kind").agg(F.sum("n").alias("n"), F.count("*").alias("words")).collect():
