@@ -13,10 +13,12 @@ two sketches is a lower bound of the symmetric difference, which gives an exact
    prefix filter under one order for all): a linked pair still shares one of them.
 3. Stars instead of pairs. Documents of equal sets are one class. Within a key (an equal part), each class is compared only with the key's hub, the class
    whose keys are most shared. What remains is found without listing a group's pairs: relative to
-   a hub h, the difference of x and y is that of the residuals x ^ h and y ^ h. If x is not
-   linked to h, a partner y must share residual shingles with x, at least D_x - d_max(x) of them
-   (D_x the size of the residual), and more than D_y (1 - r) / 2 if y is linked to h. A prefix
-   filter over the residuals, shingles foreign to h first, yields the few candidates left.
+   a hub h, the difference of x and y is that of the residuals x ^ h and y ^ h, of sizes D_x and
+   D_y; so they share (D_x + D_y - d_max) / 2 residual shingles at least, and one if x is not linked
+   to h. Residuals are banded by size; for each band of partners a prefix filter, shingles
+   foreign to h first, yields the few candidates left. Shingles of h that a member lacks are common to many
+   members, but seldom needed: x and y with no foreign shingle in common can only link if y lacks more of h
+   than it has foreign. Members that both link to h need no comparison.
 4. Verify. Whole sketches drop pairs whose Hamming distance exceeds the allowed difference; the
    others are decided on the shingle sets of the whole texts.
 
@@ -192,39 +194,55 @@ def _sets(batch: pa.RecordBatch, k: int) -> Iterator[tuple[np.ndarray, np.ndarra
         yield made[int(a[i])], s
 
 
+def _residual_prefixes(s: np.ndarray, foreign: np.ndarray, h: np.ndarray, bands: Bands) -> tuple[np.ndarray, np.ndarray]:
+    """Hashed residual shingles that s puts out relative to hub h, each with the residual bands of a pair,
+    and which of them are foreign to h.
+
+    A partner in the band from ``low`` on shares at least (D + low - d_max) / 2 of the D residual shingles, so
+    the first one shared is among the first D + 1 - that many."""
+    d, reach, width = len(s) + len(h) - 2 * (len(s) - len(foreign)), bands.most(len(s)), max(1, bands.most(len(h)) // 2)
+    own, lowest, highest = d // width, max(0, d - reach) // width, (d + reach) // width
+    counts = [d + 1 - max(1, -(-(d + band * width - reach) // 2)) for band in range(lowest, highest + 1)]
+    residual = foreign[: max(counts)]
+    if len(residual) < max(counts):
+        residual = np.concatenate([residual, np.setdiff1d(h, s, assume_unique=True)[: max(counts) - len(residual)]])
+    place = np.concatenate([np.arange(max(0, n)) for n in counts])
+    partner = np.repeat(np.arange(lowest, highest + 1), np.maximum(counts, 0))
+    pair = (np.minimum(own, partner).astype(np.uint64) << _U(32)) | np.maximum(own, partner).astype(np.uint64)
+    return mix(residual[place] + mix(pair)).view(np.int64), place < len(foreign)
+
+
 def _verify_stars(pairs: DataFrame, docs: DataFrame, k: int, bands: Bands) -> DataFrame:
-    """``a, b, linked, differ, size, prefix``: hub a and member b decided; ``differ`` is the size of b's residual and
-    ``prefix`` its first residual shingles (crowded keys only)."""
+    """``a, b, linked, size, extra, missing, asks, answers``: hub a and member b decided. b has ``extra`` shingles foreign
+    to a and lacks ``missing`` of a's. Of crowded keys only, ``asks`` are the hashed residual shingles b puts out if it isn't
+    linked to a, ``answers`` those among which an asking partner must find one."""
+
+    def lists(values: list[np.ndarray]) -> pa.ListArray:
+        offsets = np.concatenate(([0], np.cumsum([len(x) for x in values]))).astype(np.int32)
+        return pa.ListArray.from_arrays(pa.array(offsets), pa.array(np.concatenate([*values, np.zeros(0, np.int64)])))
 
     def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        none = np.zeros(0, np.int64)
         for batch in batches:
-            linked, differ, size, prefix = [], [], [], []
+            linked, size, extra, missing, asks, answers = [], [], [], [], [], []
             crowded = batch.column("crowded").to_pylist()
             for (h, s), full in zip(_sets(batch, k), crowded):
                 foreign = np.setdiff1d(s, h, assume_unique=True)
                 shared = len(s) - len(foreign)
-                d = len(s) + len(h) - 2 * shared
                 linked.append(bands.linked(shared, len(s), len(h)))
-                differ.append(d)
                 size.append(len(s))
-                least = max(1, d - bands.most(len(s)))
-                if linked[-1]:
-                    least = max(least, d * bands.num // (bands.den + bands.num) + 1)
-                n = d - least + 1
-                first = np.zeros(0, np.uint64)
-                if full and n > 0:
-                    first = foreign[:n]
-                    if n > len(first):
-                        first = np.concatenate([first, np.setdiff1d(h, s, assume_unique=True)[: n - len(first)]])
-                prefix.append(first.view(np.int64))
-            offsets = np.concatenate(([0], np.cumsum([len(x) for x in prefix]))).astype(np.int32)
+                extra.append(len(foreign))
+                missing.append(len(h) - shared)
+                keys, is_foreign = _residual_prefixes(s, foreign, h, bands) if full else (none, none.astype(bool))
+                asks.append(none if linked[-1] else keys)
+                answers.append(keys if missing[-1] > extra[-1] else keys[is_foreign])
+            counts = {"linked": linked, "size": size, "extra": extra, "missing": missing}
             yield pa.RecordBatch.from_arrays(
-                [batch.column("a"), batch.column("b"), pa.array(linked, pa.bool_()), pa.array(differ, pa.int64()), pa.array(size, pa.int64()),
-                 pa.ListArray.from_arrays(pa.array(offsets), pa.array(np.concatenate([*prefix, np.zeros(0, np.int64)])))],
-                names=["a", "b", "linked", "differ", "size", "prefix"])
+                [batch.column("a"), batch.column("b"), *(pa.array(v, pa.bool_() if c == "linked" else pa.int64()) for c, v in counts.items()),
+                 lists(asks), lists(answers)], names=["a", "b", *counts, "asks", "answers"])
 
     rows = _with_texts(pairs, docs).select("a", "b", "crowded", "text_hash_a", "text_hash_b", "text_a", "text_b")
-    return rows.mapInArrow(task, "a long, b long, linked boolean, differ long, size long, prefix array<long>")
+    return rows.mapInArrow(task, "a long, b long, linked boolean, size long, extra long, missing long, asks array<long>, answers array<long>")
 
 
 def _verify(pairs: DataFrame, docs: DataFrame, k: int, bands: Bands) -> DataFrame:
@@ -240,16 +258,15 @@ def _verify(pairs: DataFrame, docs: DataFrame, k: int, bands: Bands) -> DataFram
 
 
 def _residual_pairs(stars: DataFrame, bands: Bands) -> DataFrame:
-    """``a, b``: members of a hub, one of them not linked to it, that share a residual prefix shingle
-    and whose sizes and distances to the hub allow a link."""
-    token = stars.select("a", "b", "linked", "differ", "size", F.explode("prefix").alias("token"))
-    outside = token.where(~F.col("linked")).select("a", "token", *[F.col(c).alias(f"x_{c}") for c in ("b", "differ", "size")])
-    other = token.select("a", "token", *[F.col(c).alias(f"y_{c}") for c in ("b", "linked", "differ", "size")])
+    """``a, b``: members of a hub, one of them not linked to it, that share a residual shingle put out
+    and whose sizes and differences from the hub allow a link."""
+    about = ("b", "size", "extra", "missing")
+    outside = stars.select("a", F.explode("asks").alias("token"), *[F.col(c).alias(f"x_{c}") for c in about])
+    other = stars.select("a", F.explode("answers").alias("token"), *[F.col(c).alias(f"y_{c}") for c in about])
     allowed = (F.col("x_size") + F.col("y_size")) * (bands.den - bands.num) / (bands.den + bands.num)
     return (
-        outside.join(other, ["a", "token"])
-        .where((F.col("x_b") < F.col("y_b")) | (F.col("y_linked") & (F.col("x_b") != F.col("y_b"))))
-        .where(F.abs(F.col("x_differ") - F.col("y_differ")) <= allowed)
+        outside.join(other, ["a", "token"]).where(F.col("x_b") != F.col("y_b"))
+        .where(F.abs(F.col("x_extra") - F.col("y_extra")) + F.abs(F.col("x_missing") - F.col("y_missing")) <= allowed)
         .where(F.least("x_size", "y_size") * bands.den >= F.greatest("x_size", "y_size") * bands.num)
         .select(F.least("x_b", "y_b").alias("a"), F.greatest("x_b", "y_b").alias("b")).distinct()
     )
@@ -281,7 +298,7 @@ def near_duplicates(docs: DataFrame, k: int = 5, num: int = 80, den: int = 100)
         profiles.select("doc_id", "text_hash", "n_shingles", "class").join(components, "class", "left")
         .withColumn("component", F.coalesce("component", "class"))
     )
-    least = rows.where(F.col("component").isNotNull()).groupBy("component").agg(F.min("doc_id").alias("component_id"))
+    least = written(rows.where(F.col("component").isNotNull()).groupBy("component").agg(F.min("doc_id").alias("component_id")), "parity-least")
     return (
         rows.join(least, "component", "left")
         .withColumn("component_id", F.when(F.col("component").isNull(), F.col("doc_id")).otherwise(F.col("component_id")))
