@@ -18,7 +18,7 @@ two sketches is a lower bound of the symmetric difference, which gives an exact
    to h. Residuals are banded by size; for each band of partners a prefix filter, shingles
    foreign to h first, yields the few candidates left. Shingles of h that a member lacks are common to many
    members, but seldom needed: x and y with no foreign shingle in common can only link if y lacks more of h
-   than it has foreign. Members that both link to h need no comparison.
+   than it has foreign. Members that links of stars join already need no comparison.
 4. Verify. Whole sketches drop pairs whose Hamming distance exceeds the allowed difference; the
    others are decided on the shingle sets of the whole texts.
 
@@ -213,7 +213,7 @@ def _residual_prefixes(s: np.ndarray, foreign: np.ndarray, h: np.ndarray, bands:
 
 
 def _verify_stars(pairs: DataFrame, docs: DataFrame, k: int, bands: Bands) -> DataFrame:
-    """``a, b, linked, size, extra, missing, asks, answers``: hub a and member b decided. b has ``extra`` shingles foreign
+    """``a, b, crowded, linked, size, extra, missing, asks, answers``: hub a and member b decided. b has ``extra`` shingles foreign
     to a and lacks ``missing`` of a's. Of crowded keys only, ``asks`` are the hashed residual shingles b puts out if it isn't
     linked to a, ``answers`` those among which an asking partner must find one."""
 
@@ -238,11 +238,11 @@ def _verify_stars(pairs: DataFrame, docs: DataFrame, k: int, bands: Bands) -> Da
                 answers.append(keys if missing[-1] > extra[-1] else keys[is_foreign])
             counts = {"linked": linked, "size": size, "extra": extra, "missing": missing}
             yield pa.RecordBatch.from_arrays(
-                [batch.column("a"), batch.column("b"), *(pa.array(v, pa.bool_() if c == "linked" else pa.int64()) for c, v in counts.items()),
-                 lists(asks), lists(answers)], names=["a", "b", *counts, "asks", "answers"])
+                [*(batch.column(c) for c in ("a", "b", "crowded")), *(pa.array(v, pa.bool_() if c == "linked" else pa.int64()) for c, v in counts.items()),
+                 lists(asks), lists(answers)], names=["a", "b", "crowded", *counts, "asks", "answers"])
 
     rows = _with_texts(pairs, docs).select("a", "b", "crowded", "text_hash_a", "text_hash_b", "text_a", "text_b")
-    return rows.mapInArrow(task, "a long, b long, linked boolean, size long, extra long, missing long, asks array<long>, answers array<long>")
+    return rows.mapInArrow(task, "a long, b long, crowded boolean, linked boolean, size long, extra long, missing long, asks array<long>, answers array<long>")
 
 
 def _verify(pairs: DataFrame, docs: DataFrame, k: int, bands: Bands) -> DataFrame:
@@ -257,15 +257,25 @@ def _verify(pairs: DataFrame, docs: DataFrame, k: int, bands: Bands) -> DataFram
     return rows.mapInArrow(task, "a long, b long")
 
 
-def _residual_pairs(stars: DataFrame, bands: Bands) -> DataFrame:
-    """``a, b``: members of a hub, one of them not linked to it, that share a residual shingle put out
-    and whose sizes and differences from the hub allow a link."""
-    about = ("b", "size", "extra", "missing")
+def _residual_pairs(stars: DataFrame, components: DataFrame, bands: Bands) -> DataFrame:
+    """``a, b``: members of a hub, one of them not linked to it, that share a residual shingle put out, whose
+    sizes and differences from the hub allow a link, and that the stars' links don't join already.
+
+    A linked pair is found with any hub that both have. So two members with the same largest hub are compared there only."""
+    stars = stars.where("crowded")
+    largest = (
+        stars.join(stars.groupBy("a").agg(F.count("*").alias("n")), "a")
+        .groupBy("b").agg(F.max(F.struct("n", "a")).alias("one")).select("b", F.col("one.a").alias("top"))
+    )
+    stars = stars.join(largest, "b")
+    stars = stars.join(components.select(F.col("node").alias("b"), "component"), "b", "left").withColumn("component", F.coalesce("component", "b"))
+    about = ("b", "component", "top", "size", "extra", "missing")
     outside = stars.select("a", F.explode("asks").alias("token"), *[F.col(c).alias(f"x_{c}") for c in about])
     other = stars.select("a", F.explode("answers").alias("token"), *[F.col(c).alias(f"y_{c}") for c in about])
     allowed = (F.col("x_size") + F.col("y_size")) * (bands.den - bands.num) / (bands.den + bands.num)
     return (
-        outside.join(other, ["a", "token"]).where(F.col("x_b") != F.col("y_b"))
+        outside.join(other, ["a", "token"]).where(F.col("x_component") != F.col("y_component"))
+        .where((F.col("x_top") != F.col("y_top")) | (F.col("a") == F.col("x_top")))
         .where(F.abs(F.col("x_extra") - F.col("y_extra")) + F.abs(F.col("x_missing") - F.col("y_missing")) <= allowed)
         .where(F.least("x_size", "y_size") * bands.den >= F.greatest("x_size", "y_size") * bands.num)
         .select(F.least("x_b", "y_b").alias("a"), F.greatest("x_b", "y_b").alias("b")).distinct()
@@ -289,9 +299,10 @@ def near_duplicates(docs: DataFrame, k: int = 5, num: int = 80, den: int = 100)
     stars = _star_pairs(full).select(F.col("hub").alias("a"), F.col("member").alias("b"), "crowded")
     stars = written(_near(stars, classes, bands).where("near or crowded").drop("near"), "parity-stars")
     stars = written(_verify_stars(stars, docs, k, bands), "parity-verified")
-    rest = _near(_residual_pairs(stars, bands), classes, bands).where("near").drop("near")
+    joined = connected_components(stars.where("linked").select("a", "b"), "parity-stars-joined")
+    rest = _near(_residual_pairs(stars, joined, bands), classes, bands).where("near").drop("near")
     rest = _verify(written(rest, "parity-rest"), docs, k, bands)
-    links = stars.where("linked").select("a", "b").unionAll(rest)
+    links = joined.select(F.col("node").alias("a"), F.col("component").alias("b")).unionAll(rest)
 
     components = connected_components(links, "parity-components").withColumnRenamed("node", "class")
     rows = (
