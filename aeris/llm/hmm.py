@@ -275,8 +275,9 @@ def sample_model(encoded: DataFrame, voc: Vocabulary, states: int, rounds: int =
     shares = voc.shares()
     model = Model(np.full(states, 1 / states), np.full(states, 1 / states), np.full((states, states), 0.2 / states) + 0.8 * np.eye(states),
                   (lambda e: e / e.sum(0))(shares[:, None] * rng.gamma(1.0, size=(len(shares), states))))
-    rows = encoded.where("trains").select("row", "doc_id", "symbols").orderBy(F.xxhash64("doc_id"), "row").limit(texts).select("symbols").toArrow()
-    sequences = _sequences(rows.column("symbols"))
+    chosen = encoded.where("trains").select("row", "doc_id").orderBy(F.xxhash64("doc_id"), "row").limit(texts).select("row")
+    rows = encoded.select("row", "symbols").join(F.broadcast(chosen), "row").toArrow()  # bounded by texts
+    sequences = _sequences(rows.sort_by("row").column("symbols"))
     for _ in range(rounds if sequences else 0):
         model = estimate(expected_counts(sequences, model), shares)
     return model
