@@ -6,11 +6,11 @@ bytes. A state emits a symbol or a class; a word of a class follows the smoothed
 (c + 0.5) / (N + 0.5 (V + 1)) within its class, whatever the state. A text's likelihood is exact: a
 scaled forward recursion over the whole text.
 
-Training: a bounded sample of ``SAMPLE`` training texts (smallest hash of the id) only breaks the
-symmetry of the states. Then ``passes`` rounds of Baum-Welch run over all training texts: each task sums
-expected counts, the sums of all tasks are added up per symbol. For these counts a text is cut
-into segments of ``SEGMENT`` tokens; a text's first segment starts from the start distribution, the
-others from the states' shares. Emissions are smoothed towards the corpus's own shares.
+Training: seeded random emissions break the symmetry of the states. Then rounds of Baum-Welch run over all
+training texts until the summed log-likelihood gains less than ``settled`` of itself: each task sums
+expected counts, the sums of all tasks are added up per symbol. A text is one sequence, however long; of
+texts too long to hold, the forward recursion is kept at some places and done again between them.
+Emissions are smoothed towards the corpus's own shares.
 
 Scale: word counts and the join of rare words to their counts are shuffles on the word's hash. Frequent words (a
 bounded table) are looked up in the task, so only rare words move. Words are known by 64-bit
@@ -33,10 +33,10 @@ from aeris.llm.text import Words, slices, words
 CLASSES = 256
 END_HASH = 0
 SEGMENT = 256
-SAMPLE = 2000
-SAMPLE_ROUNDS = 25
+SETTLED = 1e-4
 HELD = 1 << 19  # distinct words a task holds before it sends them on
 TOKENS = 1 << 18  # tokens worked on at once
+HELD_TOKENS = 1 << 22  # tokens a task holds to put texts of like length together
 
 
 def word_class(w: Words) -> np.ndarray:
@@ -232,75 +232,116 @@ def _padded(sequences: list[np.ndarray]) -> tuple[list[np.ndarray], np.ndarray]:
 
 def expected_counts(sequences: list[np.ndarray], m: Model) -> Counts:
     """One E step over the segments of some texts' symbols."""
-    total = no_counts(*m.emit.shape)
     cuts, is_first = _segments(sequences)
-    order = sorted(range(len(cuts)), key=lambda i: -len(cuts[i]))
-    at_once = max(1, TOKENS // SEGMENT)
-    for lo in range(0, len(order), at_once):
-        group = order[lo : lo + at_once]
-        steps, active = _padded([cuts[i] for i in group])
-        first = is_first[group]
-        alphas = [np.where(first[:, None], m.start, m.share) * m.emit[steps[0]]]
-        scales = [alphas[0].sum(1)]
-        alphas[0] /= scales[0][:, None]
-        for t in range(1, len(steps)):
-            a = (alphas[-1][: active[t]] @ m.move) * m.emit[steps[t]]
-            scales.append(a.sum(1))
-            alphas.append(a / scales[t][:, None])
-        beta = np.ones((0, len(m.start)))
-        for t in range(len(steps) - 1, -1, -1):
-            beta = np.concatenate([beta, np.ones((active[t] - len(beta), len(m.start)))])  # of the segments that end here: 1
-            gamma = alphas[t] * beta
-            gamma /= gamma.sum(1, keepdims=True)
-            alphas[t] = gamma
-            if t:
-                ahead = m.emit[steps[t]] * beta / scales[t][:, None]
-                total.move[...] += m.move * (alphas[t - 1][: active[t]].T @ ahead)
-                beta = ahead @ m.move.T
-        total.start[...] += alphas[0][first].sum(0)
-        flat, weights = np.concatenate(steps), np.concatenate(alphas)
+    return whole_counts(cuts, m, is_first)[0]
+
+
+def whole_counts(sequences: list[np.ndarray], m: Model, is_first: np.ndarray | None = None) -> tuple[Counts, float]:
+    """One E step over whole sequences and the log-likelihood (base e) of them all. Those not ``is_first`` start
+    from the states' shares. At most TOKENS steps, or tokens of several sequences, are held at once."""
+    total, likelihood = no_counts(*m.emit.shape), 0.0
+    is_first = np.ones(len(sequences), bool) if is_first is None else is_first
+    order = sorted(range(len(sequences)), key=lambda i: -len(sequences[i]))
+    lo = 0
+    while lo < len(order):
+        hi, size = lo, 0
+        while hi < len(order) and (hi == lo or size + len(sequences[order[hi]]) <= TOKENS):
+            size += len(sequences[order[hi]])
+            hi += 1
+        counts, gain = _group_counts([sequences[i] for i in order[lo:hi]], m, is_first[order[lo:hi]])
+        total, likelihood, lo = total.plus(counts), likelihood + gain, hi
+    return total, likelihood
+
+
+def _group_counts(group: list[np.ndarray], m: Model, first: np.ndarray) -> tuple[Counts, float]:
+    """``whole_counts`` of sequences in order of falling length, step by step: a block's rows are those of its first
+    step, then of the next. The states ahead of each block are kept, and the block done again on the way back."""
+    total, likelihood = no_counts(*m.emit.shape), 0.0
+    lengths = np.array([len(s) for s in group])
+    flat, begin = np.concatenate(group), np.concatenate(([0], np.cumsum(lengths)[:-1]))
+    blocks = range(0, int(lengths[0]), TOKENS)
+    before = [np.zeros((0, len(m.start)))]
+    ones = np.ones(len(m.start))
+
+    def forward(at: int) -> tuple[np.ndarray, ...]:
+        steps = np.arange(at, min(at + TOKENS, int(lengths[0])))
+        active = np.searchsorted(-lengths, -steps, side="left")
+        offset = np.concatenate(([0], np.cumsum(active)))
+        row = np.arange(offset[-1]) - np.repeat(offset[:-1], active)
+        symbols = flat[begin[row] + np.repeat(steps, active)]
+        emit = m.emit[symbols]
+        alpha, scale, a = np.empty_like(emit), np.empty(len(emit)), before[at // TOKENS]
+        for t, n, o in zip(steps.tolist(), active.tolist(), offset.tolist()):
+            a = (a[:n] @ m.move if t else np.where(first[:, None], m.start, m.share)) * emit[o : o + n]
+            scale[o : o + n] = c = a @ ones
+            a /= c[:, None]
+            alpha[o : o + n] = a
+        return symbols, active, offset, row, emit, alpha, scale
+
+    for at in blocks[:-1]:
+        *_, offset, _, _, alpha, _ = forward(at)
+        before.append(alpha[offset[-2] :])
+    behind = np.zeros((0, len(m.start)))
+    for at in reversed(blocks):
+        symbols, active, offset, row, ahead, alpha, scale = forward(at)
+        likelihood += float(np.log(scale).sum())
+        ahead /= scale[:, None]
+        beta = np.ones_like(alpha)  # stays 1 where a sequence ends
+        beta[offset[-2] : offset[-2] + len(behind)] = behind
+        back = m.move.T.copy()
+        for j in range(len(active) - 1, -1, -1):
+            o, n = int(offset[j]), int(active[j])
+            ahead[o : o + n] *= beta[o : o + n]
+            behind = ahead[o : o + n] @ back
+            if j:
+                beta[offset[j - 1] : offset[j - 1] + n] = behind
+        earlier = alpha[row[offset[1] :] + np.repeat(offset[:-2], active[1:])]
+        total.move[...] += m.move * (earlier.T @ ahead[offset[1] :])
+        if at:
+            total.move[...] += m.move * (before[at // TOKENS][: active[0]].T @ ahead[: active[0]])
+        weights = alpha * beta
+        weights /= weights.sum(1, keepdims=True)
+        if not at:
+            total.start[...] += weights[: len(group)][first].sum(0)
         total.share[...] += weights.sum(0)
         for k in range(weights.shape[1]):
-            total.emit[:, k] += np.bincount(flat, weights[:, k], len(total.emit))
-    return total
+            total.emit[:, k] += np.bincount(symbols, weights[:, k], len(total.emit))
+    return total, likelihood
 
 
 def _sequences(column: pa.Array | pa.ChunkedArray) -> list[np.ndarray]:
     return [np.frombuffer(s, np.uint16) for s in column.to_pylist()]
 
 
-def sample_model(encoded: DataFrame, voc: Vocabulary, states: int, rounds: int = SAMPLE_ROUNDS, texts: int = SAMPLE) -> Model:
-    """Start model from a bounded sample of training texts, from seeded random emissions."""
+def start_model(voc: Vocabulary, states: int) -> Model:
+    """The corpus's shares with seeded random factors for each state."""
     rng = np.random.default_rng(7)
     shares = voc.shares()
-    model = Model(np.full(states, 1 / states), np.full(states, 1 / states), np.full((states, states), 0.2 / states) + 0.8 * np.eye(states),
-                  (lambda e: e / e.sum(0))(shares[:, None] * rng.gamma(1.0, size=(len(shares), states))))
-    chosen = encoded.where("trains").select("row", "doc_id").orderBy(F.xxhash64("doc_id"), "row").limit(texts).select("row")
-    rows = encoded.select("row", "symbols").join(F.broadcast(chosen), "row").toArrow()  # bounded by texts
-    sequences = _sequences(rows.sort_by("row").column("symbols"))
-    for _ in range(rounds if sequences else 0):
-        model = estimate(expected_counts(sequences, model), shares)
-    return model
-
-
-def corpus_round(encoded: DataFrame, voc: Vocabulary, model: Model) -> Model:
-    """One round of Baum-Welch over all training texts. A task sends one row for each symbol it met."""
+    emit = shares[:, None] * rng.gamma(1.0, size=(len(shares), states))
+    return Model(np.full(states, 1 / states), np.full(states, 1 / states), np.full((states, states), 0.2 / states) + 0.8 * np.eye(states), emit / emit.sum(0))
+
+
+def corpus_round(encoded: DataFrame, voc: Vocabulary, model: Model) -> tuple[Model, float]:
+    """One round of Baum-Welch over all training texts, and their log-likelihood (base e) by the model given.
+    A task sends one row for each symbol it met."""
     symbols, states = model.emit.shape
 
     def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        total, held, size = no_counts(symbols, states), [], 0
+        total, likelihood, held, size = no_counts(symbols, states), 0.0, [], 0
         for batch in batches:
             for s in _sequences(batch.column("symbols")):
                 held.append(s)
                 size += len(s)
-                if size > TOKENS:
-                    total, held, size = total.plus(expected_counts(held, model)), [], 0
+                if size > HELD_TOKENS:
+                    counts, gain = whole_counts(held, model)
+                    total, likelihood, held, size = total.plus(counts), likelihood + gain, [], 0
         if held:
-            total = total.plus(expected_counts(held, model))
+            counts, gain = whole_counts(held, model)
+            total, likelihood = total.plus(counts), likelihood + gain
         met = np.flatnonzero(total.emit.any(1))
         if len(met):
-            ids = np.concatenate([met, -1 - np.arange(states + 2)])
-            values = np.concatenate([total.emit[met], total.move, [total.start, total.share]])
+            ids = np.concatenate([met, -1 - np.arange(states + 3)])
+            values = np.concatenate([total.emit[met], total.move, [total.start, total.share, np.eye(states)[0] * likelihood]])
             for i in range(0, len(ids), 10_000):
                 yield pa.RecordBatch.from_arrays([pa.array(ids[i : i + 10_000].astype(np.int32)), *map(pa.array, values[i : i + 10_000].T)],
                                                  names=["id", *(f"k{j}" for j in range(states))])
@@ -311,9 +352,20 @@ def corpus_round(encoded: DataFrame, voc: Vocabulary, model: Model) -> Model:
     values = np.stack([rows.column(f"k{j}").to_numpy() for j in range(states)], 1) if len(ids) else np.zeros((0, states))
     total = no_counts(symbols, states)
     total.emit[ids[ids >= 0]] = values[ids >= 0]
-    extra = np.zeros((states + 2, states))
+    extra = np.zeros((states + 3, states))
     extra[-1 - ids[ids < 0]] = values[ids < 0]
-    return estimate(Counts(extra[states], extra[states + 1], extra[:states], total.emit), voc.shares())
+    counts = Counts(extra[states], extra[states + 1], extra[:states], total.emit)
+    return estimate(counts, voc.shares()), float(extra[states + 2, 0])
+
+
+def trained(encoded: DataFrame, voc: Vocabulary, states: int, settled: float) -> Model:
+    """Rounds over all training texts until one gains less than ``settled`` of the log-likelihood."""
+    model, last = start_model(voc, states), -np.inf
+    while True:
+        model, likelihood = corpus_round(encoded, voc, model)
+        if not likelihood - last > settled * abs(likelihood):
+            return model
+        last = likelihood
 
 
 def log10_likelihood(sequences: list[np.ndarray], m: Model) -> np.ndarray:
@@ -353,7 +405,7 @@ def _likelihoods(encoded: DataFrame, model: Model) -> DataFrame:
     return rows.mapInArrow(task, f"{fields}, chain_score double")
 
 
-def language_model_scores(docs: DataFrame, trains: Column, held_out: Column, states: int = 8, passes: int = 2, n_frequent: int = 32_000) -> DataFrame:
+def language_model_scores(docs: DataFrame, trains: Column, held_out: Column, states: int = 8, settled: float = SETTLED, n_frequent: int = 32_000) -> DataFrame:
     """``doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score`` of every row of ``docs`` (``doc_id, text``).
 
     ``trains`` and ``held_out`` are conditions on the row; a null counts as false. ``base_score`` sums the log10
@@ -367,9 +419,7 @@ def language_model_scores(docs: DataFrame, trains: Column, held_out: Column, sta
     counts = written(word_counts(docs.where(trains)), "hmm-words")
     voc = vocabulary(counts, n_frequent)
     encoded = written(encode(docs, voc, trains, held_out), "hmm-encoded")
-    model = sample_model(encoded, voc, states)
-    for _ in range(passes):
-        model = corpus_round(encoded, voc, model)
+    model = trained(encoded, voc, states, settled)
 
     rare = encoded.select("row", F.explode("rare").alias("w")).select("row", "w.hash", F.col("w.n").alias("times"))
     seen = F.coalesce("n", F.lit(0))

@@ -103,3 +103,31 @@ def test_segments_count_every_token(monkeypatch):
     monkeypatch.setattr(hmm, "SEGMENT", 30)
     cut = expected_counts([text], m)
     assert np.isclose(cut.share.sum(), 100) and np.isclose(cut.start.sum(), 1) and np.isclose(cut.move.sum(), 96)
+
+
+def test_whole_texts_keep_their_state(monkeypatch):
+    rng = np.random.default_rng(3)
+    m = a_model(rng)
+    texts = [rng.integers(0, 30, n).astype(np.uint16) for n in (180, 1, 70, 130, 40)]
+    found = [forward_backward(s, m) for s in texts]
+    for at_once in (1 << 18, 150, 30):  # the longest texts in one block, then in several
+        monkeypatch.setattr(hmm, "TOKENS", at_once)
+        c, likelihood = hmm.whole_counts(texts, m)
+        assert np.allclose(c.move, sum(f[1] for f in found)) and np.allclose(c.start, sum(f[0][0] for f in found))
+        assert np.allclose(c.share, sum(f[0].sum(0) for f in found)) and math.isclose(likelihood, sum(f[2] for f in found) * math.log(10))
+
+
+def test_states_come_from_all_training_texts_until_settled(spark):
+    """A kind of text found in 4 of 2,604 texts gets a state of its own, and a further round gains next to nothing."""
+    rng = np.random.default_rng(4)
+    common = [" ".join(f"a{i}" for i in rng.integers(0, 40, 12)) for _ in range(2600)]
+    rare = [" ".join(f"b{i}" for i in rng.integers(0, 40, 400)) for _ in range(4)]
+    docs = spark.createDataFrame(list(enumerate(common + rare)), "doc_id long, text string")
+    voc = hmm.vocabulary(hmm.word_counts(docs), 100)
+    encoded = hmm.encode(docs, voc, F.lit(True), F.lit(False)).cache()
+    model = hmm.trained(encoded, voc, 2, hmm.SETTLED)
+    once, before = hmm.corpus_round(encoded, voc, model)
+    assert hmm.corpus_round(encoded, voc, once)[1] - before <= 2 * hmm.SETTLED * abs(before)
+    of = lambda kind: set(np.searchsorted(voc.hashes, hmm.words(hmm.pa.array([" ".join(f"{kind}{i}" for i in range(40))])).hash))
+    best = model.emit.argmax(1)
+    assert {best[i] for i in of("a")} != {best[i] for i in of("b")} and len({best[i] for i in of("b")}) == 1
