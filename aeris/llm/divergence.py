@@ -4,11 +4,12 @@ Base figures (words, symbols, repeated lines and word windows) come first. A doc
 long enough is then compared with the reference of its language by the Jensen-Shannon distance (base
 2, so 0 to 1) of two histograms: character classes, and the language's common words with all
 other words as one more bin. A reference is the sum of the histograms of all documents of the
-language that pass the base rules.
+language that pass the base rules. Every value of ``lang`` is a language; one that isn't listed has the
+words most frequent in its own documents as its common words. Rows without a ``lang`` share one pooled reference.
 
-Scale: a text is read once, into one narrow row of counts that is written; references are sums of
-those rows, one for each listed language and one for the rest, so the table that is
-broadcast back has a proven bound. Repeated windows are found inside the row by sorting their hashes
+Scale: a text is read once, into one narrow row of counts that is written (texts of languages that aren't listed once more, to
+count their words); references are sums of those rows, one for each language. They and the word lists are written, so
+Spark broadcasts them by their size or joins them by shuffle. Repeated windows are found inside the row by sorting their hashes
 (n log n), without exploding words.
 """
 
@@ -16,7 +17,7 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from aeris.llm.common import GAP, WORD, written
@@ -32,7 +33,8 @@ COMMON_WORDS: dict[str, tuple[str, ...]] = {
 #: Character classes counted one by one among what is neither white space nor a small letter.
 CLASSES = {"upper": r"\p{Lu}", "digit": "0-9", "stop": r".,;:'()\"\-", "shout": "!?", "symbol": r"#*$%&|<>{}\[\]=~^_\\@+/"}
 SMALL = r"[\x20\x09-\x0D\p{Ll}]+"
-OTHER = "other"
+PLAIN = r"^\p{L}\p{Ll}*$"
+OWN_WORDS = 20  # common words of a language that isn't listed
 
 
 def _count(text: Column, others: str) -> Column:
@@ -55,15 +57,28 @@ def _repeated_words(placed: Column) -> Column:
         lambda s, i: F.struct((s["total"] + F.least(F.lit(5), i - s["last"])).alias("total"), i.alias("last")), lambda s: s["total"])
 
 
+def frequent_words(docs: DataFrame, languages: Mapping[str, Sequence[str]] = COMMON_WORDS) -> DataFrame:
+    """``lang, own``: the ``OWN_WORDS`` most frequent words of all documents of each language that isn't listed, in small
+    letters, of words in small letters or with a capital; ties by the word."""
+    first = Window.partitionBy("lang").orderBy(F.desc("n"), "word")
+    words = docs.where(F.col("lang").isNotNull() & ~F.col("lang").isin(*languages)).select("lang", F.explode(F.split("text", GAP)).alias("word"))
+    words = words.where(F.rlike("word", F.lit(PLAIN))).groupBy("lang", F.lower("word").alias("word")).agg(F.count("*").alias("n"))
+    top = words.withColumn("place", F.row_number().over(first)).where(F.col("place") <= OWN_WORDS)
+    return top.groupBy("lang").agg(F.array_sort(F.collect_list("word")).alias("own"))
+
+
 def document_counts(docs: DataFrame, languages: Mapping[str, Sequence[str]] = COMMON_WORDS) -> DataFrame:
     """``doc_id, lang, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, chars, common`` of every row.
 
-    ``lang`` is a listed language or ``other`` (also for null); ``chars`` are the counts by class, then of small
-    letters, last of all other characters of words; ``common`` those of the language's common words (``other``:
-    of all languages'), in small letters or with a capital and without punctuation, last of all other words."""
+    ``lang`` is as it was; ``chars`` are the counts by class, then of small
+    letters, last of all other characters of words; ``common`` those of the language's common words (null:
+    of all listed languages'; a language that isn't listed: its ``frequent_words``), in small letters or with a capital and without punctuation, last of all other words."""
     every = sorted({w for ws in languages.values() for w in ws})
-    listed = F.when(F.col("lang").isin(*languages), F.col("lang")).otherwise(OTHER)
-    rows = docs.select("doc_id", listed.alias("lang"), F.coalesce(F.col("text"), F.lit("")).alias("text"))
+    own_words = written(frequent_words(docs, languages), "divergence-words").withColumnRenamed("lang", "own_lang")
+    rows = docs.select("doc_id", "lang", F.coalesce(F.col("text"), F.lit("")).alias("text"))
+    rows = rows.join(own_words, F.col("lang") == F.col("own_lang"), "left").drop("own_lang")
+    unlisted = F.col("lang").isNotNull() & ~F.col("lang").isin(*languages)
+    capital = F.transform("own", lambda w: F.concat(F.upper(F.substr(w, F.lit(1), F.lit(1))), F.substr(w, F.lit(2))))
     text, words, n = F.col("text"), F.col("words"), F.col("n")
     rows = (
         rows.withColumn("words", F.filter(F.split(text, GAP), lambda w: w != "")).withColumn("n", F.size(words))
@@ -71,17 +86,20 @@ def document_counts(docs: DataFrame, languages: Mapping[str, Sequence[str]] = CO
             *[F.element_at(words, i + j) for j in range(5)]))).otherwise(F.array().cast("array<long>")))
         .withColumn("placed", _sorted_windows(F.col("hashes")))  # a column: an expression would be evaluated for each element
         .withColumn("lines", F.filter(F.split(text, "\n"), lambda line: F.rlike(line, F.lit(WORD))))
-        .withColumn("known", F.transform(F.filter(words, lambda w: w.isin(*every, *[w.capitalize() for w in every])), F.lower))
+        .withColumn("forms", F.array_union("own", capital))
+        .withColumn("known", F.transform(F.when(unlisted, F.filter(words, lambda w: F.array_contains("forms", w))).otherwise(
+            F.filter(words, lambda w: w.isin(*every, *[w.capitalize() for w in every]))), F.lower))
         .withColumn("word_chars", F.char_length(F.array_join(words, "")).cast("long"))
         .withColumn("large", F.regexp_replace(text, SMALL, ""))
         .withColumn("chars", F.array(*[_count(F.col("large"), f"[^{own}]+") for own in CLASSES.values()],
                                      F.col("word_chars") - F.char_length("large")))
     )
-    wanted = F.array(*map(F.lit, every))
+    nothing = F.array().cast("array<string>")
+    wanted = F.when(unlisted, F.coalesce("own", nothing)).otherwise(F.array(*map(F.lit, every)))
     for lang, ws in languages.items():
         wanted = F.when(F.col("lang") == lang, F.array(*map(F.lit, ws))).otherwise(wanted)
     found = lambda w: F.size(F.filter(F.col("known"), lambda x: x == w)).cast("long")
-    rows = rows.withColumn("wanted", wanted).withColumn("common", F.transform("wanted", found))
+    rows = rows.withColumn("known", F.coalesce("known", nothing)).withColumn("wanted", wanted).withColumn("common", F.transform("wanted", found))
     total = lambda counts: F.aggregate(counts, F.lit(0).cast("long"), lambda a, x: a + x)
     return rows.select(
         "doc_id", "lang", n.cast("long").alias("n_words"), "word_chars",
@@ -106,9 +124,9 @@ def js_distance(p: Column, q: Column) -> Column:
 
 
 def references(counts: DataFrame, languages: Mapping[str, Sequence[str]] = COMMON_WORDS) -> DataFrame:
-    """``lang, ref_chars, ref_common``: summed histograms of the rows of ``counts``, a row for each listed language and ``other`` at most."""
+    """``lang, ref_chars, ref_common``: summed histograms of the rows of ``counts``, a row for each language and one for null."""
     n_chars = len(CLASSES) + 2
-    n_common = max(len({w for ws in languages.values() for w in ws}), *map(len, languages.values())) + 1
+    n_common = max(OWN_WORDS, len({w for ws in languages.values() for w in ws}), *map(len, languages.values())) + 1
     sums = [F.sum(F.get("chars", F.lit(i))).alias(f"c{i}") for i in range(n_chars)] + [
         F.sum(F.get("common", F.lit(i))).alias(f"w{i}") for i in range(n_common)]
     return counts.groupBy("lang").agg(*sums).select(
@@ -123,15 +141,16 @@ def quality_rules(docs: DataFrame, languages: Mapping[str, Sequence[str]] = COMM
 
     A document fails the base rules with fewer than 10 words, or if more than 20 % of its words lie in repeated
     5-word windows. It is kept if it passes them and, with ``least_words`` words or more, neither
-    distance exceeds its limit. A language no document of which passes the base rules has no reference; then
+    distance exceeds its limit. Each value of ``lang`` is judged by its own reference, all rows
+    without one by one that they share. A language no document of which passes the base rules has no reference; then
     the distances are null and nothing is held against the document. A null text has no words. Repeated rows and null ids are
     ordinary rows; extra columns are ignored; an empty table gives no rows.
     """
     counts = written(document_counts(docs, languages), "divergence-counts").withColumn(
         "base_failed", (F.col("n_words") < 10) | (100 * F.col("n_repeat_words") > 20 * F.col("n_words")))
-    refs = F.broadcast(references(counts.where(~F.col("base_failed")), languages))  # a row for each listed language and one
+    refs = written(references(counts.where(~F.col("base_failed")), languages), "divergence-references")
     judged = (
-        counts.join(refs, F.col("lang") == F.col("ref_lang"), "left")
+        counts.join(refs, F.col("lang").eqNullSafe(F.col("ref_lang")), "left")
         .withColumn("js_chars", js_distance(_shares(F.col("chars")), _shares(F.col("ref_chars"))))
         .withColumn("js_common", js_distance(_shares(F.col("common")), _shares(F.col("ref_common"))))
     )

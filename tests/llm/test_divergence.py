@@ -57,3 +57,16 @@ def test_oracle_at_the_smallest_size(spark):
     expected = {r[0]: r for r in con.sql(DIVERGENCE).fetchall()}
     rows = op4_divergence_rules(spark, sf).collect()
     assert {r.doc_id: tuple(r) for r in rows} == expected
+
+
+def test_every_language_has_its_own_reference(spark):
+    """A third of the rows in another script doesn't decide on clean texts of languages that aren't listed."""
+    words = {"it": ("il di che la non", "casa sole mare vento monte"), "pl": ("w na nie to jest", "dom morze wiatr słońce góra")}
+    prose = lambda lang, i: " ".join(f"{a} {b}" for j in range(60) for a in [words[lang][0].split()[(i + j) % 5]] for b in [words[lang][1].split()[(i + j * j) % 5] + "ab"[j % 2] * (j // 7)])
+    docs = [(i, prose("it", i), "it") for i in range(12)] + [(20 + i, prose("pl", i), "pl") for i in range(12)]
+    docs += [(100 + i, " ".join(chr(0x4E00 + (i * 31 + j * 7) % 900) * 3 for j in range(130)), "zh") for i in range(24)]
+    docs += [(200, " ".join(f"{a}{b}{c}" for a in ("casa", "sole", "mare") for b in "abcdefghij" for c in "klmn"), "it")]
+    docs += [(300, prose("it", 1), None)]
+    rows = {r.doc_id: r for r in quality_rules(spark.createDataFrame(docs, "doc_id long, text string, lang string")).collect()}
+    assert {i for i, r in rows.items() if not r.kept and not r.base_failed} == {200}  # none of the common words of its language
+    assert rows[200].js_common > 0.32 and rows[300].js_chars == 0 and not any(r.base_failed for r in rows.values())
