@@ -5,12 +5,14 @@ from __future__ import annotations
 import functools
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from aeris.llm.common import fold, ready, table
 from aeris.llm.cover_tree import top_k
 from aeris.llm.divergence import quality_rules
+from aeris.llm.hard_negatives import hard_negatives, labelled_vectors
 from aeris.llm.hmm import language_model_scores
 from aeris.llm.language import learn_profiles, predict_languages
 from aeris.llm.line_crf import score_documents, train
@@ -18,6 +20,8 @@ from aeris.llm.mixing import mix
 from aeris.llm.packing import pack
 from aeris.llm.parity_join import near_duplicates
 from aeris.llm.ring import shard_rows
+from aeris.llm.spelling import noisy_words, spelling_groups
+from aeris.llm.token_counts import count_tokens
 from aeris.llm.url_filter import Rule, judge_urls
 
 #: The host and path rules of the URL query.
@@ -90,6 +94,23 @@ def op10_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack(table(spark, sf_dir, "documents"), capacities=(512, 1024, 2048, 4096))
 
 
+def op11_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The documents' words, typing errors planted in one of 31, grouped with their more frequent forms."""
+    return spelling_groups(noisy_words(table(spark, sf_dir, "documents")), ratio=10)
+
+
+def op12_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Tokens of every text by the byte-level vocabulary of 50,257 tokens."""
+    return count_tokens(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"), limit=1024)
+
+
+def op13_segment_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Negatives that score 80 % to 100 % of each of the five positives of every hundredth vector; every seventh label is moved on by one first."""
+    label = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    vectors = labelled_vectors(table(spark, sf_dir, "embeddings"), label, scale=256)
+    return hard_negatives(vectors, F.col("vec_id") % 100 == 0, positives=5, negatives=5, share=(80, 100))
+
+
 def _registered(query: Callable[[SparkSession, str], DataFrame]) -> Callable[[SparkSession, str], DataFrame]:
     @functools.wraps(query)
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -101,4 +122,5 @@ def _registered(query: Callable[[SparkSession, str], DataFrame]) -> Callable[[Sp
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {f.__name__: _registered(f) for f in (
         op1_url_reputation, op2_parity_jaccard, op3_cover_tree_topk, op4_divergence_rules, op5_weighted_fair_mix,
-        op6_hidden_markov, op7_line_crf, op8_bounded_ring, op9_rank_order_language, op10_best_fit_packing)}
+        op6_hidden_markov, op7_line_crf, op8_bounded_ring, op9_rank_order_language, op10_best_fit_packing,
+        op11_spelling_variants, op12_token_counts, op13_segment_negatives)}

@@ -148,6 +148,53 @@ SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base
 FROM distances
 """
 
+SPELLING = r"""
+WITH RECURSIVE crc AS (
+  SELECT list(list_reduce(range(8), lambda c, k: CASE WHEN c & 1 = 1 THEN xor(3988292384, c >> 1) ELSE c >> 1 END, i) ORDER BY i) AS t
+  FROM (SELECT unnest(range(256)) AS i)),
+runs AS (
+  SELECT coalesce(doc_id::VARCHAR, '') AS id, translate(r, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS run, count(*) AS n
+  FROM (SELECT doc_id, unnest(regexp_extract_all(text, '[A-Za-z\x{00C0}-\x{00FF}]+')) AS r FROM documents) GROUP BY ALL),
+bytes AS (SELECT *, hex(id || ':' || run) AS x FROM runs WHERE length(run) >= 7),
+hashed AS (
+  SELECT run, n, xor(4294967295, list_reduce(list_transform(range(1, length(x), 2), lambda i: ('0x' || x[i:i+1])::BIGINT),
+    lambda c, b: xor(c >> 8, t[(xor(c, b) & 255) + 1]), 4294967295)) AS h FROM bytes, crc),
+typed AS (
+  SELECT CASE WHEN h % 31 = 0 THEN substr(run, 1, (h % length(run))::INT) || substr(run, (h % length(run))::INT + 2) ELSE run END AS word, n FROM hashed),
+words AS MATERIALIZED (SELECT word, sum(n)::BIGINT AS n FROM typed WHERE length(word) >= 7 GROUP BY word HAVING sum(n) >= 2),
+lost AS MATERIALIZED (
+  SELECT word, n, i, substr(word, 1, i) || substr(word, i + 2) AS rest FROM (SELECT word, n, unnest(range(length(word))) AS i FROM words)),
+near AS (
+  SELECT DISTINCT a.word, b.word AS other, b.n AS other_n FROM lost a JOIN lost b ON a.i = b.i AND a.rest = b.rest AND a.word <> b.word
+  UNION SELECT a.word, b.word, b.n FROM lost a JOIN words b ON b.word = a.rest
+  UNION SELECT b.word, a.word, a.n FROM lost a JOIN words b ON b.word = a.rest),
+best AS (SELECT word, count(*) AS n_near, arg_min(other, (-other_n, encode(other))) AS other, max(other_n) AS other_n FROM near GROUP BY word),
+links AS MATERIALIZED (
+  SELECT words.word, words.n, coalesce(n_near, 0)::BIGINT AS n_near, CASE WHEN other_n >= 10 * words.n THEN other END AS form, CASE WHEN other_n >= 10 * words.n THEN other_n END AS form_n
+  FROM words LEFT JOIN best USING (word)),
+ways(word, reached, step) AS (SELECT word, word, 0 FROM links UNION ALL SELECT ways.word, links.form, step + 1 FROM ways JOIN links ON links.word = ways.reached WHERE links.form IS NOT NULL),
+ends AS (SELECT word, arg_max(reached, step) AS root FROM ways GROUP BY word)
+SELECT word, form, root, n, n_near, form_n FROM links JOIN ends USING (word)
+"""
+
+HARD_NEGATIVES = r"""
+WITH v AS MATERIALIZED (
+  SELECT DISTINCT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+    list_transform(embedding, lambda x: floor(256 * x::DOUBLE)) AS x
+  FROM embeddings WHERE vec_id IS NOT NULL AND label IS NOT NULL AND len(embedding) > 0 AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+anchors AS (SELECT DISTINCT ON (vec_id) * FROM v WHERE vec_id % 100 = 0 ORDER BY vec_id, label, x),
+scored AS MATERIALIZED (
+  SELECT a.vec_id AS anchor_id, b.vec_id, a.label = b.label AS same, list_inner_product(a.x, b.x)::BIGINT AS score
+  FROM anchors a JOIN v b ON a.vec_id <> b.vec_id AND len(a.x) = len(b.x)),
+positives AS (
+  SELECT anchor_id, vec_id AS positive_id, score AS positive_score FROM scored WHERE same
+  QUALIFY row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, vec_id) <= 5)
+SELECT p.anchor_id, positive_id, row_number() OVER (PARTITION BY p.anchor_id, positive_id ORDER BY s.score DESC, s.vec_id)::INT AS rank,
+  s.vec_id AS negative_id, positive_score, s.score AS negative_score
+FROM positives p JOIN scored s ON s.anchor_id = p.anchor_id AND NOT s.same AND 80 * positive_score <= 100 * s.score AND s.score <= positive_score
+QUALIFY rank <= 5
+"""
+
 
 def oracle_sql() -> dict[str, str]:
     return {
@@ -156,4 +203,6 @@ def oracle_sql() -> dict[str, str]:
         "op3_cover_tree_topk": TOP_K,
         "op4_divergence_rules": DIVERGENCE,
         "op5_weighted_fair_mix": MIX,
+        "op11_spelling_variants": SPELLING,
+        "op13_segment_negatives": HARD_NEGATIVES,
     }
