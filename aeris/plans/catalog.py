@@ -13,6 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from aeris.operators import analytics as A
+from aeris.operators import geocoding as GC
 from aeris.operators import gold as G
 from aeris.operators import quality as Q
 from aeris.operators import serving as S
@@ -21,6 +22,7 @@ from aeris.operators import stations as ST
 from aeris.plans.domain import Domain
 from aeris.schemas import TEXT_LIMITS
 from aeris.session import apply_defaults
+from aeris.sources import binding
 from aeris.sources.csv_source import csv_lines, parse_csv_lines, source_to_bronze
 from aeris.streaming import parse_messages, publish_frame
 
@@ -123,6 +125,8 @@ QUERIES: dict[str, Callable[[Domain, Views], DataFrame]] = {
     # --- station reference --------------------------------------------------------------
     "distinct_stations": lambda d, v: ST.distinct_stations(d.valid_readings).orderBy("code_site"),
     "geocoded_stations": lambda d, v: d.station_records,
+    "geocoded_approximate": lambda d, v: GC.geocode_approximate(
+        binding.bind_misspelt(ST.distinct_stations(d.valid_readings)), d.gazetteer),
     "station_geometry": lambda d, v: ST.with_geometry(d.stations).select(
         "code_station", F.col("geom.lon").alias("geom_lon"), F.col("geom.lat").alias("geom_lat"),
         F.col("geom.srid").alias("geom_srid")),

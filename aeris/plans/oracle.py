@@ -257,6 +257,45 @@ city AS (
     FROM questions q JOIN city_cand c ON contains(lower(coalesce(q.question, '')), c.mot)) WHERE rn = 1
 )
 """
+# Stations with misspelt names, their communes, and the best gazetteer entry for each folded name.
+FOLD = "regexp_replace(regexp_replace(trim(regexp_replace(strip_accents(lower({0})), '[^a-z0-9]+', ' ', 'g')), '(^| )st( |$)', '\\1saint\\2', 'g'), '(^| )ste( |$)', '\\1sainte\\2', 'g')"
+MISSPELT = f""",
+wrong AS (
+  SELECT * REPLACE (CASE kind WHEN 1 THEN replace(nom_site, 'Supplier', 'Suplier')
+      WHEN 3 THEN replace(replace(nom_site, 'Saint', 'St'), 'Supplier', 'Süppliér') WHEN 4 THEN replace(nom_site, 'Supplier', 'Sapplyer')
+      WHEN 5 THEN split_part(nom_site, '#', 1) ELSE nom_site END AS nom_site)
+  FROM (SELECT *, CAST(code_site AS BIGINT) % 6 AS kind FROM st_distinct)
+),
+wrong_tok AS (
+  SELECT *, list_filter(string_split_regex(translate(coalesce(nom_site, ''), '_-', '  '), '\\s+'), lambda x: x <> '') AS toks,
+         regexp_replace(replace(replace(replace(coalesce(zas, ''), 'ZAG', ''), 'ZAR', ''), 'ZA ', ''), '^\\s+|\\s+$', '', 'g') AS z
+  FROM wrong
+),
+misspelt AS (
+  SELECT *, {FOLD.format('commune_extraite')} AS name FROM (
+    SELECT * EXCLUDE (toks, z, zone_name, rest, stop),
+      CASE WHEN len(toks) = 0 THEN zone_name
+           WHEN regexp_full_match(toks[1], '(?i)(a\\d+|n\\d+|d\\d+|rd\\d+|zi|za)') OR lower(toks[1]) IN ({NOISE}) THEN zone_name
+           WHEN lower(toks[1]) IN ({PREFIXES}) AND len(toks) > 1
+             THEN array_to_string(list_concat([toks[1]], rest[1:CASE WHEN coalesce(stop, 0) = 0 THEN len(rest) ELSE stop - 1 END]), ' ')
+           ELSE toks[1] END AS commune_extraite
+    FROM (SELECT *, {TITLE} AS zone_name, toks[2:] AS rest, list_position(list_transform(toks[2:], lambda x: lower(x) IN ({NOISE})), true) AS stop
+          FROM wrong_tok))
+),
+entry AS (
+  SELECT {FOLD.format('commune')} AS entry, label AS commune_label, contexte, longitude, latitude FROM gazetteer
+  QUALIFY row_number() OVER (PARTITION BY {FOLD.format('commune')} ORDER BY label, contexte, longitude NULLS FIRST, latitude NULLS FIRST) = 1
+),
+best_place AS (
+  SELECT name, commune_label, contexte, longitude, latitude, CASE WHEN r < 3 THEN r END AS edits,
+         CASE r WHEN 0 THEN 'exact' WHEN 3 THEN 'premiers mots' ELSE 'orthographe' END AS par
+  FROM (SELECT name, e.*, CASE WHEN levenshtein(name, entry) <= (CASE WHEN length(name) < 4 THEN 0 WHEN length(name) < 9 THEN 1 ELSE 2 END) THEN levenshtein(name, entry)::INTEGER
+                               WHEN length(name) >= 3 AND starts_with(entry, name || ' ') THEN 3 END AS r
+        FROM (SELECT DISTINCT name FROM misspelt WHERE name <> '') CROSS JOIN entry e)
+  WHERE r IS NOT NULL
+  QUALIFY row_number() OVER (PARTITION BY name ORDER BY r, commune_label, contexte, longitude NULLS FIRST, latitude NULLS FIRST) = 1
+)
+"""
 
 MEANS_ORDER = ("jour DESC NULLS FIRST, moyenne DESC NULLS FIRST, code_site ASC NULLS LAST, "
                "code_polluant ASC NULLS LAST, nom_site ASC NULLS LAST, unite ASC NULLS LAST")
@@ -411,6 +450,10 @@ SELECTS: dict[str, str] = {
     "city_lookup": "SELECT * FROM city",
     "distinct_stations": "SELECT * FROM st_distinct",
     "geocoded_stations": "SELECT * FROM st_geo",
+    "geocoded_approximate": """
+        SELECT m.* EXCLUDE (name, kind), b.commune_label, b.contexte, b.longitude, b.latitude, b.edits, b.par,
+               (b.latitude IS NOT NULL AND b.longitude IS NOT NULL) AS geocode_ok
+        FROM misspelt m LEFT JOIN best_place b USING (name)""",
     "station_geometry": """
         SELECT code_station,
                CASE WHEN longitude IS NOT NULL AND latitude IS NOT NULL THEN longitude END AS geom_lon,
@@ -504,4 +547,5 @@ SELECTS: dict[str, str] = {
 
 
 def oracle_sql() -> dict[str, str]:
-    return {name: f"WITH {BASE}\n{sel}" for name, sel in SELECTS.items()}
+    more = {"geocoded_approximate": MISSPELT}
+    return {name: f"WITH {BASE}{more.get(name, '')}\n{sel}" for name, sel in SELECTS.items()}

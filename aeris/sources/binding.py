@@ -111,6 +111,17 @@ def bind_gazetteer(supplier: DataFrame) -> DataFrame:
                            F.when(located, _lon(supplier)).alias("longitude"), F.when(located, _lat(supplier)).alias("latitude"))
 
 
+def bind_misspelt(stations: DataFrame) -> DataFrame:
+    """Stations whose names are written as people write them, by code: a letter left out, Saint abbreviated, accents, two wrong
+    letters, only the first word."""
+    kind = F.col("code_site").try_cast("long") % 6
+    name = F.col("nom_site")
+    return stations.withColumn("nom_site", F.when(kind == 1, F.replace(name, F.lit("Supplier"), F.lit("Suplier")))
+                               .when(kind == 3, F.replace(F.replace(name, F.lit("Saint"), F.lit("St")), F.lit("Supplier"), F.lit("Süppliér")))
+                               .when(kind == 4, F.replace(name, F.lit("Supplier"), F.lit("Sapplyer")))
+                               .when(kind == 5, F.split_part(name, F.lit("#"), F.lit(1))).otherwise(name))
+
+
 def bind_station_base(supplier: DataFrame) -> DataFrame:
     """``supplier`` -> station rows as a previous load left them (with ``code_region``)."""
     located = F.col("s_acctbal") >= 0
