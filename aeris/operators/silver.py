@@ -85,6 +85,13 @@ def clean_measurements(bronze: DataFrame, day: str | Column | None = None, proce
     return df.withColumn("_processed_at", F.current_timestamp()) if processed_at else df
 
 
+def hourly_measurements(readings: DataFrame) -> DataFrame:
+    """Typed readings in the shape of the hourly measurement table (before its key is enforced)."""
+    return with_exceedance(readings).select(
+        F.col("code_site").alias("code_station"), "code_polluant", "horodatage", "valeur",
+        F.col("validite").try_cast("smallint").alias("validite"), "depassement", "_ingested_at")
+
+
 def exceedance_distribution(silver: DataFrame) -> DataFrame:
     """Rows per exceedance class, NULL class included."""
     return silver.groupBy("depassement").agg(F.count(F.lit(1)).alias("nb"))

@@ -13,6 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from aeris.operators import analytics as A
+from aeris.operators import constraints as K
 from aeris.operators import geocoding as GC
 from aeris.operators import gold as G
 from aeris.operators import quality as Q
@@ -53,6 +54,15 @@ class Views:
     def exc_serving(self) -> DataFrame:
         return S.serving_exceedances(self.d.exceedances)
 
+    # what a load of the serving tables accepts and refuses
+    @cached_property
+    def judged_index(self) -> DataFrame:
+        return K.judge(self.index_serving, K.CONTRACTS["gold_indice_journalier"])
+
+    @cached_property
+    def judged_means(self) -> DataFrame:
+        return K.judge(self.means_serving, K.CONTRACTS["gold_moyennes_journalieres"])
+
     # the latest day, cut out before the deduplication
     @cached_property
     def index_day(self) -> DataFrame:
@@ -63,6 +73,10 @@ class Views:
         return A.day_stations(self.index_day, self.d.stations)
 
 
+def _with_reasons(judged: DataFrame) -> DataFrame:
+    return judged.withColumn("motifs", F.concat_ws(";", K.REASONS)).drop(K.REASONS)
+
+
 def _q(fn: Callable[[Domain, Views], DataFrame]) -> Callable[[SparkSession, str], DataFrame]:
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
         d = Domain(apply_defaults(spark), sf_dir)
@@ -163,6 +177,17 @@ QUERIES: dict[str, Callable[[Domain, Views], DataFrame]] = {
     "non_empty_report": lambda d, v: Q.non_empty_report({
         "moyennes_journalieres": d.means, "indice_journalier": d.index, "depassements": d.exceedances,
     }),
+    # --- loads behind constraints ---------------------------------------------------------
+    "accepted_index": lambda d, v: K.accepted(v.judged_index),
+    "quarantined_index": lambda d, v: _with_reasons(K.quarantined(v.judged_index)),
+    "accepted_means": lambda d, v: K.accepted(v.judged_means),
+    "quarantined_means": lambda d, v: _with_reasons(K.quarantined(v.judged_means)),
+    "judged_exceedances": lambda d, v: _with_reasons(K.judge(v.exc_serving, K.CONTRACTS["gold_depassements"])),
+    "judged_stations": lambda d, v: _with_reasons(K.judge(
+        ST.upsert(d.station_base, d.stations), K.CONTRACTS["station"], {"region": d.regions})),
+    "judged_measurements": lambda d, v: _with_reasons(K.judge(
+        SV.hourly_measurements(d.valid_readings), K.CONTRACTS["mesure_horaire"],
+        {"station": d.station_base, "polluant": ST.pollutant_seed(d.spark)})),
     # --- stream side ----------------------------------------------------------------------
     "published_messages": lambda d, v: publish_frame(d.bronze),
     "bronze_from_messages": lambda d, v: parse_messages(publish_frame(d.bronze)),

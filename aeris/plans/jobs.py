@@ -4,7 +4,9 @@ which is also the lineage cut for the next job).
 bronze_to_silver   Bronze JSON  -> Silver Parquet (partitioned by date_mesure)
 silver_to_gold     Silver       -> three Gold marts
 gold_to_serving    Gold + stations -> serving tables (JDBC or Parquet twin)
+load_serving       the same behind the declared constraints: accepted and quarantined rows, published as a whole or not at all
 station_reference  Silver + gazetteer (+ previous station table) -> station table + documents
+stream_to_bronze   messages (files) -> Bronze, drained once
 """
 
 from __future__ import annotations
@@ -14,10 +16,12 @@ import argparse
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
-from aeris.operators import gold, serving, silver, stations
+from aeris.operators import constraints, geocoding, gold, serving, silver, stations
 from aeris.sources.lake import lake_path, read_bronze_json, read_mart, write_documents, write_partitioned
 from aeris.session import apply_defaults
+from aeris.sources.snapshots import NoSnapshot, read_snapshot, replace_snapshot
 from aeris.sources.tables import write_table
+from aeris.streaming import read_message_files, stream_rejects, stream_to_bronze
 
 
 def _overwrite_mode(day: str | None, overwrite: str | None) -> bool:
@@ -76,33 +80,111 @@ def gold_to_serving(spark: SparkSession, gold_path: str, station_table: DataFram
                 "gold_depassements", root=root, jdbc_url=jdbc_url)
 
 
+PART = "_part"
+
+
+def load_table(df: DataFrame, table: str, root: str, parents: dict[str, DataFrame] | None = None, most_refused: float = 1.0) -> dict:
+    """Judge ``df`` by its contract and replace ``{root}/{table}`` by the result in one pass: accepted and quarantined rows are partitions
+    of one new version. When more than the share ``most_refused`` is refused, :class:`QuarantineExceeded` is raised and readers
+    keep the version they have. Returns the version and the counts observed during the write."""
+    counts = Observation(f"load_{table}")
+    judged = constraints.observed(constraints.judge(df, constraints.CONTRACTS[table], parents), counts)
+    part = F.when(F.size(constraints.REASONS) == 0, "acceptees").otherwise("refusees")
+    version = replace_snapshot(
+        judged.withColumn(PART, part), f"{root.rstrip('/')}/{table}",
+        write=lambda rows, folder: rows.write.partitionBy(PART).parquet(folder),
+        check=lambda: constraints.check_share(counts.get, most_refused, table))
+    return {"version": version, **counts.get}
+
+
+def loaded_table(spark: SparkSession, table: str, root: str, refused: bool = False) -> DataFrame:
+    """The accepted rows of the latest version (or the quarantined ones, with their reasons); the other part isn't read."""
+    rows = read_snapshot(spark, f"{root.rstrip('/')}/{table}").where(F.col(PART) == ("refusees" if refused else "acceptees"))
+    return rows.drop(PART) if refused else rows.drop(PART, constraints.REASONS)
+
+
+def load_serving(spark: SparkSession, gold_path: str, station_table: DataFrame, root: str, *, most_refused: float = 1.0,
+                 jdbc_url: str | None = None) -> dict[str, dict]:
+    """The three serving tables behind their constraints. With ``jdbc_url`` the database gets the accepted rows of each
+    table once its new version stands, so it is never sent what it would refuse."""
+    index = serving.serving_index(read_mart(spark, f"{gold_path}/indice_journalier"), station_table)
+    tables = {
+        "gold_indice_journalier": index,
+        "gold_moyennes_journalieres": serving.serving_means(read_mart(spark, f"{gold_path}/moyennes_journalieres")),
+        "gold_depassements": serving.serving_exceedances(read_mart(spark, f"{gold_path}/depassements")),
+    }
+    done = {}
+    for name, rows in tables.items():
+        done[name] = load_table(rows, name, root, most_refused=most_refused)
+        if jdbc_url:
+            write_table(loaded_table(spark, name, root), name, jdbc_url=jdbc_url)
+    return done
+
+
 def station_reference(spark: SparkSession, silver_path: str, gazetteer: DataFrame, out_path: str,
-                      previous: DataFrame | None = None, documents_path: str | None = None) -> DataFrame:
-    """Distinct stations -> commune -> gazetteer coordinates -> upsert into the previous
-    station table; written to ``out_path`` (a new location, never the one being read)."""
-    records = stations.geocode(stations.distinct_stations(read_mart(spark, silver_path)), gazetteer)
+                      previous: DataFrame | None = None, documents_path: str | None = None,
+                      approximate: bool = False) -> DataFrame:
+    """Distinct stations -> commune -> gazetteer coordinates -> upsert into the previous station table (by
+    default the version published before); published as the next version of ``out_path``, so readers see the old table until the new
+    one stands. ``approximate``: misspelt communes get the gazetteer's best answer."""
+    locate = geocoding.geocode_approximate if approximate else stations.geocode
+    records = locate(stations.distinct_stations(read_mart(spark, silver_path)), gazetteer)
     rows = stations.to_station_rows(records)
+    if previous is None:
+        try:
+            previous = read_snapshot(spark, out_path).drop("geom")
+        except NoSnapshot:
+            pass
     table = stations.upsert(previous, rows) if previous is not None else rows
-    stations.with_geometry(table).write.mode("overwrite").parquet(out_path)
+    replace_snapshot(stations.with_geometry(table), out_path)
     if documents_path:
         write_documents(records, documents_path, key="code_site")
-    return read_mart(spark, out_path)
+    return read_snapshot(spark, out_path)
+
+
+def stream_messages(spark: SparkSession, source: str, bronze_path: str, rejects_path: str, checkpoint: str | None = None) -> None:
+    """Drain the message files under ``source`` into Bronze and what isn't a record into the rejects; a later run goes on
+    where this one stopped."""
+    stops = [f"{checkpoint}/{part}" if checkpoint else None for part in ("bronze", "rejects")]
+    running = [stream_to_bronze(read_message_files(spark, source), bronze_path, stops[0]),
+               stream_rejects(read_message_files(spark, source), rejects_path, stops[1])]
+    for query in running:
+        query.awaitTermination()
 
 
 def main(argv: list[str] | None = None) -> None:
-    """``python -m aeris.plans.jobs bronze-to-silver|silver-to-gold --root LAKE [--date YYYY-MM-DD] [--overwrite static]``"""
+    """``python -m aeris.plans.jobs JOB --root LAKE``: ``bronze-to-silver`` and ``silver-to-gold`` take ``--date YYYY-MM-DD`` and
+    ``--overwrite static``, ``station-reference`` takes ``--gazetteer PARQUET`` and ``--approximate``, ``gold-to-serving`` takes ``--most-refused SHARE`` and
+    ``--jdbc-url``, ``stream-to-bronze`` takes ``--messages FOLDER`` and ``--checkpoint``."""
     parser = argparse.ArgumentParser(description="Medallion jobs over the zones under one root")
-    parser.add_argument("job", choices=["bronze-to-silver", "silver-to-gold"])
+    parser.add_argument("job", choices=["bronze-to-silver", "silver-to-gold", "station-reference", "gold-to-serving", "stream-to-bronze"])
     parser.add_argument("--root", required=True)
     parser.add_argument("--date", help="rebuild one day only (YYYY-MM-DD)")
     parser.add_argument("--overwrite", choices=["dynamic", "static"])
+    parser.add_argument("--gazetteer", help="Parquet folder: commune, label, contexte, longitude, latitude")
+    parser.add_argument("--approximate", action="store_true", help="answer misspelt communes too")
+    parser.add_argument("--most-refused", type=float, default=1.0, help="share of refused rows at which a load is given up")
+    parser.add_argument("--jdbc-url")
+    parser.add_argument("--messages", help="folder of message files")
+    parser.add_argument("--checkpoint", help="folder of the stream's progress (default: under spark.checkpoint.dir)")
     args = parser.parse_args(argv)
+    needed = {"station-reference": "gazetteer", "stream-to-bronze": "messages"}.get(args.job)
+    if needed and not getattr(args, needed):
+        parser.error(f"{args.job} needs --{needed}")
     spark = apply_defaults(SparkSession.builder.appName(args.job).getOrCreate())
     zone = lambda name: lake_path(name, root=args.root)
     if args.job == "bronze-to-silver":
         print(bronze_to_silver(spark, zone("bronze"), zone("silver"), args.date, args.overwrite))
-    else:
+    elif args.job == "silver-to-gold":
         print(silver_to_gold(spark, zone("silver"), zone("gold"), args.date, args.overwrite))
+    elif args.job == "station-reference":
+        table = station_reference(spark, zone("silver"), read_mart(spark, args.gazetteer), zone("stations"), documents_path=zone("documents"),
+                                  approximate=args.approximate)
+        print({"stations": table.count(), "located": table.where("latitude is not null and longitude is not null").count()})
+    elif args.job == "gold-to-serving":
+        print(load_serving(spark, zone("gold"), read_snapshot(spark, zone("stations")), zone("serving"), most_refused=args.most_refused, jdbc_url=args.jdbc_url))
+    else:
+        stream_messages(spark, args.messages, zone("bronze"), zone("rejects"), args.checkpoint)
 
 
 if __name__ == "__main__":

@@ -546,6 +546,48 @@ SELECTS: dict[str, str] = {
 }
 
 
+def _judged(source: str, rules: list[tuple[str, str]], unique: tuple[str, ...] = (), order: str = "") -> str:
+    """All rows of ``source`` with the reasons of broken rules; rows that break none compete for the ``unique`` key."""
+    reasons = ", ".join(f"CASE WHEN {broken} THEN '{reason}' END" for broken, reason in rules)
+    own = f"SELECT *, concat_ws(';', {reasons}) AS own FROM {source}"
+    if not unique:
+        return f"SELECT * EXCLUDE (own), own AS motifs FROM ({own})"
+    competes = " AND ".join(["own = ''", *(f"{c} IS NOT NULL" for c in unique)])
+    return f"""SELECT * EXCLUDE (own, competes, place), CASE WHEN competes AND place > 1 THEN 'doublon:{','.join(unique)}' ELSE own END AS motifs
+        FROM (SELECT *, row_number() OVER (PARTITION BY competes, {', '.join(unique)} ORDER BY {order}) AS place
+              FROM (SELECT *, {competes} AS competes FROM ({own})))"""
+
+
+def _too_long(**limits: int) -> list[tuple[str, str]]:
+    return [(f"length({c}) > {n}", f"trop_long:{c}") for c, n in limits.items()]
+
+
+JUDGED_INDEX = _judged("idx_serv", _too_long(code_site=20, nom_site=200, qualificatif=40, polluant_resp=10) + [("indice_atmo NOT BETWEEN -32768 AND 32767", "hors_bornes:indice_atmo")],
+                       ("code_site", "jour"), "nom_site, indice_atmo, qualificatif, polluant_resp, latitude, longitude")
+JUDGED_MEANS = _judged("means_serv", _too_long(code_site=20, nom_site=200, code_polluant=10, unite=20) + [("nb_mesures NOT BETWEEN -2147483648 AND 2147483647", "hors_bornes:nb_mesures")],
+                       ("code_site", "code_polluant", "jour"), "nom_site, moyenne, minimum, maximum, nb_mesures, unite")
+HOURLY = """(SELECT t.code_site AS code_station, t.code_polluant, horodatage, valeur_num AS valeur, TRY_CAST(nullif(validite, '') AS SMALLINT) AS validite,
+    CASE WHEN th.alerte IS NOT NULL AND valeur_num >= th.alerte THEN 'alerte' WHEN th.info IS NOT NULL AND valeur_num >= th.info THEN 'info' END AS depassement, _ingested_at
+  FROM typed t LEFT JOIN (VALUES ('NO2', 200.0, 400.0), ('O3', 180.0, 240.0), ('PM10', 50.0, 80.0), ('SO2', 300.0, 500.0)) AS th(code, info, alerte) ON t.code_polluant = th.code
+  WHERE validite <> '-1')"""
+
+SELECTS |= {
+    "accepted_index": f"SELECT * EXCLUDE (motifs) FROM ({JUDGED_INDEX}) WHERE motifs = ''",
+    "quarantined_index": f"SELECT * FROM ({JUDGED_INDEX}) WHERE motifs <> ''",
+    "accepted_means": f"SELECT * EXCLUDE (motifs) FROM ({JUDGED_MEANS}) WHERE motifs = ''",
+    "quarantined_means": f"SELECT * FROM ({JUDGED_MEANS}) WHERE motifs <> ''",
+    "judged_exceedances": _judged("exc_serv", _too_long(code_site=20, nom_site=200, code_polluant=10, unite=20, depassement=10)),
+    "judged_stations": _judged("station_merged", [("code_station IS NULL", "manquant:code_station"), ("nom IS NULL", "manquant:nom")]
+                               + _too_long(code_station=20, nom=200, code_region=3, type_station=40, type_influence=40)
+                               + [("code_region IS NOT NULL AND code_region NOT IN (SELECT code_region FROM regions WHERE code_region IS NOT NULL)", "sans_parent:code_region")],
+                               ("code_station",), "nom"),
+    "judged_measurements": _judged(HOURLY, [("horodatage IS NULL", "manquant:horodatage")] + _too_long(code_station=20, code_polluant=10, depassement=10)
+                                   + [("code_station NOT IN (SELECT code_station FROM station_base)", "sans_parent:code_station"),
+                                      ("code_polluant NOT IN (SELECT code_polluant FROM pollutant_seed)", "sans_parent:code_polluant")],
+                                   ("code_station", "code_polluant", "horodatage"), "_ingested_at, valeur, validite, depassement"),
+}
+
+
 def oracle_sql() -> dict[str, str]:
     more = {"geocoded_approximate": MISSPELT}
     return {name: f"WITH {BASE}{more.get(name, '')}\n{sel}" for name, sel in SELECTS.items()}

@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from aeris.schemas import BRONZE_SCHEMA
+from aeris.sources.snapshots import replace_snapshot, snapshot_folder
 from pyspark.sql.types import StringType, StructField, StructType
 
 
@@ -74,5 +75,11 @@ def write_partitioned(df: DataFrame, path: str, partition_col: str = "date_mesur
 
 
 def write_documents(df: DataFrame, path: str, key: str = "code_site") -> None:
-    """Replace the whole document collection; each document's ``_id`` is its key."""
-    df.withColumn("_id", F.col(key)).write.mode("overwrite").json(path)
+    """Replace the whole document collection; each document's ``_id`` is its key. Readers see the old
+    collection until the new one stands."""
+    replace_snapshot(df.withColumn("_id", F.col(key)), path, write=lambda rows, folder: rows.write.json(folder))
+
+
+def read_documents(spark: SparkSession, path: str) -> DataFrame:
+    """The collection as it was last replaced."""
+    return spark.read.json(snapshot_folder(spark, path))

@@ -6,6 +6,8 @@ import os
 
 from pyspark.sql import DataFrame, SparkSession
 
+from aeris.sources.snapshots import read_snapshot, replace_snapshot
+
 
 def _jdbc_props() -> dict[str, str]:
     props = {}
@@ -29,14 +31,15 @@ def read_table(spark: SparkSession, table: str, columns: list[str] | None = None
                  .option("lowerBound", lower).option("upperBound", upper))
         df = r.load()
     else:
-        df = spark.read.parquet(f"{root.rstrip('/')}/{table}")
+        df = read_snapshot(spark, f"{root.rstrip('/')}/{table}")
     return df.select(*columns) if columns else df
 
 
 def write_table(df: DataFrame, table: str, *, jdbc_url: str | None = None, root: str | None = None,
                 connections: int = 8, batch_rows: int = 10_000) -> None:
     """Overwrite a serving table. JDBC truncates (keeps the declared DDL and keys) and holds
-    ``connections`` at most, whatever the number of partitions; the Parquet twin replaces the directory."""
+    ``connections`` at most, whatever the number of partitions; the Parquet twin publishes a new version, so its
+    readers never see a gap or half a table."""
     if jdbc_url:
         w = df.write.mode("overwrite").format("jdbc").option("url", jdbc_url).option("dbtable", table)
         w = w.option("truncate", "true").option("numPartitions", connections).option("batchsize", batch_rows)
@@ -44,4 +47,4 @@ def write_table(df: DataFrame, table: str, *, jdbc_url: str | None = None, root:
             w = w.option(k, v)
         w.save()
     else:
-        df.write.mode("overwrite").parquet(f"{root.rstrip('/')}/{table}")
+        replace_snapshot(df, f"{root.rstrip('/')}/{table}")

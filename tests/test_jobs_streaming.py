@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from aeris.plans import jobs
 from aeris.schemas import BRONZE_COLUMNS
-from aeris.sources import daily_source_path, lake_path, object_store_conf, read_table, write_documents, write_table
+from aeris.sources import daily_source_path, lake_path, object_store_conf, read_documents, read_table, write_documents, write_table
 from aeris.streaming import parse_messages, publish_frame, reject_messages, stream_rejects, stream_to_bronze
 from aeris.streaming.bronze_sink import read_message_files
 
@@ -56,7 +56,7 @@ def test_silver_to_gold_round_trip(spark, tmp_path):
                                 "commune string, label string, contexte string, longitude double, latitude double")
     st = jobs.station_reference(spark, silver, gaz, str(tmp_path / "stations"), documents_path=str(tmp_path / "docs"))
     assert st.filter(F.col("latitude") == 2.0).count() == 2
-    docs = spark.read.json(str(tmp_path / "docs"))
+    docs = read_documents(spark, str(tmp_path / "docs"))
     assert sorted(r._id for r in docs.collect()) == ["S1", "S2"]
     jobs.gold_to_serving(spark, gold, st, root=str(tmp_path / "serving"))
     served = read_table(spark, "gold_indice_journalier", ["code_site", "latitude"], root=str(tmp_path / "serving"))
@@ -110,7 +110,7 @@ def test_paths_and_adapters(spark, tmp_path):
     write_table(df, "t", root=str(tmp_path))
     assert read_table(spark, "t", ["nom"], root=str(tmp_path)).columns == ["nom"]
     write_documents(df, str(tmp_path / "docs"))
-    assert spark.read.json(str(tmp_path / "docs")).first()._id == "1"
+    assert read_documents(spark, str(tmp_path / "docs")).first()._id == "1"
 
 
 def test_partitioned_write_splits_a_large_day(spark, tmp_path):
