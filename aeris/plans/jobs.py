@@ -4,6 +4,7 @@ which is also the lineage cut for the next job).
 bronze_to_silver   Bronze JSON  -> Silver Parquet (partitioned by date_mesure)
 silver_to_gold     Silver       -> three Gold marts
 gold_to_serving    Gold + stations -> serving tables (JDBC or Parquet twin)
+add_readings       late Bronze records -> the Silver and Gold of the days they fall on, nothing else read
 load_serving       the same behind the declared constraints: accepted and quarantined rows, published as a whole or not at all
 station_reference  Silver + gazetteer (+ previous station table) -> station table + documents
 stream_to_bronze   messages (files) -> Bronze, drained once
@@ -12,14 +13,19 @@ stream_to_bronze   messages (files) -> Bronze, drained once
 from __future__ import annotations
 
 import argparse
+import uuid
+from datetime import date
 
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
-from aeris.operators import constraints, geocoding, gold, serving, silver, stations
-from aeris.sources.lake import lake_path, read_bronze_json, read_mart, write_documents, write_partitioned
+from aeris.operators import constraints, geocoding, gold, incremental, serving, silver, stations
+from aeris.sources.lake import (
+    drop_partitions, lake_path, partition_values, read_bronze_json, read_mart, write_documents, write_partitioned,
+)
+from aeris.sources.scratch import staged
 from aeris.session import apply_defaults
-from aeris.sources.snapshots import NoSnapshot, read_snapshot, replace_snapshot
+from aeris.sources.snapshots import Files, NoSnapshot, read_snapshot, replace_snapshot
 from aeris.sources.tables import write_table
 from aeris.streaming import read_message_files, stream_rejects, stream_to_bronze
 
@@ -80,6 +86,63 @@ def gold_to_serving(spark: SparkSession, gold_path: str, station_table: DataFram
                 "gold_depassements", root=root, jdbc_url=jdbc_url)
 
 
+def _on_days(rows: DataFrame, days: list) -> DataFrame:
+    """Rows of the days (``None``: those without one), by the partition column."""
+    known = [d for d in days if d is not None]
+    condition = F.col("date_mesure").isin(known) if known else F.lit(False)
+    return rows.where(condition | F.col("date_mesure").isNull() if None in days else condition)
+
+
+def add_readings(bronze: DataFrame, silver_path: str, gold_path: str) -> dict:
+    """Merge a batch of Bronze records into Silver and the Gold marts; the result equals a rebuild of all.
+
+    Only the batch's days are read and written: their Silver rows (for the deduplication) and their states, from which means and index
+    are derived. A day without a state, or one that an interrupted run was writing (its journal is still there), is computed
+    from its Silver rows, so a failed run is mended by the next. One writer at a time. The days of a batch are listed on the driver."""
+    spark = bronze.sparkSession
+    paths = {name: f"{gold_path}/{name}" for name in ("etat_moyennes", "moyennes_journalieres", "indice_journalier", "depassements")}
+    journal = Files(spark, f"{gold_path}/_journal")
+    open_runs = journal.names("runs")
+    interrupted = {date.fromisoformat(d) if d else None for run in open_runs for d in journal.read(f"runs/{run}").split(",")}
+
+    batch = staged(incremental.arrived(bronze).withColumn("_processed_at", F.current_timestamp()), "batch")
+    days = sorted({r["date_mesure"] for r in batch.select("date_mesure").distinct().collect()} | interrupted, key=str)
+    if not days:
+        return {"days": 0, "added": 0, "replaced": 0}
+    have_silver = bool(Files(spark, silver_path).names(""))
+    stored = _on_days(read_mart(spark, silver_path), days) if have_silver else batch.limit(0)
+    merged = staged(incremental.merged_readings(stored, batch), "merged")
+    counts = merged.groupBy("date_mesure").agg(
+        F.count_if((F.col(incremental.ORIGIN) == incremental.ARRIVED) & F.col("remplacee").isNull()).alias("added"),
+        F.count_if(F.col("remplacee").isNotNull()).alias("replaced"), F.count_if(F.col("depassement").isNotNull()).alias("exceedances")).collect()  # a row a day
+
+    with_state = {date.fromisoformat(d) for d in partition_values(spark, paths["etat_moyennes"])} - interrupted
+    known, fresh = [d for d in days if d in with_state], [d for d in days if d not in with_state]
+    state = incremental.means_state(_on_days(merged, fresh)).select(*incremental.STATE_COLUMNS)
+    if known:
+        before = _on_days(read_mart(spark, paths["etat_moyennes"]), known)
+        state = state.unionByName(incremental.updated_state(before, _on_days(merged, known)))
+    state = staged(state, "state")
+
+    run = f"runs/{uuid.uuid4().hex}"
+    journal.write(run, ",".join(d.isoformat() if d else "" for d in days))
+    silver_rows = merged.drop(incremental.ORIGIN, "remplacee")
+    changed = [r["date_mesure"] for r in counts if r["replaced"]]
+    write_partitioned(_on_days(silver_rows, changed), silver_path)  # days where a stored reading gave way
+    new = merged.where(F.col(incremental.ORIGIN) == incremental.ARRIVED)
+    write_partitioned(_on_days(new, [d for d in days if d not in changed]).drop(incremental.ORIGIN, "remplacee"), silver_path, mode="append")
+    means = incremental.means_of_state(state)
+    write_partitioned(state, paths["etat_moyennes"])
+    write_partitioned(means, paths["moyennes_journalieres"])
+    write_partitioned(gold.daily_index(means), paths["indice_journalier"])
+    write_partitioned(gold.exceedance_mart(silver_rows), paths["depassements"])
+    quiet = {r["date_mesure"].isoformat() for r in counts if r["date_mesure"] and not r["exceedances"]}
+    drop_partitions(spark, paths["depassements"], sorted(quiet & set(partition_values(spark, paths["depassements"]))))
+    for done in (*[f"runs/{r}" for r in open_runs], run):
+        journal.fs.delete(journal.at(done), False)
+    return {"days": len(days), "added": sum(r["added"] for r in counts), "replaced": sum(r["replaced"] for r in counts)}
+
+
 PART = "_part"
 
 
@@ -154,10 +217,10 @@ def stream_messages(spark: SparkSession, source: str, bronze_path: str, rejects_
 
 def main(argv: list[str] | None = None) -> None:
     """``python -m aeris.plans.jobs JOB --root LAKE``: ``bronze-to-silver`` and ``silver-to-gold`` take ``--date YYYY-MM-DD`` and
-    ``--overwrite static``, ``station-reference`` takes ``--gazetteer PARQUET`` and ``--approximate``, ``gold-to-serving`` takes ``--most-refused SHARE`` and
+    ``--overwrite static``, ``add-readings`` takes ``--batch FOLDER``, ``station-reference`` takes ``--gazetteer PARQUET`` and ``--approximate``, ``gold-to-serving`` takes ``--most-refused SHARE`` and
     ``--jdbc-url``, ``stream-to-bronze`` takes ``--messages FOLDER`` and ``--checkpoint``."""
     parser = argparse.ArgumentParser(description="Medallion jobs over the zones under one root")
-    parser.add_argument("job", choices=["bronze-to-silver", "silver-to-gold", "station-reference", "gold-to-serving", "stream-to-bronze"])
+    parser.add_argument("job", choices=["bronze-to-silver", "silver-to-gold", "add-readings", "station-reference", "gold-to-serving", "stream-to-bronze"])
     parser.add_argument("--root", required=True)
     parser.add_argument("--date", help="rebuild one day only (YYYY-MM-DD)")
     parser.add_argument("--overwrite", choices=["dynamic", "static"])
@@ -165,10 +228,11 @@ def main(argv: list[str] | None = None) -> None:
     parser.add_argument("--approximate", action="store_true", help="answer misspelt communes too")
     parser.add_argument("--most-refused", type=float, default=1.0, help="share of refused rows at which a load is given up")
     parser.add_argument("--jdbc-url")
+    parser.add_argument("--batch", help="folder of late Bronze records")
     parser.add_argument("--messages", help="folder of message files")
     parser.add_argument("--checkpoint", help="folder of the stream's progress (default: under spark.checkpoint.dir)")
     args = parser.parse_args(argv)
-    needed = {"station-reference": "gazetteer", "stream-to-bronze": "messages"}.get(args.job)
+    needed = {"station-reference": "gazetteer", "stream-to-bronze": "messages", "add-readings": "batch"}.get(args.job)
     if needed and not getattr(args, needed):
         parser.error(f"{args.job} needs --{needed}")
     spark = apply_defaults(SparkSession.builder.appName(args.job).getOrCreate())
@@ -177,6 +241,8 @@ def main(argv: list[str] | None = None) -> None:
         print(bronze_to_silver(spark, zone("bronze"), zone("silver"), args.date, args.overwrite))
     elif args.job == "silver-to-gold":
         print(silver_to_gold(spark, zone("silver"), zone("gold"), args.date, args.overwrite))
+    elif args.job == "add-readings":
+        print(add_readings(read_bronze_json(spark, args.batch), zone("silver"), zone("gold")))
     elif args.job == "station-reference":
         table = station_reference(spark, zone("silver"), read_mart(spark, args.gazetteer), zone("stations"), documents_path=zone("documents"),
                                   approximate=args.approximate)

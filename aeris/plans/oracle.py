@@ -329,6 +329,8 @@ SELECTS: dict[str, str] = {
                count(*) FILTER (WHERE validite <> '-1') - (SELECT count(*) FROM dedup) AS duplicates_removed
         FROM typed""",
     "exceedance_mart": "SELECT * FROM depassements",
+    "merged_silver": "SELECT * FROM silver",
+    "merged_means": "SELECT * FROM means",
     "station_sub_indices": """
         SELECT code_site, date_mesure,
                max(si) FILTER (WHERE code_polluant = 'NO2') AS sous_indice_no2,

@@ -2,14 +2,14 @@
 
 from aeris.sources.csv_source import daily_source_path, read_measurements_csv, source_to_bronze
 from aeris.sources.lake import (
-    lake_path, object_store_conf, read_bronze_json, read_documents, read_mart, write_documents, write_partitioned,
+    lake_path, latest_day, object_store_conf, of_days, partition_values, read_day, read_bronze_json, read_documents, read_mart, write_documents, write_partitioned,
 )
 from aeris.sources.snapshots import read_snapshot, replace_snapshot, vacuum, versions
 from aeris.sources.tables import read_table, write_table
 
 __all__ = [
     "daily_source_path", "read_measurements_csv", "source_to_bronze",
-    "lake_path", "object_store_conf", "read_bronze_json", "read_documents", "read_mart", "write_documents", "write_partitioned",
+    "lake_path", "latest_day", "object_store_conf", "of_days", "partition_values", "read_day", "read_bronze_json", "read_documents", "read_mart", "write_documents", "write_partitioned",
     "read_snapshot", "replace_snapshot", "vacuum", "versions",
     "read_table", "write_table",
 ]

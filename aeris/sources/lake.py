@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 import os
+import re
+from urllib.parse import unquote
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -57,6 +59,45 @@ def read_mart(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.parquet(path)
 
 
+def partition_values(spark: SparkSession, path: str, column: str = "date_mesure") -> list[str]:
+    """Values of the partitions under ``path``, from its folder names alone: no file is opened. Rows without a value aren't listed."""
+    jvm = spark._jvm  # noqa: SLF001  (Spark's Python API has no file operations)
+    place = jvm.org.apache.hadoop.fs.Path(path)
+    fs = place.getFileSystem(spark._jsc.hadoopConfiguration())  # noqa: SLF001
+    if not fs.exists(place):
+        return []
+    names = [unquote(s.getPath().getName()) for s in fs.listStatus(place) if s.isDirectory()]
+    values = [n.split("=", 1)[1] for n in names if n.startswith(f"{column}=")]
+    return sorted(v for v in values if v != "__HIVE_DEFAULT_PARTITION__")
+
+
+def drop_partitions(spark: SparkSession, path: str, values: list[str], column: str = "date_mesure") -> None:
+    """Delete whole partitions (those that a dynamic overwrite has no rows for)."""
+    jvm = spark._jvm  # noqa: SLF001
+    for value in values:
+        place = jvm.org.apache.hadoop.fs.Path(f"{path.rstrip('/')}/{column}={value}")
+        place.getFileSystem(spark._jsc.hadoopConfiguration()).delete(place, True)  # noqa: SLF001
+
+
+def latest_day(spark: SparkSession, path: str, column: str = "date_mesure") -> str | None:
+    """The latest day that ``path`` has a partition of (C2 for readers of the marts): a listing instead of a scan for the maximum."""
+    days = [v for v in partition_values(spark, path, column) if re.fullmatch(r"\d{4}-\d{2}-\d{2}", v)]
+    return max(days, default=None)
+
+
+def read_day(spark: SparkSession, path: str, day: str | None = None) -> DataFrame:
+    """One day of a mart, the latest by default; other days' files are neither listed in the scan nor read. Without any day: no rows."""
+    day = day or latest_day(spark, path)
+    mart = read_mart(spark, path)
+    return mart.filter(F.col("date_mesure") == F.lit(day).cast("date")) if day else mart.filter(F.lit(False))
+
+
+def of_days(mart: DataFrame, days: DataFrame, column: str = "date_mesure") -> DataFrame:
+    """The rows of ``mart`` on the days that ``days`` (any table with that column, filtered as one likes) holds. The semi-join
+    lets Spark prune the partitions of ``mart`` at run time by the days found."""
+    return mart.join(days.select(column).where(F.col(column).isNotNull()).distinct(), column, "left_semi")
+
+
 def write_partitioned(df: DataFrame, path: str, partition_col: str = "date_mesure",
                       mode: str = "overwrite", dynamic: bool = True, max_records_per_file: int | None = 1_000_000) -> None:
     """A5: Parquet write partitioned by ``partition_col``.

@@ -26,7 +26,9 @@ class NoSnapshot(FileNotFoundError):
     """Nothing has been published under the path."""
 
 
-class _Files:
+class Files:
+    """File operations under one folder, on whatever file system it is."""
+
     def __init__(self, spark: SparkSession, path: str):
         jvm = spark._jvm  # noqa: SLF001  (Spark's Python API has no file operations)
         self.path = path.rstrip("/")
@@ -75,13 +77,13 @@ class _Files:
             raise
 
 
-def _numbers(files: _Files) -> list[int]:
+def _numbers(files: Files) -> list[int]:
     return sorted(int(n) for n in files.names("commits") if n.isdigit())
 
 
 def versions(spark: SparkSession, path: str) -> list[int]:
     """Published versions, oldest first."""
-    return _numbers(_Files(spark, path))
+    return _numbers(Files(spark, path))
 
 
 def replace_snapshot(df: DataFrame, path: str, write: Callable[[DataFrame, str], None] | None = None,
@@ -91,7 +93,7 @@ def replace_snapshot(df: DataFrame, path: str, write: Callable[[DataFrame, str],
     ``write(df, folder)`` fills the folder (default: Parquet). ``check`` runs after the write and before the publication: if it
     raises, readers keep the old version. ``df`` may read the table that is replaced."""
     spark = df.sparkSession
-    files = _Files(spark, path)
+    files = Files(spark, path)
     number = max(_numbers(files), default=0) + 1
     folder = f"{number:012d}-{uuid.uuid4().hex}"
     target = f"{files.path}/versions/{folder}"
@@ -107,7 +109,7 @@ def replace_snapshot(df: DataFrame, path: str, write: Callable[[DataFrame, str],
 
 def snapshot_folder(spark: SparkSession, path: str, version: int | None = None) -> str:
     """The folder of a version, the latest by default."""
-    files = _Files(spark, path)
+    files = Files(spark, path)
     numbers = _numbers(files)
     if not numbers or (version is not None and version not in numbers):
         raise NoSnapshot(f"{path}: no version" + (f" {version}" if version is not None else ""))
@@ -124,7 +126,7 @@ def vacuum(spark: SparkSession, path: str, keep: int = KEPT) -> list[str]:
     overtaken); returns what went. Folders of numbers above the latest commit may belong to a running writer and stay."""
     if keep < 1:
         raise ValueError("the latest version can't be deleted")
-    files = _Files(spark, path)
+    files = Files(spark, path)
     numbers = _numbers(files)
     kept = {files.read(f"commits/{n:012d}") for n in numbers[-keep:]}
     for n in numbers[:-keep]:

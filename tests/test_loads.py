@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from aeris.operators.constraints import CONTRACTS, REASONS, Contract, QuarantineExceeded, accepted, judge, quarantined
 from aeris.plans import jobs
 from aeris.sources import read_documents, read_snapshot, replace_snapshot, vacuum, versions, write_documents
-from aeris.sources.snapshots import CommitConflict, NoSnapshot, _Files, snapshot_folder
+from aeris.sources.snapshots import CommitConflict, NoSnapshot, Files, snapshot_folder
 from tests.test_jobs_streaming import record
 
 INDEX = "code_site string, nom_site string, jour date, indice_atmo int, qualificatif string, polluant_resp string, latitude double, longitude double"
@@ -95,7 +95,7 @@ def test_two_writers_of_one_version(spark, tmp_path):
     with pytest.raises(CommitConflict):
         replace_snapshot(spark.range(7).toDF("x"), path, check=overtaken)
     assert versions(spark, path) == [1, 2] and read_snapshot(spark, path).count() == 2
-    assert _Files(spark, path).names("staged") == []
+    assert Files(spark, path).names("staged") == []
 
 
 def test_documents_are_replaced_as_a_whole(spark, tmp_path):
