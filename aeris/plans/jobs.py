@@ -27,7 +27,7 @@ from aeris.sources.scratch import staged
 from aeris.session import apply_defaults
 from aeris.sources.snapshots import Files, NoSnapshot, read_snapshot, replace_snapshot
 from aeris.sources.tables import write_table
-from aeris.streaming import read_message_files, stream_rejects, stream_to_bronze
+from aeris.streaming import read_message_files, stream_metrics, stream_rejects, stream_to_bronze
 
 
 def _overwrite_mode(day: str | None, overwrite: str | None) -> bool:
@@ -205,14 +205,15 @@ def station_reference(spark: SparkSession, silver_path: str, gazetteer: DataFram
     return read_snapshot(spark, out_path)
 
 
-def stream_messages(spark: SparkSession, source: str, bronze_path: str, rejects_path: str, checkpoint: str | None = None) -> None:
+def stream_messages(spark: SparkSession, source: str, bronze_path: str, rejects_path: str, checkpoint: str | None = None) -> dict:
     """Drain the message files under ``source`` into Bronze and what isn't a record into the rejects; a later run goes on
-    where this one stopped."""
+    where this one stopped. Returns this run's counts (E15 of the stream)."""
     stops = [f"{checkpoint}/{part}" if checkpoint else None for part in ("bronze", "rejects")]
     running = [stream_to_bronze(read_message_files(spark, source), bronze_path, stops[0]),
                stream_rejects(read_message_files(spark, source), rejects_path, stops[1])]
     for query in running:
         query.awaitTermination()
+    return stream_metrics(running[0])
 
 
 def main(argv: list[str] | None = None) -> None:
@@ -250,7 +251,7 @@ def main(argv: list[str] | None = None) -> None:
     elif args.job == "gold-to-serving":
         print(load_serving(spark, zone("gold"), read_snapshot(spark, zone("stations")), zone("serving"), most_refused=args.most_refused, jdbc_url=args.jdbc_url))
     else:
-        stream_messages(spark, args.messages, zone("bronze"), zone("rejects"), args.checkpoint)
+        print(stream_messages(spark, args.messages, zone("bronze"), zone("rejects"), args.checkpoint))
 
 
 if __name__ == "__main__":

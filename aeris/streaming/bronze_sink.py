@@ -9,7 +9,7 @@ from __future__ import annotations
 
 import hashlib
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.types import StringType, StructField, StructType
@@ -18,6 +18,7 @@ from aeris.functions import event_date_partition
 from aeris.schemas import BRONZE_SCHEMA
 from aeris.session import checkpoint_dir
 
+METRICS = "bronze_stream"
 MAX_RECORDS_PER_FILE = 1_000_000  # few large files; lower it for consumers that want small ones
 
 
@@ -31,7 +32,11 @@ def parse_messages(messages: DataFrame, value_col: str = "value") -> DataFrame:
     """Message value (JSON text or bytes) -> Bronze record + ``date`` partition key. Every JSON object is a
     record, whichever fields it has; without a usable start date it lands under the unknown day. What
     is no object is left to :func:`reject_messages`."""
-    rec = _parsed(messages, value_col).filter(F.col("r").isNotNull() & F.col("r._corrupt").isNull()).select("r.*").drop("_corrupt")
+    return _records(_parsed(messages, value_col))
+
+
+def _records(parsed: DataFrame) -> DataFrame:
+    rec = parsed.filter(F.col("r").isNotNull() & F.col("r._corrupt").isNull()).select("r.*").drop("_corrupt")
     return rec.withColumn("date", event_date_partition(F.coalesce(F.col("date_debut"), F.lit(""))))
 
 
@@ -40,6 +45,32 @@ def reject_messages(messages: DataFrame, value_col: str = "value") -> DataFrame:
     return _parsed(messages, value_col).filter(F.col("r").isNull() | F.col("r._corrupt").isNotNull()).select("value")
 
 
+def _counted(messages: DataFrame, value_col: str) -> DataFrame:
+    """Parsed messages, counted on their way (E15 of the stream): read, records, rejects."""
+    good = F.col("r").isNotNull() & F.col("r._corrupt").isNull()
+    return _parsed(messages, value_col).observe(
+        METRICS, F.count(F.lit(1)).alias("lues"), F.count_if(good).alias("posees"), F.count_if(~good).alias("rejetees"))
+
+
+def stream_metrics(query: StreamingQuery) -> dict[str, int]:
+    """Messages read, landed and rejected by a run of :func:`stream_to_bronze`, summed over its micro-batches (``lots``).
+
+    They are observed inside the batches that write the files, so no message is read twice for them. Spark keeps the progress
+    of the last ``spark.sql.streaming.numRecentProgressUpdates`` batches; a run with more raises instead of counting some."""
+    progress = query.recentProgress
+    most = int(SparkSession.active().conf.get("spark.sql.streaming.numRecentProgressUpdates", "100"))
+    if len(progress) >= most:
+        raise RuntimeError(f"{most} or more micro-batches: raise spark.sql.streaming.numRecentProgressUpdates")
+    totals = {"lues": 0, "posees": 0, "rejetees": 0, "lots": 0}
+    for batch in progress:
+        seen = batch["observedMetrics"].get(METRICS)
+        if seen is not None:
+            totals["lots"] += 1
+            for name in ("lues", "posees", "rejetees"):
+                totals[name] += int(seen[name])
+    return totals
+
+
 def _checkpoint(messages: DataFrame, path: str, checkpoint: str | None) -> str:
     return checkpoint or f"{checkpoint_dir(messages.sparkSession).rstrip('/')}/bronze-sink-{hashlib.sha1(path.encode()).hexdigest()[:16]}"
 
@@ -55,7 +86,7 @@ def stream_to_bronze(messages: DataFrame, path: str, checkpoint: str | None = No
     Without an explicit ``checkpoint`` the query state lives under the shared
     ``spark.checkpoint.dir`` in a folder derived from the sink path, so a restart of the
     same sink resumes from its committed offsets."""
-    w = (parse_messages(messages, value_col).writeStream.format("json")
+    w = (_records(_counted(messages, value_col)).writeStream.format("json")
          .option("path", path).option("checkpointLocation", _checkpoint(messages, path, checkpoint))
          .option("maxRecordsPerFile", max_records_per_file)
          .partitionBy("date").outputMode("append"))
