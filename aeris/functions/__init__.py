@@ -2,7 +2,7 @@
 built-in functions only (no Python UDF); all but the higher-order ones stay inside whole-stage codegen."""
 
 from aeris.functions.parsing import (
-    event_date_partition, parse_source_timestamp, to_reading, measurement_date,
+    event_date_partition, finite, parse_source_timestamp, to_reading, measurement_date,
 )
 from aeris.functions.thresholds import exceedance_class
 from aeris.functions.index import clamp_negative, sub_index, index_label, round_half_up
@@ -13,7 +13,7 @@ from aeris.functions.display import (
 from aeris.functions.text import question_intent
 
 __all__ = [
-    "event_date_partition", "parse_source_timestamp", "to_reading", "measurement_date",
+    "event_date_partition", "finite", "parse_source_timestamp", "to_reading", "measurement_date",
     "exceedance_class",
     "clamp_negative", "sub_index", "index_label", "round_half_up",
     "geo_point", "with_commune", "with_zone_name",

@@ -20,7 +20,12 @@ def event_date_partition(date_debut: str | Column = "date_debut") -> Column:
 def to_reading(text: str | Column) -> Column:
     """Text -> double; unparsable -> NULL. NaN and +/-inf are treated as NULL
     too (a NaN would otherwise compare >= every threshold in Spark)."""
-    v = col(text).try_cast("double")
+    return finite(col(text).try_cast("double"))
+
+
+def finite(value: str | Column) -> Column:
+    """The value, NULL for NaN and +/-inf."""
+    v = col(value)
     return F.when(F.isnan(v) | (F.abs(v) == F.lit(float("inf"))), F.lit(None).cast("double")).otherwise(v)
 
 

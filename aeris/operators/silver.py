@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from aeris.functions import exceedance_class, measurement_date, parse_source_timestamp, to_reading
+from aeris.functions import exceedance_class, finite, measurement_date, parse_source_timestamp
 from aeris.schemas import SILVER_COLUMNS
 
 DEDUP_KEYS = ["code_site", "code_polluant", "horodatage"]
@@ -32,14 +32,14 @@ def day_filter(bronze: DataFrame, day: str | None) -> DataFrame:
 
 
 def typed(bronze: DataFrame) -> DataFrame:
-    """Reading as double, start / end timestamps, measurement day."""
-    start = parse_source_timestamp("date_debut")
-    return bronze.withColumns({
-        "valeur": to_reading("valeur"),
-        "horodatage": start,
+    """Reading as double, start / end timestamps, measurement day. What is parsed once and used twice has a
+    projection of its own, which Catalyst then doesn't inline."""
+    parsed = bronze.withColumns({
+        "valeur": F.col("valeur").try_cast("double"),
+        "horodatage": parse_source_timestamp("date_debut"),
         "horodatage_fin": parse_source_timestamp("date_fin"),
-        "date_mesure": measurement_date(start),
     })
+    return parsed.withColumns({"valeur": finite("valeur"), "date_mesure": measurement_date("horodatage")})
 
 
 def valid_only(df: DataFrame) -> DataFrame:
