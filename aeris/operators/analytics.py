@@ -227,10 +227,10 @@ def city_lookup(questions: DataFrame, ds: DataFrame, text_col: str = "question",
     lengths = words.select(F.array_sort(F.collect_set(F.length("mot")))).scalar()  # at most as many as the longest word has letters
     tokens = F.array_distinct(F.split(F.lower(F.coalesce(F.col(text_col), F.lit(""))), " "))
     q = questions.select(*key_cols, F.explode(tokens).alias("_t")).filter(F.length("_t") >= CITY_WORD_MIN_LENGTH)
-    parts = F.flatten(F.transform("_lengths", lambda n: F.when(
-        F.length("_t") >= n, F.transform(F.sequence(F.lit(1), F.length("_t") - n + 1), lambda p: F.substring(F.col("_t"), p, n))
-    ).otherwise(F.array().cast("array<string>"))))
-    q = q.withColumn("_lengths", lengths).select(*key_cols, F.explode(F.array_distinct(parts)).alias("mot"))
+    # one row a substring, made one by one: a length, then a position
+    q = q.withColumn("_lengths", lengths).select(*key_cols, "_t", F.explode("_lengths").alias("_n")).filter(F.col("_n") <= F.length("_t"))
+    q = q.select(*key_cols, "_t", "_n", F.explode(F.sequence(F.lit(1), F.length("_t") - F.col("_n") + 1)).alias("_p"))
+    q = q.select(*key_cols, F.substring(F.col("_t"), F.col("_p"), F.col("_n")).alias("mot"))
     found = q.join(words, "mot")
     best = F.min(F.struct("rank", "code_station", "nom", "mot")).alias("_m")
     return found.groupBy(*key_cols).agg(best).select(*key_cols, "_m.code_station", "_m.nom", "_m.mot")

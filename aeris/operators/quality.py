@@ -8,6 +8,8 @@ from functools import reduce
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from aeris.operators.gold import INDEX_KEYS, MEANS_KEYS
+
 
 def _union(parts: list[DataFrame]) -> DataFrame:
     return reduce(lambda a, b: a.unionByName(b), parts)
@@ -71,3 +73,28 @@ def non_empty_report(marts: dict[str, DataFrame]) -> DataFrame:
     parts = [df.agg(F.count(F.lit(1)).alias("lignes")).select(F.lit(name).alias("mart"), "lignes")
              for name, df in marts.items()]
     return _union(parts).withColumn("ok", F.col("lignes") > 0)
+
+
+def mart_rows_report(silver: DataFrame) -> DataFrame:
+    """V5 for the marts of ``silver`` in one pass over it: the means' groups are counted inside the index's groups, and
+    the exceedances inside the means'."""
+    means = silver.groupBy(*MEANS_KEYS).agg(F.count_if(F.col("depassement").isNotNull()).alias("exceedances"))
+    index = means.groupBy(*INDEX_KEYS).agg(F.count(F.lit(1)).alias("means"), F.sum("exceedances").alias("exceedances"))
+    counts = index.agg(F.coalesce(F.sum("means"), F.lit(0)).alias("moyennes_journalieres"), F.count(F.lit(1)).alias("indice_journalier"),
+                       F.coalesce(F.sum("exceedances"), F.lit(0)).alias("depassements"))
+    rows = F.expr("stack(3, 'moyennes_journalieres', moyennes_journalieres, 'indice_journalier', indice_journalier, 'depassements', depassements) as (mart, lignes)")
+    return counts.select(rows).withColumn("ok", F.col("lignes") > 0)
+
+
+def mart_keys_report(silver: DataFrame) -> DataFrame:
+    """V1 for the serving keys of the index and the means of ``silver``, in one pass over it."""
+    means = silver.groupBy(*MEANS_KEYS).agg(F.lit(1).alias("one")).drop("one")
+    by_key = means.groupBy("code_site", "code_polluant", "date_mesure").agg(F.count(F.lit(1)).alias("n"), F.collect_set(F.struct("nom_site")).alias("names"))
+    by_site = by_key.groupBy("code_site", "date_mesure").agg(
+        F.count_if(F.col("n") > 1).alias("keys"), F.sum(F.when(F.col("n") > 1, F.col("n"))).alias("rows"),
+        F.size(F.array_distinct(F.flatten(F.collect_list("names")))).alias("names"))
+    totals = by_site.agg(
+        F.count_if(F.col("names") > 1).alias("index_keys"), F.coalesce(F.sum(F.when(F.col("names") > 1, F.col("names"))), F.lit(0)).cast("bigint").alias("index_rows"),
+        F.coalesce(F.sum("keys"), F.lit(0)).alias("means_keys"), F.coalesce(F.sum("rows"), F.lit(0)).cast("bigint").alias("means_rows"))
+    return totals.select(F.expr("stack(2, 'indice_site_jour', index_keys, index_rows, 'moyennes_site_polluant_jour', means_keys, means_rows)"
+                                " as (regle, cles_dupliquees, lignes)"))

@@ -34,7 +34,7 @@ LABEL = "Moyen"
 LANG = "en"
 DAY = "2024-01-15"
 STAMP = "2024-02-01T00:00:00.000000Z"
-SEARCH = {"text": "supplier#00000001", "qualities": [1, 2, 3], "influence": "Fond"}
+SEARCH = {"text": "SUPPLIER#", "qualities": [1, 2, 3], "pollutant": "NO2", "influence": "Industrielle"}
 
 
 def _is_late() -> Column:
@@ -118,14 +118,17 @@ QUERIES: dict[str, Callable[[Domain, Views], DataFrame]] = {
     "list_stations": lambda d, v: S.list_stations(d.stations),
     "list_indices_all_days": lambda d, v: S.list_indices(v.index_serving),
     "list_indices_latest_day": lambda d, v: S.list_indices(S.serving_index(v.index_day, d.stations), day=d.latest),
-    "list_indices_day": lambda d, v: S.list_indices(v.index_serving, day=DAY),
-    "list_means_day": lambda d, v: S.list_means(v.means_serving, pollutant=POLLUTANT, day=DAY),
+    "list_indices_day": lambda d, v: S.list_indices(
+        S.serving_index(G.daily_index(G.daily_means(d.silver_on(DAY))), d.stations), day=DAY),
+    "list_means_day": lambda d, v: S.list_means(
+        S.serving_means(G.daily_means(d.silver_on(DAY))), pollutant=POLLUTANT, day=DAY),
     "list_means_pollutant": lambda d, v: S.list_means(v.means_serving, pollutant=POLLUTANT),
     "list_means_all": lambda d, v: S.list_means(v.means_serving),
     "list_exceedances": lambda d, v: S.list_exceedances(v.exc_serving),
     "list_exceedances_latest_day": lambda d, v: S.list_exceedances(
         S.serving_exceedances(G.exceedance_mart(d.silver_latest)), day=d.latest),
-    "list_exceedances_day": lambda d, v: S.list_exceedances(v.exc_serving, day=DAY),
+    "list_exceedances_day": lambda d, v: S.list_exceedances(
+        S.serving_exceedances(G.exceedance_mart(d.silver_on(DAY))), day=DAY),
     "global_stats": lambda d, v: S.global_stats(d.stations, v.index_serving, v.exc_serving),
     "label_distribution": lambda d, v: S.label_distribution(v.index_serving),
     # --- analytics --------------------------------------------------------------------
@@ -164,11 +167,9 @@ QUERIES: dict[str, Callable[[Domain, Views], DataFrame]] = {
         ST.known_pollutants(d.exceedances, ST.pollutant_seed(d.spark)), ST.pollutant_seed(d.spark)),
     "geocoding_coverage": lambda d, v: ST.geocoding_coverage(d.station_records),
     # --- data quality -------------------------------------------------------------------
-    "uniqueness_report": lambda d, v: Q.uniqueness_report({
-        "indice_site_jour": (v.index_serving, ["code_site", "jour"]),
-        "moyennes_site_polluant_jour": (v.means_serving, ["code_site", "code_polluant", "jour"]),
+    "uniqueness_report": lambda d, v: Q.mart_keys_report(d.silver).unionByName(Q.uniqueness_report({
         "mesure_station_polluant_heure": (d.valid_readings, ["code_site", "code_polluant", "horodatage"]),
-    }),
+    })),
     "referential_report": lambda d, v: Q.referential_report({
         "station_region": (ST.upsert(d.station_base, d.stations), d.regions, "code_region", "code_region"),
         "mesure_station": (d.valid_readings, d.station_base, "code_site", "code_station"),
@@ -189,9 +190,7 @@ QUERIES: dict[str, Callable[[Domain, Views], DataFrame]] = {
         "region": (d.regions, TEXT_LIMITS["region"]),
         "polluant": (ST.pollutant_seed(d.spark), TEXT_LIMITS["polluant"]),
     }),
-    "non_empty_report": lambda d, v: Q.non_empty_report({
-        "moyennes_journalieres": d.means, "indice_journalier": d.index, "depassements": d.exceedances,
-    }),
+    "non_empty_report": lambda d, v: Q.mart_rows_report(d.silver),
     # --- late readings merged into marts ---------------------------
     "merged_silver": lambda d, v: v.merged.select(*SILVER_COLUMNS),
     "merged_means": lambda d, v: IN.means_of_state(IN.updated_state(IN.means_state(v.early), v.merged)),

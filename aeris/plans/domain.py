@@ -51,6 +51,10 @@ class Domain:
         """Silver of the latest day; other days go before the deduplication."""
         return silver.clean_measurements(self.bronze, day=self.latest, processed_at=False)
 
+    def silver_on(self, day: str) -> DataFrame:
+        """Silver of a fixed day; other days go before the deduplication."""
+        return silver.clean_measurements(self.bronze, day=day, processed_at=False)
+
     @cached_property
     def means(self) -> DataFrame:
         return gold.daily_means(self.silver)

@@ -20,8 +20,10 @@ from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from aeris.operators import constraints, geocoding, gold, incremental, serving, silver, stations
+from aeris.sources.csv_source import CORRUPT
 from aeris.sources.lake import (
-    drop_partitions, lake_path, partition_values, read_bronze_json, read_mart, write_documents, write_partitioned,
+    bronze_records, drop_partitions, lake_path, partition_values, read_bronze_json, read_bronze_lines, read_mart, write_clustered,
+    write_documents, write_partitioned,
 )
 from aeris.sources.scratch import staged
 from aeris.session import apply_defaults
@@ -40,12 +42,12 @@ def _overwrite_mode(day: str | None, overwrite: str | None) -> bool:
 
 def bronze_to_silver(spark: SparkSession, bronze_path: str, silver_path: str, day: str | None = None,
                      overwrite: str | None = None) -> dict:
-    """Clean one day (or everything) and write Silver; returns the run metrics (E15: rows
-    read, in scope, invalid, valid, duplicates removed, written, exceedance counts), all observed
+    """Clean one day (or everything) and write Silver; returns the run metrics (E15: records
+    read, lines rejected, in scope, invalid, valid, duplicates removed, written, exceedance counts), all observed
     during the write job itself - no extra pass over Bronze."""
-    bronze = read_bronze_json(spark, bronze_path, day)
+    lines = read_bronze_lines(spark, bronze_path, day)
     obs_read, obs_in, obs_out = Observation("bronze_read"), Observation("bronze_in"), Observation("silver_out")
-    bronze = bronze.observe(obs_read, F.count(F.lit(1)).alias("rows_read"))
+    bronze = bronze_records(lines.observe(obs_read, F.count(CORRUPT).alias("rows_rejected"), (F.count(F.lit(1)) - F.count(CORRUPT)).alias("rows_read")))
     out = silver.clean_measurements(bronze, day=day, observe_input=obs_in)
     out = out.observe(obs_out, F.count(F.lit(1)).alias("rows_written"),
                       F.count_if(F.col("depassement") == "alerte").alias("alerte"),
@@ -147,16 +149,16 @@ PART = "_part"
 
 
 def load_table(df: DataFrame, table: str, root: str, parents: dict[str, DataFrame] | None = None, most_refused: float = 1.0) -> dict:
-    """Judge ``df`` by its contract and replace ``{root}/{table}`` by the result in one pass: accepted and quarantined rows are partitions
-    of one new version. When more than the share ``most_refused`` is refused, :class:`QuarantineExceeded` is raised and readers
-    keep the version they have. Returns the version and the counts observed during the write."""
+    """Judge ``df`` by its contract and replace ``{root}/{table}`` by the result: accepted and quarantined rows are partitions
+    of one new version, clustered by day and site. ``df`` is computed once, into a staged table that ranges are then sampled from. When
+    more than the share ``most_refused`` is refused, :class:`QuarantineExceeded` is raised and readers keep the version
+    they have. Returns the version and the counts observed while staging."""
     counts = Observation(f"load_{table}")
-    judged = constraints.observed(constraints.judge(df, constraints.CONTRACTS[table], parents), counts)
+    judged = staged(constraints.observed(constraints.judge(df, constraints.CONTRACTS[table], parents), counts), table)
+    constraints.check_share(counts.get, most_refused, table)
     part = F.when(F.size(constraints.REASONS) == 0, "acceptees").otherwise("refusees")
-    version = replace_snapshot(
-        judged.withColumn(PART, part), f"{root.rstrip('/')}/{table}",
-        write=lambda rows, folder: rows.write.partitionBy(PART).parquet(folder),
-        check=lambda: constraints.check_share(counts.get, most_refused, table))
+    version = replace_snapshot(judged.withColumn(PART, part), f"{root.rstrip('/')}/{table}",
+                               write=lambda rows, folder: write_clustered(rows, folder, partition_cols=(PART,)))
     return {"version": version, **counts.get}
 
 

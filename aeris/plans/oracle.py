@@ -424,8 +424,8 @@ SELECTS: dict[str, str] = {
                  valeur DESC NULLS FIRST LIMIT 3""",
     "label_filter": "SELECT * FROM ds WHERE qualificatif = 'Moyen'",
     "station_search": """
-        SELECT * FROM ds WHERE contains(lower(nom), 'supplier#00000001') AND indice IN (1, 2, 3)
-          AND type_influence = 'Fond'""",
+        SELECT * FROM ds WHERE contains(lower(nom), 'supplier#') AND indice IN (1, 2, 3) AND polluant = 'NO2'
+          AND type_influence = 'Industrielle'""",
     "display_attributes": """
         SELECT code_station, indice,
                coalesce(CASE indice WHEN 1 THEN '#50CCAA' WHEN 2 THEN '#50CCF0' WHEN 3 THEN '#F0E641'

@@ -6,6 +6,7 @@ from collections.abc import Iterable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StringType, StructField, StructType
 
 from aeris.constants import POLLUTANT_CODES, UNIT_NORMALISATION
 from aeris.functions import event_date_partition
@@ -46,8 +47,40 @@ def read_measurements_csv(spark: SparkSession, paths: str | Iterable[str]) -> Da
             .csv(p))
 
 
-SOURCE_DDL = ", ".join(f"{ident(c)} STRING" for c in SOURCE_COLUMNS)
 CSV_OPTIONS = {"sep": ";", "quote": '"'}
+CORRUPT, SOURCE_FILE, SOURCE_TIME = "_corrupt_record", "_fichier", "_modifie"
+
+
+def read_csv_with_lineage(spark: SparkSession, paths: str | Iterable[str]) -> DataFrame:
+    """A1 with lineage (B3): the 23 columns, the file a line came from and when that was written, and the whole line in
+    ``_corrupt_record`` where it hasn't 23 fields. Use :func:`good_lines` and :func:`bad_lines` on the result.
+
+    Lines are read as text and parsed by an expression, so a query may look at rejects alone (Spark's CSV reader refuses that).
+    A leading BOM, blank lines and header lines are no records and are left out."""
+    p = [paths] if isinstance(paths, str) else list(paths)
+    lines = spark.read.text(p).select(
+        F.regexp_replace("value", "^\\uFEFF", "").alias("line"), F.col("_metadata.file_path").alias(SOURCE_FILE), F.col("_metadata.file_modification_time").alias(SOURCE_TIME))
+    parsed = F.from_csv(F.col("line"), f"{SOURCE_DDL}, {CORRUPT} STRING", CSV_OPTIONS | {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": CORRUPT})
+    rows = lines.where(F.trim("line") != "").select(parsed.alias("r"), SOURCE_FILE, SOURCE_TIME).select("r.*", SOURCE_FILE, SOURCE_TIME)
+    first, other = SOURCE_COLUMNS[0], SOURCE_COLUMNS[-1]
+    return rows.where(~(F.col(ident(first)).eqNullSafe(first) & F.col(ident(other)).eqNullSafe(other)))
+
+
+def good_lines(rows: DataFrame) -> DataFrame:
+    return rows.filter(F.col(CORRUPT).isNull()).drop(CORRUPT)
+
+
+def bad_lines(rows: DataFrame) -> DataFrame:
+    """The lines that aren't records, as they are, with their file."""
+    return rows.filter(F.col(CORRUPT).isNotNull()).select(SOURCE_FILE, F.col(CORRUPT).alias("ligne"))
+
+
+def lines_by_file(rows: DataFrame) -> DataFrame:
+    """Lines read and rejected of each file (files without lines are absent)."""
+    return rows.groupBy(SOURCE_FILE).agg(F.count(F.lit(1)).alias("lues"), F.count(CORRUPT).alias("rejetees"))
+
+
+SOURCE_DDL = ", ".join(f"{ident(c)} STRING" for c in SOURCE_COLUMNS)
 
 
 def csv_lines(src: DataFrame, column: str = "line") -> DataFrame:

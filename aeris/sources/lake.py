@@ -9,7 +9,9 @@ from urllib.parse import unquote
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from aeris.functions import event_date_partition
 from aeris.schemas import BRONZE_SCHEMA
+from aeris.sources.csv_source import CORRUPT, SOURCE_FILE
 from aeris.sources.snapshots import replace_snapshot, snapshot_folder
 from pyspark.sql.types import StringType, StructField, StructType
 
@@ -42,16 +44,39 @@ def object_store_conf(endpoint: str | None = None, access_key: str | None = None
     return conf
 
 
-BRONZE_READ_SCHEMA = StructType(BRONZE_SCHEMA.fields + [StructField("date", StringType())])
-
-
 def read_bronze_json(spark: SparkSession, path: str, day: str | None = None) -> DataFrame:
     """A3: JSON-lines Bronze zone, partitioned ``date=YYYY-MM-DD`` (or ``inconnue``).
-    Explicit all-text schema; with ``day`` the partition filter prunes directories."""
-    df = spark.read.schema(BRONZE_READ_SCHEMA).option("mode", "PERMISSIVE").json(path)
-    if day:
-        df = df.filter(F.col("date") == day)
-    return df
+    Explicit all-text schema; with ``day`` the partition filter prunes directories. Lines that are no JSON object
+    are left out: :func:`read_bronze_lines` has them, :func:`bronze_rejects` gives them with their files."""
+    return bronze_records(read_bronze_lines(spark, path, day))
+
+
+def read_bronze_lines(spark: SparkSession, path: str, day: str | None = None) -> DataFrame:
+    """Every line of the zone: the records' columns, ``_corrupt_record`` (the line, where it is no JSON object) and ``_fichier``.
+
+    Lines are read as text and parsed by an expression, so a query may look at rejects alone (Spark's JSON reader refuses
+    that). Blank lines are left out. Where the folders have no ``date``, it is taken from the records (B4)."""
+    lines = spark.read.text(path)
+    partitioned = "date" in lines.columns
+    if partitioned:
+        lines = lines.withColumn("date", F.col("date").cast("string"))
+        lines = lines.filter(F.col("date") == day) if day else lines
+    schema = StructType([*BRONZE_SCHEMA.fields, StructField(CORRUPT, StringType())])
+    parsed = F.from_json("value", schema, {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": CORRUPT})
+    rows = lines.where(F.trim("value") != "").select(parsed.alias("r"), *(["date"] if partitioned else []), "value", F.col("_metadata.file_path").alias(SOURCE_FILE))
+    line = F.when(F.col("r").isNull() | F.col(f"r.{CORRUPT}").isNotNull(), F.col("value"))
+    date = F.col("date") if partitioned else event_date_partition(F.coalesce(F.col("r.date_debut"), F.lit("")))
+    rows = rows.select(*[F.col(f"r.{f.name}") for f in BRONZE_SCHEMA.fields], date.alias("date"), line.alias(CORRUPT), SOURCE_FILE)
+    return rows.filter(F.col("date") == day) if day and not partitioned else rows
+
+
+def bronze_records(lines: DataFrame) -> DataFrame:
+    return lines.filter(F.col(CORRUPT).isNull()).drop(CORRUPT, SOURCE_FILE)
+
+
+def bronze_rejects(lines: DataFrame) -> DataFrame:
+    """Lines that are no records, with the file each is in."""
+    return lines.filter(F.col(CORRUPT).isNotNull()).select(SOURCE_FILE, F.col(CORRUPT).alias("ligne"))
 
 
 def read_mart(spark: SparkSession, path: str) -> DataFrame:
@@ -115,6 +140,18 @@ def write_partitioned(df: DataFrame, path: str, partition_col: str = "date_mesur
     w.partitionBy(partition_col).parquet(path)
 
 
+def write_clustered(df: DataFrame, path: str, by: tuple[str, ...] = ("jour", "code_site"), bloom: tuple[str, ...] = ("code_site",),
+                    partition_cols: tuple[str, ...] = (), row_group_bytes: int = 16 << 20) -> None:
+    """Serving layout for reads of one day or one site (F4-F6): files hold ranges of ``by`` and are sorted by it, so that a read by its first column
+    skips files and row groups by their least and greatest values, and row groups carry Bloom filters of the columns ``bloom`` (or
+    their dictionaries), so that a read of one value skips those that haven't it. Ranges are split by sampled sizes; a value that
+    many rows share is spread by the columns after it."""
+    w = df.repartitionByRange(*partition_cols, *by).sortWithinPartitions(*partition_cols, *by).write
+    for column in bloom:
+        w = w.option(f"parquet.bloom.filter.enabled#{column}", "true")
+    w.option("parquet.block.size", row_group_bytes).partitionBy(*partition_cols).parquet(path)
+
+
 def write_documents(df: DataFrame, path: str, key: str = "code_site") -> None:
     """Replace the whole document collection; each document's ``_id`` is its key. Readers see the old
     collection until the new one stands."""

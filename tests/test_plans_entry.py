@@ -3,6 +3,7 @@
 import pytest
 
 import __spark_entry__ as E
+from aeris.operators import analytics as A
 from aeris.plans import catalog, oracle
 from aeris.session import checkpoint_dir
 
@@ -59,6 +60,28 @@ def test_day_views_filter_the_day_below_one_deduplication(spark):
         assert len(windows) == 1 and days and min(days) > windows[0], name
 
 
+def test_fixed_days_are_filtered_below_the_deduplication(spark):
+    for name in ("list_indices_day", "list_means_day", "list_exceedances_day", "silver_one_day"):
+        lines = plan_text(catalog.queries()[name](spark, SF)).splitlines()
+        windows = [i for i, line in enumerate(lines) if " Window [" in line]
+        days = [i for i, line in enumerate(lines) if "Filter" in line and "2024/01/15" in line]
+        assert len(windows) == 1 and days and min(days) > windows[0], name
+
+
+def test_reports_deduplicate_once(spark):
+    for name in ("uniqueness_report", "non_empty_report"):
+        assert plan_text(catalog.queries()[name](spark, SF)).count(" Window [") == 1, name
+
+
+def test_every_term_of_the_station_search_excludes_some(spark):
+    ds = catalog.Views(catalog.Domain(spark, "/root/testdata/sf0.01")).ds.collect()
+    stations = spark.createDataFrame(ds)
+    found = A.search_stations(stations, **catalog.SEARCH).count()
+    assert found > 0
+    for term in catalog.SEARCH:
+        assert A.search_stations(stations, **{k: v for k, v in catalog.SEARCH.items() if k != term}).count() > found, term
+
+
 def test_a_missing_shared_folder_is_an_error_on_a_cluster(monkeypatch):
     class Conf:
         def get(self, key, default=None):
