@@ -50,6 +50,28 @@ def written(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def quoted(columns: list[str]) -> list[Column]:
+    """Columns by name, whatever characters it has."""
+    return [F.col("`" + c.replace("`", "``") + "`") for c in columns]
+
+
+def unused(columns: list[str], *names: str) -> tuple[str, ...]:
+    """``names``, lengthened where ``columns`` has one (in whatever case), so that no column of the caller's is replaced."""
+    taken, out = {c.lower() for c in columns}, []
+    for name in names:
+        while name.lower() in taken:
+            name += "_"
+        taken.add(name.lower())
+        out.append(name)
+    return tuple(out)
+
+
+def spread(rows: DataFrame, *columns: str) -> DataFrame:
+    """Few narrow rows, each of which makes many, dealt over ``spark.sql.shuffle.partitions`` tasks (adaptive execution
+    would put them together by their bytes)."""
+    return rows.repartition(int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions")), *columns)
+
+
 def lower_az(text: Column) -> Column:
     """A-Z lower-cased, every other character left alone (``lower`` is not: it maps all letters)."""
     upper = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"

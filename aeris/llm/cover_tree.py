@@ -16,12 +16,18 @@ blocks of the cells that its bound doesn't rule out. Of rows with equal vectors
 any answer (one may be the query's own), so the others are left out before the deal; a vector
 that a third of the rows share costs no more than any other.
 
-Driver and broadcast hold pivots and cell radii only: ``MAX_CELLS`` vectors at most.
+Of a cover tree's invariants the trees keep covering (a node's radius reaches all its points) and separation (the centres of a node's
+children are farther apart than any child's radius). They don't keep nesting: the root's centre is a mean, and a child
+needn't have its parent's centre; so there is no scale for each level. The bounds need covering only.
+
+What is shuffled: every row once, to its block, and a block once more for each ``QUERY_ROWS`` queries whose bounds reach it.
+Driver and broadcast hold pivots and cell radii only: ``MAX_CELLS`` vectors at most, for each length.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterator
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -29,11 +35,11 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from aeris.llm.common import written
+from aeris.llm.tiles import searched
 
 MAX_CELLS = 256
 CELL_ROWS = 4096  # about so many rows a cell, while there are fewer than MAX_CELLS
 BLOCK_ROWS = 8192
-QUERY_ROWS = 2048
 FANOUT = 16
 LEAF = 256
 
@@ -169,19 +175,25 @@ def top_k(rows: DataFrame, is_query: Column, k: int = 5, scale: int = 256, id_co
     ``rank`` 1 first, ties to the smaller id; all other rows where there are fewer than ``k``.
 
     ``is_query`` is a condition on ``vec_id``. A row isn't a candidate of a query of its own id. Vectors that are null, empty or
-    hold a null or non-finite component take no part, nor do those of another length than most (vectors
-    of different lengths have no inner product). Rows equal in id and vector count once; of a
-    repeated id with several vectors each is a candidate and the least is the query.
+    hold a null or non-finite component take no part. Vectors of different lengths have no inner product: a query meets the rows of its own
+    length, and there is a search for each length in the table (one, or a few). Rows equal in id and vector count once; of a
+    repeated id with several vectors of a length each is a candidate and the least is the query.
     Extra columns are ignored; an empty table gives no rows.
     """
-    spark = rows.sparkSession
     vectors = written(integer_vectors(rows, id_column, vector, scale), "tree-vectors")
-    width = vectors.groupBy(F.size("vec").alias("width")).count().orderBy(F.desc("count"), "width").first()
-    empty = spark.createDataFrame([], "query_id long, rank int, vec_id long, score long")
-    if width is None:
-        return empty
-    width = width["width"]
-    vectors = vectors.where(F.size("vec") == width).distinct()
+    widths = sorted(r["width"] for r in vectors.select(F.size("vec").alias("width")).distinct().collect())  # a row a length
+    found = [_top_k_of_width(vectors.where(F.size("vec") == width), width, is_query, k) for width in widths]
+    if not found:
+        return rows.sparkSession.createDataFrame([], "query_id long, rank int, vec_id long, score long")
+    best_first = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
+    every = reduce(DataFrame.unionByName, found)
+    if len(found) > 1:  # an id may have vectors of several lengths
+        every = every.withColumn("rank", F.row_number().over(best_first)).where(F.col("rank") <= k)
+    return every.select("query_id", "rank", "vec_id", "score")
+
+
+def _top_k_of_width(vectors: DataFrame, width: int, is_query: Column, k: int) -> DataFrame:
+    vectors = vectors.distinct()
     first_ids = Window.partitionBy("vec").orderBy("vec_id")
     kept = vectors.withColumn("nth", F.row_number().over(first_ids)).where(F.col("nth") <= k + 1).drop("nth")
     queries = vectors.where(is_query).groupBy("vec_id").agg(F.min("vec").alias("vec"))
@@ -189,7 +201,7 @@ def top_k(rows: DataFrame, is_query: Column, k: int = 5, scale: int = 256, id_co
     n = vectors.count()
     n_cells = max(1, min(MAX_CELLS, -(-n // CELL_ROWS)))
     sample = vectors.select("vec").distinct().orderBy(F.xxhash64("vec"), "vec").limit(n_cells).collect()  # MAX_CELLS rows at most
-    pivots = np.array([r["vec"] for r in sample], float)
+    pivots = np.array([r["vec"] for r in sample], float).reshape(-1, width)
 
     def deal(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -208,8 +220,6 @@ def top_k(rows: DataFrame, is_query: Column, k: int = 5, scale: int = 256, id_co
 
     centre, radius = pivots[cells], np.array([sizes[c]["radius"] for c in cells])
     norm = np.sqrt((centre**2).sum(1))
-    n_parts = max(1, -(-queries.count() // QUERY_ROWS))
-    part = F.pmod(F.xxhash64("vec_id"), F.lit(n_parts)).cast("int")
 
     def route(own: bool):
         def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -241,21 +251,17 @@ def top_k(rows: DataFrame, is_query: Column, k: int = 5, scale: int = 256, id_co
             out = {"query_id": q_ids[at], "vec_id": ids[where[at, place]], "score": best[at, place]}
         return pa.table({c: pa.array(v, pa.int64()) for c, v in out.items()})
 
-    def searched(asking: DataFrame, own: bool) -> DataFrame:
+    def asked(asking: DataFrame, own: bool) -> DataFrame:
         """``asking``: vec_id, vec, worst."""
-        asking = asking.mapInArrow(route(own), "vec_id long, vec array<long>, worst long, block int").withColumn("part", part)
-        parts = F.explode(F.sequence(F.lit(0), F.lit(n_parts - 1))).alias("part")  # a block meets the queries in bounded parts
-        return (
-            asking.groupBy("block", "part").cogroup(dealt.select("vec_id", "vec", "block", parts).groupBy("block", "part"))
-            .applyInArrow(search, "query_id long, vec_id long, score long")
-        )
+        asking = written(asking.mapInArrow(route(own), "vec_id long, vec array<long>, worst long, block int"), "tree-asks")
+        return searched(asking, dealt, search, "query_id long, vec_id long, score long")
 
     best_first = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
 
     def ranked(found: DataFrame) -> DataFrame:
         return found.withColumn("rank", F.row_number().over(best_first)).where(F.col("rank") <= k)
 
-    near = written(searched(queries.withColumn("worst", F.lit(None).cast("long")), own=True), "tree-near")
+    near = written(asked(queries.withColumn("worst", F.lit(None).cast("long")), own=True), "tree-near")
     worst = near.groupBy("query_id").agg(F.count("*").alias("n"), F.min("score").alias("worst")).where(F.col("n") == k).select(F.col("query_id").alias("vec_id"), "worst")
-    far = searched(queries.join(worst, "vec_id", "left").select("vec_id", "vec", "worst"), own=False)
+    far = asked(queries.join(worst, "vec_id", "left").select("vec_id", "vec", "worst"), own=False)
     return ranked(near.unionByName(far)).select("query_id", "rank", "vec_id", "score")

@@ -1,4 +1,5 @@
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -54,6 +55,25 @@ def test_query_with_odd_rows(spark):
     x = np.array([np.floor(256 * np.array(r[1], np.float32).astype(float)) for r in rows]).astype(np.int64)
     pick = np.flatnonzero(ids % 50 == 0)
     assert got == dict(zip(ids[pick].tolist(), brute(ids[pick], x[pick], ids, x, 5)))
+    more = [(i, rng.normal(size=7).tolist(), 0) for i in range(2000, 2300)]  # a second length is a search of its own
+    both = {}
+    for r in top_k(frame.union(spark.createDataFrame(more, frame.schema)), F.col("vec_id") % 50 == 0, k=5).orderBy("query_id", "rank").collect():
+        both.setdefault(r.query_id, []).append((r.vec_id, r.score))
+    y = np.array([np.floor(256 * np.array(r[1], np.float32).astype(float)) for r in more]).astype(np.int64)
+    own = np.array([r[0] for r in more])
+    at = np.flatnonzero(own % 50 == 0)
+    assert both == got | dict(zip(own[at].tolist(), brute(own[at], y[at], own, y, 5)))
     assert top_k(frame.limit(0), F.col("vec_id") % 50 == 0).count() == 0
     two = spark.createDataFrame([(0, [1.0], 1), (50, [2.0], 1)], "vec_id long, embedding array<float>, rank int")
     assert [(r.query_id, r.vec_id, r.score) for r in top_k(two, F.col("vec_id") % 50 == 0).orderBy("query_id").collect()] == [(0, 50, 256 * 512), (50, 0, 256 * 512)]
+
+
+def test_blocks_are_sent_once_for_each_part_of_their_queries(spark, monkeypatch):
+    """The rows sent to searches grow with the queries routed to their block, not with all queries."""
+    from aeris.llm import tiles
+    monkeypatch.setattr(tiles, "QUERY_ROWS", 10)
+    asking = spark.createDataFrame([(i, 0 if i < 45 else 1) for i in range(50)], "vec_id long, block int")
+    rows = spark.createDataFrame([(1000 + i, i % 3) for i in range(30)], "vec_id long, block int")
+    met = tiles.searched(asking, rows, lambda q, x: pa.table({"q": pa.array([q.num_rows]), "x": pa.array([x.num_rows])}), "q long, x long").collect()
+    assert sum(r.q for r in met) == 50 and all(r.x in (0, 10) for r in met)
+    assert len(met) <= 6  # five parts of block 0 and one of block 1; nobody asks block 2
