@@ -8,8 +8,9 @@ exceeds its capacity by half a row for each such end at most, and only overflowi
 
 Only arc totals reach the driver: ``shards * vnodes`` rows at most, whatever the data. The walk
 turns them into pieces ``(arc, from, to, shard)`` of each arc's running total of bytes; the
-pieces, again bounded by the ring, are broadcast to the rows. Arcs hold about
-1 / (shards * vnodes) of the rows each, so neither a hot key nor equal texts meet in one task.
+pieces, again bounded by the ring, are broadcast to the rows. Rows equal in id and text have one place; they are a group with a
+count, from a partial aggregate, until they are written out again in runs of ``RUN`` rows. So an arc's running
+total goes over its distinct rows, about 1 / (shards * vnodes) of them all, however often one is repeated.
 """
 
 from __future__ import annotations
@@ -21,9 +22,10 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from aeris.llm.common import written
+from aeris.llm.common import spread, written
 
 RING = 1 << 32
+RUN = 10_000  # equal rows that one task writes out
 PIECES = T.StructType([T.StructField("of_arc", T.IntegerType()), T.StructField("since", T.LongType()),
                        T.StructField("until", T.LongType()), T.StructField("shard", T.IntegerType())])
 
@@ -79,7 +81,7 @@ def shard_rows(docs: DataFrame, shards: int = 24, vnodes: int = 256, slack: floa
 
     ``size`` is the UTF-8 length of the text plus 8 (a null text: 8), ``text_crc32`` its unsigned
     CRC-32 (a null text: that of the empty text). The position of a row is a hash of id and, so
-    that null or repeated ids do not meet at one place, of its CRC. ``slot`` numbers the rows of a
+    that null or repeated ids with different texts do not meet at one place, of its CRC. ``slot`` numbers the rows of a
     shard from 0 without gaps. Reruns agree up to the order of rows equal in all three columns.
     Extra columns are ignored; an empty table gives no rows.
     """
@@ -102,27 +104,35 @@ def shard_rows(docs: DataFrame, shards: int = 24, vnodes: int = 256, slack: floa
     limits = constants(starts + [RING] * (longest + 1))
     in_cell = sum(((F.element_at(limits, at_cell + 1 + j) < F.col("place")).cast("int") for j in range(longest)), F.lit(0))
     rows = rows.withColumn("arc", ((at_cell + in_cell) % len(points)).cast("int"))
-    rows = written(rows, "ring-rows")
+    groups = written(rows.groupBy("arc", "place", "doc_id", "text_crc32", "size").agg(F.count("*").alias("copies")), "ring-groups")
 
-    loads = {r["arc"]: r["load"] for r in rows.groupBy("arc").agg(F.sum("size").alias("load")).collect()}  # one row per arc
+    load = F.col("size") * F.col("copies")
+    loads = {r["arc"]: r["load"] for r in groups.groupBy("arc").agg(F.sum(load).alias("load")).collect()}  # one row per arc
     pieces = F.broadcast(spark.createDataFrame(walk(points, loads, shards, slack), PIECES))  # bounded by the ring
 
     order = ["place", F.col("doc_id").asc_nulls_first(), "text_crc32", "size"]
     running = Window.partitionBy("arc").orderBy(*order).rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    placed = (
-        rows.withColumn("before", F.sum("size").over(running) - F.col("size"))
-        .withColumn("middle", F.col("before") + F.floor(F.col("size") / 2))
-        .join(pieces, (F.col("arc") == F.col("of_arc")) & (F.col("middle") >= F.col("since")) & (F.col("middle") < F.col("until")))
-        .drop("of_arc", "since", "until", "middle")
-        .withColumn("nth", F.row_number().over(Window.partitionBy("arc", "shard").orderBy("before")))
+    # copy j of a group begins at before + j * size; a piece has the copies whose middles lie in it
+    copies_until = lambda end: F.ceil((F.col(end) - F.col("before") - F.floor(F.col("size") / 2)) / F.col("size")).cast("long")
+    parts = (
+        groups.withColumn("before", F.sum(load).over(running) - load).join(pieces, F.col("arc") == F.col("of_arc"))
+        .withColumn("low", F.greatest(copies_until("since"), F.lit(0))).withColumn("high", F.least(copies_until("until"), F.col("copies")))
+        .where("low < high").withColumn("n", F.col("high") - F.col("low"))
     )
+    earlier_here = Window.partitionBy("arc", "shard").orderBy("before", "low").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    parts = written(parts.withColumn("nth", F.sum("n").over(earlier_here) - F.col("n"))
+                    .select("doc_id", "size", "text_crc32", "arc", "shard", "n", "nth"), "ring-parts")
     earlier = Window.partitionBy("to_shard").orderBy("of_arc").rowsBetween(Window.unboundedPreceding, -1)
     offsets = (
-        placed.groupBy(F.col("arc").alias("of_arc"), F.col("shard").alias("to_shard")).agg(F.count("*").alias("n"))
-        .withColumn("offset", F.coalesce(F.sum("n").over(earlier), F.lit(0)))
+        parts.groupBy(F.col("arc").alias("of_arc"), F.col("shard").alias("to_shard")).agg(F.sum("n").alias("rows"))
+        .withColumn("offset", F.coalesce(F.sum("rows").over(earlier), F.lit(0))).drop("rows")
     )
+    placed = parts.join(F.broadcast(offsets), (F.col("arc") == F.col("of_arc")) & (F.col("shard") == F.col("to_shard")))  # bounded by the ring
+    runs = placed.withColumn("run", F.explode(F.expr(f"sequence(0L, (n - 1) div {RUN})")))
+    long_ = spread(runs.where(F.col("n") > RUN), "arc", "shard", "run")  # a large group's runs go to different tasks
     return (
-        placed.join(F.broadcast(offsets), (F.col("arc") == F.col("of_arc")) & (F.col("shard") == F.col("to_shard")))  # bounded by the ring
-        .withColumn("slot", (F.col("offset") + F.col("nth") - 1).cast("long"))
+        runs.where(F.col("n") <= RUN).unionByName(long_)
+        .withColumn("copy", F.explode(F.expr(f"sequence(run * {RUN}, least(n, (run + 1) * {RUN}) - 1)")))
+        .withColumn("slot", (F.col("offset") + F.col("nth") + F.col("copy")).cast("long"))
         .select("doc_id", "size", "text_crc32", "arc", "shard", "slot")
     )

@@ -1,6 +1,11 @@
+import bisect
+import hashlib
 import zlib
 from collections import Counter, defaultdict
 
+from pyspark.sql import functions as F
+
+from aeris.llm import ring
 from aeris.llm.ring import ring_points, shard_rows, walk
 
 
@@ -46,3 +51,41 @@ def test_hot_keys_and_odd_rows(spark, odd_docs, no_docs):
     hot = spark.createDataFrame([(None, "same")] * 5000 + [(7, "same")] * 5000, "doc_id long, text string")
     loads = Counter(r.shard for r in shard_rows(hot, shards=10, vnodes=16).collect())
     assert len(loads) == 10 and max(loads.values()) <= 1003
+
+
+def test_every_shard_by_a_plain_walk(spark):
+    """Arcs, running totals and pieces recomputed row by row; a third of the rows are one row."""
+    rows = [(i, "x" * (i * 7919 % 90)) for i in range(3000)] + [(None, "the same text")] * 1500
+    out = Counter(map(tuple, shard_rows(spark.createDataFrame(rows, "doc_id long, text string"), shards=7, vnodes=16, slack=0.01).select("doc_id", "text_crc32", "shard").collect()))
+    points = ring_points(7, 16)
+    starts = [p for p, _ in points]
+    placed = []
+    for i, t in rows:
+        crc = zlib.crc32(t.encode())
+        place = int(hashlib.md5(f"{'null' if i is None else i}|{crc}".encode()).hexdigest()[:8], 16)
+        placed.append((bisect.bisect_left(starts, place) % len(points), place, i is not None, i or 0, crc, len(t.encode()) + 8, i))
+    loads = Counter()
+    for p in placed:
+        loads[p[0]] += p[5]
+    pieces = defaultdict(list)
+    for arc, since, until, shard in walk(points, loads, 7, 0.01):
+        pieces[arc].append((since, until, shard))
+    before, want = Counter(), Counter()
+    for arc, _, _, _, crc, size, i in sorted(placed, key=lambda p: p[:6]):
+        middle = before[arc] + size // 2
+        want[i, crc, next(s for since, until, s in pieces[arc] if since <= middle < until)] += 1
+        before[arc] += size
+    assert out == want
+
+
+def test_a_large_group_is_no_single_window(spark, monkeypatch):
+    """90 % of the rows are one row: the windows see it as one group, and no task writes out more than a run of it."""
+    monkeypatch.setattr(ring, "RUN", 50)
+    rows = [(None, "same")] * 9000 + [(i, "other") for i in range(1000)]
+    out = shard_rows(spark.createDataFrame(rows, "doc_id long, text string"), shards=10, vnodes=16)
+    sizes = out.withColumn("task", F.spark_partition_id()).groupBy("task").count().collect()
+    assert out.count() == 10_000 and len(sizes) >= 4
+    plan = out._jdf.queryExecution().optimizedPlan().toString()
+    assert "Window [" not in plan or "copies" not in plan  # totals come from the written groups
+    loads = Counter(r.shard for r in out.collect())
+    assert max(loads.values()) <= 1010
