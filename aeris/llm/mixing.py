@@ -6,23 +6,27 @@ tokens up to and with it, divided by the source's target. Serving all queues by
 time interleaves the sources in proportion to their targets; the mix is the prefix of that
 global order that the total budget allows.
 
-Scale: the text is read once, into a narrow written table. A source's running total is taken in
-two levels (hash buckets, then within a bucket), so a source that holds a third of the rows is
-spread over 16 ** ``BUCKET_DIGITS`` buckets. The global cut works the same way on ``BINS`` equal ranges of the
+Scale: the text is read once, into a narrow written table, in which equal rows are one row with a count (a partial
+aggregate). A source's running total is taken in two levels (hash buckets, then within a bucket), so a source that
+holds a third of the rows is spread over 16 ** ``BUCKET_DIGITS`` buckets, and a repeated row costs a bucket one row; it is written
+out again in runs of ``RUN``. The global cut works the same way on ``BINS`` equal ranges of the
 finish time: only the documents of the one range that holds the cut are put in exact order.
 """
 
 from __future__ import annotations
 
+import hashlib
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from aeris.llm.common import n_words, written
+from aeris.llm.common import n_words, quoted, spread, written
 
 BUCKET_DIGITS = 3
 BINS = 4096
+RUN = 10_000  # equal rows that one task writes out
+SALTS = 64
 
 
 def cycle_weights(weights: Sequence[float]) -> Column:
@@ -69,26 +73,34 @@ def mix(docs: DataFrame, weights: Sequence[float] = (5.0, 2.0, 1.0), max_repeats
     ``size`` is the number of words (a null or empty text: 0, never taken), ``repeats`` how often
     the mix takes the row and ``taken`` the words that makes. A null source is a source of its
     own, last in order; null ids and repeated rows are ordinary rows. The order within a source
-    comes from an MD5 of seed and id, then id and size, so reruns agree. The budget is the sum
+    comes from an MD5 of seed and id, then id, size and mark, so reruns agree. The budget is the sum
     of all sizes; the last document is taken if it starts within it. Extra columns are ignored; an empty table gives no rows.
     """
     digest = F.md5(F.concat_ws("|", F.lit(seed), F.coalesce(F.col("doc_id").cast("string"), F.lit("null"))))
-    rows = written(docs.select("doc_id", "source", n_words(F.col("text")).alias("size"), digest.alias("place"),
-                               (F.lit(None).cast("long") if mark is None else mark).alias("mark")), "mix-sizes")
-    targets = source_targets(rows, weights, max_repeats).withColumnRenamed("source", "of")
-
-    rows = rows.withColumn("bucket", F.conv(F.substring("place", 1, BUCKET_DIGITS), 16, 10).cast("int"))
+    rows = docs.select("doc_id", "source", n_words(F.col("text")).alias("size"), digest.alias("place"),
+                       (F.lit(None).cast("long") if mark is None else mark).alias("mark"))
+    rows = written(rows.groupBy(*rows.columns).agg(F.count("*").alias("copies")), "mix-sizes")
+    words = F.col("size") * F.col("copies")
+    targets = source_targets(rows.select("source", words.alias("size")), weights, max_repeats).withColumnRenamed("source", "of")
+
+    # rows without an id have one place; in its bucket they have buckets of their own, in the same order
+    nameless, theirs = F.col("doc_id").isNull(), hashlib.md5(f"{seed}|null".encode()).hexdigest()
+    side = F.when(nameless, 1).when(F.col("place") < theirs, 0).otherwise(2)
+    high_bits = F.coalesce(F.shiftright("mark", 54), F.lit(0).cast("long"))
+    rows = rows.withColumn("bucket", F.struct(
+        F.conv(F.substring("place", 1, BUCKET_DIGITS), 16, 10).cast("int").alias("place"), side.alias("side"),
+        F.when(nameless, F.col("size")).otherwise(0).alias("size"), F.when(nameless, high_bits).otherwise(0).alias("mark")))
     before = Window.partitionBy("of").orderBy("in_bucket").rowsBetween(Window.unboundedPreceding, -1)
     starts = (
-        rows.groupBy(F.col("source").alias("of"), F.col("bucket").alias("in_bucket")).agg(F.sum("size").alias("words"))
+        rows.groupBy(F.col("source").alias("of"), F.col("bucket").alias("in_bucket")).agg(F.sum(words).alias("words"))
         .withColumn("offset", F.coalesce(F.sum("words").over(before), F.lit(0)))
         .drop("words")
     )
     starts = starts.join(targets.withColumnRenamed("of", "source_of"), F.col("of").eqNullSafe(F.col("source_of"))).drop("source_of")
-    within = (Window.partitionBy("source", "bucket").orderBy("place", F.col("doc_id").asc_nulls_first(), "size")
+    within = (Window.partitionBy("source", "bucket").orderBy("place", F.col("doc_id").asc_nulls_first(), "size", "mark")
               .rowsBetween(Window.unboundedPreceding, Window.currentRow))
     queued = (
-        rows.withColumn("upto", F.sum("size").over(within))
+        _written_out(rows.withColumn("upto", F.sum(words).over(within)))
         .join(starts, F.col("source").eqNullSafe(F.col("of")) & (F.col("bucket") == F.col("in_bucket")))
         .withColumn("upto", F.col("upto") + F.col("offset"))
         .select("doc_id", "source", "size", "source_size", "target", "place", "upto", "mark")
@@ -121,6 +133,14 @@ def mix(docs: DataFrame, weights: Sequence[float] = (5.0, 2.0, 1.0), max_repeats
     )
 
 
+def _written_out(groups: DataFrame) -> DataFrame:
+    """Each row of ``groups`` ``copies`` times; ``upto``, the total up to and with them all, becomes each copy's own."""
+    runs = groups.withColumn("run", F.explode(F.expr(f"sequence(0L, (copies - 1) div {RUN})")))
+    long_ = spread(runs.where(F.col("copies") > RUN), "place", "run")  # a large group's runs go to different tasks
+    each = runs.where(F.col("copies") <= RUN).unionByName(long_).withColumn("copy", F.explode(F.expr(f"sequence(run * {RUN} + 1, least(copies, (run + 1) * {RUN}))")))
+    return each.withColumn("upto", F.expr("upto - (copies - copy) * size")).drop("run", "copy", "copies")
+
+
 def mixed_rows(docs: DataFrame, weights: Sequence[float] = (5.0, 2.0, 1.0), max_repeats: int = 3, seed: str = "mix") -> DataFrame:
     """The mix itself: each row of ``docs`` as often as ``mix`` takes it, all columns as they are.
 
@@ -131,9 +151,17 @@ def mixed_rows(docs: DataFrame, weights: Sequence[float] = (5.0, 2.0, 1.0), max_
         taken.groupBy(F.col("doc_id").alias("of_id"), F.col("mark").alias("of_mark"))
         .agg(F.sum("repeats").alias("times"), F.count("*").alias("n")).where("times > 0")
     )
-    marked = docs.select(F.struct(*docs.columns).alias("row"), F.col("doc_id").alias("own_id"), mark.alias("own_mark"))
+    marked = docs.select(F.struct(*quoted(docs.columns)).alias("row"), F.col("doc_id").alias("own_id"), mark.alias("own_mark"),
+                         F.pmod(F.spark_partition_id(), F.lit(SALTS)).alias("salt"))
     found = marked.join(taken, F.col("own_id").eqNullSafe(F.col("of_id")) & (F.col("own_mark") == F.col("of_mark")))
-    nth = F.row_number().over(Window.partitionBy("own_id", "own_mark").orderBy("own_mark"))
     alone = found.where("n = 1").select("row", F.col("times").cast("int").alias("times"))
-    shared = found.where("n > 1").withColumn("nth", nth).select("row", F.expr("cast(floor(times / n) as int) + if(nth <= times % n, 1, 0)").alias("times"))
+    # equal rows are numbered in SALTS parts, and a part's first number is the rows of the parts before it
+    shared = written(found.where("n > 1"), "mix-shared")
+    by_salt = Window.partitionBy("of_id", "of_mark").orderBy("salt").rowsBetween(Window.unboundedPreceding, -1)
+    first = shared.groupBy("of_id", "of_mark", "salt").agg(F.count("*").alias("here")).withColumn("before", F.coalesce(F.sum("here").over(by_salt), F.lit(0)))
+    first = first.select(F.col("of_id").alias("id_"), F.col("of_mark").alias("mark_"), F.col("salt").alias("salt_"), "before")
+    here = F.row_number().over(Window.partitionBy("of_id", "of_mark", "salt").orderBy("of_mark"))
+    numbered = shared.withColumn("here", here).join(first, F.col("of_id").eqNullSafe(F.col("id_")) & (F.col("of_mark") == F.col("mark_")) & (F.col("salt") == F.col("salt_")))
+    nth = F.col("before") + F.col("here")
+    shared = numbered.select("row", (F.floor(F.col("times") / F.col("n")) + F.when(nth <= F.col("times") % F.col("n"), 1).otherwise(0)).cast("int").alias("times"))
     return alone.unionAll(shared).select("row", F.explode(F.expr("array_repeat(0, times)"))).select("row.*")

@@ -3,6 +3,7 @@ from collections import Counter
 import pytest
 from pyspark.sql import functions as F
 
+from aeris.llm import mixing
 from aeris.llm.mixing import mix, mixed_rows, source_targets
 
 
@@ -62,3 +63,27 @@ def test_odd_rows(spark, odd_docs, no_docs):
     assert mix(no_docs).count() == 0 and mixed_rows(no_docs).count() == 0
     blank = odd_docs.where("doc_id in (0, 1, 2)")
     assert [r.taken for r in mix(blank).collect()] == [0, 0, 0] and mixed_rows(blank).count() == 0
+
+
+def test_a_row_that_most_rows_equal(spark, monkeypatch):
+    """90 % equal rows without an id: one row of the running totals, written out in runs; shared evenly."""
+    monkeypatch.setattr(mixing, "RUN", 100)
+    rows = [(None, "a b c", "hot", "x")] * 4500 + [(i, "w " * (1 + i % 9), "cold", "y") for i in range(500)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string, `a.b` string").repartition(8)
+    out = mix(docs).collect()
+    hot = [r for r in out if r.doc_id is None]
+    assert len(out) == 5000 and len(hot) == 4500 and {r["size"] for r in hot} == {3}
+    target = hot[0].target
+    assert abs(sum(r.taken for r in hot) - target) <= 10 and max(r.repeats for r in hot) - min(r.repeats for r in hot) <= 1
+    kept = mixed_rows(docs)
+    counts = Counter(r.doc_id for r in kept.collect())
+    assert kept.columns == docs.columns and counts[None] * 3 == pytest.approx(target, abs=30)
+    widths = docs.select(F.lit(1)).where("doc_id is null").withColumn("p", F.spark_partition_id()).groupBy("p").count().collect()
+    assert len(widths) == 8  # the parts that equal rows are numbered in
+
+
+def test_rows_without_an_id_are_spread_by_their_text(spark):
+    docs = spark.createDataFrame([(None, f"text number {i}", "s") for i in range(500)], "doc_id long, text string, source string")
+    assert mixed_rows(docs).distinct().count() == 500
+    places = mix(docs, mark=F.xxhash64("text")).select("mark").distinct().count()
+    assert places == 500
