@@ -36,13 +36,13 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from aeris.llm.common import written
+from aeris.llm.common import quoted, written
 from aeris.llm.components import connected_components
 from aeris.llm.text import mix, shingle_sets
 
 UNITS = 2  # size units of ratio den / num in a band, without the one it shares with the next
 LARGEST = 1 << 40
-BROADCAST_ROWS = 1_000_000  # of 8 bytes each
+BROADCAST_BYTES = 8_000_000  # of hashes and ids; beyond that they are shuffled
 
 _U = np.uint64
 
@@ -173,9 +173,9 @@ def _near(pairs: DataFrame, classes: DataFrame, bands: Bands) -> DataFrame:
 
 def _with_texts(pairs: DataFrame, docs: DataFrame) -> DataFrame:
     """``pairs`` (with ``text_hash_a, text_hash_b``; a written table) with ``text_a, text_b``. Only texts asked for
-    move; their hashes are broadcast up to ``BROADCAST_ROWS`` rows and shuffled beyond."""
+    move; their hashes are broadcast up to ``BROADCAST_BYTES`` and shuffled beyond."""
     wanted = written(pairs.select(F.explode(F.array("text_hash_a", "text_hash_b")).alias("text_hash")).distinct(), "parity-wanted")
-    if wanted.count() <= BROADCAST_ROWS:
+    if 8 * wanted.count() <= BROADCAST_BYTES:
         wanted = F.broadcast(wanted)
     texts = docs.select(F.xxhash64("text").alias("text_hash"), "text").join(wanted, "text_hash", "left_semi")
     texts = written(texts.groupBy("text_hash").agg(F.first("text").alias("text")), "parity-texts")
@@ -334,8 +334,9 @@ def one_of_each(docs: DataFrame, k: int = 5, num: int = 80, den: int = 100) -> D
         .where(~F.col("stays") | (F.col("n") > 1)).select("of_id", "of_hash", "stays")
     )
     rows = written(rows, "parity-leaving")
-    few = rows.count() <= BROADCAST_ROWS
-    hashed = docs.select(F.struct(*docs.columns).alias("row"), F.col("doc_id").alias("own_id"), F.xxhash64("text").alias("own_hash"))
+    size = rows.agg(F.coalesce(F.sum(F.octet_length(F.coalesce(F.col("of_id").cast("string"), F.lit(""))) + 16), F.lit(0))).first()[0]
+    few = size <= BROADCAST_BYTES
+    hashed = docs.select(F.struct(*quoted(docs.columns)).alias("row"), F.col("doc_id").alias("own_id"), F.xxhash64("text").alias("own_hash"))
     same = F.col("own_id").eqNullSafe(F.col("of_id")) & (F.col("own_hash") == F.col("of_hash"))
     leaving, repeated = rows, rows.where("stays")
     rest = hashed.join(F.broadcast(leaving) if few else leaving, same, "left_anti")
