@@ -8,7 +8,9 @@ scaled forward recursion over the whole text.
 
 Training: seeded random emissions break the symmetry of the states. Then rounds of Baum-Welch run over all
 training texts until the summed log-likelihood gains less than ``settled`` of itself: each task sums
-expected counts, the sums of all tasks are added up per symbol. A text is one sequence, however long; of
+expected counts, the sums of all tasks are added up per symbol. The rounds are incremental: texts fall into ``SLICES`` slices by a
+hash, the newest counts of every slice are kept, and the model is estimated again from all of them after each slice instead of after each
+round, so a round goes several times as far. A text is one sequence, however long; of
 texts too long to hold, the forward recursion is kept at some places and done again between them.
 Emissions are smoothed towards the corpus's own shares.
 
@@ -20,6 +22,7 @@ hashes. The driver holds the model: symbols times states, whatever the corpus.
 from __future__ import annotations
 
 from collections.abc import Iterator
+from functools import reduce
 from typing import NamedTuple
 
 import numpy as np
@@ -27,13 +30,14 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from aeris.llm.common import written
+from aeris.llm.common import scratch_path, written
 from aeris.llm.text import Words, slices, words
 
 CLASSES = 256
 END_HASH = 0
-SEGMENT = 256
 SETTLED = 1e-4
+SLICES = 8
+MOST_ROUNDS = 200  # far beyond what settles; training that goes on longer is an error
 HELD = 1 << 19  # distinct words a task holds before it sends them on
 TOKENS = 1 << 18  # tokens worked on at once
 HELD_TOKENS = 1 << 22  # tokens a task holds to put texts of like length together
@@ -211,15 +215,6 @@ def estimate(c: Counts, shares: np.ndarray) -> Model:
     return Model(start, share, move, emit / emit.sum(0))
 
 
-def _segments(sequences: list[np.ndarray]) -> tuple[list[np.ndarray], np.ndarray]:
-    cuts, first = [], []
-    for s in sequences:
-        for i in range(0, len(s), SEGMENT):
-            cuts.append(s[i : i + SEGMENT])
-            first.append(i == 0)
-    return cuts, np.array(first, bool)
-
-
 def _padded(sequences: list[np.ndarray]) -> tuple[list[np.ndarray], np.ndarray]:
     """Symbols by position of sequences in order of falling length: step t has those of the sequences longer than t."""
     lengths = np.array([len(s) for s in sequences])
@@ -230,17 +225,10 @@ def _padded(sequences: list[np.ndarray]) -> tuple[list[np.ndarray], np.ndarray]:
     return [table[: active[t], t] for t in range(table.shape[1])], active
 
 
-def expected_counts(sequences: list[np.ndarray], m: Model) -> Counts:
-    """One E step over the segments of some texts' symbols."""
-    cuts, is_first = _segments(sequences)
-    return whole_counts(cuts, m, is_first)[0]
-
-
-def whole_counts(sequences: list[np.ndarray], m: Model, is_first: np.ndarray | None = None) -> tuple[Counts, float]:
-    """One E step over whole sequences and the log-likelihood (base e) of them all. Those not ``is_first`` start
-    from the states' shares. At most TOKENS steps, or tokens of several sequences, are held at once."""
+def whole_counts(sequences: list[np.ndarray], m: Model) -> tuple[Counts, float]:
+    """One E step over whole sequences and the log-likelihood (base e) of them all. At most TOKENS steps, or
+    tokens of several sequences, are held at once."""
     total, likelihood = no_counts(*m.emit.shape), 0.0
-    is_first = np.ones(len(sequences), bool) if is_first is None else is_first
     order = sorted(range(len(sequences)), key=lambda i: -len(sequences[i]))
     lo = 0
     while lo < len(order):
@@ -248,12 +236,12 @@ def whole_counts(sequences: list[np.ndarray], m: Model, is_first: np.ndarray | N
         while hi < len(order) and (hi == lo or size + len(sequences[order[hi]]) <= TOKENS):
             size += len(sequences[order[hi]])
             hi += 1
-        counts, gain = _group_counts([sequences[i] for i in order[lo:hi]], m, is_first[order[lo:hi]])
+        counts, gain = _group_counts([sequences[i] for i in order[lo:hi]], m)
         total, likelihood, lo = total.plus(counts), likelihood + gain, hi
     return total, likelihood
 
 
-def _group_counts(group: list[np.ndarray], m: Model, first: np.ndarray) -> tuple[Counts, float]:
+def _group_counts(group: list[np.ndarray], m: Model) -> tuple[Counts, float]:
     """``whole_counts`` of sequences in order of falling length, step by step: a block's rows are those of its first
     step, then of the next. The states ahead of each block are kept, and the block done again on the way back."""
     total, likelihood = no_counts(*m.emit.shape), 0.0
@@ -272,7 +260,7 @@ def _group_counts(group: list[np.ndarray], m: Model, first: np.ndarray) -> tuple
         emit = m.emit[symbols]
         alpha, scale, a = np.empty_like(emit), np.empty(len(emit)), before[at // TOKENS]
         for t, n, o in zip(steps.tolist(), active.tolist(), offset.tolist()):
-            a = (a[:n] @ m.move if t else np.where(first[:, None], m.start, m.share)) * emit[o : o + n]
+            a = (a[:n] @ m.move if t else m.start) * emit[o : o + n]
             scale[o : o + n] = c = a @ ones
             a /= c[:, None]
             alpha[o : o + n] = a
@@ -302,7 +290,7 @@ def _group_counts(group: list[np.ndarray], m: Model, first: np.ndarray) -> tuple
         weights = alpha * beta
         weights /= weights.sum(1, keepdims=True)
         if not at:
-            total.start[...] += weights[: len(group)][first].sum(0)
+            total.start[...] += weights[: len(group)].sum(0)
         total.share[...] += weights.sum(0)
         for k in range(weights.shape[1]):
             total.emit[:, k] += np.bincount(symbols, weights[:, k], len(total.emit))
@@ -321,8 +309,8 @@ def start_model(voc: Vocabulary, states: int) -> Model:
     return Model(np.full(states, 1 / states), np.full(states, 1 / states), np.full((states, states), 0.2 / states) + 0.8 * np.eye(states), emit / emit.sum(0))
 
 
-def corpus_round(encoded: DataFrame, voc: Vocabulary, model: Model) -> tuple[Model, float]:
-    """One round of Baum-Welch over all training texts, and their log-likelihood (base e) by the model given.
+def corpus_counts(texts: DataFrame, model: Model) -> tuple[Counts, float]:
+    """Expected counts of one E step over all of ``texts`` (``symbols``), and their log-likelihood (base e) by the model.
     A task sends one row for each symbol it met."""
     symbols, states = model.emit.shape
 
@@ -346,7 +334,7 @@ def corpus_round(encoded: DataFrame, voc: Vocabulary, model: Model) -> tuple[Mod
                 yield pa.RecordBatch.from_arrays([pa.array(ids[i : i + 10_000].astype(np.int32)), *map(pa.array, values[i : i + 10_000].T)],
                                                  names=["id", *(f"k{j}" for j in range(states))])
 
-    sums = encoded.where("trains").select("symbols").mapInArrow(task, "id int, " + ", ".join(f"k{j} double" for j in range(states)))
+    sums = texts.select("symbols").mapInArrow(task, "id int, " + ", ".join(f"k{j} double" for j in range(states)))
     rows = sums.groupBy("id").agg(*[F.sum(f"k{j}").alias(f"k{j}") for j in range(states)]).toArrow()  # symbols and states
     ids = rows.column("id").to_numpy()
     values = np.stack([rows.column(f"k{j}").to_numpy() for j in range(states)], 1) if len(ids) else np.zeros((0, states))
@@ -354,18 +342,32 @@ def corpus_round(encoded: DataFrame, voc: Vocabulary, model: Model) -> tuple[Mod
     total.emit[ids[ids >= 0]] = values[ids >= 0]
     extra = np.zeros((states + 3, states))
     extra[-1 - ids[ids < 0]] = values[ids < 0]
-    counts = Counts(extra[states], extra[states + 1], extra[:states], total.emit)
-    return estimate(counts, voc.shares()), float(extra[states + 2, 0])
+    return Counts(extra[states], extra[states + 1], extra[:states], total.emit), float(extra[states + 2, 0])
 
 
 def trained(encoded: DataFrame, voc: Vocabulary, states: int, settled: float) -> Model:
-    """Rounds over all training texts until one gains less than ``settled`` of the log-likelihood."""
+    """Rounds over all training texts until one gains less than ``settled`` of the log-likelihood. A slice's share of it is by the
+    model that its counts were made with."""
     model, last = start_model(voc, states), -np.inf
-    while True:
-        model, likelihood = corpus_round(encoded, voc, model)
+    kept = [no_counts(*model.emit.shape)] * SLICES
+    for _ in range(MOST_ROUNDS):
+        likelihood = 0.0
+        for i in range(SLICES):
+            kept[i], gain = corpus_counts(encoded.where(F.col("slice") == i), model)
+            likelihood += gain
+            model = estimate(reduce(Counts.plus, kept), voc.shares())
         if not likelihood - last > settled * abs(likelihood):
             return model
         last = likelihood
+    raise RuntimeError(f"the log-likelihood hasn't settled in {MOST_ROUNDS} rounds")
+
+
+def _sliced(encoded: DataFrame) -> DataFrame:
+    """Written with the training texts' slices as partitions (-1: texts that don't train)."""
+    path = scratch_path(encoded.sparkSession, "hmm-encoded")
+    rows = encoded.withColumn("slice", F.when(F.col("trains"), F.pmod(F.xxhash64("row"), F.lit(SLICES))).otherwise(-1).cast("int"))
+    rows.hint("rebalance", "slice").write.partitionBy("slice").parquet(path)
+    return encoded.sparkSession.read.schema(rows.schema).parquet(path)
 
 
 def log10_likelihood(sequences: list[np.ndarray], m: Model) -> np.ndarray:
@@ -418,7 +420,7 @@ def language_model_scores(docs: DataFrame, trains: Column, held_out: Column, sta
     trains, held_out = F.coalesce(trains, F.lit(False)), F.coalesce(held_out, F.lit(False))
     counts = written(word_counts(docs.where(trains)), "hmm-words")
     voc = vocabulary(counts, n_frequent)
-    encoded = written(encode(docs, voc, trains, held_out), "hmm-encoded")
+    encoded = _sliced(encode(docs, voc, trains, held_out))
     model = trained(encoded, voc, states, settled)
 
     rare = encoded.select("row", F.explode("rare").alias("w")).select("row", "w.hash", F.col("w.n").alias("times"))

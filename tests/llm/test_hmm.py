@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from aeris.llm import hmm
 from aeris.llm.common import fold
-from aeris.llm.hmm import Model, estimate, expected_counts, language_model_scores, log10_likelihood, no_counts
+from aeris.llm.hmm import Model, estimate, language_model_scores, log10_likelihood, no_counts
 
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
 
@@ -37,7 +37,7 @@ def test_recursions_against_brute_force():
     texts = [rng.integers(0, 30, n).astype(np.uint16) for n in (1, 5, 40, 2, 90, 5)]
     found = [forward_backward(s, m) for s in texts]
     assert np.allclose(log10_likelihood(texts, m), [f[2] for f in found])
-    c = expected_counts(texts, m)
+    c = hmm.whole_counts(texts, m)[0]
     emit = np.zeros((30, 3))
     for s, f in zip(texts, found):
         np.add.at(emit, s, f[0])
@@ -54,7 +54,7 @@ def test_rounds_raise_the_likelihood():
     scores = []
     for _ in range(6):
         scores.append(log10_likelihood(texts, m).sum())
-        m = estimate(expected_counts(texts, m), np.full(30, 1 / 30))
+        m = estimate(hmm.whole_counts(texts, m)[0], np.full(30, 1 / 30))
     assert all(b > a for a, b in zip(scores[1:], scores[2:])) and scores[-1] > scores[0] + 100
     assert np.allclose(estimate(no_counts(30, 3), np.full(30, 1 / 30)).emit, 1 / 30)
 
@@ -96,15 +96,6 @@ def test_odd_rows(spark, odd_docs, no_docs):
         language_model_scores(no_docs, f != 1, f == 1, n_frequent=1 << 16)
 
 
-def test_segments_count_every_token(monkeypatch):
-    rng = np.random.default_rng(2)
-    m = a_model(rng)
-    text = rng.integers(0, 30, 100).astype(np.uint16)
-    monkeypatch.setattr(hmm, "SEGMENT", 30)
-    cut = expected_counts([text], m)
-    assert np.isclose(cut.share.sum(), 100) and np.isclose(cut.start.sum(), 1) and np.isclose(cut.move.sum(), 96)
-
-
 def test_whole_texts_keep_their_state(monkeypatch):
     rng = np.random.default_rng(3)
     m = a_model(rng)
@@ -124,10 +115,10 @@ def test_states_come_from_all_training_texts_until_settled(spark):
     rare = [" ".join(f"b{i}" for i in rng.integers(0, 40, 400)) for _ in range(4)]
     docs = spark.createDataFrame(list(enumerate(common + rare)), "doc_id long, text string")
     voc = hmm.vocabulary(hmm.word_counts(docs), 100)
-    encoded = hmm.encode(docs, voc, F.lit(True), F.lit(False)).cache()
+    encoded = hmm._sliced(hmm.encode(docs, voc, F.lit(True), F.lit(False)))
     model = hmm.trained(encoded, voc, 2, hmm.SETTLED)
-    once, before = hmm.corpus_round(encoded, voc, model)
-    assert hmm.corpus_round(encoded, voc, once)[1] - before <= 2 * hmm.SETTLED * abs(before)
+    counts, before = hmm.corpus_counts(encoded, model)
+    assert hmm.corpus_counts(encoded, hmm.estimate(counts, voc.shares()))[1] - before <= 2 * hmm.SETTLED * abs(before)
     of = lambda kind: set(np.searchsorted(voc.hashes, hmm.words(hmm.pa.array([" ".join(f"{kind}{i}" for i in range(40))])).hash))
     best = model.emit.argmax(1)
     assert {best[i] for i in of("a")} != {best[i] for i in of("b")} and len({best[i] for i in of("b")}) == 1
