@@ -11,31 +11,46 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from aeris.llm.common import fold, ready, table, written
+from aeris.llm.common import fold, quoted, ready, table, unused, written
 from aeris.llm.language import UNDETERMINED, learn_profiles, predict_languages
 from aeris.llm.line_crf import score_documents, train
 from aeris.llm.mixing import mixed_rows
 from aeris.llm.packing import pack
 from aeris.llm.parity_join import one_of_each
 
+#: A text goes when its language score is under this share of what all but a thousandth of the held-out documents of learned languages reach.
+LANGUAGE_MARGIN = 0.75
+LEAST_HELD_OUT = 100  # held-out documents that a threshold is taken from; with fewer it is the next line's
 LEAST_LANGUAGE_SCORE = 0.25
 LEAST_QUALITY = 0.3
 
 
+def least_language_score(held_out: DataFrame, profiles: dict) -> float:
+    """The threshold of the language stage, from the scores of documents (``text``) that the profiles weren't learned from."""
+    scored = predict_languages(held_out.select("text"), profiles, names=("lang_pred", "score")).where("score > 0")
+    found = scored.agg(F.count("*").alias("n"), F.percentile_approx("score", 0.001, 100_000).alias("low")).first()
+    return LANGUAGE_MARGIN * found["low"] if found["n"] >= LEAST_HELD_OUT else LEAST_LANGUAGE_SCORE
+
+
 def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Drops documents without letters and those far from every language profile."""
+    """Drops documents without letters and those whose n-grams rank too differently from every learned language: prose of other
+    languages and code."""
     ready(spark)
-    profiles = learn_profiles(docs.where((fold(F.col("doc_id")) != 0) & F.col("lang").isNotNull()))
-    judged = predict_languages(docs, profiles, names=("__language", "__score"))
-    return judged.where((F.col("__language") != UNDETERMINED) & (F.col("__score") >= LEAST_LANGUAGE_SCORE)).select(docs.columns)
+    learned = docs.where(F.col("lang").isNotNull())
+    profiles = learn_profiles(learned.where(fold(F.col("doc_id")) != 0))
+    least = least_language_score(learned.where(fold(F.col("doc_id")) == 0), profiles)
+    language, score = unused(docs.columns, "language", "score")
+    judged = predict_languages(docs, profiles, names=(language, score))
+    return judged.where((F.col(language) != UNDETERMINED) & (F.col(score) >= least)).select(quoted(docs.columns))
 
 
 def quality_classifier(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Drops documents whose lines the field holds mostly for bad ones."""
     ready(spark)
     model = train(docs, table(spark, sf_dir, "labels").where(fold(F.col("doc_id")) != 0))
-    judged = score_documents(docs, model, LEAST_QUALITY, names=("__score", "__good"))
-    return judged.where(F.col("__good") == 1).select(docs.columns)
+    score, good = unused(docs.columns, "score", "good")
+    judged = score_documents(docs, model, LEAST_QUALITY, names=(score, good))
+    return judged.where(F.col(good) == 1).select(quoted(docs.columns))
 
 
 def ngram_jaccard_join(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
