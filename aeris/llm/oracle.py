@@ -110,11 +110,20 @@ WITH lists(lang, wanted) AS (VALUES
   ('fr', ['de','la','le','et','les','des','en','un','du','une','que','est','pour','qui','dans','a','par','plus','pas','au']),
   ('es', ['de','la','que','el','en','y','a','los','se','del','las','un','por','con','no','una','su','para','es','al'])),
 every AS (SELECT list_sort(list_distinct(flatten(list(wanted)))) AS wanted FROM lists),
+plain AS (
+  SELECT lang, lower(w) AS word, count(*) AS n
+  FROM (SELECT lang, unnest(string_split_regex(text, '[\x20\x09-\x0D]+')) AS w FROM documents WHERE lang IS NOT NULL AND lang NOT IN (SELECT lang FROM lists))
+  WHERE regexp_matches(w, '^\p{L}\p{Ll}*$') GROUP BY ALL),
+own AS (
+  SELECT lang, list(word ORDER BY word) AS wanted FROM (SELECT *, row_number() OVER (PARTITION BY lang ORDER BY n DESC, word) AS place FROM plain)
+  WHERE place <= 20 GROUP BY lang),
 docs AS MATERIALIZED (
-  SELECT row_number() OVER () AS rid, doc_id, coalesce(lists.lang, 'other') AS lang, coalesce(lists.wanted, every.wanted) AS wanted, every.wanted AS every, t,
+  SELECT row_number() OVER () AS rid, doc_id, coalesce(d.lang, chr(1)) AS lang,
+    CASE WHEN lists.lang IS NOT NULL THEN lists.wanted WHEN d.lang IS NULL THEN every.wanted ELSE coalesce(own.wanted, []) END AS wanted,
+    CASE WHEN lists.lang IS NOT NULL OR d.lang IS NULL THEN every.wanted ELSE coalesce(own.wanted, []) END AS every, t,
     regexp_extract_all(t, '[^\x20\x09-\x0D]+') AS w, list_filter(string_split(t, chr(10)), lambda l: regexp_matches(l, '[^\x20\x09-\x0D]')) AS lines,
     regexp_replace(t, '[\x20\x09-\x0D\p{Ll}]+', '', 'g') AS large
-  FROM (SELECT doc_id, lang, coalesce(text, '') AS t FROM documents) d LEFT JOIN lists ON lists.lang = d.lang, every),
+  FROM (SELECT doc_id, lang, coalesce(text, '') AS t FROM documents) d LEFT JOIN lists ON lists.lang = d.lang LEFT JOIN own ON own.lang = d.lang, every),
 windows AS (SELECT rid, i, array_to_string(w[i:i+4], ' ') AS s FROM (SELECT rid, w, unnest(range(1, len(w) - 3)) AS i FROM docs WHERE len(w) > 5)),
 twice AS (SELECT rid, i FROM (SELECT rid, i, count(*) OVER (PARTITION BY rid, s) AS n FROM windows) WHERE n > 1),
 covered AS (SELECT rid, count(DISTINCT i + j) AS n FROM twice, (VALUES (0), (1), (2), (3), (4)) AS o(j) GROUP BY rid),

@@ -70,3 +70,21 @@ def test_every_language_has_its_own_reference(spark):
     rows = {r.doc_id: r for r in quality_rules(spark.createDataFrame(docs, "doc_id long, text string, lang string")).collect()}
     assert {i for i, r in rows.items() if not r.kept and not r.base_failed} == {200}  # none of the common words of its language
     assert rows[200].js_common > 0.32 and rows[300].js_chars == 0 and not any(r.base_failed for r in rows.values())
+
+
+def test_unlisted_languages_against_sql(spark, tmp_path):
+    """A third of the documents in a language without a word list, some in another, some in none."""
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
+    lang = F.when(F.col("doc_id") % 3 == 0, "it").when(F.col("doc_id") % 17 == 0, "pl").when(F.col("doc_id") % 19 == 0, F.lit(None)).otherwise(F.col("lang"))
+    docs = docs.withColumn("lang", lang)
+    docs.coalesce(1).write.parquet(str(tmp_path / "documents"))
+    with duckdb.connect() as con:
+        con.execute(f"CREATE VIEW documents AS SELECT * FROM read_parquet('{tmp_path}/documents/*.parquet')")
+        rel = con.sql(DIVERGENCE)
+        want = sorted(tuple(r) for r in rel.fetchall())
+        columns = rel.columns
+    got = sorted(tuple(r) for r in quality_rules(spark.read.parquet(str(tmp_path / "documents"))).select(*columns).collect())
+    assert len(got) == len(want)
+    for a, b in zip(got, want):
+        for x, y in zip(a, b):
+            assert x == y or (isinstance(x, float) and abs(x - y) < 2e-6), (a, b)
