@@ -32,8 +32,8 @@ def check(rows, sizes, capacities):
 
 def test_best_fit_takes_the_tightest_bin_and_downsizes():
     bins, offsets, final, cost = best_fit([90, 50, 45, 10, 5, 1], [50, 100])
-    assert (bins, offsets) == ([0, 1, 2, 0, 2, 3], [0, 0, 0, 90, 45, 0]) or max(bins) <= 3
-    assert final[0] == 100 and cost == sum(map(sequence_cost, final))
+    assert (bins, offsets, final) == ([0, 1, 2, 0, 2, 3], [0, 0, 0, 90, 45, 0], [100, 50, 50, 50])  # 10 fits beside 90 only, 5 beside 45
+    assert cost == sum(map(sequence_cost, final))
     assert best_fit([], [50]) == ([], [], [], 0)
     assert best_fit([20], [50, 100], least=100)[2] == [50]
 
@@ -45,6 +45,38 @@ def test_group_is_the_cheapest_of_its_trials():
     assert pack_group(sizes, (256, 512, 1024))[3] == min(t[3] for t in trials)
 
 
+def cheapest(sizes, capacities):
+    """The least cost over all ways to share ``sizes`` among bins."""
+    fitting = lambda used: next((c for c in sorted(capacities) if c >= used), None)
+    best = float("inf")
+
+    def deal(i, used):
+        nonlocal best
+        if i == len(sizes):
+            best = min(best, sum(sequence_cost(fitting(u)) for u in used))
+            return
+        for b in range(len(used) + 1):
+            if b == len(used):
+                deal(i + 1, [*used, sizes[i]])
+            elif fitting(used[b] + sizes[i]) and used[b] not in used[:b]:
+                deal(i + 1, [*used[:b], used[b] + sizes[i], *used[b + 1 :]])
+
+    deal(0, [])
+    return best
+
+
+def test_small_groups_against_the_optimum():
+    """A heuristic: seldom and little above the optimum, never below it."""
+    rnd = random.Random(6)
+    costs = []
+    for _ in range(80):
+        sizes = sorted((rnd.choice((rnd.randint(1, 4000), rnd.randint(1, 700))) for _ in range(7)), reverse=True)
+        costs.append((pack_group(sizes, (512, 1024, 2048, 4096))[3], cheapest(sizes, (512, 1024, 2048, 4096))))
+    assert all(found >= best - 1e-9 and found <= 1.15 * best for found, best in costs)
+    assert sum(found > best + 1e-9 for found, best in costs) <= 0.1 * len(costs)
+    assert sum(found for found, _ in costs) <= 1.01 * sum(best for _, best in costs)
+
+
 @pytest.mark.parametrize("group_rows", [20, 4096])
 def test_pack_covers_every_word(spark, group_rows):
     rnd = random.Random(1)
