@@ -35,7 +35,7 @@ from aeris.llm.text import Words, slices, words
 
 CLASSES = 256
 END_HASH = 0
-SETTLED = 1e-4
+SETTLED = 1e-3
 SLICES = 8
 MOST_ROUNDS = 200  # far beyond what settles; training that goes on longer is an error
 HELD = 1 << 19  # distinct words a task holds before it sends them on
