@@ -79,6 +79,38 @@ def test_base_score_and_counts_against_brute_force(scored):
         assert r.base_score == pytest.approx(sum(math.log10((c[t] + 0.5) / (n + 0.5 * (v + 1))) for t in own), rel=1e-9)
 
 
+def test_score_against_brute_force(spark, monkeypatch):
+    """The returned score, text by text: a plain forward product over symbols, and every rare word's share of its class."""
+    made = []
+    train = hmm.trained
+    monkeypatch.setattr(hmm, "trained", lambda encoded, voc, *args: made.append((voc, train(encoded, voc, *args))) or made[-1][1])
+    docs = spark.read.parquet("/root/testdata/sf0.001/documents.parquet")
+    f = fold(F.col("doc_id"))
+    got = {r.doc_id: r.score for r in language_model_scores(docs, f != 1, f == 1, states=3, n_frequent=300).collect()}
+    voc, model = made[0]
+    tokens = {d.doc_id: WORD.findall(re.sub("[A-Z]", lambda m: m[0].lower(), d.text or "")) for d in docs.collect()}
+    every = sorted({t for own in tokens.values() for t in own})
+    w = hmm.words(hmm.pa.array(every))
+    assert len(w.hash) == len(every)
+    hashes, kinds = dict(zip(every, w.hash.tolist())), dict(zip(every, hmm.word_class(w).tolist()))
+    c = Counter(t for i, own in tokens.items() if zlib.crc32(str(i).encode()) % 5 != 1 for t in own)
+    signed = lambda h: h - 2**64 if h >= 2**63 else h
+    frequent = sorted(sorted(c, key=lambda t: (-c[t], signed(hashes[t])))[:300], key=lambda t: hashes[t])
+    symbol = {t: i for i, t in enumerate(frequent)}
+    words_of, total_of = Counter(kinds[t] for t in c if t not in symbol), Counter()
+    for t in c:
+        if t not in symbol:
+            total_of[kinds[t]] += c[t]
+    for i, own in tokens.items():
+        a, score = None, 0.0
+        for s in [symbol.get(t, 300 + kinds.get(t, 0)) for t in own] + [voc.symbols - 1]:
+            a = (model.start if a is None else [sum(a[j] * model.move[j, k] for j in range(3)) for k in range(3)]) * model.emit[s]
+            score += math.log10(a.sum())
+            a = a / a.sum()
+        score += sum(math.log10((c[t] + 0.5) / (total_of[kinds[t]] + 0.5 * (words_of[kinds[t]] + 1))) for t in own if t not in symbol)
+        assert got[i] == pytest.approx(score, rel=1e-9)
+
+
 def test_model_beats_the_base_on_held_out_texts(scored):
     held = [r for r in scored[1].values() if r.held_out]
     assert sum(r.score for r in held) > sum(r.base_score for r in held) and all(math.isfinite(r.score) for r in held)
