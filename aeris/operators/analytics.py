@@ -7,6 +7,8 @@ a scalar subquery rather than a driver round-trip."""
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -79,6 +81,12 @@ def with_localised_label(index_serving: DataFrame, lang: str = "en") -> DataFram
                                 localised_label("indice_atmo", F.lit(lang)).alias("libelle"))
 
 
+def with_localised_labels(index_serving: DataFrame, langs: Sequence[str]) -> DataFrame:
+    """B19 in several languages: a row for each index and language."""
+    rows = index_serving.select("code_site", "jour", "indice_atmo", F.explode(F.array(*map(F.lit, langs))).alias("langue"))
+    return rows.withColumn("libelle", localised_label("indice_atmo", "langue"))
+
+
 def label_filter(ds: DataFrame, label: str | None) -> DataFrame:
     """Keep one label; ``Tous`` (or nothing) keeps everything."""
     if not label or label == "Tous":

@@ -12,6 +12,7 @@ from functools import cached_property
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from aeris.constants import LOCALISED_LABELS
 from aeris.operators import analytics as A
 from aeris.operators import constraints as K
 from aeris.operators import geocoding as GC
@@ -32,6 +33,7 @@ from aeris.streaming import parse_messages, publish_frame
 POLLUTANT = "NO2"
 LABEL = "Moyen"
 LANG = "en"
+LANGS = (*LOCALISED_LABELS, "it")  # every language, and one without labels
 DAY = "2024-01-15"
 STAMP = "2024-02-01T00:00:00.000000Z"
 SEARCH = {"text": "SUPPLIER#", "qualities": [1, 2, 3], "pollutant": "NO2", "influence": "Industrielle"}
@@ -151,6 +153,7 @@ QUERIES: dict[str, Callable[[Domain, Views], DataFrame]] = {
     "station_search": lambda d, v: A.search_stations(v.ds, **SEARCH),
     "display_attributes": lambda d, v: A.with_display(v.ds),
     "localised_labels": lambda d, v: A.with_localised_label(v.index_serving, LANG),
+    "localised_labels_all": lambda d, v: A.with_localised_labels(v.index_serving, LANGS),
     "normalised_index_records": lambda d, v: A.normalise_index_records(v.index_serving),
     "question_routing": lambda d, v: A.route_questions(d.questions, v.ds),
     "city_lookup": lambda d, v: A.city_lookup(d.questions, v.ds),

@@ -297,6 +297,18 @@ best_place AS (
 )
 """
 
+# Labels by language.
+LABELS = """, labels(langue, labels) AS (VALUES
+    ('fr', ['Bon', 'Moyen', 'Dégradé', 'Mauvais', 'Très mauvais', 'Extrêmement mauvais', 'Non mesuré']),
+    ('en', ['Good', 'Fair', 'Degraded', 'Poor', 'Very poor', 'Extremely poor', 'Not measured']),
+    ('es', ['Buena', 'Media', 'Degradada', 'Mala', 'Muy mala', 'Extremadamente mala', 'No medida']),
+    ('de', ['Gut', 'Mäßig', 'Verschlechtert', 'Schlecht', 'Sehr schlecht', 'Extrem schlecht', 'Nicht gemessen']),
+    ('ja', ['良好', '普通', 'やや悪い', '悪い', '非常に悪い', '極めて悪い', '未測定']),
+    ('zh', ['优', '良', '轻度污染', '中度污染', '重度污染', '严重污染', '未测量']),
+    ('pt', ['Boa', 'Média', 'Degradada', 'Má', 'Muito má', 'Extremamente má', 'Não medida']),
+    ('yo', ['Dáradára', 'Àárín', 'Dínkù', 'Búburú', 'Búburú gan', 'Búburú púpọ̀', 'Kò wọ̀n'])
+)"""
+
 MEANS_ORDER = ("jour DESC NULLS FIRST, moyenne DESC NULLS FIRST, code_site ASC NULLS LAST, "
                "code_polluant ASC NULLS LAST, nom_site ASC NULLS LAST, unite ASC NULLS LAST")
 
@@ -439,6 +451,11 @@ SELECTS: dict[str, str] = {
                CASE indice_atmo WHEN 1 THEN 'Good' WHEN 2 THEN 'Fair' WHEN 3 THEN 'Degraded' WHEN 4 THEN 'Poor'
                                 WHEN 5 THEN 'Very poor' WHEN 6 THEN 'Extremely poor' ELSE 'Not measured' END AS libelle
         FROM idx_serv""",
+    # The labels of the six levels and of "not measured" in each language; other languages show the French ones.
+    "localised_labels_all": """
+        SELECT code_site, jour, indice_atmo, langue, coalesce(l.labels, f.labels)[CASE WHEN indice_atmo BETWEEN 1 AND 6 THEN indice_atmo ELSE 7 END] AS libelle
+        FROM idx_serv CROSS JOIN (VALUES ('fr'), ('en'), ('ja'), ('es'), ('de'), ('zh'), ('pt'), ('yo'), ('it')) AS w(langue)
+        LEFT JOIN labels l USING (langue) JOIN labels f ON f.langue = 'fr'""",
     "normalised_index_records": "SELECT * FROM idx_norm",
     "question_routing": f"""
         SELECT r.conv_id, r.turn,
@@ -591,5 +608,5 @@ SELECTS |= {
 
 
 def oracle_sql() -> dict[str, str]:
-    more = {"geocoded_approximate": MISSPELT}
+    more = {"geocoded_approximate": MISSPELT, "localised_labels_all": LABELS}
     return {name: f"WITH {BASE}{more.get(name, '')}\n{sel}" for name, sel in SELECTS.items()}
