@@ -21,6 +21,9 @@ from aeris.operators.joins import left_join_dimension
 RANKING_SIZE = 15
 TOP_EXPOSED = 15
 
+PIECE = 256  # letters of a long token
+FILTER_BITS = 1 << 20  # of the station words' filter: 128 KB
+
 
 def normalise_index_records(index_like: DataFrame) -> DataFrame:
     """Accept either field naming, default name ``Station``, empty -> NULL."""
@@ -222,6 +225,24 @@ def station_words(ds: DataFrame) -> DataFrame:
             .select("mot", "s.*"))
 
 
+def word_filter(words: DataFrame) -> tuple[Column, Column]:
+    """What the distinct station words (``mot``) let through, as scalar subqueries over one aggregate: the lengths that they have (as many
+    as the longest has letters), and a filter of ``FILTER_BITS`` bits in which each word's hash has set one. A substring whose bit
+    isn't set is no word; with so many words that most bits are set the filter lets more through, and the join still decides."""
+    place = F.pmod(F.xxhash64("mot"), F.lit(FILTER_BITS))
+    slots = words.select(F.length("mot").alias("n"), F.floor(place / 64).alias("slot"), F.expr(f"shiftleft(1L, cast(pmod(xxhash64(mot), {FILTER_BITS}) % 64 as int))").alias("bit"))
+    slots = slots.groupBy("slot").agg(F.bit_or("bit").alias("bits"), F.collect_set("n").alias("lengths"))
+    every = words.sparkSession.range(FILTER_BITS // 64).join(slots, F.col("id") == F.col("slot"), "left")
+    row = every.agg(F.array_sort(F.array_distinct(F.flatten(F.collect_list("lengths")))).alias("lengths"),
+                    F.transform(F.array_sort(F.collect_list(F.struct("id", F.coalesce("bits", F.lit(0).cast("long")).alias("bits")))), lambda x: x["bits"]).alias("bits"))
+    return row.select("lengths").scalar(), row.select("bits").scalar()
+
+
+def may_be_word(word: Column, bits: Column) -> Column:
+    place = F.pmod(F.xxhash64(word), F.lit(FILTER_BITS))
+    return F.bit_get(F.element_at(bits, (F.floor(place / 64) + 1).cast("int")), (place % 64).cast("int")) == 1
+
+
 def city_lookup(questions: DataFrame, ds: DataFrame, text_col: str = "question",
                 key_cols: tuple[str, ...] = ("conv_id", "turn")) -> DataFrame:
     """For each question, the first station (view order) whose first name word occurs
@@ -229,16 +250,19 @@ def city_lookup(questions: DataFrame, ds: DataFrame, text_col: str = "question",
 
     Exact, without evaluating (question, station) pairs: a station word has no space, so it can only occur
     inside a space-separated token of the question. Each distinct token puts out its substrings of the lengths that
-    station words have (a scalar subquery), and these meet the words in an equi-join on the whole
-    word, so a common beginning of many names is no hot key."""
+    station words have, one by one; a filter of the words' hashes drops nearly all that are none before anything is shuffled, and
+    the rest meet the words in an equi-join on the whole word, so a common beginning of many names is no hot key."""
     words = station_words(ds)
-    lengths = words.select(F.array_sort(F.collect_set(F.length("mot")))).scalar()  # at most as many as the longest word has letters
+    lengths, bits = word_filter(words)
     tokens = F.array_distinct(F.split(F.lower(F.coalesce(F.col(text_col), F.lit(""))), " "))
     q = questions.select(*key_cols, F.explode(tokens).alias("_t")).filter(F.length("_t") >= CITY_WORD_MIN_LENGTH)
+    # a long token in pieces that overlap by the longest word: a substring is found by counting letters from the start
+    q = q.withColumn("_lengths", lengths).withColumn("_from", F.explode(F.expr(f"sequence(0, (length(_t) - 1) div {PIECE})")))
+    q = q.withColumn("_t", F.expr(f"substring(_t, cast(_from * {PIECE} + 1 as int), {PIECE - 1} + array_max(_lengths))"))
     # one row a substring, made one by one: a length, then a position
-    q = q.withColumn("_lengths", lengths).select(*key_cols, "_t", F.explode("_lengths").alias("_n")).filter(F.col("_n") <= F.length("_t"))
-    q = q.select(*key_cols, "_t", "_n", F.explode(F.sequence(F.lit(1), F.length("_t") - F.col("_n") + 1)).alias("_p"))
-    q = q.select(*key_cols, F.substring(F.col("_t"), F.col("_p"), F.col("_n")).alias("mot"))
+    q = q.select(*key_cols, "_t", F.explode("_lengths").alias("_n")).filter(F.col("_n") <= F.length("_t"))
+    q = q.select(*key_cols, "_t", "_n", F.explode(F.sequence(F.lit(1), F.least(F.lit(PIECE), F.length("_t") - F.col("_n") + 1))).alias("_p"))
+    q = q.select(*key_cols, F.substring(F.col("_t"), F.col("_p"), F.col("_n")).alias("mot")).filter(may_be_word(F.col("mot"), bits))
     found = q.join(words, "mot")
     best = F.min(F.struct("rank", "code_station", "nom", "mot")).alias("_m")
     return found.groupBy(*key_cols).agg(best).select(*key_cols, "_m.code_station", "_m.nom", "_m.mot")

@@ -159,3 +159,17 @@ def test_city_lookup_matches_brute_force(spark):
             expect[k] = min(hits)[1]
     assert {r.conv_id: r.code_station for r in analytics.city_lookup(qs, ds).collect()} == expect
     assert len(expect) > 20
+
+
+def test_a_long_token_meets_the_words_through_their_filter(spark):
+    """A token of a million letters without a space: its substrings pass one by one, and only possible words are shuffled."""
+    from aeris.operators.analytics import city_lookup
+    ds = spark.createDataFrame([("1", "Metz-Centre", 3), ("2", "Anglet", 2), ("3", "Aix", 1)], "code_station string, nom string, indice int")
+    long = "x" * 500_000 + "anglet" + "y" * 500_000
+    questions = spark.createDataFrame([(1, 0, long), (2, 0, "a Metz-centre ?"), (3, 0, "aix"), (4, 0, None)], "conv_id long, turn long, question string")
+    found = city_lookup(questions, ds)
+    assert {r.conv_id: (r.code_station, r.mot) for r in found.collect()} == {1: ("2", "anglet"), 2: ("1", "metz-centre")}
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    below = plan[plan.rindex("Generate explode"):] if "Generate explode" in plan else ""
+    filters = [line for line in plan.splitlines() if "Filter" in line and "bit_get" in line]
+    assert filters and "Subquery" in plan and below  # the filter is on the exploded substrings, ahead of the join's exchange
