@@ -5,8 +5,10 @@ from __future__ import annotations
 import tempfile
 import uuid
 import zipfile
+from collections.abc import Callable, Iterator, Sequence
 from pathlib import Path
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -66,6 +68,15 @@ def unused(columns: list[str], *names: str) -> tuple[str, ...]:
     return tuple(out)
 
 
+def with_computed(docs: DataFrame, task: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]], names: Sequence[str], kinds: Sequence[str]) -> DataFrame:
+    """``docs`` with columns ``names`` (of types ``kinds``) that ``task`` appends to its Arrow batches. Columns may have any name; the task
+    sees ``text`` under its name, the others by place."""
+    plain = docs.toDF(*["text" if c == "text" else f"_{i}" for i, c in enumerate(docs.columns)])
+    fields = [f"{f.name} {f.dataType.simpleString()}" for f in plain.schema.fields]
+    added = [f"_{len(docs.columns) + i} {kind}" for i, kind in enumerate(kinds)]
+    return plain.mapInArrow(task, ", ".join([*fields, *added])).toDF(*docs.columns, *names)
+
+
 def spread(rows: DataFrame, *columns: str) -> DataFrame:
     """Few narrow rows, each of which makes many, dealt over ``spark.sql.shuffle.partitions`` tasks (adaptive execution
     would put them together by their bytes)."""

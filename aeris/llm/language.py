@@ -20,6 +20,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from aeris.llm.common import with_computed
+
 UNDETERMINED = "und"
 CHUNK = 1 << 20  # characters worked on at once
 BITS = 18  # of a letter's number in an n-gram code
@@ -226,8 +228,8 @@ def predict_languages(docs: DataFrame, profiles: dict[str, np.ndarray], text_siz
                     far = [out_of_place(grams, *t) / (len(grams) * len(t[0])) for t in tables]
                     k = int(np.argmin(far))
                     best[row], score[row] = languages[k], 1 - far[k]
+            n = batch.num_columns
             yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(best, pa.string()), pa.array(score)],
-                                             names=[*batch.schema.names, *names])
+                                             names=[*batch.schema.names, f"_{n}", f"_{n + 1}"])
 
-    schema = ", ".join(f"`{f.name.replace('`', '``')}` {f.dataType.simpleString()}" for f in docs.schema.fields)
-    return docs.mapInArrow(predict, f"{schema}, {names[0]} string, {names[1]} double")
+    return with_computed(docs, predict, names, ("string", "double"))

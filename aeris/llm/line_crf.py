@@ -21,6 +21,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from aeris.llm.common import with_computed
 from aeris.llm.text import mix, slices, words
 
 SAMPLE_PER_LABEL = 2000
@@ -245,8 +246,8 @@ def score_documents(docs: DataFrame, model: Model | None, threshold: float = 0.3
                 value = np.array([0.5 if t and t.strip(" \t\n\x0b\x0c\r") else 0.0 for t in texts.to_pylist()])
             else:
                 value = document_scores(texts, model)
+            n = batch.num_columns
             yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(value, pa.float64()), pa.array((value >= threshold).astype(np.int32))],
-                                             names=[*batch.schema.names, *names])
+                                             names=[*batch.schema.names, f"_{n}", f"_{n + 1}"])
 
-    schema = ", ".join(f"`{f.name.replace('`', '``')}` {f.dataType.simpleString()}" for f in docs.schema.fields)
-    return docs.mapInArrow(score, f"{schema}, {names[0]} double, {names[1]} int")
+    return with_computed(docs, score, names, ("double", "int"))
