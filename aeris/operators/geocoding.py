@@ -6,10 +6,12 @@ Names are compared in a folded form (:func:`place_name`). A name is answered, in
 2. the entry of fewest edits, within :func:`allowed_edits`;
 3. an entry that begins with the name's words (``Aix`` -> ``Aix-en-Provence``);
 
-ties by label. Candidates come from one equi-join on *deletion keys*: two names within d edits have a common string that
-each reaches by deleting at most d of its letters. Names are long and rarely alike, so a key holds few of them, and no pair
-of names is looked at that shares none; a bounded Levenshtein distance then decides. Only the best entry
-of a run of leading words is a candidate for it, so ``saint`` is no hot key.
+ties by label. Each rank is asked only for names without an answer of a lower one. Candidates for edits come from one equi-join on *deletion
+keys* for each number of edits: two names d edits apart have a common string that each reaches by deleting at most d of its
+letters. Names are long and rarely alike, so a key holds few of them, and no pair of names is looked at that shares none; a bounded
+Levenshtein distance then decides. Keys carry names only; places are joined to the pairs that are left. Spark estimates a table's keys
+at the size of the table, so all joins here are sort-merge joins: none is collected to be broadcast. Only the best entry of a run of
+leading words is a candidate for it, so ``saint`` is no hot key.
 """
 
 from __future__ import annotations
@@ -61,10 +63,12 @@ def _without(word: str, at: str) -> Column:
 
 
 def _deletion_keys(names: DataFrame, depth: Column) -> DataFrame:
-    """``names`` (a column ``name``) once for each key: hashes of the name with up to ``depth`` (0 to 2) letters deleted. Rows are made
-    one by one, and of a run of equal letters the first goes first (of all deletions that give a string, the earliest)."""
+    """``names`` (a column ``name``) once for each key: hashes of the name with up to ``depth`` (0 to 2) letters deleted; none where it
+    is null. Rows are made one by one, and of a run of equal letters the first goes first (of all deletions that give a string, the
+    earliest). Names are few and narrow and make many keys, so they are dealt over all shuffle partitions before."""
     first_of_run = "{i} = 1 or substring({w}, {i} - 1, 1) <> substring({w}, {i}, 1)"
-    one = names.withColumn("_depth", depth).withColumn("_i", F.explode(F.expr("sequence(0, if(_depth > 0, char_length(name), 0))")))
+    names = names.repartition(int(names.sparkSession.conf.get("spark.sql.shuffle.partitions")), F.xxhash64("name"))
+    one = names.withColumn("_depth", depth).withColumn("_i", F.explode(F.expr("if(_depth is null, null, sequence(0, if(_depth > 0, char_length(name), 0)))")))
     one = one.where(F.expr("_i = 0 or " + first_of_run.format(w="name", i="_i")))
     one = one.withColumn("_v", F.when(F.col("_i") == 0, F.col("name")).otherwise(_without("name", "_i")))
     two = one.withColumn("_j", F.explode(F.expr("if(_depth > 1 and _i between 1 and char_length(_v), concat(array(0), sequence(_i, char_length(_v))), array(0))")))
@@ -73,6 +77,39 @@ def _deletion_keys(names: DataFrame, depth: Column) -> DataFrame:
     return two.withColumn("key", F.xxhash64(variant)).drop("_depth", "_i", "_v", "_j")
 
 
+def _spelled(names: DataFrame, entries: DataFrame, edits: int) -> DataFrame:
+    """``name, place``: the best of the entries that are ``edits`` edits from a name of ``names`` that may have as many."""
+    within = lambda letters: F.when(allowed_edits(letters) >= edits, F.lit(edits))
+    ours = _deletion_keys(names, within(F.char_length("name")))
+    # an entry may be longer or shorter than what is asked: it has keys if the longest name within reach does
+    theirs = _deletion_keys(entries.select("name"), within(F.char_length("name") + edits)).withColumnRenamed("name", "entry")
+    pairs = (ours.join(theirs.hint("merge"), "key").where(F.levenshtein("name", "entry", edits) == edits)
+             .select("name", "entry").distinct())
+    return (pairs.join(entries.withColumnRenamed("name", "entry").hint("merge"), "entry")
+            .groupBy("name").agg(F.min("place").alias("place")))
+
+
+def _led(names: DataFrame, entries: DataFrame) -> DataFrame:
+    """``name, place``: the best of the entries that begin with the words of a name of ``names`` and go on; null for a short name."""
+    words = F.split("name", " ")
+    leading = (entries.withColumn("_n", F.explode(F.expr("sequence(1, size(split(name, ' ')))"))).where(F.col("_n") < F.size(words))
+               .select(F.array_join(F.slice(words, F.lit(1), F.col("_n")), " ").alias("name"), "place")
+               .groupBy("name").agg(F.min("place").alias("place")))
+    long_enough = F.char_length("name") >= LEAST_LEADING
+    return names.join(leading.hint("merge"), "name").select("name", F.when(long_enough, F.col("place")).alias("place"))
+
+
+def _open_names(answers: DataFrame) -> DataFrame:
+    return answers.where(F.col("rank").isNull()).select("name")
+
+
+def _answered(answers: DataFrame, found: DataFrame, rank: int) -> DataFrame:
+    """``answers`` (``name, rank, place``) with those of ``found`` (``name, place``) where there was none yet."""
+    found = found.select("name", F.col("place").alias("_place")).hint("merge")
+    new = F.when(F.col("_place").isNotNull(), F.lit(rank))
+    return answers.join(found, "name", "left").select("name", F.coalesce("rank", new).alias("rank"), F.coalesce("place", "_place").alias("place"))
+
+
 def best_places(names: DataFrame, gazetteer: DataFrame) -> DataFrame:
     """``name, commune_label, contexte, longitude, latitude, edits, par`` for each distinct folded ``name`` that has an answer; ``par``
     (by what) is ``exact``, ``orthographe`` or ``premiers mots``; ``edits`` is null for the last. ``gazetteer``: commune, label, contexte,
@@ -82,26 +119,15 @@ def best_places(names: DataFrame, gazetteer: DataFrame) -> DataFrame:
                .groupBy("name").agg(F.min("place").alias("place")))
     asked = names.select("name").where("name <> ''").distinct()
 
-    ours = _deletion_keys(asked, allowed_edits(F.char_length("name")))
-    # an entry may be longer or shorter than what is asked: it has the keys that the longest name within reach needs
-    theirs = _deletion_keys(entries.withColumnRenamed("name", "entry").withColumn("name", F.col("entry")), allowed_edits(F.char_length("name") + MOST_EDITS))
-    edits = F.levenshtein(F.col("name"), F.col("entry"), MOST_EDITS)
-    spelled = (ours.join(theirs.drop("name"), "key").withColumn("edits", edits)
-               .where((F.col("edits") >= 0) & (F.col("edits") <= allowed_edits(F.char_length("name"))))
-               .select("name", F.struct(F.col("edits").alias("rank"), "place").alias("best")))
+    answers = _answered(asked.select("name", F.lit(None).cast("int").alias("rank"), F.lit(None).cast(entries.schema["place"].dataType).alias("place")), entries, 0)
+    for edits in range(1, MOST_EDITS + 1):
+        answers = _answered(answers, _spelled(_open_names(answers), entries, edits), edits)
+    answers = _answered(answers, _led(_open_names(answers), entries), LEADING)
 
-    words = F.split("name", " ")
-    leading = (entries.withColumn("_n", F.explode(F.expr("sequence(1, size(split(name, ' ')))"))).where(F.col("_n") < F.size(words))
-               .select(F.array_join(F.slice(words, F.lit(1), F.col("_n")), " ").alias("name"), "place")
-               .groupBy("name").agg(F.min("place").alias("place")))
-    led = (asked.where(F.char_length("name") >= LEAST_LEADING).join(leading, "name")
-           .select("name", F.struct(F.lit(LEADING).alias("rank"), "place").alias("best")))
-
-    best = spelled.unionByName(led).groupBy("name").agg(F.min("best").alias("best"))
-    rank = F.col("best.rank")
-    return best.select(
-        "name", F.col("best.place.label").alias("commune_label"), F.col("best.place.contexte").alias("contexte"),
-        F.col("best.place.longitude").alias("longitude"), F.col("best.place.latitude").alias("latitude"),
+    rank = F.col("rank")
+    return answers.where(rank.isNotNull()).select(
+        "name", F.col("place.label").alias("commune_label"), F.col("place.contexte").alias("contexte"),
+        F.col("place.longitude").alias("longitude"), F.col("place.latitude").alias("latitude"),
         F.when(rank < LEADING, rank).alias("edits"),
         F.when(rank == 0, "exact").when(rank < LEADING, "orthographe").otherwise("premiers mots").alias("par"))
 
