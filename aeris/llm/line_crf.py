@@ -6,14 +6,14 @@ a transition score. Forward-backward marginals give each line's probability of b
 mean, weighted by line length, is the document's quality.
 
 Training: only documents are labelled, so a document's label stands for each of its lines. The
-field is fitted by gradient ascent on the driver over a bounded, documented sample of labelled
+field is fitted by gradient ascent in one task, not on the driver, over a bounded, documented sample of labelled
 documents (``SAMPLE_PER_LABEL`` of each label, those with the smallest hash of the id), each class weighted back to its
 share of all labels. Scoring is a map over whole texts without a shuffle.
 """
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from typing import NamedTuple
 
 import numpy as np
@@ -26,6 +26,8 @@ from aeris.llm.text import mix, slices, words
 
 SAMPLE_PER_LABEL = 2000
 SLICE_BYTES = 1 << 20
+#: Of a model as a row: its fields, in order, each an array of numbers of a type.
+FIELDS = {"mean": "float", "deviation": "float", "weights": "double", "transition": "double"}
 
 LETTER_UPPER, LETTER_LOWER, DIGIT, SYMBOL, BAR, SHOUT, STOP, HIGH, OTHER = range(9)
 CLASSES = 9
@@ -213,21 +215,35 @@ def train(docs: DataFrame, labels: DataFrame, per_label: int = SAMPLE_PER_LABEL)
     chosen = first[0].unionAll(first[1])
     sample = docs.select("doc_id", "text").join(F.broadcast(chosen), "doc_id")  # at most 2 * per_label rows
     sample = sample.groupBy("doc_id", "quality").agg(F.min("text").alias("text"))  # a repeated id trains once
-    rows = sample.orderBy("doc_id").select("quality", "text").toArrow()
-    table = rows.combine_chunks()
-    label = np.asarray(table.column("quality").to_numpy())
-    if len(set(label.tolist())) < 2:
+    found = sample.repartition(1).sortWithinPartitions("doc_id").select("quality", "text").mapInArrow(_fit_task(shares), ", ".join(f"{f} array<{kind}>" for f, kind in FIELDS.items())).first()
+    if found is None:
         return None
-    texts = table.column("text").combine_chunks()
-    texts = texts.chunk(0) if isinstance(texts, pa.ChunkedArray) else texts
-    del rows, table
-    parts = [line_features(texts.slice(a, b - a)) for a, b in slices(texts, SLICE_BYTES)]
-    shifts = np.concatenate(([0], np.cumsum([len(p.length) for p in parts])))
-    lines = Lines(np.concatenate([p.features for p in parts]), np.concatenate([p.length for p in parts]),
-                  np.concatenate([[0], *[p.first[1:] + s for p, s in zip(parts, shifts)]]))
-    share = np.array([shares.get(0, 0), shares.get(1, 0)]) / np.maximum(np.bincount(label, minlength=2), 1)
-    weight = share[label] * (np.diff(lines.first) > 0)
-    return fit(lines, label, weight / weight.mean())
+    return Model(np.array(found["mean"], np.float32), np.array(found["deviation"], np.float32), np.array(found["weights"]), np.array(found["transition"]).reshape(2, 2))
+
+
+def _fit_task(shares: dict[int, int]) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+    """Fits on all batches (``quality, text``) of its partition and gives the model as one row; none if a label has no row."""
+
+    def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        labels, parts = [np.zeros(0, np.int64)], []
+        for batch in batches:
+            texts = batch.column("text")
+            labels.append(batch.column("quality").to_numpy())
+            parts += [line_features(texts.slice(a, b - a)) for a, b in slices(texts, SLICE_BYTES)]
+        label = np.concatenate(labels).astype(np.int64)
+        if len(set(label.tolist())) < 2:
+            return
+        shifts = np.concatenate(([0], np.cumsum([len(p.length) for p in parts])))
+        lines = Lines(np.concatenate([p.features for p in parts]), np.concatenate([p.length for p in parts]),
+                      np.concatenate([[0], *[p.first[1:] + s for p, s in zip(parts, shifts)]]))
+        del parts
+        share = np.array([shares.get(0, 0), shares.get(1, 0)]) / np.maximum(np.bincount(label, minlength=2), 1)
+        weight = share[label] * (np.diff(lines.first) > 0)
+        model = fit(lines, label, weight / weight.mean())
+        yield pa.RecordBatch.from_arrays([pa.array([np.ravel(x).tolist()], pa.list_(pa.float32() if kind == "float" else pa.float64()))
+                                          for x, kind in zip(model, FIELDS.values())], names=list(FIELDS))
+
+    return task
 
 
 def score_documents(docs: DataFrame, model: Model | None, threshold: float = 0.3,

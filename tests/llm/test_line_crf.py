@@ -5,7 +5,7 @@ import pyarrow as pa
 from pyspark.sql import functions as F
 
 from aeris.llm.catalog import op7_line_crf
-from aeris.llm.line_crf import chain_marginals, line_features, score_documents, train
+from aeris.llm.line_crf import chain_marginals, fit, line_features, score_documents, train
 
 
 def test_marginals_against_enumeration():
@@ -65,3 +65,14 @@ def test_training_order_does_not_matter(spark):
     docs = spark.createDataFrame(rows, "doc_id long, text string, quality int")
     a, b = (train(d, docs.select("doc_id", F.col("quality")), per_label=10) for d in (docs, docs.repartition(5)))
     assert np.allclose(a.weights, b.weights)
+
+
+def test_texts_stay_off_the_driver(spark, monkeypatch):
+    rows = [(i, ("A fine line of prose.\n" if i % 3 else "BUY!! NOW!! ### |\n") * (1 + i % 4) + f"word{i}", int(i % 3 > 0)) for i in range(40)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, quality int")
+    for name in ("toArrow", "toPandas", "toLocalIterator"):
+        monkeypatch.setattr(type(docs), name, lambda *a, **b: (_ for _ in ()).throw(AssertionError("texts on the driver")))
+    model = train(docs, docs.select("doc_id", "quality"))
+    lines = line_features(pa.array([t for _, t, _ in rows]))
+    here = fit(lines, np.array([q for *_, q in rows]), np.ones(len(rows)))
+    assert all(np.allclose(a, b, atol=1e-6) and a.dtype == b.dtype and a.shape == b.shape for a, b in zip(model, here))
