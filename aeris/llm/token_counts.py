@@ -146,7 +146,8 @@ def count_tokens(rows: DataFrame, tokenizer: str, text: str = "text", keep: Sequ
     model = rows.sparkSession.sparkContext.broadcast((described, whole_tokens(described)))
     source = rows.select(*[F.col(f"`{c}`") for c in keep], F.coalesce(F.octet_length(F.col(f"`{text}`")), F.lit(0)).cast("long").alias("n_bytes"),
                          F.col(f"`{text}`").cast("string").alias("__text"))
-    schema = StructType(source.schema.fields[:-1]).add("n_tokens", LongType())
+    plain = source.toDF(*[f"_{i}" for i in range(len(source.columns))])  # columns pass through Arrow by place, whatever their names
+    schema = StructType(plain.schema.fields[:-1]).add("n_tokens", LongType())
 
     def counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         counter = _counter(*model.value)
@@ -155,4 +156,4 @@ def count_tokens(rows: DataFrame, tokenizer: str, text: str = "text", keep: Sequ
             n = pa.array([counter.count(t.as_py()) for t in texts], pa.int64())
             yield pa.RecordBatch.from_arrays([*batch.columns[:-1], n], names=schema.names)
 
-    return source.mapInArrow(counted, schema).withColumn("over_limit", F.col("n_tokens") > limit)
+    return plain.mapInArrow(counted, schema).toDF(*source.columns[:-1], "n_tokens").withColumn("over_limit", F.col("n_tokens") > limit)

@@ -11,9 +11,17 @@ SF001 = "/root/testdata/sf0.001"
 SF01 = "/root/testdata/sf0.01"
 
 
+def _session():
+    return build_session("aeris-tests", master="local[4]", shuffle_partitions=4)
+
+
+def pytest_sessionstart(session):
+    _session()  # test files that name columns when they are read need a Spark context
+
+
 @pytest.fixture(scope="session")
 def spark():
-    s = build_session("aeris-tests", master="local[4]", shuffle_partitions=4)
+    s = _session()
     checkpoint_dir(s)
     yield s
     s.stop()
