@@ -16,7 +16,9 @@ two sketches is a lower bound of the symmetric difference, which gives an exact
    a hub h, the difference of x and y is that of the residuals x ^ h and y ^ h, of sizes D_x and
    D_y; so they share (D_x + D_y - d_max) / 2 residual shingles at least, and one if x is not linked
    to h. Residuals are banded by size; for each band of partners a prefix filter, shingles
-   foreign to h first, yields the few candidates left. Shingles of h that a member lacks are common to many
+   foreign to h first and rare ones before common ones, yields the few candidates left: a passage that many members
+   share stands last, so that by itself it makes no pairs. How common a shingle is comes from a table of counts by hash
+   bucket, of a fixed size; it fixes one order for all, on which no result depends. Shingles of h that a member lacks are common to many
    members, but seldom needed: x and y with no foreign shingle in common can only link if y lacks more of h
    than it has foreign. Members that links of stars join already need no comparison.
 4. Verify. Whole sketches drop pairs whose Hamming distance exceeds the allowed difference; the
@@ -43,6 +45,7 @@ from aeris.llm.text import mix, shingle_sets
 UNITS = 2  # size units of ratio den / num in a band, without the one it shares with the next
 LARGEST = 1 << 40
 BROADCAST_BYTES = 8_000_000  # of hashes and ids; beyond that they are shuffled
+BUCKETS = 1 << 18  # of shingle counts; a shingle in many more texts than a bucket's share of all shingles stands out
 
 _U = np.uint64
 
@@ -171,14 +174,18 @@ def _near(pairs: DataFrame, classes: DataFrame, bands: Bands) -> DataFrame:
     return sides.mapInArrow(task, ", ".join([*fields, "near boolean"]))
 
 
-def _with_texts(pairs: DataFrame, docs: DataFrame) -> DataFrame:
-    """``pairs`` (with ``text_hash_a, text_hash_b``; a written table) with ``text_a, text_b``. Only texts asked for
-    move; their hashes are broadcast up to ``BROADCAST_BYTES`` and shuffled beyond."""
+def _texts(pairs: DataFrame, docs: DataFrame) -> DataFrame:
+    """``text_hash, text`` of the texts that ``pairs`` (with ``text_hash_a, text_hash_b``; a written table) ask for. Only
+    those move; their hashes are broadcast up to ``BROADCAST_BYTES`` and shuffled beyond."""
     wanted = written(pairs.select(F.explode(F.array("text_hash_a", "text_hash_b")).alias("text_hash")).distinct(), "parity-wanted")
     if 8 * wanted.count() <= BROADCAST_BYTES:
         wanted = F.broadcast(wanted)
     texts = docs.select(F.xxhash64("text").alias("text_hash"), "text").join(wanted, "text_hash", "left_semi")
-    texts = written(texts.groupBy("text_hash").agg(F.first("text").alias("text")), "parity-texts")
+    return written(texts.groupBy("text_hash").agg(F.first("text").alias("text")), "parity-texts")
+
+
+def _with_texts(pairs: DataFrame, texts: DataFrame) -> DataFrame:
+    """``pairs`` with ``text_a, text_b``."""
     for side in "ab":
         pairs = pairs.join(texts.select(F.col("text_hash").alias(f"text_hash_{side}"), F.col("text").alias(f"text_{side}")), f"text_hash_{side}")
     return pairs
@@ -194,18 +201,40 @@ def _sets(batch: pa.RecordBatch, k: int) -> Iterator[tuple[np.ndarray, np.ndarra
         yield made[int(a[i])], s
 
 
-def _residual_prefixes(s: np.ndarray, foreign: np.ndarray, h: np.ndarray, bands: Bands) -> tuple[np.ndarray, np.ndarray]:
+def _commonness(texts: DataFrame, k: int) -> np.ndarray:
+    """For each hash bucket how many of ``texts`` have its shingles, in eighths of a power of 2 (a byte): a table
+    of ``BUCKETS`` bytes, however many the texts."""
+
+    def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        counts = np.zeros(BUCKETS, np.int64)
+        for batch in batches:
+            found = np.concatenate([*shingle_sets(batch.column("text"), k), np.zeros(0, np.uint64)])
+            counts += np.bincount((found & _U(BUCKETS - 1)).astype(np.int64), minlength=BUCKETS)
+        used = np.flatnonzero(counts)
+        yield pa.RecordBatch.from_arrays([pa.array(used, pa.int64()), pa.array(counts[used], pa.int64())], names=["bucket", "n"])
+
+    total = texts.select("text").mapInArrow(task, "bucket long, n long").groupBy("bucket").agg(F.sum("n").alias("n")).toArrow()
+    out = np.zeros(BUCKETS, np.uint8)
+    out[total["bucket"].to_numpy()] = np.minimum(8 * np.log2(1 + total["n"].to_numpy()), 255).astype(np.uint8)
+    return out
+
+
+def _rare_first(shingles: np.ndarray, common: np.ndarray) -> np.ndarray:
+    return shingles[np.lexsort((shingles, common[(shingles & _U(len(common) - 1)).astype(np.int64)]))]
+
+
+def _residual_prefixes(s: np.ndarray, foreign: np.ndarray, h: np.ndarray, bands: Bands, common: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Hashed residual shingles that s puts out relative to hub h, each with the residual bands of a pair,
-    and which of them are foreign to h.
+    and which of them are foreign to h. Shingles that are common by the table ``common`` come last of either kind.
 
     A partner in the band from ``low`` on shares at least (D + low - d_max) / 2 of the D residual shingles, so
     the first one shared is among the first D + 1 - that many."""
     d, reach, width = len(s) + len(h) - 2 * (len(s) - len(foreign)), bands.most(len(s)), max(1, bands.most(len(h)) // 2)
     own, lowest, highest = d // width, max(0, d - reach) // width, (d + reach) // width
     counts = [d + 1 - max(1, -(-(d + band * width - reach) // 2)) for band in range(lowest, highest + 1)]
-    residual = foreign[: max(counts)]
+    residual = _rare_first(foreign, common)[: max(counts)]
     if len(residual) < max(counts):
-        residual = np.concatenate([residual, np.setdiff1d(h, s, assume_unique=True)[: max(counts) - len(residual)]])
+        residual = np.concatenate([residual, _rare_first(np.setdiff1d(h, s, assume_unique=True), common)[: max(counts) - len(residual)]])
     place = np.concatenate([np.arange(max(0, n)) for n in counts])
     partner = np.repeat(np.arange(lowest, highest + 1), np.maximum(counts, 0))
     pair = (np.minimum(own, partner).astype(np.uint64) << _U(32)) | np.maximum(own, partner).astype(np.uint64)
@@ -217,6 +246,9 @@ def _verify_stars(pairs: DataFrame, docs: DataFrame, k: int, bands: Bands) -> Da
     to a and lacks ``missing`` of a's. Of crowded keys only, ``asks`` are the hashed residual shingles b puts out if it isn't
     linked to a, ``answers`` those among which an asking partner must find one."""
 
+    texts = _texts(pairs, docs)
+    common = _commonness(texts, k)
+
     def lists(values: list[np.ndarray]) -> pa.ListArray:
         offsets = np.concatenate(([0], np.cumsum([len(x) for x in values]))).astype(np.int32)
         return pa.ListArray.from_arrays(pa.array(offsets), pa.array(np.concatenate([*values, np.zeros(0, np.int64)])))
@@ -233,7 +265,7 @@ def _verify_stars(pairs: DataFrame, docs: DataFrame, k: int, bands: Bands) -> Da
                 size.append(len(s))
                 extra.append(len(foreign))
                 missing.append(len(h) - shared)
-                keys, is_foreign = _residual_prefixes(s, foreign, h, bands) if full else (none, none.astype(bool))
+                keys, is_foreign = _residual_prefixes(s, foreign, h, bands, common) if full else (none, none.astype(bool))
                 asks.append(none if linked[-1] else keys)
                 answers.append(keys if missing[-1] > extra[-1] else keys[is_foreign])
             counts = {"linked": linked, "size": size, "extra": extra, "missing": missing}
@@ -241,7 +273,7 @@ def _verify_stars(pairs: DataFrame, docs: DataFrame, k: int, bands: Bands) -> Da
                 [*(batch.column(c) for c in ("a", "b", "crowded")), *(pa.array(v, pa.bool_() if c == "linked" else pa.int64()) for c, v in counts.items()),
                  lists(asks), lists(answers)], names=["a", "b", "crowded", *counts, "asks", "answers"])
 
-    rows = _with_texts(pairs, docs).select("a", "b", "crowded", "text_hash_a", "text_hash_b", "text_a", "text_b")
+    rows = _with_texts(pairs, texts).select("a", "b", "crowded", "text_hash_a", "text_hash_b", "text_a", "text_b")
     return rows.mapInArrow(task, "a long, b long, crowded boolean, linked boolean, size long, extra long, missing long, asks array<long>, answers array<long>")
 
 
@@ -253,7 +285,7 @@ def _verify(pairs: DataFrame, docs: DataFrame, k: int, bands: Bands) -> DataFram
             ok = [bands.linked(len(np.intersect1d(x, y, assume_unique=True)), len(x), len(y)) for x, y in _sets(batch, k)]
             yield pa.RecordBatch.from_arrays([batch.column("a"), batch.column("b")], names=["a", "b"]).filter(pa.array(ok, pa.bool_()))
 
-    rows = _with_texts(pairs, docs).select("a", "b", "text_hash_a", "text_hash_b", "text_a", "text_b")
+    rows = _with_texts(pairs, _texts(pairs, docs)).select("a", "b", "text_hash_a", "text_hash_b", "text_a", "text_b")
     return rows.mapInArrow(task, "a long, b long")
 
 

@@ -6,7 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from aeris.llm.components import connected_components
-from aeris.llm.parity_join import Bands, class_hash, hamming, near_duplicates, one_of_each, part_keys, sketch
+from aeris.llm.parity_join import Bands, _residual_pairs, _verify_stars, class_hash, hamming, near_duplicates, one_of_each, part_keys, sketch
 from aeris.llm.text import shingle_sets
 
 
@@ -83,6 +83,23 @@ def test_every_linked_pair_shares_a_key():
                     assert keys[0] & keys[1]
 
 
+def test_members_of_a_star_that_share_a_passage_are_no_pairs(spark):
+    rnd = random.Random(11)
+    draw = lambda n: [f"v{rnd.randrange(50_000)}" for _ in range(n)]
+    line, passages = draw(30), [draw(30) for _ in range(4)]
+    texts = [" ".join(draw(40) + line + draw(30) + passages[i % 4] + draw(30)) for i in range(160)]
+    texts += [" ".join(t.split()[:-2]) for t in texts[:20]]  # linked with the first 20
+    hub = " ".join(draw(60) + line + draw(70))
+    docs = spark.createDataFrame([*enumerate(texts), (-1, hub)], "doc_id long, text string")
+    stars = docs.where("doc_id >= 0").select(F.lit(-1).cast("long").alias("a"), F.col("doc_id").alias("b"), F.lit(True).alias("crowded"),
+                                             F.xxhash64(F.lit(hub)).alias("text_hash_a"), F.xxhash64("text").alias("text_hash_b"))
+    bands = Bands(80, 100)
+    verified = _verify_stars(stars, docs, 5, bands)
+    assert verified.where("linked").count() == 0
+    pairs = {tuple(r) for r in _residual_pairs(verified, spark.createDataFrame([], "node long, component long"), bands).collect()}
+    assert {(i, 160 + i) for i in range(20)} <= pairs and len(pairs) <= 40  # four groups of 45 have 3960 pairs
+
+
 def test_odd_rows(odd_docs, no_docs):
     found = near_duplicates(odd_docs, 5, 80, 100)
     assert found.count() == odd_docs.count() and near_duplicates(no_docs, 5, 80, 100).count() == 0
